@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from rowtide import types as V
 from rowtide.errors import ConfigError
+from rowtide.plans.sizing import scan_bytes, to_bytes
 
-# Above this limit the rows a hot key may send (limit x tasks) are ranked in two rounds.
-SALT_ABOVE = 64
-SALTS = 32
+# Rows of one key that a single task may have to sort; beyond it keys are cut into parts.
+ROWS_PER_TASK = 200_000_000
+# Without a group limit before the shuffle nothing bounds a key: always this many parts.
+UNBOUNDED_SALTS = 256
 _RANK, _SALT = "__rank", "__salt"
 
 
@@ -31,23 +33,38 @@ def total_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> lis
     return [*order, *[c for c in df.columns if c not in order and c not in keys]]
 
 
+def salts_for(df: DataFrame, n: int) -> int:
+    """Into how many parts each key is cut before it is ranked as a whole.
+
+    A key sends at most ``n`` rows per input task.  One part, and so one shuffle, is
+    enough until that product becomes too much for the task that gets the key.
+    """
+    conf = df.sparkSession.conf
+    if n > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        return UNBOUNDED_SALTS
+    size = scan_bytes(df)
+    if size is None:
+        return 1
+    tasks = 1 + size // to_bytes(conf.get("spark.sql.files.maxPartitionBytes", "128MB"))
+    return min(UNBOUNDED_SALTS, 1 + n * tasks // ROWS_PER_TASK)
+
+
 def first_n(
     df: DataFrame, keys: Sequence[str], n: int, order: Sequence[str] = (), salts: int | None = None
 ) -> DataFrame:
     """The first ``n`` rows of every key, in ascending ``order``.
 
-    Ties are broken by the remaining columns.  For a large ``n`` rows are first ranked
-    within ``salts`` parts of each key, then the survivors within the key: whatever is
-    among the first ``n`` of a key is among the first ``n`` of its part.
+    Ties are broken by the remaining columns.  With ``salts`` rows are first ranked
+    within parts of each key, then the survivors within the key: whatever is among the
+    first ``n`` of a key is among the first ``n`` of its part.
     """
     if n < 1:
         raise ConfigError("a limit must be at least 1")
     full = total_order(df, keys, order)
     by, key_columns = [V.col(c) for c in full], [V.col(c) for c in keys]
-    salts = salts or (SALTS if n > SALT_ABOVE else 1)
+    salts = salts or salts_for(df, n)
     if salts > 1 and full:
-        # Copies of one row share a part; they are interchangeable, so that part's own
-        # first n is all that can be wanted of them.
+        # Copies of one row share a part; the group limit before the shuffle bounds them.
         df = df.withColumn(_SALT, F.pmod(F.xxhash64(*by), F.lit(salts)))
         df = _ranked(df, [*key_columns, F.col(_SALT)], by, n).drop(_SALT)
     return _ranked(df, key_columns, by or key_columns, n)

@@ -61,13 +61,12 @@ class JdbcSink:
         if mode == "upsert":
             df = dedup_last(df, self.keys, self.order)
         columns = df.columns
-        name = self.connection.dialect
         stage = f"rt_stage_{re.sub(r'[^A-Za-z0-9]', '', run_id)[-16:]}_{self.table}"[:60]
         self._create_stage(stage, columns)
         try:
             numbered = df.withColumn(ROW_ID, F.monotonically_increasing_id())
             self._fill(numbered if mode != "upsert" else df, stage)
-            return self._apply(name, stage, columns, mode)
+            return self._apply(stage, columns, mode)
         finally:
             self._drop(stage)
 
@@ -75,7 +74,7 @@ class JdbcSink:
         def run() -> None:
             self._drop(stage)
             with jdbc.session(self.spark, self.connection) as handle:
-                sql = dialects.staging_sql(self.connection.dialect, stage, self.table, columns, ROW_ID)
+                sql = dialects.staging_sql(self.connection.type, stage, self.table, columns, ROW_ID)
                 jdbc.execute(handle, sql)
 
         with_retry(run, self.retry)
@@ -83,7 +82,7 @@ class JdbcSink:
     def _drop(self, stage: str) -> None:
         with jdbc.session(self.spark, self.connection) as handle:
             if jdbc.has_table(handle, self.connection.schema, stage):
-                jdbc.execute(handle, f"DROP TABLE {dialects.quote(self.connection.dialect, stage)}")
+                jdbc.execute(handle, f"DROP TABLE {dialects.quote(self.connection.type, stage)}")
 
     def _fill(self, df: DataFrame, stage: str) -> None:
         # Reading and computing keep their own parallelism; only the writers are limited.
@@ -94,24 +93,30 @@ class JdbcSink:
             .options(**self.connection.jdbc_options())
             .option("numPartitions", writers)
             .option("batchsize", self.batch)
-            .option("dbtable", dialects.quote(self.connection.dialect, stage))
+            .option("dbtable", dialects.quote(self.connection.type, stage))
             .mode("append")
             .save()
         )
 
-    def _apply(self, dialect: str, stage: str, columns: list[str], mode: str) -> int:
-        change = [dialects.insert_sql(dialect, self.table, stage, columns, ROW_ID)]
+    def _apply(self, stage: str, columns: list[str], mode: str) -> int:
+        dialect, table = self.connection.type, self.table
+        change = [dialects.insert_sql(dialect, table, stage, columns, ROW_ID)]
         if mode == "upsert":
-            change = [dialects.upsert_sql(dialect, self.table, stage, columns, self.keys)]
+            change = [dialects.upsert_sql(dialect, table, stage, columns, self.keys)]
         if mode == "full":
             # Emptied even when nothing arrives.
-            change.insert(0, dialects.truncate_sql(dialect, self.table))
-        counted = f"SELECT count(*) FROM {dialects.quote(dialect, stage)}"
+            change.insert(0, dialects.truncate_sql(dialect, table))
+        # The staged rows go in the same transaction: if its answer gets lost, the next
+        # attempt finds them gone and knows that it succeeded.
+        change.append(dialects.delete_sql(dialect, stage))
+        counted = dialects.count_sql(dialect, stage, self.keys if mode == "upsert" else (ROW_ID,))
+        first: list[int] = []
 
         def run() -> int:
             with jdbc.session(self.spark, self.connection) as handle:
-                n = jdbc.scalar(handle, counted)
-                jdbc.transaction(handle, change)
-                return n
+                first.append(jdbc.scalar(handle, counted))
+                if first[-1] or not first[0]:
+                    jdbc.transaction(handle, change)
+                return first[0]
 
         return with_retry(run, self.retry)

@@ -16,7 +16,7 @@ MYSQL_CHARSETS = {"utf8": "utf8mb4", "utf8mb4": "utf8mb4", "latin1": "latin1", "
 # Java's names of those sets, as the driver wants them.
 JAVA_CHARSETS = {"utf8mb4": "UTF-8", "latin1": "ISO-8859-1", "gbk": "GBK", "big5": "Big5"}
 MYSQL_TLS = {"require": "REQUIRED", "required": "REQUIRED", "verify_ca": "VERIFY_CA", "verify_identity": "VERIFY_IDENTITY"}
-DATABASES = ("mysql", "postgresql", "oracle", "jdbc")
+DATABASES = ("mysql", "postgresql", "oracle")
 
 
 def expand_env(text: str, env: Mapping[str, str] | None = None) -> str:
@@ -38,8 +38,8 @@ def _scalar(value: Any) -> str:
 class Connection:
     """One entry of the connections document.
 
-    ``type`` is ``mysql``, ``postgresql``, ``oracle``, ``jdbc`` (any driver, by ``url``)
-    or ``files`` (a folder of tables, by ``path``).
+    ``type`` is ``mysql``, ``postgresql``, ``oracle`` or ``files`` (a folder of tables,
+    by ``path``).
     """
 
     name: str
@@ -53,7 +53,6 @@ class Connection:
     params: Mapping[str, str] = field(default_factory=dict, repr=False)
     max_pool_size: int = 4
     connect_timeout_secs: int = 15
-    url: str = field(default="", repr=False)
     path: str = ""
     format: str = "parquet"
     pattern: str = "{table}"
@@ -74,8 +73,6 @@ class Connection:
             raise ConfigError(f"connection {name!r}: missing host")
         if kind == "files" and not raw.get("path"):
             raise ConfigError(f"connection {name!r}: missing path")
-        if kind == "jdbc" and not raw.get("url"):
-            raise ConfigError(f"connection {name!r}: missing url")
         params = {str(k): expand_env(_scalar(v), env) for k, v in (raw.get("params") or {}).items()}
         if "ssl_mode" in raw:
             params.setdefault("ssl_mode", _scalar(raw["ssl_mode"]))
@@ -91,28 +88,17 @@ class Connection:
             params=params,
             max_pool_size=max(1, int(raw.get("max_pool_size") or 4)),
             connect_timeout_secs=max(1, int(raw.get("connect_timeout_secs") or 15)),
-            url=expand_env(_scalar(raw.get("url")), env),
             path=_scalar(raw.get("path")).rstrip("/"),
             format=_scalar(raw.get("format")) or "parquet",
             pattern=_scalar(raw.get("pattern")) or "{table}",
         )
 
-    @property
-    def dialect(self) -> str:
-        """The database product: the type itself, or what a JDBC URL names."""
-        if self.type != "jdbc":
-            return self.type
-        m = re.match(r"jdbc:(\w+):", self.url)
-        return m[1] if m else "ansi"
-
     def jdbc_options(self) -> dict[str, str]:
         """Options for Spark's JDBC reader and writer."""
         options = {"numPartitions": str(self.max_pool_size)}
         if self.username:
             options["user"] = self.username
             options["password"] = self.password
-        if self.type == "jdbc":
-            return {**options, "url": self.url, **self.params}
         return {**options, **_BUILDERS[self.type](self)}
 
 

@@ -10,10 +10,6 @@ def quote(dialect: str, name: str) -> str:
     return mark + name.replace(mark, mark * 2) + mark
 
 
-def qualified(dialect: str, table: str, schema: str | None = None) -> str:
-    return f"{quote(dialect, schema)}.{quote(dialect, table)}" if schema else quote(dialect, table)
-
-
 def select_sql(dialect: str, table: str, columns: Sequence[str] = (), where: str | None = None) -> str:
     """A table read with its own projection and condition."""
     cols = ", ".join(quote(dialect, c) for c in columns) or "*"
@@ -29,7 +25,7 @@ def subquery(dialect: str, sql: str, alias: str = "rt_q") -> str:
 def page_sql(dialect: str, sql: str, offset: int, limit: int) -> str:
     """One page of ``sql``, in the product's own syntax."""
     body = sql.strip().rstrip(";").strip()
-    if dialect in ("oracle", "derby"):
+    if dialect == "oracle":
         return f"{body} OFFSET {offset} ROWS FETCH NEXT {limit} ROWS ONLY"
     return f"{body} LIMIT {limit} OFFSET {offset}"
 
@@ -39,8 +35,6 @@ def staging_sql(dialect: str, stage: str, target: str, columns: Sequence[str], r
     cols = ", ".join(quote(dialect, c) for c in columns)
     number = f"CAST(0 AS {'SIGNED' if dialect == 'mysql' else 'NUMBER(19)' if dialect == 'oracle' else 'BIGINT'})"
     body = f"SELECT {cols}, {number} AS {quote(dialect, row_id)} FROM {quote(dialect, target)}"
-    if dialect == "derby":
-        return f"CREATE TABLE {quote(dialect, stage)} AS {body} WITH NO DATA"
     return f"CREATE TABLE {quote(dialect, stage)} AS {body} WHERE 1 = 0"
 
 
@@ -73,15 +67,22 @@ def upsert_sql(dialect: str, target: str, stage: str, columns: Sequence[str], ke
             return f"INSERT INTO {tgt} ({cols}) {rows} ON DUPLICATE KEY UPDATE {sets}"
         same = " AND ".join(f"t.{k} = s.{k}" for k in key_q)
         return f"INSERT INTO {tgt} ({cols}) SELECT {cols} FROM ({rows}) s WHERE NOT EXISTS (SELECT 1 FROM {tgt} t WHERE {same})"
-    # Derby merges from tables only.
-    using = f"{src} s" if dialect == "derby" else f"({rows}) s"
     on = " AND ".join(f"t.{k} = s.{k}" for k in key_q)
-    sql = f"MERGE INTO {tgt} t USING {using} ON ({on})"
+    sql = f"MERGE INTO {tgt} t USING ({rows}) s ON ({on})"
     if values:
-        target_side = "" if dialect == "derby" else "t."
-        sql += " WHEN MATCHED THEN UPDATE SET " + ", ".join(f"{target_side}{c} = s.{c}" for c in values)
+        sql += " WHEN MATCHED THEN UPDATE SET " + ", ".join(f"t.{c} = s.{c}" for c in values)
     return f"{sql} WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({', '.join(f's.{c}' for c in q)})"
 
 
+def count_sql(dialect: str, stage: str, by: Sequence[str]) -> str:
+    """Staged rows, each counted once."""
+    cols = ", ".join(quote(dialect, c) for c in by)
+    return f"SELECT count(*) FROM (SELECT DISTINCT {cols} FROM {quote(dialect, stage)}) rt_s"
+
+
+def delete_sql(dialect: str, table: str) -> str:
+    return f"DELETE FROM {quote(dialect, table)}"
+
+
 def truncate_sql(dialect: str, target: str) -> str:
     return f"TRUNCATE TABLE {quote(dialect, target)}"

@@ -45,13 +45,13 @@ def read_sql(
     Bounds that are not given are asked for first (one row).  They only place the cuts:
     rows outside them, and nulls, are read too.
     """
-    source = dialects.subquery(conn.dialect, sql)
+    source = dialects.subquery(conn.type, sql)
     if slices is None:
         return _reader(spark, conn, fetch).option("numPartitions", 1).option("dbtable", source).load()
     low, high = slices.low, slices.high
     if low is None or high is None:
-        c = dialects.quote(conn.dialect, slices.column)
-        ends = f"SELECT min({c}) AS {dialects.quote(conn.dialect, 'lo')}, max({c}) AS {dialects.quote(conn.dialect, 'hi')} FROM {source}"
+        c = dialects.quote(conn.type, slices.column)
+        ends = f"SELECT min({c}) AS {dialects.quote(conn.type, 'lo')}, max({c}) AS {dialects.quote(conn.type, 'hi')} FROM {source}"
         row = _reader(spark, conn, 1).option("numPartitions", 1).option("query", ends).load().first()
         if row is None or row[0] is None:
             return read_sql(spark, conn, sql, None, fetch)
@@ -77,7 +77,7 @@ def read_table(
     fetch: int = FETCH_ROWS,
 ) -> DataFrame:
     """A table read; ``where`` is in the database's own SQL."""
-    return read_sql(spark, conn, dialects.select_sql(conn.dialect, table, columns, where), slices, fetch)
+    return read_sql(spark, conn, dialects.select_sql(conn.type, table, columns, where), slices, fetch)
 
 
 def can_slice(dtype: T.DataType | None) -> bool:

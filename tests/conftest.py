@@ -13,7 +13,6 @@ os.environ["TZ"] = "America/New_York"
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     home = tmp_path_factory.mktemp("spark")
@@ -27,7 +26,6 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(home / "checkpoint"))
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
-        .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={home} -Dderby.stream.error.file={home}/derby.log")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

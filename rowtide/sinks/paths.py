@@ -1,20 +1,26 @@
 """Targets that are folders of Parquet files: full, append and upsert writes.
 
-A target folder holds data folders and one small pointer file that lists those which
+A target folder holds data folders and one small pointer file that says which of them
 are current.  Every write adds a new data folder and then replaces the pointer, so a
 reader sees a run entirely or not at all, and a write that dies leaves the target as it
 was.  Nothing that is being read is ever overwritten.
+
+A small upsert into a large target does not rewrite it: the changed rows are kept in one
+folder of their own, and replace rows of the same key when the target is read.  Once the
+changes outgrow a bound they are merged into the target.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowtide import types as V
 from rowtide.errors import ConfigError, RowtideError
 from rowtide.operators import upsert as U
 from rowtide.operators.mapping import project
@@ -24,41 +30,51 @@ from rowtide.sources.storage import Storage
 
 CURRENT = "_CURRENT"
 
+# Targets up to this size are simply rewritten.
+REWRITE_BYTES = 1 << 30
+# The keys of kept changes are broadcast to readers: these bound them.
+CHANGED_ROWS = 2_000_000
+CHANGED_BYTES = 256 << 20
+
 
 @dataclass(frozen=True)
 class Version:
-    """What the pointer says."""
+    """What the pointer says.
+
+    ``changes`` replaces rows of ``folders`` that have the same ``keys``; ``added`` came
+    later.  ``retired`` is what the version before still used.
+    """
 
     serial: int
     folders: tuple[str, ...]
     schema: T.StructType
     run_id: str
+    size: int = 0
+    changes: str | None = None
+    changed_rows: int = 0
+    keys: tuple[str, ...] = ()
+    added: tuple[str, ...] = ()
     retired: tuple[str, ...] = ()
 
+    @property
+    def used(self) -> tuple[str, ...]:
+        return (*self.folders, *self.added, *([self.changes] if self.changes else []))
+
     def text(self) -> str:
-        return json.dumps(
-            {
-                "serial": self.serial,
-                "folders": self.folders,
-                "schema": self.schema.jsonValue(),
-                "run_id": self.run_id,
-                "retired": self.retired,
-            }
-        )
+        return json.dumps({**asdict(replace(self, schema=None)), "schema": self.schema.jsonValue()})
+
+    @staticmethod
+    def parse(text: str) -> Version:
+        doc = json.loads(text)
+        lists = {k: tuple(doc[k]) for k in ("folders", "keys", "added", "retired")}
+        return Version(**{**doc, **lists, "schema": T.StructType.fromJson(doc["schema"])})
 
 
 def current_version(spark: SparkSession, path: str) -> Version | None:
     storage = Storage(spark)
     if not storage.exists(f"{path}/{CURRENT}"):
         return None
-    doc = json.loads(storage.read_text(f"{path}/{CURRENT}"))
-    return Version(
-        doc["serial"],
-        tuple(doc["folders"]),
-        T.StructType.fromJson(doc["schema"]),
-        doc["run_id"],
-        tuple(doc["retired"]),
-    )
+    return Version.parse(storage.read_text(f"{path}/{CURRENT}"))
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
@@ -66,21 +82,62 @@ def read_target(spark: SparkSession, path: str) -> DataFrame:
     version = current_version(spark, path)
     if version is None:
         raise RowtideError(f"{path} has never been written")
-    return _read(spark, path, version.folders, version.schema)
+    return _frame(spark, path, version)
 
 
 def _read(spark: SparkSession, path: str, folders: Sequence[str], schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in folders])
 
 
+def _frame(spark: SparkSession, path: str, version: Version) -> DataFrame:
+    df = _read(spark, path, version.folders, version.schema)
+    if version.changes:
+        changes = _read(spark, path, [version.changes], version.schema)
+        df = _without(df, changes, version.keys).unionByName(changes)
+    if version.added:
+        df = df.unionByName(_read(spark, path, version.added, version.schema))
+    return df
+
+
+def _keys_of(small: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list]:
+    """The keys of a frame of bounded size, broadcast, and how to match them."""
+    named = small.select(*[V.col(k).alias("__key_" + k) for k in keys])
+    return F.broadcast(named), [V.col(k) == V.col("__key_" + k) for k in keys]
+
+
+def _without(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.join(*_keys_of(small, keys), "left_anti")
+
+
+def _matching(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` with a key of ``small``.
+
+    The key range of ``small`` goes along as a plain filter, by which a scan skips row
+    groups that cannot match.
+    """
+    ends = small.agg(*[f(V.col(k)).cast("string") for k in keys for f in (F.min, F.max)]).first()
+    for i, k in enumerate(keys):
+        dtype = V.column_type(df, k)
+        if V.value_class(dtype) in (V.NUMBER, V.DATE, V.TEXT) and ends[2 * i] is not None:
+            low, high = (F.lit(end).cast(dtype) for end in ends[2 * i : 2 * i + 2])
+            df = df.where((V.col(k) >= low) & (V.col(k) <= high))
+    return df.join(*_keys_of(small, keys), "left_semi")
+
+
 @dataclass
 class PathSink:
-    """One target folder."""
+    """One target folder.
+
+    ``keys`` and ``order`` serve upserts; ``rewrite_bytes`` is the size up to which a
+    target is rewritten by every upsert.
+    """
 
     spark: SparkSession
     path: str
     keys: tuple[str, ...] = ()
     order: tuple[str, ...] = ()
+    rewrite_bytes: int = REWRITE_BYTES
+    changed_rows: int = CHANGED_ROWS
 
     def __post_init__(self) -> None:
         self.path = self.path.rstrip("/")
@@ -100,23 +157,30 @@ class PathSink:
         """Replace the contents, also by nothing."""
         before = current_version(self.spark, self.path)
         folder, schema = self._store(df, self._folder("f", before, run_id))
-        self._commit(before, [folder], schema, run_id)
-        return self._count([folder], schema)
+        self._commit(before, Version(0, (folder,), schema, run_id, self._size(folder)))
+        return self._count(folder, schema)
 
     def append(self, df: DataFrame, run_id: str) -> int:
         """Add the rows.  A run that was committed already is not added twice."""
         before = current_version(self.spark, self.path)
-        if before is not None:
-            done = [f for f in before.folders if f.startswith("a-") and f.endswith(f"-{run_id}")]
-            if done:
-                return self._count(done, before.schema)
-            unknown = [c for c in df.columns if c not in before.schema.names]
-            if unknown:
-                raise ConfigError(f"append: {self.path} has no column(s) {unknown}")
-            df = _conform(df, before.schema)
-        folder, schema = self._store(df, self._folder("a", before, run_id))
-        self._commit(before, [*(before.folders if before else ()), folder], schema, run_id)
-        return self._count([folder], schema)
+        if before is None:
+            folder, schema = self._store(df, self._folder("a", None, run_id))
+            self._commit(None, Version(0, (folder,), schema, run_id, self._size(folder)))
+            return self._count(folder, schema)
+        done = [f for f in before.used if f.startswith("a-") and f.endswith(f"-{run_id}")]
+        if done:
+            return self._count(done[0], before.schema)
+        unknown = [c for c in df.columns if c not in before.schema.names]
+        if unknown:
+            raise ConfigError(f"append: {self.path} has no column(s) {unknown}")
+        folder, _ = self._store(_conform(df, before.schema), self._folder("a", before, run_id))
+        if before.changes:
+            after = replace(before, added=(*before.added, folder), run_id=run_id)
+        else:
+            size = before.size + self._size(folder)
+            after = replace(before, folders=(*before.folders, folder), size=size, run_id=run_id)
+        self._commit(before, after)
+        return self._count(folder, before.schema)
 
     def upsert(self, df: DataFrame, run_id: str) -> int:
         """Merge by key; of several rows of one key the last in ``order`` counts.
@@ -130,29 +194,54 @@ class PathSink:
         batch, schema = self._store(
             dedup_last(df, self.keys, self.order), self._folder("u", before, run_id)
         )
-        rows = self._count([batch], schema)
+        rows = self._count(batch, schema)
         if before is None:
-            self._commit(None, [batch], schema, run_id)
+            self._commit(None, Version(0, (batch,), schema, run_id, self._size(batch)))
             return rows
-        source = _read(self.spark, self.path, [batch], schema)
-        target = _read(self.spark, self.path, before.folders, before.schema)
-        small = self.storage.size(f"{self.path}/{batch}") <= broadcast_threshold(self.spark)
-        if rows == 0:
-            self.storage.delete(f"{self.path}/{batch}")
-            return 0
-        merged = U.merge(target, source, self.keys, small_source=small)
-        folder, _ = self._store(merged, self._folder("m", before, run_id))
-        self._commit(before, [folder], before.schema, run_id)
+        if rows:
+            source = _read(self.spark, self.path, [batch], schema)
+            if not self._change(before, source, rows, self._size(batch), run_id):
+                self._rewrite(before, source, self._size(batch), run_id)
         self.storage.delete(f"{self.path}/{batch}")
         return rows
 
+    def _change(self, before: Version, source: DataFrame, rows: int, size: int, run_id: str) -> bool:
+        """Keep the changed rows beside the target, if both bounds allow it."""
+        old_size = self._size(before.changes) if before.changes else 0
+        if (
+            before.size <= self.rewrite_bytes
+            or before.added
+            or (before.changes and before.keys != self.keys)
+            or before.changed_rows + rows > self.changed_rows
+            or old_size + size > CHANGED_BYTES
+            or broadcast_threshold(self.spark) < 0
+        ):
+            return False
+        base = _read(self.spark, self.path, before.folders, before.schema)
+        known = _matching(base, source, self.keys)
+        if before.changes:
+            changes = _read(self.spark, self.path, [before.changes], before.schema)
+            known = _without(known, changes, self.keys).unionByName(changes)
+        merged = U.merge(known, source, self.keys, small_source=True)
+        folder, _ = self._store(merged, self._folder("c", before, run_id))
+        count = self._count(folder, before.schema)
+        after = replace(before, changes=folder, changed_rows=count, keys=self.keys, run_id=run_id)
+        self._commit(before, after)
+        return True
+
+    def _rewrite(self, before: Version, source: DataFrame, size: int, run_id: str) -> None:
+        small = size <= broadcast_threshold(self.spark)
+        merged = U.merge(_frame(self.spark, self.path, before), source, self.keys, small_source=small)
+        folder, _ = self._store(merged, self._folder("m", before, run_id))
+        self._commit(before, Version(0, (folder,), before.schema, run_id, self._size(folder)))
+
     def vacuum(self) -> None:
         """Remove data folders that no pointer names, as dead runs leave them.
 
         Not while another run writes.
         """
         now = current_version(self.spark, self.path)
-        known = {CURRENT, *(now.folders if now else ()), *(now.retired if now else ())}
+        known = {CURRENT, *(now.used if now else ()), *(now.retired if now else ())}
         for name in self.storage.list(self.path):
             if name not in known:
                 self.storage.delete(f"{self.path}/{name}")
@@ -167,22 +256,23 @@ class PathSink:
         df.write.mode("overwrite").parquet(f"{self.path}/{folder}")
         return folder, schema
 
-    def _count(self, folders: Sequence[str], schema: T.StructType) -> int:
+    def _size(self, folder: str) -> int:
+        return self.storage.size(f"{self.path}/{folder}")
+
+    def _count(self, folder: str, schema: T.StructType) -> int:
         # Answered from the files' footers.
-        return _read(self.spark, self.path, folders, schema).count()
+        return _read(self.spark, self.path, [folder], schema).count()
 
-    def _commit(
-        self, before: Version | None, folders: Sequence[str], schema: T.StructType, run_id: str
-    ) -> None:
+    def _commit(self, before: Version | None, after: Version) -> None:
         now = current_version(self.spark, self.path)
         if (now and now.serial) != (before and before.serial):
             raise RowtideError(f"{self.path} was written by another run meanwhile")
-        retired = tuple(f for f in (before.folders if before else ()) if f not in folders)
-        version = Version((before.serial if before else 0) + 1, tuple(folders), schema, run_id, retired)
+        retired = tuple(f for f in (before.used if before else ()) if f not in after.used)
+        version = replace(after, serial=(before.serial if before else 0) + 1, retired=retired)
         self.storage.replace_text(f"{self.path}/{CURRENT}", version.text())
         # Readers may still be busy with the last version; what it replaced can go.
         for folder in before.retired if before else ():
-            if folder not in folders:
+            if folder not in version.used:
                 self.storage.delete(f"{self.path}/{folder}")
 
 

@@ -104,11 +104,72 @@ def test_concurrent_commit_is_refused(spark, work):
     before = P.current_version(spark, work + "/t")
     one.full(frame(spark, [(1, "a", "b")]), "r1")
     with pytest.raises(RowtideError):
-        two._commit(before, ["x"], T.StructType(), "r2")
+        two._commit(before, P.Version(0, ("x",), T.StructType(), "r2"))
     with pytest.raises(RowtideError):
         P.read_target(spark, work + "/nothing")
 
 
+def test_small_changes_do_not_rewrite_a_large_target(spark, work):
+    sink = P.PathSink(spark, work + "/t", ("id",), rewrite_bytes=0, changed_rows=4)
+    sink.upsert(frame(spark, [(i, "a", "x") for i in range(5)] + [(None, "n", "n")]), "r1")
+    want = {i: ("a", "x") for i in range(5)}
+
+    def check(nulls=1):
+        got = [tuple(r) for r in P.read_target(spark, work + "/t").collect()]
+        assert sorted(r for r in got if r[0] is not None) == sorted((k, *v) for k, v in want.items())
+        assert sum(r[0] is None for r in got) == nulls
+
+    def change(run, data):
+        sink.upsert(spark.createDataFrame(list(data.items()), "id long, a string"), run)
+        want.update({k: (a, want[k][1] if k in want else None) for k, a in data.items()})
+        check()
+        return P.current_version(spark, work + "/t")
+
+    base = P.current_version(spark, work + "/t").folders
+    for run, data in (("r2", {1: "b", 9: "new"}), ("r3", {1: "c", 2: None}), ("r4", {9: "d"}), ("r4", {9: "d"})):
+        now = change(run, data)
+        assert now.folders == base and now.changes
+    assert now.changed_rows == 3
+    # Beyond the bound the changes are merged into the target.
+    now = change("r5", {3: "e", 4: "f"})
+    assert now.folders != base and not now.changes and now.changed_rows == 0
+    now = change("r6", {0: "g"})
+    assert now.changes
+    # Rows appended later are not hidden by earlier changes.
+    sink.append(frame(spark, [(0, "h", "y")]), "r7")
+    assert rows(P.read_target(spark, work + "/t").where("id = 0")) == [(0, "g", "x"), (0, "h", "y")]
+    sink.append(frame(spark, [(0, "h", "y")]), "r7")
+    assert P.read_target(spark, work + "/t").count() == len(want) + 2
+    sink.upsert(frame(spark, [(0, "i")], "id long, a string"), "r8")
+    assert rows(P.read_target(spark, work + "/t").where("id = 0")) == [(0, "i", "x"), (0, "i", "y")]
+    sink.full(frame(spark, [(1, "z", "z")]), "r9")
+    assert rows(P.read_target(spark, work + "/t")) == [(1, "z", "z")]
+
+
+@pytest.mark.parametrize("key", ["string", "timestamp", "date", "decimal(10,2)", "double", "boolean"])
+def test_changes_by_any_key_type(spark, work, key):
+    values = {
+        "string": ["a", "b'", ""], "timestamp": ["2024-01-01 05:06:07.123456", "2024-01-02", "2023-12-31"],
+        "date": ["2024-01-01", "2024-01-02", "2023-12-31"], "decimal(10,2)": ["1.50", "-2.25", "9"],
+        "double": ["0.1", "1e300", "-5"], "boolean": ["true", "false", None],
+    }[key]
+    df = spark.createDataFrame([(v, "old") for v in values], "k string, a string").withColumn("k", F.col("k").cast(key))
+    sink = P.PathSink(spark, work + "/t", ("k",), rewrite_bytes=0)
+    sink.upsert(df, "r1")
+    sink.upsert(df.where("k IS NOT NULL").limit(2).withColumn("a", F.lit("new")), "r2")
+    assert P.current_version(spark, work + "/t").changes
+    out = [r["a"] for r in P.read_target(spark, work + "/t").collect()]
+    assert sorted(out) == ["new", "new", "old"]
+
+
+def test_changes_skip_row_groups(spark, work):
+    spark.range(1000).selectExpr("id", "id AS a").repartitionByRange(4, "id").write.parquet(work + "/b")
+    base = spark.read.parquet(work + "/b")
+    small = spark.createDataFrame([(5, 0), (7, 0)], "id long, a long")
+    plan = P._matching(base, small, ("id",))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,5)" in plan and "LessThanOrEqual(id,7)" in plan
+
+
 # ---- state -----------------------------------------------------------------
 
 

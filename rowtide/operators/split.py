@@ -137,9 +137,16 @@ def order_split(config: Any) -> Step:
         headers = split_headers(parents, cfg.keep)
         if V.column_type(parents, cfg.parent_key) is None:
             return {**branches, DEFAULT_TABLE: headers}
+        columns = dict.fromkeys([cfg.child_key, *cfg.detail_columns, *cfg.order]) if cfg.detail_columns else ()
         details = split_details(
             parents,
-            ctx.lookup_table(ctx.source_connection, cfg.source_detail_table),
+            ctx.lookup_table(
+                ctx.source_connection,
+                cfg.source_detail_table,
+                tuple(columns),
+                key=cfg.child_key,
+                keys=parents.select(V.col(cfg.parent_key)),
+            ),
             cfg.parent_key,
             cfg.child_key,
             cfg.detail_columns,

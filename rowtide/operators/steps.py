@@ -29,20 +29,31 @@ Branches = dict[str, DataFrame]
 class StepContext:
     """What a step may know besides its rows.
 
-    ``table`` resolves ``(connection, table)`` to a frame, for lookups.
+    ``table`` resolves ``(connection, table)`` to a frame, for lookups; it may also get
+    the column and the keys that are wanted, and then read less.  ``stage`` stores a frame
+    that several branches share, if the run is under way.
     """
 
     source_connection: str = ""
     source_table: str = ""
     target_connections: tuple[str, ...] = ()
-    table: Callable[[str, str], DataFrame] | None = None
+    table: Callable[..., DataFrame] | None = None
+    stage: Callable[[DataFrame], DataFrame] | None = None
     source_schema: T.StructType | None = None
     unique_key: tuple[str, ...] = ()
 
-    def lookup_table(self, connection: str, table: str) -> DataFrame:
+    def lookup_table(
+        self,
+        connection: str,
+        table: str,
+        columns: Sequence[str] = (),
+        key: str | None = None,
+        keys: DataFrame | None = None,
+    ) -> DataFrame:
+        """Another table: at least its rows whose ``key`` occurs in the one column of ``keys``."""
         if self.table is None:
             raise ConfigError("this job has no lookup tables")
-        return self.table(connection, table)
+        return self.table(connection, table, columns=columns, key=key, keys=keys)
 
 
 Step = Callable[[StepContext, Branches], Branches]
@@ -348,6 +359,9 @@ class RowStep:
 
     def __call__(self, ctx: StepContext, branches: Branches) -> Branches:
         tagged = self.tagged(branches[DEFAULT_TABLE])
+        if ctx.stage is not None and len(self.tables) > 1:
+            # The code runs once, and every table gets its rows from the same run.
+            tagged = ctx.stage(tagged)
         rest = {k: v for k, v in branches.items() if k != DEFAULT_TABLE}
         made = {
             table: tagged.where(F.col(TABLE_TAG) == table).select(*[V.col(n) for n in schema.names])

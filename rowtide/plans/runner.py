@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +26,37 @@ from rowtide.sources.storage import Storage, fresh_dir
 from rowtide.sources.tables import Tables, scan
 
 
+# Batches up to this size are stored before steps that look things up.
+STAGED_ROWS = 10_000_000
+BUILTIN = ("rename", "set", "filter", "cast", "provenance")
+
+
+@dataclass
+class Staging:
+    """Frames stored for the time of one run, in the folder that all executors share.
+
+    A stored frame is computed once, keeps its rows if executors are lost, and has a
+    size that the optimizer knows.
+    """
+
+    spark: SparkSession
+    run_id: str
+    made: list[str] = field(default_factory=list)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = fresh_dir(self.spark, f"stage-{self.run_id}")
+        self.made.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        for path in self.made:
+            Storage(self.spark).delete(path)
+
+
 @dataclass
 class RunResult:
     """What one run did."""
@@ -111,14 +142,20 @@ class Runner:
                 return jdbc.Slices(column, count)
         return None
 
-    def plan(self, job: Job, df: DataFrame) -> Branches:
-        """The lazy frames of every target table."""
+    def plan(
+        self, job: Job, df: DataFrame, stage: Callable[[DataFrame], DataFrame] | None = None
+    ) -> Branches:
+        """The lazy frames of every target table.
+
+        ``stage`` is there during a run; without it nothing is written.
+        """
         renamed = dict(zip(job.source.columns, job.target.columns, strict=False))
         ctx = StepContext(
             source_connection=job.source.connection,
             source_table=job.source.label,
             target_connections=(job.target.connection,),
             table=self.connections.read,
+            stage=stage,
             source_schema=df.schema,
             unique_key=tuple(renamed.get(k, k) for k in job.source.primary_key),
         )
@@ -140,20 +177,18 @@ class Runner:
         run_id = run_id or f"{now:%Y%m%d%H%M%S}{uuid.uuid4().hex[:8]}"
         store = self.store(job)
         df = self.read(job, now, store.load())
-        staged = None
-        if self.connections.connection(job.source.connection).is_database:
-            # A live table may change between two reads: marks, headers and details must
-            # come from the same rows.
-            staged = fresh_dir(self.spark, f"stage-{run_id}")
-            df.write.parquet(staged)
-            df = self.spark.read.schema(df.schema).parquet(staged)
-        try:
+        with Staging(self.spark, run_id) as stage:
+            live = self.connections.connection(job.source.connection).is_database
+            if live:
+                # A live table may change between two reads: marks, headers and details
+                # must come from the same rows.
+                df = stage(df)
             rows_read, marks = read_marks(df, job.tracked())
-            written = self.write(job, self.plan(job, df), run_id)
+            if not live and rows_read <= STAGED_ROWS and any(s.name not in BUILTIN for s in job.etl):
+                # The batch of an incremental run: its size becomes known to the lookups.
+                df = stage(df)
+            written = self.write(job, self.plan(job, df, stage), run_id)
             kept = store.commit(marks, run_id) if job.state else {}
-        finally:
-            if staged:
-                Storage(self.spark).delete(staged)
         seconds = time.monotonic() - started
         return RunResult(job.name, run_id, rows_read, sum(written.values()), written, kept, seconds)
 

@@ -16,7 +16,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,12 +115,25 @@ def _matching(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame
     The key range of ``small`` goes along as a plain filter, by which a scan skips row
     groups that cannot match.
     """
-    ends = small.agg(*[f(V.col(k)).cast("string") for k in keys for f in (F.min, F.max)]).first()
-    for i, k in enumerate(keys):
-        dtype = V.column_type(df, k)
-        if V.value_class(dtype) in (V.NUMBER, V.DATE, V.TEXT) and ends[2 * i] is not None:
-            low, high = (F.lit(end).cast(dtype) for end in ends[2 * i : 2 * i + 2])
-            df = df.where((V.col(k) >= low) & (V.col(k) <= high))
+    types = {k: V.column_type(df, k) for k in keys}
+    ordered = [k for k in keys if V.value_class(types[k]) in (V.NUMBER, V.DATE, V.TEXT)]
+
+    def sent(end: Column, k: str) -> Column:
+        """Ends travel as text, instants as numbers: local time can be ambiguous."""
+        if isinstance(types[k], T.TimestampType):
+            return F.unix_micros(end.cast("timestamp"))
+        return end.cast(types[k]).cast("string")
+
+    def bound(value: object, k: str) -> Column:
+        if isinstance(types[k], T.TimestampType):
+            return F.timestamp_micros(F.lit(value))
+        return F.lit(value).cast(types[k])
+
+    ends = small.agg(F.count(F.lit(1)), *[sent(f(V.col(k)), k) for k in ordered for f in (F.min, F.max)]).first()
+    for i, k in enumerate(ordered):
+        low, high = ends[2 * i + 1], ends[2 * i + 2]
+        if low is not None:
+            df = df.where((V.col(k) >= bound(low, k)) & (V.col(k) <= bound(high, k)))
     return df.join(*_keys_of(small, keys), "left_semi")
 
 

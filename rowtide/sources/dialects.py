@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
+
+from rowtide.functions.text import literal_text
 
 
 def quote(dialect: str, name: str) -> str:
@@ -10,6 +13,13 @@ def quote(dialect: str, name: str) -> str:
     return mark + name.replace(mark, mark * 2) + mark
 
 
+def literal(dialect: str, value: Any) -> str:
+    """A value inside a statement.  MySQL also reads backslashes in text."""
+    if dialect == "mysql" and isinstance(value, str):
+        value = value.replace("\\", "\\\\")
+    return literal_text(value)
+
+
 def select_sql(dialect: str, table: str, columns: Sequence[str] = (), where: str | None = None) -> str:
     """A table read with its own projection and condition."""
     cols = ", ".join(quote(dialect, c) for c in columns) or "*"

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide import types as V
@@ -16,6 +17,9 @@ from rowtide.sources import dialects
 from rowtide.sources.connections import Connection
 
 FETCH_ROWS = 10_000
+# Keys that are sent to a database as lists, and how many go into one.
+LISTED_KEYS = 20_000
+KEYS_PER_LIST = 500
 
 
 @dataclass(frozen=True)
@@ -80,6 +84,50 @@ def read_table(
     return read_sql(spark, conn, dialects.select_sql(conn.type, table, columns, where), slices, fetch)
 
 
+def read_for_keys(
+    spark: SparkSession,
+    conn: Connection,
+    table: str,
+    columns: Sequence[str],
+    key: str,
+    keys: DataFrame,
+    fetch: int = FETCH_ROWS,
+) -> DataFrame:
+    """At least the rows of ``table`` whose ``key`` is among ``keys`` (one column).
+
+    A moderate number of keys goes to the database as lists, one per task; for more, the
+    range of the keys is read in slices.
+    """
+    found = keys.where(V.col(keys.columns[0]).isNotNull()).distinct()
+    few = [r[0] for r in found.limit(LISTED_KEYS + 1).collect()]
+    column = dialects.quote(conn.type, key)
+    if not few:
+        return read_table(spark, conn, table, columns, "1 = 0", fetch=fetch)
+    if len(few) <= LISTED_KEYS:
+        lists = [few[i : i + KEYS_PER_LIST] for i in range(0, len(few), KEYS_PER_LIST)]
+        conditions = [
+            f"{column} IN ({', '.join(dialects.literal(conn.type, v) for v in part)})" for part in lists
+        ]
+        source = dialects.subquery(conn.type, dialects.select_sql(conn.type, table, columns))
+        return _read_parts(spark, conn, source, conditions, fetch)
+    dtype = keys.schema.fields[0].dataType
+    if not can_slice(dtype):
+        return read_table(spark, conn, table, columns, fetch=fetch)
+    low, high = found.agg(F.min(found[0]).cast("string"), F.max(found[0]).cast("string")).first()
+    text = "'{}'" if V.value_class(dtype) == V.DATE else "{}"
+    where = f"{column} BETWEEN {text.format(low)} AND {text.format(high)}"
+    return read_table(spark, conn, table, columns, where, Slices(key, conn.max_pool_size, low, high), fetch)
+
+
+def _read_parts(
+    spark: SparkSession, conn: Connection, source: str, conditions: Sequence[str], fetch: int
+) -> DataFrame:
+    options = conn.jdbc_options()
+    url = options.pop("url")
+    options.pop("numPartitions")
+    return spark.read.jdbc(url, source, predicates=list(conditions), properties={**options, "fetchsize": str(fetch)})
+
+
 def can_slice(dtype: T.DataType | None) -> bool:
     if dtype is None or isinstance(dtype, (T.FloatType, T.DoubleType)):
         return False

@@ -140,9 +140,16 @@ class Tables:
         where: str | None = None,
         slices: jdbc.Slices | None = None,
         fetch: int = jdbc.FETCH_ROWS,
+        key: str | None = None,
+        keys: DataFrame | None = None,
     ) -> DataFrame:
-        """A table of a connection; for databases ``where`` is in their own SQL."""
+        """A table of a connection; for databases ``where`` is in their own SQL.
+
+        With ``keys`` (one column) a database is only asked for rows that can match.
+        """
         conn = self.connection(connection)
+        if conn.is_database and key is not None and keys is not None:
+            return jdbc.read_for_keys(self.spark, conn, table, columns, key, keys, fetch)
         if conn.is_database:
             return jdbc.read_table(self.spark, conn, table, columns, where, slices, fetch)
         return scan(self._files(conn, table), columns, where)

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rowtide.errors import ConfigError
 from rowtide.operators.watermark import read_marks
 from rowtide.plans.job import Job
-from rowtide.plans.runner import Runner
+from rowtide.plans.runner import BUILTIN, Runner, Staging
 
 
 def start(
@@ -28,18 +28,13 @@ def start(
 
     def one(batch: DataFrame, batch_id: int) -> None:
         run_id = f"batch{batch_id:012d}"
-        branches = runner.plan(job, batch)
-        reused = len(branches) > 1 or bool(job.state)
-        if reused:
-            batch.persist()
-        try:
-            runner.write(job, branches, run_id)
+        with Staging(runner.spark, run_id) as stage:
+            if job.state or any(s.name not in BUILTIN for s in job.etl):
+                batch = stage(batch)
+            runner.write(job, runner.plan(job, batch, stage), run_id)
             if job.state:
                 _, marks = read_marks(batch, job.tracked())
                 runner.store(job).commit(marks, run_id)
-        finally:
-            if reused:
-                batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -233,6 +233,46 @@ def test_given_bounds_are_not_asked_for(spark, reads):
     assert reads[1]["numPartitions"] == 1 and "partitionColumn" not in reads[1]
 
 
+@pytest.fixture
+def parts(spark, reads, monkeypatch):
+    made = []
+
+    def read(spark, conn, source, conditions, fetch):
+        made.append((source, list(conditions)))
+        return spark.createDataFrame([(1, 10), (2, 20)], "fk long, item long")
+
+    monkeypatch.setattr(jdbc, "_read_parts", read)
+    return made
+
+
+def test_few_keys_go_to_the_database(spark, reads, parts, monkeypatch):
+    monkeypatch.setattr(jdbc, "KEYS_PER_LIST", 2)
+    keys = spark.createDataFrame([(3,), (1,), (1,), (None,), (2,)], "k long")
+    jdbc.read_for_keys(spark, PG, "items", ["fk", "item"], "fk", keys)
+    source, conditions = parts[0]
+    assert source == '(SELECT "fk", "item" FROM "items") rt_q' and not reads
+    assert len(conditions) == 2
+    listed = [c.removeprefix('"fk" IN (').removesuffix(")").split(", ") for c in conditions]
+    assert sorted(sum(listed, [])) == ["1", "2", "3"]
+    names = spark.createDataFrame([("o'x\\",)], "k string")
+    my = Connection.parse("my", {"type": "mysql"})
+    jdbc.read_for_keys(spark, my, "items", [], "fk", names)
+    assert parts[1][1] == ["`fk` IN ('o''x\\\\')"]
+
+
+def test_no_keys_and_many_keys(spark, reads, parts, monkeypatch):
+    keys = spark.createDataFrame([(3,), (1,), (9,), (None,)], "k long")
+    jdbc.read_for_keys(spark, PG, "items", [], "fk", keys.limit(0))
+    assert reads[0]["dbtable"] == '(SELECT * FROM "items" WHERE 1 = 0) rt_q'
+    monkeypatch.setattr(jdbc, "LISTED_KEYS", 2)
+    jdbc.read_for_keys(spark, PG, "items", [], "fk", keys)
+    assert reads[1]["dbtable"] == '(SELECT * FROM "items" WHERE "fk" BETWEEN 1 AND 9) rt_q'
+    assert (reads[1]["lowerBound"], reads[1]["upperBound"], reads[1]["numPartitions"]) == ("1", "9", 3)
+    texts = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    jdbc.read_for_keys(spark, PG, "items", [], "fk", texts)
+    assert reads[2]["dbtable"] == '(SELECT * FROM "items") rt_q' and not parts
+
+
 def test_job_from_a_database(spark, reads, work):
     conns = {"pg": PG, "out": Connection.parse("out", {"type": "files", "path": work + "/out"})}
     runner = Runner(spark, Tables(spark, conns), work + "/state")

@@ -179,8 +179,8 @@ def test_split_step(spark):
     items = spark.createDataFrame([(1, 2, 7), (2, 1, 7), (3, 1, 8)], "item_id long, qty long, order_id long")
     asked = []
 
-    def table(connection, name):
-        asked.append((connection, name))
+    def table(connection, name, columns, key, keys):
+        asked.append((connection, name, columns, key, rows(keys)))
         return items
 
     ctx = StepContext(source_connection="mysql_prod", source_table="t_order", table=table)
@@ -191,13 +191,13 @@ def test_split_step(spark):
     out = step(config)(ctx, {"": orders})
     assert rows(out[""]) == [(None, 1), (7, 42)]
     assert rows(out["order_item"]) == [(1, 2), (2, 1)]
-    assert asked == [("mysql_prod", "t_order_item")]
+    assert asked == [("mysql_prod", "t_order_item", ("order_id", "item_id", "qty"), "order_id", [(None,), (7,)])]
 
 
 def test_split_step_defaults_and_missing_parent(spark):
     orders = spark.createDataFrame([(7, 42)], "order_id long, user_id long")
     items = spark.createDataFrame([(1, 7)], "item_id long, order_id long")
-    ctx = StepContext(table=lambda c, t: items)
+    ctx = StepContext(table=lambda c, t, **wanted: items)
     out = step({"detail_table": "d", "parent_key": "order_id"})(ctx, {"": orders})
     assert out[""].columns == ["order_id", "user_id"] and rows(out["d"]) == [(1, 7)]
     out = step({"detail_table": "d", "parent_key": "nope"})(ctx, {"": orders})

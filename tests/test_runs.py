@@ -338,6 +338,31 @@ def test_schema(spark, work):
     assert [(c.name, c.data_type, c.ordinal) for c in columns] == [("id", "bigint", 1), ("a", "string", 2), ("t", "timestamp", 3)]
 
 
+def test_row_step_runs_once_for_several_tables(spark, work):
+    from rowtide import RowStep, register_step
+
+    ran = spark.sparkContext.accumulator(0)
+
+    def fn(row):
+        ran.add(1)
+        yield "", {"id": row["id"]}
+        yield "log", {"id": row["id"], "note": "seen"}
+
+    tables = {"": T._parse_datatype_string("id bigint"), "log": T._parse_datatype_string("id bigint, note string")}
+    register_step("twice")(lambda config: RowStep(fn, tables))
+    put(spark, work, [(1, "a"), (2, "b")], "id long, a string")
+    doc = job(
+        source={"connection": "in", "table": "src"},
+        target={"connection": "out", "table": "dst", "primary_key": "id", "keys": {"log": "id"}},
+        sync={}, etl=["twice"],
+    )
+    assert runner(spark, work).run(doc, NOW).written == {"dst": 2, "log": 2}
+    assert ran.value == 2
+    assert rows(P.read_target(spark, f"{work}/out/log")) == [(1, "seen"), (2, "seen")]
+    left = Storage(spark).list(spark.conf.get("spark.checkpoint.dir") + "/rowtide")
+    assert not [n for n in left if n.startswith("stage-")]
+
+
 # ---- streams ---------------------------------------------------------------
 
 

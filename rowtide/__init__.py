@@ -2,6 +2,7 @@
 
 from rowtide.operators import split as _split  # noqa: F401  registers its step
 from rowtide.operators.steps import RowStep, StepContext, register_step
+from rowtide.plans.config import load_app
 from rowtide.plans.job import Job
 from rowtide.plans.runner import Runner, RunResult
 from rowtide.sources.connections import Connection, load_connections
@@ -15,6 +16,7 @@ __all__ = [
     "Runner",
     "StepContext",
     "Tables",
+    "load_app",
     "load_connections",
     "register_step",
 ]

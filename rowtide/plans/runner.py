@@ -19,6 +19,7 @@ from rowtide.operators.watermark import read_marks
 from rowtide.plans.job import Job
 from rowtide.plans.state import StateStore
 from rowtide.plans.templates import Template
+from rowtide.sinks.catalog import CatalogSink
 from rowtide.sinks.jdbc import JdbcSink
 from rowtide.sinks.paths import PathSink
 from rowtide.sources import jdbc
@@ -140,6 +141,8 @@ class Runner:
         for column in (*src.primary_key, *job.tracked().values()):
             if jdbc.can_slice(schema.type_of(column)):
                 return jdbc.Slices(column, count)
+        if src.table and not src.select:
+            return jdbc.key_slices(self.spark, conn, src.table, _read_columns(job))
         return None
 
     def plan(
@@ -199,11 +202,13 @@ class Runner:
             for table, df in branches.items()
         }
 
-    def sink(self, job: Job, table: str, columns: Sequence[str]) -> PathSink | JdbcSink:
+    def sink(self, job: Job, table: str, columns: Sequence[str]) -> PathSink | JdbcSink | CatalogSink:
         conn = self.connections.connection(job.target.connection)
         keys, order = job.target.keys_of(table), job.order_of(table, columns)
         if conn.is_database:
             return JdbcSink(self.spark, conn, table, keys, order, job.writers, retry=self.retry)
+        if conn.type == "catalog":
+            return CatalogSink(self.spark, conn.table_name(table), keys, order)
         return PathSink(self.spark, self.connections.path(conn, table), keys, order)
 
 

@@ -1,4 +1,8 @@
-"""Targets in a table catalogue whose format supports row-level changes."""
+"""Targets that are tables of Spark's catalogue.
+
+Full and append writes work for every table format; upserts need one that supports
+row-level changes, which then rewrites only the files that hold matching rows.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +10,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rowtide.errors import ConfigError
 from rowtide.operators.ranking import dedup_last
-from rowtide.types import col, quoted
+from rowtide.sources.storage import Storage, fresh_dir
+from rowtide.types import quoted
 
 
 def merge_sql(table: str, view: str, columns: Sequence[str], keys: Sequence[str]) -> str:
-    """``MERGE INTO``: only files with matching rows are rewritten by the table format."""
+    """One ``MERGE INTO``; columns that the batch lacks keep their values."""
     on = " AND ".join(f"t.{quoted(k)} = s.{quoted(k)}" for k in keys)
     sets = ", ".join(f"t.{quoted(c)} = s.{quoted(c)}" for c in columns if c not in keys)
     matched = f" WHEN MATCHED THEN UPDATE SET {sets}" if sets else ""
@@ -28,7 +32,7 @@ def merge_sql(table: str, view: str, columns: Sequence[str], keys: Sequence[str]
 
 @dataclass
 class CatalogSink:
-    """A catalogue table, by its full name."""
+    """A catalogue table, by its full name as SQL text."""
 
     spark: SparkSession
     table: str
@@ -36,22 +40,25 @@ class CatalogSink:
     order: tuple[str, ...] = ()
 
     def write(self, df: DataFrame, mode: str, run_id: str) -> int:
-        rows = df.count() if mode != "upsert" else 0
-        if mode == "full":
-            df.writeTo(self.table).overwrite(F.lit(True))
-        elif mode == "append":
-            df.writeTo(self.table).append()
-        elif mode == "upsert":
-            if not self.keys:
-                raise ConfigError(f"upsert into {self.table!r} needs key columns")
-            batch = dedup_last(df, self.keys, self.order)
-            rows = batch.select(*[col(k) for k in self.keys]).count()
-            view = "rt_batch_" + "".join(ch for ch in run_id if ch.isalnum())
-            batch.createOrReplaceTempView(view)
-            try:
-                self.spark.sql(merge_sql(self.table, view, batch.columns, self.keys))
-            finally:
-                self.spark.catalog.dropTempView(view)
-        else:
+        if mode == "upsert" and not self.keys:
+            raise ConfigError(f"upsert into {self.table} needs key columns")
+        if mode not in ("full", "append", "upsert"):
             raise ConfigError(f"unknown sync mode {mode!r}")
-        return rows
+        if mode == "upsert":
+            df = dedup_last(df, self.keys, self.order)
+        # Stored first: counted exactly, computed once, and a table may be its own source.
+        batch = fresh_dir(self.spark, f"batch-{run_id}")
+        df.write.parquet(batch)
+        stored = self.spark.read.schema(df.schema).parquet(batch)
+        view = "rt_batch_" + "".join(ch for ch in run_id if ch.isalnum())
+        stored.createOrReplaceTempView(view)
+        try:
+            if mode == "upsert":
+                self.spark.sql(merge_sql(self.table, view, stored.columns, self.keys))
+            else:
+                verb = "OVERWRITE" if mode == "full" else "INTO"
+                self.spark.sql(f"INSERT {verb} {self.table} BY NAME SELECT * FROM {view}")
+            return stored.count()
+        finally:
+            self.spark.catalog.dropTempView(view)
+            Storage(self.spark).delete(batch)

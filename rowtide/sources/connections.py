@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from rowtide.errors import ConfigError
+from rowtide.types import quoted
 
 # The default ports and the MySQL character sets that are accepted.
 PORTS = {"mysql": 3306, "postgresql": 5432, "oracle": 1521}
@@ -38,8 +39,8 @@ def _scalar(value: Any) -> str:
 class Connection:
     """One entry of the connections document.
 
-    ``type`` is ``mysql``, ``postgresql``, ``oracle`` or ``files`` (a folder of tables,
-    by ``path``).
+    ``type`` is ``mysql``, ``postgresql``, ``oracle``, ``files`` (a folder of tables, by
+    ``path``) or ``catalog`` (tables Spark knows by name, in the namespace ``database``).
     """
 
     name: str
@@ -66,7 +67,7 @@ class Connection:
         if not isinstance(raw, Mapping) or not isinstance(raw.get("type"), str):
             raise ConfigError(f"connection {name!r}: missing type")
         kind = raw["type"]
-        if kind not in (*DATABASES, "files"):
+        if kind not in (*DATABASES, "files", "catalog"):
             raise ConfigError(f"connection {name!r}: unknown type {kind!r}")
         host = _scalar(raw.get("host", "localhost"))
         if not host:
@@ -93,6 +94,10 @@ class Connection:
             pattern=_scalar(raw.get("pattern")) or "{table}",
         )
 
+    def table_name(self, table: str) -> str:
+        """A table of a catalogue, as SQL text."""
+        return ".".join(quoted(part) for part in (*filter(None, self.database.split(".")), table))
+
     def jdbc_options(self) -> dict[str, str]:
         """Options for Spark's JDBC reader and writer."""
         options = {"numPartitions": str(self.max_pool_size)}

@@ -112,7 +112,7 @@ def read_for_keys(
         return _read_parts(spark, conn, source, conditions, fetch)
     dtype = keys.schema.fields[0].dataType
     if not can_slice(dtype):
-        return read_table(spark, conn, table, columns, fetch=fetch)
+        return read_table(spark, conn, table, columns, None, key_slices(spark, conn, table, columns), fetch)
     low, high = found.agg(F.min(found[0]).cast("string"), F.max(found[0]).cast("string")).first()
     text = "'{}'" if V.value_class(dtype) == V.DATE else "{}"
     where = f"{column} BETWEEN {text.format(low)} AND {text.format(high)}"
@@ -240,3 +240,17 @@ def table_columns(spark: SparkSession, conn: Connection, table: str) -> list[Col
     if not out:
         raise ConfigError(f"connection {conn.name!r} has no table {table!r}")
     return sorted(out, key=lambda c: c.ordinal)
+
+
+def key_slices(
+    spark: SparkSession, conn: Connection, table: str, columns: Sequence[str] = ()
+) -> Slices | None:
+    """Slices along the first key column that has an order to cut, if it is among ``columns``."""
+    keys = [c.name for c in table_columns(spark, conn, table) if c.is_primary]
+    if not keys:
+        return None
+    schema = read_table(spark, conn, table, keys).schema
+    for f in schema.fields:
+        if can_slice(f.dataType) and (not columns or f.name in columns):
+            return Slices(f.name, conn.max_pool_size)
+    return None

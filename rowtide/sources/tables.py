@@ -157,6 +157,8 @@ class Tables:
     def _files(self, conn: Connection, table: str) -> DataFrame:
         from rowtide.sinks.paths import CURRENT, read_target
 
+        if conn.type == "catalog":
+            return self.spark.table(conn.table_name(table))
         path = self.path(conn, table)
         if Storage(self.spark).exists(f"{path}/{CURRENT}"):
             return read_target(self.spark, path)
@@ -173,6 +175,8 @@ class Tables:
         conn = self.connection(connection)
         if conn.is_database:
             return jdbc.read_sql(self.spark, conn, sql)
+        if conn.type == "catalog":
+            return select(self.spark, sql, args or None)
         views = {t: self._files(conn, t) for t in self._tables_of(conn, sql)}
         return select(self.spark, sql, args or None, views)
 

@@ -268,9 +268,11 @@ def test_no_keys_and_many_keys(spark, reads, parts, monkeypatch):
     jdbc.read_for_keys(spark, PG, "items", [], "fk", keys)
     assert reads[1]["dbtable"] == '(SELECT * FROM "items" WHERE "fk" BETWEEN 1 AND 9) rt_q'
     assert (reads[1]["lowerBound"], reads[1]["upperBound"], reads[1]["numPartitions"]) == ("1", "9", 3)
+    monkeypatch.setattr(jdbc, "table_columns", lambda *a: [jdbc.ColumnInfo("id", "bigint", False, True, 1)])
     texts = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
     jdbc.read_for_keys(spark, PG, "items", [], "fk", texts)
-    assert reads[2]["dbtable"] == '(SELECT * FROM "items") rt_q' and not parts
+    assert reads[-1]["dbtable"] == '(SELECT * FROM "items") rt_q' and not parts
+    assert reads[-1]["partitionColumn"] == "id" and reads[-1]["numPartitions"] == 3
 
 
 def test_job_from_a_database(spark, reads, work):

@@ -32,6 +32,12 @@ STAGED_ROWS = 10_000_000
 BUILTIN = ("rename", "set", "filter", "cast", "provenance")
 
 
+def session_now(spark: SparkSession) -> dt.datetime:
+    """The present moment in the session's time zone."""
+    text = spark.sql("SELECT date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss.SSSSSSxx')").first()[0]
+    return dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S.%f%z")
+
+
 @dataclass
 class Staging:
     """Frames stored for the time of one run, in the folder that all executors share.
@@ -176,7 +182,7 @@ class Runner:
     def run(self, job: Job, now: dt.datetime | None = None, run_id: str | None = None) -> RunResult:
         """One pass.  The marks move only after every target is written."""
         started = time.monotonic()
-        now = now or dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        now = now or session_now(self.spark)
         run_id = run_id or f"{now:%Y%m%d%H%M%S}{uuid.uuid4().hex[:8]}"
         store = self.store(job)
         df = self.read(job, now, store.load())

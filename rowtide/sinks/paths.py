@@ -248,6 +248,13 @@ class PathSink:
         folder, _ = self._store(merged, self._folder("m", before, run_id))
         self._commit(before, Version(0, (folder,), before.schema, run_id, self._size(folder)))
 
+    def compact(self, run_id: str) -> None:
+        """Rewrite the target as one folder, after many appends or changes."""
+        before = current_version(self.spark, self.path)
+        if before is not None and len(before.used) > 1:
+            folder, _ = self._store(_frame(self.spark, self.path, before), self._folder("m", before, run_id))
+            self._commit(before, Version(0, (folder,), before.schema, run_id, self._size(folder)))
+
     def vacuum(self) -> None:
         """Remove data folders that no pointer names, as dead runs leave them.
 

@@ -32,9 +32,10 @@ def subquery(dialect: str, sql: str, alias: str = "rt_q") -> str:
     return f"({sql.strip().rstrip(';').strip()}) {alias}"
 
 
-def page_sql(dialect: str, sql: str, offset: int, limit: int) -> str:
-    """One page of ``sql``, in the product's own syntax."""
-    body = sql.strip().rstrip(";").strip()
+def page_sql(dialect: str, sql: str, order: Sequence[str], offset: int, limit: int) -> str:
+    """One page of ``sql``, in the product's own syntax.  Without an order pages overlap."""
+    by = ", ".join(quote(dialect, c) for c in order)
+    body = f"SELECT * FROM {subquery(dialect, sql)} ORDER BY {by}"
     if dialect == "oracle":
         return f"{body} OFFSET {offset} ROWS FETCH NEXT {limit} ROWS ONLY"
     return f"{body} LIMIT {limit} OFFSET {offset}"

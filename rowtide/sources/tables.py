@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from rowtide import types as V
 from rowtide.errors import ConfigError
-from rowtide.sources import jdbc
+from rowtide.sources import dialects, jdbc
 from rowtide.sources.connections import Connection
 from rowtide.sources.storage import Storage
 
@@ -180,6 +180,13 @@ class Tables:
         views = {t: self._files(conn, t) for t in self._tables_of(conn, sql)}
         return select(self.spark, sql, args or None, views)
 
+    def page(self, connection: str, sql: str, order: Sequence[str], offset: int, limit: int) -> DataFrame:
+        """One page of a select, in the given order."""
+        conn = self.connection(connection)
+        if conn.is_database:
+            return jdbc.read_sql(self.spark, conn, dialects.page_sql(conn.type, sql, order, offset, limit))
+        return page(self.select(connection, sql), order, offset, limit)
+
     def _tables_of(self, conn: Connection, sql: str) -> list[str]:
         """Tables of the folder whose name occurs in the text."""
         import re

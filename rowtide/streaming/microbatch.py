@@ -6,6 +6,8 @@ that is repeated after a failure has the same id, and its writes take effect onc
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,6 +15,7 @@ from rowtide.errors import ConfigError
 from rowtide.operators.watermark import read_marks
 from rowtide.plans.job import Job
 from rowtide.plans.runner import BUILTIN, Runner, Staging
+from rowtide.sources.storage import Storage
 
 
 def start(
@@ -27,7 +30,9 @@ def start(
         raise ConfigError("full mode replaces the target; it has no meaning for a stream")
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"batch{batch_id:012d}"
+        # Batch numbers start anew with every checkpoint, so its own id goes along.
+        query = json.loads(Storage(runner.spark).read_text(f"{checkpoint}/metadata"))["id"]
+        run_id = f"{query}-{batch_id:012d}"
         with Staging(runner.spark, run_id) as stage:
             if job.state or any(s.name not in BUILTIN for s in job.etl):
                 batch = stage(batch)

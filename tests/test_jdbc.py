@@ -297,6 +297,16 @@ def test_job_from_a_database(spark, reads, work):
     assert reads[-1]["dbtable"].endswith("WHERE at > 30) rt_q")
 
 
+def test_pages(spark, reads, work):
+    from rowtide.sinks.paths import PathSink
+
+    PathSink(spark, work + "/t").full(spark.range(10), "s")
+    tables = Tables(spark, {"pg": PG, "in": Connection.parse("in", {"type": "files", "path": work})})
+    tables.page("pg", "SELECT id FROM t", ["id"], 4, 2)
+    assert reads[0]["dbtable"] == '(SELECT * FROM (SELECT id FROM t) rt_q ORDER BY "id" LIMIT 2 OFFSET 4) rt_q'
+    assert [r[0] for r in tables.page("in", "SELECT id FROM t", ["id"], 4, 2).collect()] == [4, 5]
+
+
 def test_job_into_a_database(spark, db, work):
     from rowtide.sinks.paths import PathSink
 

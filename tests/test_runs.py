@@ -99,6 +99,17 @@ def test_a_failed_write_changes_nothing(spark, work):
         sink.write(broken, "merge", "r3")
 
 
+def test_compact(spark, work):
+    sink = P.PathSink(spark, work + "/t", ("id",), rewrite_bytes=0)
+    for i in range(3):
+        sink.append(frame(spark, [(i, "a", "b")]), f"r{i}")
+    sink.upsert(frame(spark, [(1, "c")], "id long, a string"), "r4")
+    sink.compact("r5")
+    now = P.current_version(spark, work + "/t")
+    assert now.used == now.folders and len(now.folders) == 1
+    assert rows(P.read_target(spark, work + "/t")) == [(0, "a", "b"), (1, "c", "b"), (2, "a", "b")]
+
+
 def test_concurrent_commit_is_refused(spark, work):
     one, two = P.PathSink(spark, work + "/t"), P.PathSink(spark, work + "/t")
     before = P.current_version(spark, work + "/t")
@@ -391,6 +402,27 @@ def test_stream(spark, work):
         microbatch.start(run, job(sync={"mode": "full"}), None, work)
 
 
+def test_two_streams_into_one_target(spark, work):
+    """Both start at batch zero; neither may be taken for a repetition of the other."""
+    run = runner(spark, work)
+    doc = job(sync={"mode": "append"}, source={"connection": "in", "table": "src", "columns": "id,a"})
+    for name in ("one", "two"):
+        spark.createDataFrame([(1, name)], "id long, a string").write.parquet(f"{work}/{name}")
+        for _ in range(2):
+            stream = spark.readStream.schema("id long, a string").parquet(f"{work}/{name}")
+            microbatch.start(run, doc, stream, f"{work}/check-{name}").awaitTermination()
+    assert rows(P.read_target(spark, f"{work}/out/dst")) == [(1, "one"), (1, "two")]
+
+
+def test_the_clock_follows_the_session(spark):
+    from rowtide.plans.runner import session_now
+
+    here = session_now(spark)
+    assert here.utcoffset() == dt.timedelta(0)
+    assert abs(here - dt.datetime.now(dt.timezone.utc)) < dt.timedelta(minutes=1)
+    assert f"{here:%z}" == "+0000"
+
+
 def test_repeated_micro_batch_appends_once(spark, work):
     run = runner(spark, work)
     doc = job(sync={"mode": "append"}, source={"connection": "in", "table": "src", "columns": "id,a"})

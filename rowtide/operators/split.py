@@ -92,7 +92,9 @@ def split_details(
         details = first_n(details, [child_key], limit, order)
     out = [V.col(c) for c in wanted]
     on = V.col(child_key) == F.col(_PARENT)
-    if unique_parents:
+    if unique_parents or limit is None:
+        # Without a ranking both sides are plain shuffles, so adaptive execution splits a
+        # key that is crowded on either side.
         return details.join(keys, on).select(*out)
     # Repeated parents are counted first (combined before the shuffle), and their details
     # multiplied after the join; the join itself meets every parent once.

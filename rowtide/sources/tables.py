@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,40 +58,64 @@ def select(
 def page(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFrame:
     """Rows ``offset .. offset + limit`` in the order of the given columns.
 
-    Early pages are a top-k.  For deep ones the rows are first counted per range of the
-    leading column; only the ranges that hold the page are sorted.
+    Ties are broken by the remaining columns, so that pages do not overlap.  Early pages
+    are a top-k.  For deep ones the rows are first counted per range of the leading
+    column; only the ranges that hold the page's ends are looked into.
     """
     if offset < 0 or limit < 0 or not order:
         raise ConfigError("a page needs an order, an offset and a limit")
-    by = [V.col(c) for c in order]
+    full = [*order, *[c for c in df.columns if c not in order]]
+    by = [V.col(c) for c in full]
     if offset + limit <= DEEP_PAGE:
         return df.orderBy(*by).offset(offset).limit(limit)
-    return _deep_page(df, order[0], by, offset, limit)
-
-
-def _deep_page(df: DataFrame, lead: str, by: list[Column], offset: int, limit: int) -> DataFrame:
-    c, dtype = V.col(lead), V.column_type(df, lead)
-    if not isinstance(dtype, (T.IntegralType, T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return df.orderBy(*by).offset(offset).limit(limit)
-    number = c.cast("bigint") if isinstance(dtype, T.IntegralType) else F.unix_micros(c.cast("timestamp"))
-    low, high = df.agg(F.min(number), F.max(number)).first()
-    if low is None:
-        return df.orderBy(*by).offset(offset).limit(limit)
-    width = max(1, -(-(high - low + 1) // PAGE_CUTS))
-    part = F.floor((number - F.lit(low)) / F.lit(width)).cast("int")
-    # At most PAGE_CUTS + 1 counts; rows without a leading value come first.
-    counts = df.groupBy(F.coalesce(part, F.lit(-1)).alias("part")).count().collect()
-    first = last = None
-    skipped = seen = 0
-    for row in sorted(counts, key=lambda r: r["part"]):
-        if seen < offset + limit and seen + row["count"] > offset:
-            first, skipped = (row["part"], seen) if first is None else (first, skipped)
-            last = row["part"]
-        seen += row["count"]
-    if first is None:
+    return _deep_page(df, full, offset, limit).orderBy(*by)
+
+
+def _deep_page(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFrame:
+    if not order:
+        # Copies of one row: any of them will do.
+        return df.limit(limit)
+    number = _as_number(df, order[0])
+    if offset + limit <= DEEP_PAGE or number is None:
+        return df.orderBy(*[V.col(c) for c in order]).offset(offset).limit(limit)
+    low, high, rows, known = df.agg(F.min(number), F.max(number), F.count(F.lit(1)), F.count(number)).first()
+    limit = min(limit, rows - offset)
+    if limit <= 0:
         return df.limit(0)
-    inside = df.where(F.coalesce(part, F.lit(-1)).between(first, last))
-    return inside.orderBy(*by).offset(offset - skipped).limit(limit)
+    if low == high and known in (0, rows):
+        return _deep_page(df, order[1:], offset, limit)
+    part = F.lit(0)
+    if low != high:
+        # Differences of extreme values need more digits than a long has.
+        wide = "decimal(20,0)" if high - low >= 2**62 else "bigint"
+        width = -(-(high - low + 1) // PAGE_CUTS)
+        distance = number.cast(wide) - F.lit(low).cast(wide)
+        part = F.floor(distance / F.lit(width)).cast("int")
+    # Rows without a value come first.
+    part = F.when(number.isNull(), F.lit(-1)).otherwise(part)
+    counts = sorted(df.groupBy(part.alias("part")).count().collect(), key=lambda r: r["part"])
+    seen, whole, pieces = 0, [], []
+    for p, n in counts:
+        start, end = max(offset - seen, 0), min(offset + limit - seen, n)
+        seen += n
+        if start == 0 and end == n:
+            whole.append(p)
+        elif start < end:
+            # One of the page's two ends lies here.
+            pieces.append(_deep_page(df.where(part == p), order, start, end - start))
+    if whole:
+        pieces.append(df.where(part.between(whole[0], whole[-1])))
+    return reduce(DataFrame.unionAll, pieces)
+
+
+def _as_number(df: DataFrame, name: str) -> Column | None:
+    """A column that orders as a number, as that number."""
+    c, dtype = V.col(name), V.column_type(df, name)
+    if isinstance(dtype, T.IntegralType):
+        return c.cast("bigint")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(c.cast("timestamp"))
+    return None
 
 
 def schema_rows(schema: T.StructType, keys: Sequence[str] = ()) -> list[jdbc.ColumnInfo]:

@@ -325,3 +325,12 @@ def test_pages(spark, monkeypatch, deep, kind):
         assert got == ordered[offset : offset + limit]
     with pytest.raises(ConfigError):
         page(df, [], 0, 1)
+
+
+def test_deep_pages_of_extreme_values(spark, monkeypatch):
+    monkeypatch.setattr("rowtide.sources.tables.DEEP_PAGE", 0)
+    data = [(v, i) for i, v in enumerate([-(2**63), 2**63 - 1, 0, 1, -1, 5, 5, 5, 2**62, None])] + [(5, 5)] * 3
+    df = spark.createDataFrame(data, "k long, id long")
+    ordered = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for offset in range(len(data)):
+        assert [tuple(r) for r in page(df, ["k"], offset, 3).collect()] == ordered[offset : offset + 3]

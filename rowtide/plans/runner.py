@@ -104,8 +104,14 @@ class Runner:
 
     # ---- planning: no rows move -------------------------------------------
 
-    def template(self, job: Job, now: dt.datetime, marks: Mapping[str, V.Constant]) -> Template:
-        types = _LazySchema(self, job)
+    def template(
+        self,
+        job: Job,
+        now: dt.datetime,
+        marks: Mapping[str, V.Constant],
+        schema: T.StructType | None = None,
+    ) -> Template:
+        types = _LazySchema(self, job, schema)
 
         def state(key: str) -> V.Constant:
             if key in marks:
@@ -118,10 +124,11 @@ class Runner:
 
     def read(self, job: Job, now: dt.datetime, marks: Mapping[str, V.Constant]) -> DataFrame:
         """The source rows of one run."""
-        template, src = self.template(job, now, marks), job.source
+        src = job.source
         conn = self.connections.connection(src.connection)
         fetch = src.batch_limit or self.fetch
         if conn.is_database:
+            template = self.template(job, now, marks)
             slices = self._slices(job)
             if src.select:
                 return jdbc.read_sql(self.spark, conn, template.render(src.select), slices, fetch)
@@ -129,11 +136,11 @@ class Runner:
             columns = _read_columns(job)
             return self.connections.read(src.connection, src.table, columns, where, slices, fetch)
         if src.select:
-            bound = template.bind(src.select)
+            bound = self.template(job, now, marks).bind(src.select)
             return self.connections.select(src.connection, bound.sql, bound.args)
         df = self.connections.read(src.connection, src.table)
         if src.where:
-            bound = template.bind(src.where)
+            bound = self.template(job, now, marks, df.schema).bind(src.where)
             df = scan(df, (), bound.sql, bound.args)
         return scan(df, [c for c in _read_columns(job) if c in df.columns])
 
@@ -231,13 +238,16 @@ class _LazySchema:
 
     runner: Runner
     job: Job
+    known: T.StructType | None = None
 
     def lower_bound(self, column: str) -> V.Constant:
         return V.lower_bound(self.type_of(column))
 
     def type_of(self, column: str) -> T.DataType | None:
         src, tables = self.job.source, self.runner.connections
-        if src.table and not src.select:
+        if self.known is not None:
+            schema = self.known
+        elif src.table and not src.select:
             schema = tables.read(src.connection, src.table).schema
         else:
             schema = self._probe()

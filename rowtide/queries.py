@@ -36,13 +36,12 @@ SQL: dict[str, str] = {}
 CLOCK = dt.datetime(2024, 1, 31)
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its name, with its SQL if there is one."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own or the given name, with its SQL."""
 
     def add(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = " ".join(sql.split())
+        QUERIES[name or fn.__name__] = fn
+        SQL[name or fn.__name__] = " ".join(sql.split())
         return fn
 
     return add
@@ -265,6 +264,14 @@ def cast_string(spark, sf):
     return E.cast_columns(part, [("size_s", "string"), ("flag_s", "varchar"), ("brand_hex", "text")])
 
 
+@query("""
+    SELECT c_custkey, regexp_replace(CAST(c_acctbal AS VARCHAR), '\\.0$', '') AS balance_s FROM customer
+""")
+def cast_float_text(spark, sf):
+    customer = table(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").alias("balance_s"))
+    return E.cast_columns(customer, [("balance_s", "string")])
+
+
 @query("SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders")
 def cast_decimal(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("amount"))
@@ -348,6 +355,17 @@ def filter_not_null(spark, sf):
     return E.filter_rows(_with_nulls(spark, sf), keep="k not null").drop("k")
 
 
+@query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-01 00:00:00'")
+def filter_date(spark, sf):
+    orders = E.filter_rows(table(spark, sf, "orders"), keep="o_orderdate gte 1998-06-01")
+    return orders.select("o_orderkey", "o_orderdate")
+
+
+@query("SELECT p_partkey, p_brand FROM part WHERE p_brand <= 'Brand#3'")
+def filter_text_order(spark, sf):
+    return E.filter_rows(table(spark, sf, "part"), keep="p_brand lte 'Brand#3'").select("p_partkey", "p_brand")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_discount, l_tax FROM lineitem WHERE l_discount > l_tax")
 def filter_col_ref(spark, sf):
     return E.filter_rows(table(spark, sf, "lineitem"), keep="l_discount gt $l_tax").select(
@@ -488,13 +506,16 @@ def upsert_keys_only(spark, sf):
     return U.merge(target, dedup_last(orders.select("o_custkey"), ["o_custkey"]), ["o_custkey"])
 
 
-@query("""
+@query(
+    """
     SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice FROM (
         SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
             ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn
         FROM lineitem) x WHERE rn = 1
-""")
-def dedup_last_row(spark, sf):
+    """,
+    name="dedup_last",
+)
+def _dedup_last(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"
     )
@@ -596,6 +617,16 @@ def sink_upsert(spark, sf):
     return read_target(spark, sink.path)
 
 
+@query(_MERGED)
+def sink_upsert_changes(spark, sf):
+    """The same, with the changes kept beside the target."""
+    target, source = _upsert_sides(spark, sf)
+    sink = PathSink(spark, fresh_dir(spark, "sink-changes"), ("o_orderkey",), rewrite_bytes=0)
+    sink.upsert(target, "r1")
+    sink.upsert(source, "r2")
+    return read_target(spark, sink.path)
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders")
 def incr_two_runs(spark, sf):
     """Old orders first; a second run finds the rest above the stored mark."""
@@ -660,6 +691,24 @@ def step_custom(spark, sf):
     return step(E.StepContext(), {"": events})[""]
 
 
+@query("""
+    SELECT 'seen' AS target_table, event_id, CAST(NULL AS DOUBLE) AS paid FROM events
+    UNION ALL SELECT 'paid', event_id, value FROM events WHERE event_type = 'purchase'
+""")
+def step_custom_tables(spark, sf):
+    def split(row):
+        """Every event is seen, purchases are paid as well."""
+        yield "", {"event_id": row["event_id"]}
+        if row["event_type"] == "purchase":
+            yield "paid", {"event_id": row["event_id"], "paid": row["value"]}
+
+    schemas = {"": "event_id bigint", "paid": "event_id bigint, paid double"}
+    step = E.RowStep(split, {t: T._parse_datatype_string(s) for t, s in schemas.items()})
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    out = step(E.StepContext(), {"": events})
+    return M.union_normalised([df.select(F.lit(t or "seen").alias("target_table"), "*") for t, df in out.items()])
+
+
 @query("""
     SELECT o_orderkey AS order_id, o_custkey AS user_id, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
            'erp' AS app_id FROM orders WHERE o_totalprice >= 1000

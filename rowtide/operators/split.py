@@ -14,6 +14,7 @@ from rowtide.errors import ConfigError
 from rowtide.operators.mapping import keep_columns
 from rowtide.operators.ranking import first_n
 from rowtide.operators.steps import DEFAULT_TABLE, Branches, Step, StepContext, merge_branches, register_step
+from rowtide.plans.sizing import BROADCAST_ROWS, fits_broadcast
 
 DEFAULT_LIMIT = 1000
 # A parent repeated more often than this is spread over tasks before it is multiplied.
@@ -69,6 +70,7 @@ def split_details(
     limit: int | None = DEFAULT_LIMIT,
     order: Sequence[str] = (),
     unique_parents: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
     """The detail rows of ``parents``: at most ``limit`` per parent row.
 
@@ -77,7 +79,8 @@ def split_details(
     also bounds what a crowded key ships.
 
     ``unique_parents`` says that parents hardly repeat: the result is the same, without
-    the step that counts repeated parents beforehand.
+    the step that counts repeated parents beforehand.  ``rows`` is the number of parents,
+    if it is known.
     """
     wanted = list(columns) or details.columns
     if limit == 0:
@@ -86,7 +89,7 @@ def split_details(
     details = details.select(*[V.col(c) for c in needed])
     keys = parents.select(V.col(parent_key).alias(_PARENT)).where(F.col(_PARENT).isNotNull())
     if limit is not None:
-        if _is_broadcastable(keys):
+        if (rows is None or rows <= BROADCAST_ROWS) and fits_broadcast(keys):
             # Few parents: rank only the details that can be wanted.
             details = details.join(F.broadcast(keys), V.col(child_key) == F.col(_PARENT), "left_semi")
         details = first_n(details, [child_key], limit, order)
@@ -122,13 +125,6 @@ def _multiplied(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return spread.select(*out, F.explode(F.sequence(F.lit(1).cast("bigint"), left)).alias("__n")).select(*out)
 
 
-def _is_broadcastable(df: DataFrame) -> bool:
-    """Whether the optimizer's size bound of ``df`` is under the broadcast threshold."""
-    from rowtide.plans.sizing import fits_broadcast
-
-    return fits_broadcast(df)
-
-
 @register_step("order_split")
 def order_split(config: Any) -> Step:
     """Headers stay on the default branch, details go to ``detail_table``."""
@@ -155,6 +151,7 @@ def order_split(config: Any) -> Step:
             cfg.limit,
             cfg.order,
             unique_parents=ctx.unique_key == (cfg.parent_key,),
+            rows=ctx.rows,
         )
         return merge_branches({**branches, DEFAULT_TABLE: headers}, {cfg.detail_table: details})
 

@@ -31,7 +31,8 @@ class StepContext:
 
     ``table`` resolves ``(connection, table)`` to a frame, for lookups; it may also get
     the column and the keys that are wanted, and then read less.  ``stage`` stores a frame
-    that several branches share, if the run is under way.
+    that several branches share, if the run is under way; ``rows`` is the number of source
+    rows, if they were counted.
     """
 
     source_connection: str = ""
@@ -41,6 +42,7 @@ class StepContext:
     stage: Callable[[DataFrame], DataFrame] | None = None
     source_schema: T.StructType | None = None
     unique_key: tuple[str, ...] = ()
+    rows: int | None = None
 
     def lookup_table(
         self,

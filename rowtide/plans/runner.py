@@ -6,6 +6,7 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,8 @@ from rowtide.sources.tables import Tables, scan
 
 # Batches up to this size are stored before steps that look things up.
 STAGED_ROWS = 10_000_000
+# Targets of one run that are written at the same time.
+PARALLEL_TARGETS = 4
 BUILTIN = ("rename", "set", "filter", "cast", "provenance")
 
 
@@ -159,11 +162,16 @@ class Runner:
         return None
 
     def plan(
-        self, job: Job, df: DataFrame, stage: Callable[[DataFrame], DataFrame] | None = None
+        self,
+        job: Job,
+        df: DataFrame,
+        stage: Callable[[DataFrame], DataFrame] | None = None,
+        rows: int | None = None,
     ) -> Branches:
         """The lazy frames of every target table.
 
-        ``stage`` is there during a run; without it nothing is written.
+        ``stage`` is there during a run; without it nothing is written.  ``rows`` is the
+        number of source rows, if they were counted.
         """
         renamed = dict(zip(job.source.columns, job.target.columns, strict=False))
         ctx = StepContext(
@@ -172,6 +180,7 @@ class Runner:
             target_connections=(job.target.connection,),
             table=self.connections.read,
             stage=stage,
+            rows=rows,
             source_schema=df.schema,
             unique_key=tuple(renamed.get(k, k) for k in job.source.primary_key),
         )
@@ -203,17 +212,22 @@ class Runner:
             if not live and rows_read <= STAGED_ROWS and any(s.name not in BUILTIN for s in job.etl):
                 # The batch of an incremental run: its size becomes known to the lookups.
                 df = stage(df)
-            written = self.write(job, self.plan(job, df, stage), run_id)
+            written = self.write(job, self.plan(job, df, stage, rows_read), run_id)
             kept = store.commit(marks, run_id) if job.state else {}
         seconds = time.monotonic() - started
         return RunResult(job.name, run_id, rows_read, sum(written.values()), written, kept, seconds)
 
     def write(self, job: Job, branches: Branches, run_id: str) -> dict[str, int]:
-        """Write every branch to its table; rows written per table."""
-        return {
-            table: self.sink(job, table, df.columns).write(df, job.mode, run_id)
-            for table, df in branches.items()
-        }
+        """Write every branch to its table, side by side; rows written per table."""
+
+        def one(table: str) -> int:
+            df = branches[table]
+            return self.sink(job, table, df.columns).write(df, job.mode, run_id)
+
+        if len(branches) == 1:
+            return {table: one(table) for table in branches}
+        with ThreadPoolExecutor(PARALLEL_TARGETS) as pool:
+            return dict(zip(branches, pool.map(one, branches), strict=True))
 
     def sink(self, job: Job, table: str, columns: Sequence[str]) -> PathSink | JdbcSink | CatalogSink:
         conn = self.connections.connection(job.target.connection)

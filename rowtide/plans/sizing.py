@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 _GROWING = re.compile(r"^[\s:+|-]*(Generate|Expand|Range|Map\w*|FlatMap\w*|ScriptTransformation)\b", re.MULTILINE)
+# Compressed bytes say little about rows: where rows are counted, this bounds them too.
+BROADCAST_ROWS = 5_000_000
 # What Spark assumes for an input of unknown size.
 _UNKNOWN = 2**63 - 1
 _UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30, "t": 2**40, "tb": 2**40}

@@ -653,20 +653,19 @@ def incr_two_runs(spark, sf):
         FROM events) x WHERE rn = 1
 """)
 def stream_upsert(spark, sf):
-    """Events arrive as four files, oldest first; each micro-batch is one upsert."""
+    """Events arrive in three portions, oldest first; each becomes a micro-batch, an upsert."""
     work = fresh_dir(spark, "stream")
     events = table(spark, sf, "events").select("user_id", "event_id", "ts", "value")
-    cuts = ["2024-01-01", "2024-01-09", "2024-01-17", "2024-01-24", "9999-01-01"]
-    for low, high in zip(["0001-01-01", *cuts[1:-1]], cuts[1:], strict=True):
-        arrived = events.where((F.col("ts") >= F.lit(low)) & (F.col("ts") < F.lit(high)))
-        arrived.coalesce(1).write.mode("append").parquet(f"{work}/in")
     doc = {"name": "latest", "sync": {"mode": "upsert", "order_by": "ts,event_id"}}
     doc["source"] = {"connection": "out", "table": "events"}
     doc["target"] = {"connection": "out", "table": "latest", "primary_key": "user_id"}
     files = {"out": Connection.parse("out", {"type": "files", "path": f"{work}/out"})}
     runner = Runner(spark, X.Tables(spark, files), f"{work}/state")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
-    microbatch.start(runner, Job.from_dict(doc), stream, f"{work}/checkpoint").awaitTermination()
+    early, late = F.col("ts") < F.lit("2024-01-11"), F.col("ts") >= F.lit("2024-01-21")
+    for portion in (early, ~early & ~late, late):
+        events.where(portion).write.mode("append").parquet(f"{work}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{work}/in")
+        microbatch.start(runner, Job.from_dict(doc), stream, f"{work}/checkpoint").awaitTermination()
     return read_target(spark, f"{work}/out/latest")
 
 
@@ -738,7 +737,7 @@ def provenance(spark, sf):
 # ---- the whole job ---------------------------------------------------------
 
 ORDER_JOB = {
-    "name": "order_sync",
+    "name": "orders_to_warehouse",
     "source": {
         "connection": "tpch",
         "table": "orders",

@@ -6,6 +6,7 @@ row-level changes, which then rewrites only the files that hold matching rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -50,7 +51,8 @@ class CatalogSink:
         batch = fresh_dir(self.spark, f"batch-{run_id}")
         df.write.parquet(batch)
         stored = self.spark.read.schema(df.schema).parquet(batch)
-        view = "rt_batch_" + "".join(ch for ch in run_id if ch.isalnum())
+        # Several targets of one run may be written at the same time.
+        view = "rt_batch_" + uuid.uuid4().hex
         stored.createOrReplaceTempView(view)
         try:
             if mode == "upsert":

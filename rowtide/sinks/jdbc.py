@@ -6,8 +6,8 @@ target changes in one transaction.
 
 from __future__ import annotations
 
-import re
 import time
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import TypeVar
@@ -61,7 +61,8 @@ class JdbcSink:
         if mode == "upsert":
             df = dedup_last(df, self.keys, self.order)
         columns = df.columns
-        stage = f"rt_stage_{re.sub(r'[^A-Za-z0-9]', '', run_id)[-16:]}_{self.table}"[:60]
+        # Repeated runs find their own staging table again; parallel targets have different ones.
+        stage = f"rt_stage_{zlib.crc32(run_id.encode()):08x}_{zlib.crc32(self.table.encode()):08x}"
         self._create_stage(stage, columns)
         try:
             numbered = df.withColumn(ROW_ID, F.monotonically_increasing_id())
@@ -93,7 +94,7 @@ class JdbcSink:
             .options(**self.connection.jdbc_options())
             .option("numPartitions", writers)
             .option("batchsize", self.batch)
-            .option("dbtable", dialects.quote(self.connection.type, stage))
+            .option("dbtable", dialects.table_name(self.connection, stage))
             .mode("append")
             .save()
         )

@@ -25,7 +25,7 @@ from rowtide.errors import ConfigError, RowtideError
 from rowtide.operators import upsert as U
 from rowtide.operators.mapping import project
 from rowtide.operators.ranking import dedup_last
-from rowtide.plans.sizing import broadcast_threshold
+from rowtide.plans.sizing import BROADCAST_ROWS, broadcast_threshold
 from rowtide.sources.storage import Storage
 
 CURRENT = "_CURRENT"
@@ -214,7 +214,7 @@ class PathSink:
         if rows:
             source = _read(self.spark, self.path, [batch], schema)
             if not self._change(before, source, rows, self._size(batch), run_id):
-                self._rewrite(before, source, self._size(batch), run_id)
+                self._rewrite(before, source, rows, self._size(batch), run_id)
         self.storage.delete(f"{self.path}/{batch}")
         return rows
 
@@ -235,15 +235,16 @@ class PathSink:
         if before.changes:
             changes = _read(self.spark, self.path, [before.changes], before.schema)
             known = _without(known, changes, self.keys).unionByName(changes)
-        merged = U.merge(known, source, self.keys, small_source=True)
+        # Both sides are small now; one join scans the target once.
+        merged = U.merge(known, source, self.keys, small_source=False)
         folder, _ = self._store(merged, self._folder("c", before, run_id))
         count = self._count(folder, before.schema)
         after = replace(before, changes=folder, changed_rows=count, keys=self.keys, run_id=run_id)
         self._commit(before, after)
         return True
 
-    def _rewrite(self, before: Version, source: DataFrame, size: int, run_id: str) -> None:
-        small = size <= broadcast_threshold(self.spark)
+    def _rewrite(self, before: Version, source: DataFrame, rows: int, size: int, run_id: str) -> None:
+        small = size <= broadcast_threshold(self.spark) and rows <= BROADCAST_ROWS
         merged = U.merge(_frame(self.spark, self.path, before), source, self.keys, small_source=small)
         folder, _ = self._store(merged, self._folder("m", before, run_id))
         self._commit(before, Version(0, (folder,), before.schema, run_id, self._size(folder)))

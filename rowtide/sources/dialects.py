@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from typing import Any
 
 from rowtide.functions.text import literal_text
+from rowtide.sources.connections import Connection
 
 
 def quote(dialect: str, name: str) -> str:
@@ -13,6 +14,12 @@ def quote(dialect: str, name: str) -> str:
     return mark + name.replace(mark, mark * 2) + mark
 
 
+def table_name(conn: Connection, table: str) -> str:
+    """A table for Spark's writer, whose Oracle sessions know nothing of a current schema."""
+    name = quote(conn.type, table)
+    return f"{quote(conn.type, conn.schema)}.{name}" if conn.type == "oracle" and conn.schema else name
+
+
 def literal(dialect: str, value: Any) -> str:
     """A value inside a statement.  MySQL also reads backslashes in text."""
     if dialect == "mysql" and isinstance(value, str):

@@ -34,11 +34,12 @@ def start(
         query = json.loads(Storage(runner.spark).read_text(f"{checkpoint}/metadata"))["id"]
         run_id = f"{query}-{batch_id:012d}"
         with Staging(runner.spark, run_id) as stage:
+            rows, marks = None, {}
             if job.state or any(s.name not in BUILTIN for s in job.etl):
                 batch = stage(batch)
-            runner.write(job, runner.plan(job, batch, stage), run_id)
+                rows, marks = read_marks(batch, job.tracked())
+            runner.write(job, runner.plan(job, batch, stage, rows), run_id)
             if job.state:
-                _, marks = read_marks(batch, job.tracked())
                 runner.store(job).commit(marks, run_id)
 
     writer = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)

@@ -106,9 +106,9 @@ def test_bound_queries_run(spark):
 
 
 def test_expand_env():
-    env = {"PW": "sekret"}
-    assert expand_env("${PW}", env) == "sekret" and expand_env("${env.PW}", env) == "sekret"
-    assert expand_env("x${NOT_SET_ANYWHERE}", env) == "x${NOT_SET_ANYWHERE}"
+    env = {"PW": "hidden"}
+    assert expand_env("${PW}", env) == "hidden" and expand_env("${env.PW}", env) == "hidden"
+    assert expand_env("x${UNSET}", env) == "x${UNSET}"
     assert expand_env("${open", env) == "${open"
 
 
@@ -125,16 +125,16 @@ connections:
 def test_connections():
     import yaml
 
-    conns = load_connections(yaml.safe_load(DOC), {"PW": "sekret"})
+    conns = load_connections(yaml.safe_load(DOC), {"PW": "hidden"})
     my, pg, ora = (conns[n].jdbc_options() for n in ("my", "pg", "ora"))
     assert my["url"] == "jdbc:mysql://h:3306/erp" and my["password"] == "123456"
     assert my["characterEncoding"] == "UTF-8" and my["sslMode"] == "REQUIRED" and my["numPartitions"] == "8"
-    assert pg["url"] == "jdbc:postgresql://localhost:5433/test" and pg["password"] == "sekret"
+    assert pg["url"] == "jdbc:postgresql://localhost:5433/test" and pg["password"] == "hidden"
     assert pg["currentSchema"] == "app" and pg["sslmode"] == "disable"
     assert ora["url"] == "jdbc:oracle:thin:@//o:1521/SVC"
     assert ora["sessionInitStatement"] == 'ALTER SESSION SET CURRENT_SCHEMA = "E""RP"'
     assert conns["lake"].path == "/data/lake" and not conns["lake"].is_database
-    assert "sekret" not in repr(conns) and "123456" not in repr(conns)
+    assert "hidden" not in repr(conns) and "123456" not in repr(conns)
 
 
 @pytest.mark.parametrize(
@@ -172,6 +172,12 @@ def test_upsert_statements():
     assert "NOT EXISTS" in keys["mysql"] and keys["postgresql"].endswith("DO NOTHING") and "UPDATE" not in keys["oracle"]
 
 
+def test_oracle_writes_name_their_schema():
+    ora = Connection.parse("o", {"type": "oracle", "schema": "ERP"})
+    assert D.table_name(ora, "t") == '"ERP"."t"'
+    assert D.table_name(Connection.parse("p", {"type": "postgresql", "schema": "app"}), "t") == '"t"'
+
+
 def test_reads_and_pages():
     assert D.select_sql("mysql", "t`x", ["a"], "a > 1") == "SELECT `a` FROM `t``x` WHERE a > 1"
     assert D.select_sql("oracle", "t") == 'SELECT * FROM "t"'
@@ -186,15 +192,15 @@ def test_reads_and_pages():
 # ---- jobs ------------------------------------------------------------------
 
 JOB = """
-name: user_sync
+name: people
 writers: 4
 source:
   connection: a
-  table: t_user
+  table: person
   primary_key: [id]
   columns: " id , name ,"
   where: id > ${state.max_id}
-target: {connection: b, table: sys_user, primary_key: id, columns: [id, userName], keys: {extra: "a,b"}}
+target: {connection: b, table: people, primary_key: id, columns: [id, label], keys: {extra: "a,b"}}
 sync:
   mode: UPSERT
   state:
@@ -208,11 +214,11 @@ schedule: {every: 10 seconds}
 def test_job_document():
     job = Job.from_yaml(JOB)
     assert job.source.columns == ("id", "name") and job.source.primary_key == ("id",)
-    assert job.target.columns == ("id", "userName") and job.target.keys_of("extra") == ("a", "b")
-    assert job.target.keys_of("sys_user") == ("id",) and job.target.keys_of("other") == ()
+    assert job.target.columns == ("id", "label") and job.target.keys_of("extra") == ("a", "b")
+    assert job.target.keys_of("people") == ("id",) and job.target.keys_of("other") == ()
     assert job.mode == "upsert" and job.tracked() == {"max_id": "id"} and job.writers == 4
     assert [s.name for s in job.etl] == ["cast"] and job.schedule == "10 seconds" and job.enabled
-    assert job.order_of("sys_user", ["id", "userName"]) == ()
+    assert job.order_of("people", ["id", "label"]) == ()
 
 
 def test_names():

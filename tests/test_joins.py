@@ -183,15 +183,15 @@ def test_split_step(spark):
         asked.append((connection, name, columns, key, rows(keys)))
         return items
 
-    ctx = StepContext(source_connection="mysql_prod", source_table="t_order", table=table)
+    ctx = StepContext(source_connection="shop", source_table="order_source", table=table)
     config = {
-        "detail_table": "order_item", "source_detail_table": "t_order_item", "detail_columns": ["item_id", "qty"],
+        "detail_table": "order_item", "source_detail_table": "item_source", "detail_columns": ["item_id", "qty"],
         "parent_key": "order_id", "child_key": "order_id", "keep": ["order_id", "user_id"],
     }
     out = step(config)(ctx, {"": orders})
     assert rows(out[""]) == [(None, 1), (7, 42)]
     assert rows(out["order_item"]) == [(1, 2), (2, 1)]
-    assert asked == [("mysql_prod", "t_order_item", ("order_id", "item_id", "qty"), "order_id", [(None,), (7,)])]
+    assert asked == [("shop", "item_source", ("order_id", "item_id", "qty"), "order_id", [(None,), (7,)])]
 
 
 def test_split_step_defaults_and_missing_parent(spark):

@@ -7,6 +7,7 @@ that is repeated after a failure has the same id, and its writes take effect onc
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rowtide.errors import ConfigError
 from rowtide.operators.watermark import read_marks
 from rowtide.plans.job import Job
-from rowtide.plans.runner import BUILTIN, Runner, Staging
+from rowtide.plans.runner import BUILTIN, Runner, RunResult, Staging
 from rowtide.sources.storage import Storage
 
 
@@ -45,3 +46,26 @@ def start(
     writer = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
+
+
+def poll(
+    runner: Runner,
+    job: Job,
+    checkpoint: str,
+    every: str,
+    done: Callable[[RunResult], None] | None = None,
+) -> StreamingQuery:
+    """Run the job again and again, for sources that are no streams.
+
+    Every trigger is one :meth:`Runner.run`, which reads above the stored marks.  Runs do
+    not overlap: a late one delays the next.  ``done`` gets each result.
+    """
+
+    def tick(_: DataFrame, __: int) -> None:
+        result = runner.run(job)
+        if done is not None:
+            done(result)
+
+    clock = runner.spark.readStream.format("rate").load()
+    writer = clock.writeStream.foreachBatch(tick).option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=every).start()

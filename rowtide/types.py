@@ -190,12 +190,3 @@ def lower_bound(dtype: T.DataType | None) -> Constant:
             return Constant("", T.StringType())
     return Constant(0, T.LongType())
 
-
-def lower_bound_for_native(native_type: str) -> Constant:
-    """First-run mark from a database's own type text (``varchar(64)``, ``datetime``)."""
-    text = native_type.lower()
-    if "time" in text or "date" in text:
-        return Constant(EPOCH, T.TimestampNTZType())
-    if any(part in text for part in ("char", "text", "string", "uuid", "clob")):
-        return Constant("", T.StringType())
-    return Constant(0, T.LongType())

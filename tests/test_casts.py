@@ -162,5 +162,3 @@ def test_lower_bounds():
     assert V.lower_bound(T.LongType()).value == 0 and V.lower_bound(None).value == 0
     assert V.lower_bound(T.StringType()).value == ""
     assert V.lower_bound(T.TimestampNTZType()).value == V.EPOCH
-    for native, want in {"varchar(64)": "", "datetime": V.EPOCH, "DATE": V.EPOCH, "uuid": "", "number(10,2)": 0, "clob": ""}.items():
-        assert V.lower_bound_for_native(native).value == want

@@ -414,6 +414,25 @@ def test_two_streams_into_one_target(spark, work):
     assert rows(P.read_target(spark, f"{work}/out/dst")) == [(1, "one"), (1, "two")]
 
 
+def test_poll(spark, work):
+    import time
+
+    run, seen = runner(spark, work), []
+    put(spark, work, [(1, "a", "2024-01-01 00:00:00")])
+    query = microbatch.poll(run, job(), work + "/check", "1 second", seen.append)
+    try:
+        deadline = time.monotonic() + 120
+        while not any(r.rows_read for r in seen) and time.monotonic() < deadline:
+            time.sleep(0.2)
+        put(spark, work, [(1, "a", "2024-01-01 00:00:00"), (2, "b", "2024-01-02 00:00:00")])
+        while sum(r.rows_read for r in seen) < 2 and time.monotonic() < deadline:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    assert [r.rows_read for r in seen if r.rows_read] == [1, 1]
+    assert rows(P.read_target(spark, f"{work}/out/dst")) == [(1, "a"), (2, "b")]
+
+
 def test_the_clock_follows_the_session(spark):
     from rowtide.plans.runner import session_now
 

@@ -24,7 +24,7 @@ from rowtide.sinks.catalog import CatalogSink
 from rowtide.sinks.jdbc import JdbcSink
 from rowtide.sinks.paths import PathSink
 from rowtide.sources import jdbc
-from rowtide.sources.storage import Storage, fresh_dir
+from rowtide.sources.storage import Staging
 from rowtide.sources.tables import Tables, scan
 
 
@@ -41,32 +41,6 @@ def session_now(spark: SparkSession) -> dt.datetime:
     return dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S.%f%z")
 
 
-@dataclass
-class Staging:
-    """Frames stored for the time of one run, in the folder that all executors share.
-
-    A stored frame is computed once, keeps its rows if executors are lost, and has a
-    size that the optimizer knows.
-    """
-
-    spark: SparkSession
-    run_id: str
-    made: list[str] = field(default_factory=list)
-
-    def __call__(self, df: DataFrame) -> DataFrame:
-        path = fresh_dir(self.spark, f"stage-{self.run_id}")
-        self.made.append(path)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def __enter__(self) -> Staging:
-        return self
-
-    def __exit__(self, *failure: object) -> None:
-        for path in self.made:
-            Storage(self.spark).delete(path)
-
-
 @dataclass
 class RunResult:
     """What one run did."""

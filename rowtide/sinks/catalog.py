@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowtide.errors import ConfigError
 from rowtide.operators.ranking import dedup_last
-from rowtide.sources.storage import Storage, fresh_dir
+from rowtide.sources.storage import Staging
 from rowtide.types import quoted
 
 
@@ -48,19 +48,17 @@ class CatalogSink:
         if mode == "upsert":
             df = dedup_last(df, self.keys, self.order)
         # Stored first: counted exactly, computed once, and a table may be its own source.
-        batch = fresh_dir(self.spark, f"batch-{run_id}")
-        df.write.parquet(batch)
-        stored = self.spark.read.schema(df.schema).parquet(batch)
-        # Several targets of one run may be written at the same time.
-        view = "rt_batch_" + uuid.uuid4().hex
-        stored.createOrReplaceTempView(view)
-        try:
-            if mode == "upsert":
-                self.spark.sql(merge_sql(self.table, view, stored.columns, self.keys))
-            else:
-                verb = "OVERWRITE" if mode == "full" else "INTO"
-                self.spark.sql(f"INSERT {verb} {self.table} BY NAME SELECT * FROM {view}")
-            return stored.count()
-        finally:
-            self.spark.catalog.dropTempView(view)
-            Storage(self.spark).delete(batch)
+        with Staging(self.spark, run_id) as stage:
+            stored = stage(df)
+            # Several targets of one run may be written at the same time.
+            view = "rt_batch_" + uuid.uuid4().hex
+            stored.createOrReplaceTempView(view)
+            try:
+                if mode == "upsert":
+                    self.spark.sql(merge_sql(self.table, view, stored.columns, self.keys))
+                else:
+                    verb = "OVERWRITE" if mode == "full" else "INTO"
+                    self.spark.sql(f"INSERT {verb} {self.table} BY NAME SELECT * FROM {view}")
+                return stored.count()
+            finally:
+                self.spark.catalog.dropTempView(view)

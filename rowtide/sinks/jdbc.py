@@ -20,6 +20,7 @@ from rowtide.operators.ranking import dedup_last
 from rowtide.operators.routing import route
 from rowtide.sources import dialects, jdbc
 from rowtide.sources.connections import Connection
+from rowtide.sources.storage import Staging
 
 BATCH_ROWS = 500
 ROW_ID = "rt_row_id"
@@ -60,13 +61,18 @@ class JdbcSink:
             raise ConfigError(f"upsert into {self.table!r} needs key columns")
         if mode == "upsert":
             df = dedup_last(df, self.keys, self.order)
+        # Stored first: a task that is repeated then sends the same rows in the same order,
+        # so that their numbers tell which of them a lost task had sent already.
+        with Staging(self.spark, run_id) as stage:
+            return self._write(stage(df), mode, run_id)
+
+    def _write(self, df: DataFrame, mode: str, run_id: str) -> int:
         columns = df.columns
         # Repeated runs find their own staging table again; parallel targets have different ones.
         stage = f"rt_stage_{zlib.crc32(run_id.encode()):08x}_{zlib.crc32(self.table.encode()):08x}"
         self._create_stage(stage, columns)
         try:
-            numbered = df.withColumn(ROW_ID, F.monotonically_increasing_id())
-            self._fill(numbered if mode != "upsert" else df, stage)
+            self._fill(df.withColumn(ROW_ID, F.monotonically_increasing_id()), stage)
             return self._apply(stage, columns, mode)
         finally:
             self._drop(stage)
@@ -103,14 +109,14 @@ class JdbcSink:
         dialect, table = self.connection.type, self.table
         change = [dialects.insert_sql(dialect, table, stage, columns, ROW_ID)]
         if mode == "upsert":
-            change = [dialects.upsert_sql(dialect, table, stage, columns, self.keys)]
+            change = [dialects.upsert_sql(dialect, table, stage, columns, self.keys, ROW_ID)]
         if mode == "full":
             # Emptied even when nothing arrives.
             change.insert(0, dialects.truncate_sql(dialect, table))
         # The staged rows go in the same transaction: if its answer gets lost, the next
         # attempt finds them gone and knows that it succeeded.
         change.append(dialects.delete_sql(dialect, stage))
-        counted = dialects.count_sql(dialect, stage, self.keys if mode == "upsert" else (ROW_ID,))
+        counted = dialects.count_sql(dialect, stage, ROW_ID)
         first: list[int] = []
 
         def run() -> int:

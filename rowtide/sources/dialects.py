@@ -56,46 +56,51 @@ def staging_sql(dialect: str, stage: str, target: str, columns: Sequence[str], r
     return f"CREATE TABLE {quote(dialect, stage)} AS {body} WHERE 1 = 0"
 
 
+def staged_sql(dialect: str, stage: str, columns: Sequence[str], row_id: str) -> str:
+    """The staged rows, one per row number: a task that was repeated may have sent some twice."""
+    cols, rid = ", ".join(quote(dialect, c) for c in columns), quote(dialect, row_id)
+    numbered = (
+        f"SELECT {cols}, row_number() OVER (PARTITION BY {rid} ORDER BY {rid}) AS rt_n FROM {quote(dialect, stage)}"
+    )
+    return f"SELECT {cols} FROM ({numbered}) rt_s WHERE rt_n = 1"
+
+
 def insert_sql(dialect: str, target: str, stage: str, columns: Sequence[str], row_id: str) -> str:
-    """All staged rows; one that a retried task wrote twice is taken once."""
     cols = ", ".join(quote(dialect, c) for c in columns)
-    rid = quote(dialect, row_id)
-    return (
-        f"INSERT INTO {quote(dialect, target)} ({cols}) "
-        f"SELECT {cols} FROM (SELECT DISTINCT {cols}, {rid} FROM {quote(dialect, stage)}) rt_s"
-    )
+    return f"INSERT INTO {quote(dialect, target)} ({cols}) {staged_sql(dialect, stage, columns, row_id)}"
 
 
-def upsert_sql(dialect: str, target: str, stage: str, columns: Sequence[str], keys: Sequence[str]) -> str:
+def upsert_sql(
+    dialect: str, target: str, stage: str, columns: Sequence[str], keys: Sequence[str], row_id: str
+) -> str:
     """One statement that merges the staged rows into the target by ``keys``."""
-    q = [quote(dialect, c) for c in columns]
+    insert = insert_sql(dialect, target, stage, columns, row_id)
     values = [quote(dialect, c) for c in columns if c not in keys]
-    key_q = [quote(dialect, k) for k in keys]
-    tgt, src = quote(dialect, target), quote(dialect, stage)
-    cols = ", ".join(q)
-    rows = f"SELECT DISTINCT {cols} FROM {src}"
+    key_names = [quote(dialect, k) for k in keys]
     if dialect == "postgresql":
-        action = (
-            "DO UPDATE SET " + ", ".join(f"{c} = EXCLUDED.{c}" for c in values) if values else "DO NOTHING"
-        )
-        return f"INSERT INTO {tgt} ({cols}) {rows} ON CONFLICT ({', '.join(key_q)}) {action}"
+        sets = ", ".join(f"{c} = EXCLUDED.{c}" for c in values)
+        return f"{insert} ON CONFLICT ({', '.join(key_names)}) " + (f"DO UPDATE SET {sets}" if sets else "DO NOTHING")
+    same = " AND ".join(f"t.{k} = s.{k}" for k in key_names)
+    rows, tgt = staged_sql(dialect, stage, columns, row_id), quote(dialect, target)
+    names = [quote(dialect, c) for c in columns]
+    cols = ", ".join(names)
     if dialect == "mysql":
         if values:
-            sets = ", ".join(f"{c} = VALUES({c})" for c in values)
-            return f"INSERT INTO {tgt} ({cols}) {rows} ON DUPLICATE KEY UPDATE {sets}"
-        same = " AND ".join(f"t.{k} = s.{k}" for k in key_q)
-        return f"INSERT INTO {tgt} ({cols}) SELECT {cols} FROM ({rows}) s WHERE NOT EXISTS (SELECT 1 FROM {tgt} t WHERE {same})"
-    on = " AND ".join(f"t.{k} = s.{k}" for k in key_q)
-    sql = f"MERGE INTO {tgt} t USING ({rows}) s ON ({on})"
-    if values:
-        sql += " WHEN MATCHED THEN UPDATE SET " + ", ".join(f"t.{c} = s.{c}" for c in values)
-    return f"{sql} WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({', '.join(f's.{c}' for c in q)})"
-
-
-def count_sql(dialect: str, stage: str, by: Sequence[str]) -> str:
+            return f"{insert} ON DUPLICATE KEY UPDATE " + ", ".join(f"{c} = VALUES({c})" for c in values)
+        missing = f"NOT EXISTS (SELECT 1 FROM {tgt} t WHERE {same})"
+        return f"INSERT INTO {tgt} ({cols}) SELECT {cols} FROM ({rows}) s WHERE {missing}"
+    update = ", ".join(f"t.{c} = s.{c}" for c in values)
+    matched = f" WHEN MATCHED THEN UPDATE SET {update}" if update else ""
+    sent = ", ".join(f"s.{c}" for c in names)
+    return (
+        f"MERGE INTO {tgt} t USING ({rows}) s ON ({same}){matched} "
+        f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({sent})"
+    )
+
+
+def count_sql(dialect: str, stage: str, row_id: str) -> str:
     """Staged rows, each counted once."""
-    cols = ", ".join(quote(dialect, c) for c in by)
-    return f"SELECT count(*) FROM (SELECT DISTINCT {cols} FROM {quote(dialect, stage)}) rt_s"
+    return f"SELECT count(*) FROM (SELECT DISTINCT {quote(dialect, row_id)} FROM {quote(dialect, stage)}) rt_s"
 
 
 def delete_sql(dialect: str, table: str) -> str:

@@ -6,8 +6,9 @@ Only metadata goes through here; table data is read and written by executors.
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 class Storage:
@@ -89,3 +90,29 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared scratch folder."""
     return f"{scratch_root(spark)}/rowtide/{name}-{uuid.uuid4().hex}"
+
+
+@dataclass
+class Staging:
+    """Frames stored for the time of one run, in the folder that all executors share.
+
+    A stored frame is computed once, keeps its rows if executors are lost, and has a
+    size that the optimizer knows.
+    """
+
+    spark: SparkSession
+    run_id: str
+    made: list[str] = field(default_factory=list)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = fresh_dir(self.spark, f"stage-{self.run_id}")
+        self.made.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        for path in self.made:
+            Storage(self.spark).delete(path)

@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from rowtide.errors import ConfigError
 from rowtide.operators.watermark import read_marks
 from rowtide.plans.job import Job
-from rowtide.plans.runner import BUILTIN, Runner, RunResult, Staging
-from rowtide.sources.storage import Storage
+from rowtide.plans.runner import BUILTIN, Runner, RunResult
+from rowtide.sources.storage import Staging, Storage
 
 
 def start(

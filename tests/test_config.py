@@ -157,21 +157,38 @@ def test_bad_charset_and_document():
 
 
 def test_upsert_statements():
-    sql = {d: D.upsert_sql(d, "t", "s", ["id", "a"], ["id"]) for d in ("mysql", "postgresql", "oracle")}
+    sql = {d: D.upsert_sql(d, "t", "s", ["id", "a"], ["id"], "r") for d in ("mysql", "postgresql", "oracle")}
+    rows = (
+        'SELECT "id", "a" FROM (SELECT "id", "a", row_number() OVER (PARTITION BY "r" ORDER BY "r") AS rt_n '
+        'FROM "s") rt_s WHERE rt_n = 1'
+    )
     assert sql["mysql"] == (
-        "INSERT INTO `t` (`id`, `a`) SELECT DISTINCT `id`, `a` FROM `s` ON DUPLICATE KEY UPDATE `a` = VALUES(`a`)"
+        f"INSERT INTO `t` (`id`, `a`) {rows.replace(chr(34), '`')} ON DUPLICATE KEY UPDATE `a` = VALUES(`a`)"
     )
     assert sql["postgresql"] == (
-        'INSERT INTO "t" ("id", "a") SELECT DISTINCT "id", "a" FROM "s" ON CONFLICT ("id") DO UPDATE SET "a" = EXCLUDED."a"'
+        f'INSERT INTO "t" ("id", "a") {rows} ON CONFLICT ("id") DO UPDATE SET "a" = EXCLUDED."a"'
     )
     assert sql["oracle"] == (
-        'MERGE INTO "t" t USING (SELECT DISTINCT "id", "a" FROM "s") s ON (t."id" = s."id") '
+        f'MERGE INTO "t" t USING ({rows}) s ON (t."id" = s."id") '
         'WHEN MATCHED THEN UPDATE SET t."a" = s."a" WHEN NOT MATCHED THEN INSERT ("id", "a") VALUES (s."id", s."a")'
     )
-    keys = {d: D.upsert_sql(d, "t", "s", ["id"], ["id"]) for d in ("mysql", "postgresql", "oracle")}
+    keys = {d: D.upsert_sql(d, "t", "s", ["id"], ["id"], "r") for d in ("mysql", "postgresql", "oracle")}
     assert "NOT EXISTS" in keys["mysql"] and keys["postgresql"].endswith("DO NOTHING") and "UPDATE" not in keys["oracle"]
 
 
+def test_oracle_upsert_means_what_it_says():
+    """The MERGE form, in DuckDB, which wants the updated column unqualified."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute('CREATE TABLE t (id BIGINT, a VARCHAR); CREATE TABLE s (id BIGINT, a VARCHAR, r BIGINT)')
+    con.execute("INSERT INTO t VALUES (1, 'x'), (2, 'y'); INSERT INTO s VALUES (2, 'z', 0), (3, 'n', 1), (3, 'n', 1)")
+    merge = D.upsert_sql("oracle", "t", "s", ["id", "a"], ["id"], "r").replace('SET t."a"', 'SET "a"')
+    for _ in range(2):
+        con.execute(merge)
+        assert con.execute("SELECT * FROM t ORDER BY id").fetchall() == [(1, "x"), (2, "z"), (3, "n")]
+
+
 def test_oracle_writes_name_their_schema():
     ora = Connection.parse("o", {"type": "oracle", "schema": "ERP"})
     assert D.table_name(ora, "t") == '"ERP"."t"'

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import threading
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -18,6 +20,8 @@ from rowtide.sources.storage import Storage
 
 # A page that ends beyond this row is located by counting, not by sorting everything.
 DEEP_PAGE = 100_000
+# Jobs of one session run side by side; each sees its own tables only.
+_VIEWS = threading.Lock()
 PAGE_CUTS = 1000
 
 
@@ -43,16 +47,31 @@ def select(
 ) -> DataFrame:
     """Any SELECT, with named or positional parameters.
 
-    ``tables`` become temporary views of the session first.
+    ``tables`` are visible to it as views, and to nothing else: names are resolved here
+    and now, and views of the session that have the same name come back afterwards.
     """
-    for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
     body = sql.strip().rstrip(";").strip()
     if not body:
         raise ConfigError("the select is empty")
-    if args is None:
-        return spark.sql(body)
-    return spark.sql(body, args=dict(args) if isinstance(args, Mapping) else list(args))
+    bound = None if args is None else dict(args) if isinstance(args, Mapping) else list(args)
+    if not tables:
+        return spark.sql(body, args=bound)
+    with _VIEWS:
+        hidden = {name: spark.table(name) for name in tables if _is_view(spark, name)}
+        try:
+            for name, df in tables.items():
+                df.createOrReplaceTempView(name)
+            return spark.sql(body, args=bound)
+        finally:
+            for name in tables:
+                if name in hidden:
+                    hidden[name].createOrReplaceTempView(name)
+                else:
+                    spark.catalog.dropTempView(name)
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
 
 
 def page(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFrame:
@@ -214,8 +233,6 @@ class Tables:
 
     def _tables_of(self, conn: Connection, sql: str) -> list[str]:
         """Tables of the folder whose name occurs in the text."""
-        import re
-
         head, _, tail = conn.pattern.partition("{table}")
         names = []
         for entry in Storage(self.spark).list(conn.path):

@@ -308,6 +308,24 @@ def test_custom_select(spark, work):
     assert run.run(doc, NOW).rows_read == 0
 
 
+def test_selects_side_by_side_see_their_own_tables(spark, work):
+    from concurrent.futures import ThreadPoolExecutor
+
+    for name, n in (("in", 3), ("out", 5)):
+        P.PathSink(spark, f"{work}/{name}/things").full(spark.range(n), "s")
+    tables = runner(spark, work).connections
+    spark.range(7).createOrReplaceTempView("things")
+
+    def count(name):
+        return tables.select(name, "SELECT count(*) FROM things").first()[0]
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(count, ["in", "out"] * 6)) == [3, 5] * 6
+    assert spark.table("things").count() == 7
+    spark.catalog.dropTempView("things")
+    assert count("in") == 3 and not spark.catalog.tableExists("things")
+
+
 def test_split_job(spark, work):
     run = runner(spark, work)
     put(spark, work, [(1, 10, 5.0), (2, 20, -1.0), (3, 30, 7.0)], "oid long, uid long, amount double", "orders")

@@ -60,15 +60,12 @@ def lookup(
     return joined.select(*[V.col(c) for c in df.columns], *[V.col(c) for c in wanted])
 
 
-def restrict(dim: DataFrame, where: str | Column, params: Mapping[str, object] | None = None) -> DataFrame:
-    """``dim`` under a condition; SQL text binds its named parameters."""
-    if isinstance(where, Column):
-        return dim.where(where)
-    if not params:
-        return dim.where(where)
-    return dim.sparkSession.sql(
-        f"SELECT * FROM {{dim}} WHERE {where}", args=dict(params), dim=dim
-    )
+def restrict(df: DataFrame, where: str | Column, params: Mapping[str, object] | None = None) -> DataFrame:
+    """``df`` under a condition; SQL text binds its named parameters."""
+    if isinstance(where, Column) or not params:
+        return df.where(where)
+    text = where.replace("{", "{{").replace("}", "}}")
+    return df.sparkSession.sql(f"SELECT * FROM {{df}} WHERE {text}", args=dict(params), df=df)
 
 
 def range_lookup(

@@ -183,6 +183,10 @@ class Runner:
                 # must come from the same rows.
                 df = stage(df)
             rows_read, marks = read_marks(df, job.tracked())
+            if not rows_read and job.mode != "full":
+                # Nothing new: no target is touched, and no other table read.
+                seconds = time.monotonic() - started
+                return RunResult(job.name, run_id, 0, 0, {job.target.table: 0}, store.load(), seconds)
             if not live and rows_read <= STAGED_ROWS and any(s.name not in BUILTIN for s in job.etl):
                 # The batch of an incremental run: its size becomes known to the lookups.
                 df = stage(df)

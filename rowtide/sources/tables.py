@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from rowtide import types as V
 from rowtide.errors import ConfigError
+from rowtide.operators.lookup import restrict
 from rowtide.sources import dialects, jdbc
 from rowtide.sources.connections import Connection
 from rowtide.sources.storage import Storage
@@ -32,10 +33,8 @@ def scan(
     args: Mapping[str, Any] | None = None,
 ) -> DataFrame:
     """``SELECT columns FROM df WHERE where``, with named parameters for SQL text."""
-    if isinstance(where, Column) or (where and not args):
-        df = df.where(where)
-    elif where:
-        df = df.sparkSession.sql(f"SELECT * FROM {{df}} WHERE {where}", args=dict(args), df=df)
+    if where is not None:
+        df = restrict(df, where, args)
     return df.select(*[V.col(c) for c in columns]) if columns else df
 
 

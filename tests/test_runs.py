@@ -262,6 +262,7 @@ def test_two_runs(spark, work):
     assert rows(P.read_target(spark, f"{work}/out/dst")) == [(1, "a"), (2, "B"), (3, "c")]
     three = run.run(job(), NOW)
     assert (three.rows_read, three.written) == (0, {"dst": 0})
+    assert three.marks == two.marks and "read 0 rows" in three.summary()
     run.reset_state(job())
     assert run.run(job(), NOW).rows_read == 3
 
@@ -352,6 +353,12 @@ def test_split_job(spark, work):
         run.run(keyless, NOW)
 
 
+def test_conditions_may_hold_braces(spark, work):
+    put(spark, work, [(1, "{x}", "2024-01-01 00:00:00"), (2, "y", "2024-01-02 00:00:00")])
+    doc = job(source={"connection": "in", "table": "src", "where": "t > ${state.m} AND a LIKE '{%}'", "columns": "id,a"})
+    assert runner(spark, work).run(doc, NOW).rows_read == 1
+
+
 def test_undeclared_state_and_unknown_connection(spark, work):
     run = runner(spark, work)
     put(spark, work, [(1, "a", "2024-01-01 00:00:00")])

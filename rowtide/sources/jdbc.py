@@ -125,7 +125,10 @@ def _read_parts(
     options = conn.jdbc_options()
     url = options.pop("url")
     options.pop("numPartitions")
-    return spark.read.jdbc(url, source, predicates=list(conditions), properties={**options, "fetchsize": str(fetch)})
+    properties = {**options, "fetchsize": str(fetch)}
+    parts = spark.read.jdbc(url, source, predicates=list(conditions), properties=properties)
+    # One list per query, but no more queries at a time than the connection allows.
+    return parts.coalesce(conn.max_pool_size)
 
 
 def can_slice(dtype: T.DataType | None) -> bool:

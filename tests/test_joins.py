@@ -334,3 +334,47 @@ def test_deep_pages_of_extreme_values(spark, monkeypatch):
     ordered = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     for offset in range(len(data)):
         assert [tuple(r) for r in page(df, ["k"], offset, 3).collect()] == ordered[offset : offset + 3]
+
+
+@pytest.fixture
+def skew_settings(spark):
+    """Adaptive skew handling at the scale of a test."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k in settings:
+        spark.conf.unset(k)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("limit", [None, 3])
+def test_a_crowded_lookup_key_is_split(spark, work, skew_settings, limit):
+    spark.range(60_000).selectExpr("IF(id % 3 = 0, 1, id % 500) AS ref", "uuid() AS payload").repartition(8).write.parquet(work + "/f")
+    spark.range(500).selectExpr("id", "id AS name").write.parquet(work + "/d")
+    facts, dim = spark.read.parquet(work + "/f"), spark.read.parquet(work + "/d")
+    out = L.lookup(facts, dim, {"ref": "id"}, ["name"], limit=limit)
+    out.write.format("noop").mode("overwrite").save()
+    got = out.groupBy("ref", "name").count()
+    assert got.where("name IS NULL OR name <> ref").count() == 0 and out.count() == 60_000
+    assert "skew=true" in _final_plan(out)
+
+
+def test_a_crowded_detail_key_is_split(spark, work, skew_settings):
+    spark.range(60_000).selectExpr("IF(id % 3 = 0, 1, id % 500) AS fk", "uuid() AS payload").repartition(8).write.parquet(work + "/d")
+    spark.range(500).selectExpr("id AS oid").write.parquet(work + "/p")
+    out = S.split_details(spark.read.parquet(work + "/p"), spark.read.parquet(work + "/d"), "oid", "fk", ["payload"], None)
+    assert "skew=true" in _final_plan(out)
+
+
+def _final_plan(df):
+    """The plan as adaptive execution ended up with it."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -41,7 +41,8 @@ def id_crc(column: str | Column = "doc_id") -> Column:
 
 def lower_ascii(column: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
-    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    slow = F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(F.length(column) == F.octet_length(column), F.lower(column)).otherwise(slow)
 
 
 def labelled_ids(labels: DataFrame, label: str, keep: Column, bound: int) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from rowtide.llm.decontaminate import OP9_SQL, op9_decontaminate
 from rowtide.llm.language import op1_language
 
 QUERIES = {
     "op1_language": op1_language,
+    "op9_decontaminate": op9_decontaminate,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_decontaminate": OP9_SQL,
+}

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from rowtide.llm.decontaminate import OP9_SQL, op9_decontaminate
 from rowtide.llm.language import op1_language
+from rowtide.llm.token_file import op7_token_file
 
 QUERIES = {
     "op1_language": op1_language,
+    "op7_token_file": op7_token_file,
     "op9_decontaminate": op9_decontaminate,
 }
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from rowtide.llm.decontaminate import OP9_SQL, op9_decontaminate
+from rowtide.llm.jaccard import op5_jaccard
 from rowtide.llm.language import op1_language
 from rowtide.llm.token_file import op7_token_file
 
 QUERIES = {
     "op1_language": op1_language,
+    "op5_jaccard": op5_jaccard,
     "op7_token_file": op7_token_file,
     "op9_decontaminate": op9_decontaminate,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from rowtide.llm.decontaminate import OP9_SQL, op9_decontaminate
 from rowtide.llm.jaccard import op5_jaccard
 from rowtide.llm.language import op1_language
+from rowtide.llm.neighbours import OP10_SQL, op10_neighbours
 from rowtide.llm.secrets import op2_secrets
 from rowtide.llm.token_file import op7_token_file
 from rowtide.llm.url_filter import OP3_SQL, op3_url_filter
@@ -16,9 +17,11 @@ QUERIES = {
     "op5_jaccard": op5_jaccard,
     "op7_token_file": op7_token_file,
     "op9_decontaminate": op9_decontaminate,
+    "op10_neighbours": op10_neighbours,
 }
 
 SQL: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op10_neighbours": OP10_SQL,
 }

@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.sources.storage import Storage, fresh_dir
 
-#: Characters handled at once inside a task; a longer text is one chunk of its own.
-CHUNK_CHARS = 2_000_000
+#: Bytes of text handled at once inside a task; a longer text is one chunk of its own.
+CHUNK_CHARS = 1_500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,18 +61,6 @@ def labelled_ids(labels: DataFrame, label: str, keep: Column, bound: int) -> Dat
     return parts[0].unionByName(parts[1])
 
 
-def chunks(texts: list[str | None], most: int = CHUNK_CHARS) -> Iterator[slice]:
-    """Slices of ``texts`` of about ``most`` characters."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= most:
-            yield slice(start, i + 1)
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
-
-
 class Index(dict):
     """Numbers words in order of appearance."""
 
@@ -160,6 +149,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Arrow batches in pieces of bounded text, each with its texts (column ``text``)."""
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for part in chunks(texts):
-            yield batch.slice(part.start, part.stop - part.start), texts[part]
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        whole = np.cumsum(sizes, dtype=np.int64) // CHUNK_CHARS
+        cuts = [0, *(np.flatnonzero(np.diff(whole)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            if end > start:
+                part = batch.slice(start, end - start)
+                yield part, part.column("text").to_pylist()

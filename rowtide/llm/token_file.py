@@ -18,6 +18,8 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from rowtide.sources.storage import fresh_dir
 
 SHARD_TOKENS = 1 << 20
 #: Distinct words that a worker remembers.
-WORDS = 500_000
+WORDS = 600_000
 SHARDS = "part int, start long, n_tokens long, doc_ids array<long>, lengths array<long>, matrix binary"
 ROWS = "part int, doc_id long, start long, n_tokens long, ids_crc32 long"
 WHITE = [c for c in map(chr, range(0x3001)) if c.isspace()]
@@ -74,29 +76,32 @@ class Encoder:
 
     def _learn(self, fresh: list) -> None:
         """Ids of new words: strings follow a space, a 1-tuple stands at the start, () is the end."""
-        lengths, parts = np.zeros(len(fresh), np.int64), [np.zeros(0, self.kind)] * len(fresh)
-        joined, alone = [], []
-        for i, w in enumerate(fresh):
-            (joined if isinstance(w, str) and w and not w[-1].isspace() else alone).append(i)
-        runs = [joined[i : i + 200] for i in range(0, len(joined), 200)]
-        for run, ids in zip(runs, self._library(["".join(f" {fresh[i]}" for i in run) for run in runs]), strict=True):
-            ids = np.array(ids, self.kind)
-            cuts = np.append(np.flatnonzero(self.opens[ids]), len(ids))
-            for n, i in enumerate(run):
-                parts[i] = ids[cuts[n] : cuts[n + 1]]
-        texts = [f" {fresh[i]}" if isinstance(fresh[i], str) else "".join(fresh[i]) for i in alone]
-        for i, ids in zip(alone, self._library(texts), strict=True):
-            parts[i] = np.array([self.end] if fresh[i] == () else ids, self.kind)
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-        made = np.concatenate(parts)
-        if self.used + len(made) > len(self.flat):
-            grown = np.zeros(max(2 * len(self.flat), self.used + len(made)), self.kind)
+        first = len(self.starts)
+        self.starts = np.concatenate([self.starts, np.zeros(len(fresh), np.int64)])
+        self.lengths = np.concatenate([self.lengths, np.zeros(len(fresh), np.int64)])
+        joined = [i for i, w in enumerate(fresh) if isinstance(w, str) and w and not w[-1].isspace()]
+        for at in range(0, len(joined), 4000):
+            group = joined[at : at + 4000]
+            runs = ["".join([f" {fresh[i]}" for i in group[j : j + 200]]) for j in range(0, len(group), 200)]
+            ids = np.fromiter(chain.from_iterable(self._library(runs)), self.kind)
+            cuts = np.flatnonzero(self.opens[ids])
+            self.starts[first + np.array(group)] = self.used + cuts
+            self.lengths[first + np.array(group)] = np.diff(cuts, append=len(ids))
+            self._keep(ids)
+        others = set(range(len(fresh))).difference(joined)
+        for i in sorted(others):
+            w = fresh[i]
+            ids = [self.end] if w == () else self._library([f" {w}" if isinstance(w, str) else w[0]])[0]
+            self.starts[first + i], self.lengths[first + i] = self.used, len(ids)
+            self._keep(np.array(ids, self.kind))
+
+    def _keep(self, ids: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.flat):
+            grown = np.zeros(max(2 * len(self.flat), self.used + len(ids)), self.kind)
             grown[: self.used] = self.flat[: self.used]
             self.flat = grown
-        self.flat[self.used : self.used + len(made)] = made
-        self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.used += len(made)
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
 
     def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.index) > WORDS:
@@ -144,6 +149,12 @@ class Encoder:
         return np.concatenate(ids), np.concatenate(counts)
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str, end: int) -> Encoder:
+    """A worker's encoder; the words it has met serve its later tasks too."""
+    return Encoder(path, end)
+
+
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end: int = 0, shard_tokens: int = SHARD_TOKENS) -> None:
     """Encode ``docs`` (doc_id, text) and write shards in order of doc_id to the table at ``path``."""
 
@@ -152,7 +163,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end: int = 0, shard
         return pa.RecordBatch.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("matrix", pa.binary())]))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, start = Encoder(tokenizer, end), TaskContext.get().partitionId(), 0
+        encoder, part, start = encoder_of(tokenizer, end), TaskContext.get().partitionId(), 0
         doc_ids, ids, lengths, held = [], [], [], 0
         for batch, texts in batches_of(batches):
             more, counts = encoder.encode([t or "" for t in texts])

@@ -6,6 +6,7 @@ from rowtide.llm.decontaminate import OP9_SQL, op9_decontaminate
 from rowtide.llm.jaccard import op5_jaccard
 from rowtide.llm.language import op1_language
 from rowtide.llm.neighbours import OP10_SQL, op10_neighbours
+from rowtide.llm.quality import op4_quality
 from rowtide.llm.secrets import op2_secrets
 from rowtide.llm.token_file import op7_token_file
 from rowtide.llm.url_filter import OP3_SQL, op3_url_filter
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_language": op1_language,
     "op2_secrets": op2_secrets,
     "op3_url_filter": op3_url_filter,
+    "op4_quality": op4_quality,
     "op5_jaccard": op5_jaccard,
     "op7_token_file": op7_token_file,
     "op9_decontaminate": op9_decontaminate,

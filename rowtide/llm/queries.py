@@ -9,6 +9,7 @@ from rowtide.llm.neighbours import OP10_SQL, op10_neighbours
 from rowtide.llm.quality import op4_quality
 from rowtide.llm.secrets import op2_secrets
 from rowtide.llm.token_file import op7_token_file
+from rowtide.llm.toxicity import op8_toxicity
 from rowtide.llm.url_filter import OP3_SQL, op3_url_filter
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_jaccard": op5_jaccard,
     "op7_token_file": op7_token_file,
+    "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_neighbours": op10_neighbours,
 }

@@ -41,6 +41,10 @@ def words(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(lower_ascii(text), NOT_WORD), ""), F.array().cast("array<string>"))
 
 
+def document_key() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value``, evaluated once and kept as an object.
 
@@ -100,12 +104,15 @@ def around(length: int, back: int, w: Column) -> Column:
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each document."""
+    """key, doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each document.
+
+    ``key`` is the hash of id and text by which a document is known here.
+    """
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("words")).where(F.size("words") > 0)
     items = stored(items, "items")
     # At most WINDOW lengths.
     lengths = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(WINDOW))).distinct().collect())
-    keyed = documents.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
+    keyed = documents.select(document_key().alias("key"), "doc_id", "text")
     # Without items the pass still counts words.
     parts = {}
     for length in lengths or [WINDOW]:
@@ -146,6 +153,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     n_hit = F.coalesce("hit", F.lit(0).cast("long"))
     names = F.coalesce("items", F.array().cast("array<string>"))
     return every.join(judged, "key", "left").select(
+        "key",
         "doc_id",
         F.col("n_words").cast("long").alias("n_words"),
         n_hit.alias("n_hit"),
@@ -157,7 +165,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def op9_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
 
 
 OP9_SQL = r"""

@@ -6,6 +6,7 @@ from rowtide.llm.decontaminate import OP9_SQL, op9_decontaminate
 from rowtide.llm.jaccard import op5_jaccard
 from rowtide.llm.language import op1_language
 from rowtide.llm.neighbours import OP10_SQL, op10_neighbours
+from rowtide.llm.pieces import op6_pieces
 from rowtide.llm.quality import op4_quality
 from rowtide.llm.secrets import op2_secrets
 from rowtide.llm.token_file import op7_token_file
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
     "op5_jaccard": op5_jaccard,
+    "op6_pieces": op6_pieces,
     "op7_token_file": op7_token_file,
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,

@@ -112,8 +112,9 @@ def scan(docs: DataFrame, ratio: list[float], threshold: float = 12.0, per_chara
     return with_base.withColumn("added", F.filter("added", apart))
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """``text`` with every span replaced by a mark; overlapping spans become one."""
+def redacted(raw: Column, spans: Column) -> Column:
+    """A text with every span replaced by a mark; overlapping spans become one."""
+    text = F.coalesce(raw, F.lit(""))
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(done: Column, s: Column) -> Column:
@@ -123,7 +124,7 @@ def redacted(text: Column, spans: Column) -> Column:
 
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
     whole = F.aggregate(ordered, begin, step, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    return F.when(F.size(spans) > 0, whole).otherwise(raw)
 
 
 def described(spans: Column) -> Column:

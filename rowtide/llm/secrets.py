@@ -94,7 +94,7 @@ def matches(text: Column, kind: str, pattern: str, keep) -> Column:
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(NO_SPANS))
 
 
-def scan(docs: DataFrame, ratio: list[float], threshold: float = 12.0, per_character: float = 0.4) -> DataFrame:
+def scan(docs: DataFrame, ratio: list[float], threshold: float = 8.0, per_character: float = 0.15) -> DataFrame:
     """``docs`` plus ``base`` and ``added``: arrays of (kind, start, end), each in order of start."""
     text = F.coalesce("text", F.lit(""))
     table_ = F.split(F.lit(",".join(f"{x:.4f}" for x in ratio)), ",").cast("array<double>")

@@ -21,10 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df``, written to the folder all executors share and read back: lineage ends there."""
+def stored(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+    """``df``, written to the folder all executors share and read back: lineage ends there.
+
+    ``tasks``: of how many files at most, where few rows are known to come.
+    """
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(tasks) if tasks else df).write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.stored_at = path
     return back
@@ -74,6 +77,20 @@ class Index(dict):
         return n
 
 
+def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as counted, one after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
+
+
+def busiest(hits: np.ndarray, most: int) -> np.ndarray:
+    """Ascending places of at most ``most`` numbers: those of two or more, the largest first."""
+    at = np.flatnonzero(hits >= 2)
+    if len(at) > most:
+        at = at[np.argpartition(-hits[at], most)[:most]]
+    return np.sort(at)
+
+
 class WordTable:
     """One row of numbers per distinct word, computed when the word is first met.
 

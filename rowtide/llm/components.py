@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from rowtide.llm.common import forget, stored
 
+#: Edges to a file between steps.
+FILE_EDGES = 500_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -27,23 +30,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return rest.unionByName(least.select(F.col("m").alias("a"), "b")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, tasks: int | None = None) -> DataFrame:
     """(id, component_id) of every id in ``edges`` (a, b: long); component_id is the least id connected.
 
-    Edges may repeat, stand in either direction or join an id to itself; rows with nulls are
+    ``tasks``: for reading ``edges``, where few are known to come.  Edges may repeat, stand in either direction or join an id to itself; rows with nulls are
     ignored.  Ids that no edge names have no row.
     """
     at = edges.where("a is not null and b is not null and a <> b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     )
-    now = stored(at.distinct(), "edges")
+    now = stored(at.distinct(), "edges", tasks)
 
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
 
     before = state(now)
     while before[0]:
-        after = stored(_small_star(_large_star(now)), "edges")
+        after = stored(_small_star(_large_star(now)), "edges", 1 + before[0] // FILE_EDGES)
         forget(now)
         now, then = after, state(after)
         if then == before:

@@ -9,11 +9,10 @@
    that are similar enough share an n-gram among their first n - ceil(0.8 n) + 1.  N-grams of
    one set cannot match, so only the frequent rest of a prefix is kept; most sets keep none.
 3. *Candidates.*  Sets equal in all batches become one node.  Nodes meet at shared prefix
-   n-grams, under a length and a positional filter, first only with the least and then with
-   the greatest node of each n-gram; every candidate pair is verified once, by a suffix filter and
-   then by intersection.  Then all pairs at n-grams whose nodes are not yet in one component
-   are verified, so no connection is missed, and a large group of near copies does not emit
-   all its pairs.
+   n-grams, under a length and a positional filter, first only with the least node of each
+   n-gram; every candidate pair is verified once, by intersection.  Then all pairs at n-grams
+   whose nodes are not yet in one component, under a suffix filter too, are verified, so no
+   connection is missed, and a large group of near copies does not emit all its pairs.
 
 The result has one row per input row.  Null text and text without words have no n-grams,
 n_shingles 0 and themselves as component.  With fewer than n words the whole sequence is one
@@ -40,9 +39,31 @@ from rowtide.llm.components import components
 #: n-grams of a batch and of a bucket, as far as the corpus is small.
 BATCH_GRAMS = 1_000_000
 SENT = "bucket int, batch int, grams binary, repeated binary, counts binary"
-KNOWN = "batch int, grams binary, counts binary"
-SETS = "doc_id long, n_shingles long, node long, digest binary, grams array<long>, places array<int>, members binary"
+KNOWN = "batch int, bucket int, grams binary, counts binary"
+SETS = "doc_id long, n_shingles long, node long, digest binary, grams array<long>, places array<int>, parity array<long>, members binary"
 WORD_LIMIT = 150_000
+#: Ranges of hashes that the suffix filter counts.
+PARTS = 1024
+#: Ids that are broadcast, at 16 bytes each.
+BROADCAST_ROWS = 1_000_000
+
+
+def packed(values: np.ndarray) -> bytes:
+    """32-bit numbers byte plane by byte plane: planes of small numbers compress to nothing."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def steps(ascending: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers by their differences."""
+    return packed(np.diff(ascending, prepend=ascending.dtype.type(0)))
+
+
+def climbed(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint32)
 
 
 class Shingler:
@@ -108,6 +129,12 @@ def distinct_sets(shingler: Shingler, got: pa.Table) -> tuple[list, list[np.ndar
     return ids, sets, owner, sizes
 
 
+def parity_of(own: np.ndarray) -> np.ndarray:
+    """One bit for each of PARTS ranges of the hashes: whether an odd number of members lies there."""
+    counts = np.bincount((own >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64), minlength=PARTS)
+    return np.packbits(counts & 1).view(np.int64)
+
+
 def prefix_length(n: np.ndarray) -> np.ndarray:
     """How many n-grams of a set may hold the first shared one."""
     return n - (4 * n + 4) // 5 + 1
@@ -119,14 +146,15 @@ def _send(n: int, buckets: int):
         _, sets, _, _ = distinct_sets(Shingler(n), got)
         grams, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
         bucket = (grams >> np.uint64(32)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
-        grams, counts, bucket = grams[order].astype(np.uint32), counts[order].astype(np.uint32), bucket[order].astype(np.int32)
+        low = grams.astype(np.uint32)
+        order = np.lexsort((low, bucket))
+        grams, counts, bucket = low[order], counts[order].astype(np.uint32), bucket[order].astype(np.int32)
         cuts = np.flatnonzero(np.diff(bucket)) + 1 if len(bucket) else []
         rows = []
         for at, g, c in zip(np.split(bucket, cuts), np.split(grams, cuts), np.split(counts, cuts), strict=True):
             if len(g):
                 many = np.flatnonzero(c > 1).astype(np.uint32)
-                rows.append({"bucket": int(at[0]), "batch": batch, "grams": g.tobytes(), "repeated": many.tobytes(), "counts": c[many].tobytes()})
+                rows.append({"bucket": int(at[0]), "batch": batch, "grams": steps(g), "repeated": packed(many), "counts": packed(c[many])})
         return pa.Table.from_pylist(rows, schema=pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("grams", pa.binary()), ("repeated", pa.binary()), ("counts", pa.binary())]))
 
     return send
@@ -134,13 +162,13 @@ def _send(n: int, buckets: int):
 
 def _add_up(got: pa.Table) -> pa.Table:
     """Totals of a bucket; each batch gets those of its n-grams that occur more than once."""
-    grams = [np.frombuffer(g, np.uint32) for g in got["grams"].to_pylist()]
+    grams = [climbed(g) for g in got["grams"].to_pylist()]
     sizes = np.array(list(map(len, grams)))
     every = np.concatenate(grams)
     counts = np.ones(len(every), np.int64)
     starts = np.cumsum(sizes) - sizes
     for start, many, c in zip(starts, got["repeated"].to_pylist(), got["counts"].to_pylist(), strict=True):
-        counts[start + np.frombuffer(many, np.uint32)] = np.frombuffer(c, np.uint32)
+        counts[start + unpacked(many)] = unpacked(c)
     known, inverse = np.unique(every, return_inverse=True)
     totals = np.bincount(inverse, weights=counts, minlength=len(known)).astype(np.int64)[inverse]
     bucket, rows = got["bucket"][0].as_py(), []
@@ -148,20 +176,21 @@ def _add_up(got: pa.Table) -> pa.Table:
         part = slice(start, start + size)
         keep = totals[part] > 1
         if keep.any():
-            key = np.uint64(bucket) << np.uint64(32) | every[part][keep].astype(np.uint64)
-            rows.append({"batch": batch, "grams": key.tobytes(), "counts": np.minimum(totals[part][keep], (1 << 32) - 1).astype(np.uint32).tobytes()})
-    return pa.Table.from_pylist(rows, schema=pa.schema([("batch", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())]))
+            most = np.minimum(totals[part][keep], (1 << 32) - 1).astype(np.uint32)
+            rows.append({"batch": batch, "bucket": bucket, "grams": steps(every[part][keep]), "counts": packed(most)})
+    return pa.Table.from_pylist(rows, schema=pa.schema([("batch", pa.int32()), ("bucket", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())]))
 
 
 def _prefixes(n: int, buckets: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("digest", pa.binary()), ("grams", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("members", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("digest", pa.binary()), ("grams", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("parity", pa.list_(pa.int64())), ("members", pa.binary())])
 
     def prefixes(got: pa.Table, answer: pa.Table) -> pa.Table:
         if not got.num_rows:
             return pa.Table.from_pylist([], schema=schema)
         ids, sets, owner, sizes = distinct_sets(Shingler(n), got)
-        keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(g, np.uint64) for g in answer["grams"].to_pylist())])
-        counts = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(c, np.uint32) for c in answer["counts"].to_pylist())])
+        parts = zip(answer["bucket"].to_pylist(), answer["grams"].to_pylist(), strict=True)
+        keys = np.concatenate([np.zeros(0, np.uint64), *(np.uint64(b) << np.uint64(32) | climbed(g).astype(np.uint64) for b, g in parts)])
+        counts = np.concatenate([np.zeros(0, np.uint32), *(unpacked(c) for c in answer["counts"].to_pylist())])
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order]
         nodes = [None] * len(sets)
@@ -180,14 +209,14 @@ def _prefixes(n: int, buckets: int):
             grams = own[shared]
             ranked = grams[np.lexsort((grams, counts[at[shared]]))][: length - alone]
             digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-            kept.append((digest, ranked.view(np.int64), np.arange(alone, alone + len(ranked), dtype=np.int32), own.tobytes()))
+            kept.append((digest, ranked.view(np.int64), np.arange(alone, alone + len(ranked), dtype=np.int32), parity_of(own), own.tobytes()))
         out, told = [], set()
         for i, at in enumerate(owner):
             row = {"doc_id": ids[i], "n_shingles": int(sizes[i]), "node": ids[i] if at < 0 else nodes[at]}
             if at >= 0 and at not in told and nodes[at] == ids[i]:
                 told.add(at)
                 if kept[at]:
-                    row |= dict(zip(("digest", "grams", "places", "members"), kept[at], strict=True))
+                    row |= dict(zip(("digest", "grams", "places", "parity", "members"), kept[at], strict=True))
             out.append(row)
         return pa.Table.from_pylist(out, schema=schema)
 
@@ -201,7 +230,8 @@ def document_sets(docs: DataFrame, n: int) -> DataFrame:
     grams = max(BATCH_GRAMS, math.isqrt(64 * (total // 6)))
     batches = max(1, math.ceil(total / 6 / grams))
     spread = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(batches)).cast("int")
-    dealt = docs.withColumn("batch", spread).repartition(batches, "batch")
+    # A few batches to a task: they come one after the other, and fewer files are written.
+    dealt = docs.withColumn("batch", spread).repartition(math.ceil(batches / 3), "batch")
     sent = dealt.groupBy("batch").applyInArrow(_send(n, batches), SENT)
     known = sent.groupBy("bucket").applyInArrow(_add_up, KNOWN)
     return dealt.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(_prefixes(n, batches), SETS)
@@ -217,19 +247,8 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted sets reach a Jaccard of 0.8, by a suffix filter and then exactly.
-
-    The filter cuts both sets at the same sixteen values; in each part the sizes differ by at
-    most as many members as the sets do.
-    """
-    least = -(-4 * (len(a) + len(b)) // 9)
-    most = len(a) + len(b) - 2 * least
-    bins = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
-    parts = [np.diff(np.searchsorted(s, bins), prepend=0, append=len(s)) for s in (a, b)]
-    parts = [np.concatenate([p[:-1], [len(s) - int(p[:-1].sum())]]) for p, s in zip(parts, (a, b), strict=True)]
-    if np.abs(parts[0] - parts[1]).sum() > most:
-        return False
-    return overlap(a, b) >= least
+    """Whether two sorted sets reach a Jaccard of 0.8."""
+    return 9 * overlap(a, b) >= 4 * (len(a) + len(b))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -241,9 +260,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = pa.array([similar(x, y) for x, y in zip(*own, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(keep)
 
+    few = pairs.count() <= BROADCAST_ROWS
+    near = F.broadcast if few else (lambda df: df)
     x = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
-    y = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    y = sets.select(F.col("node").alias("b"), F.col("members").alias("y")).join(near(pairs.select("b").distinct()), "b", "left_semi")
+    return x.join(near(pairs), "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
 
 
 def fits(a: str, b: str):
@@ -254,47 +275,48 @@ def fits(a: str, b: str):
     return length & (9 * most >= 4 * (na + nb))
 
 
+def close(a: str, b: str):
+    """The suffix filter: where the parity of a range differs, the sets differ by a member at least."""
+    x, y = F.col(f"{a}.parity"), F.col(f"{b}.parity")
+    apart = sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(1, PARTS // 64)), F.bit_count(F.get(x, F.lit(0)).bitwiseXOR(F.get(y, F.lit(0)))))
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return 9 * apart <= both
+
+
 def links(sets: DataFrame) -> DataFrame:
     """(id, component_id) of the nodes of ``sets`` that are linked with another."""
-    first = sets.where("digest is not null").groupBy("digest").agg(F.min("node").alias("node"))
-    nodes = stored(sets.where("digest is not null").select("node", "digest", "n_shingles", "grams", "places", "members").join(first, ["digest", "node"]).dropDuplicates(["digest", "node"]), "nodes")
+    # Answered from the files' footers; the number of tasks for what follows grows with it.
+    n = sets.count()
+    tasks = 1 + n // 20_000
+    first = stored(sets.where("digest is not null").groupBy("digest").agg(F.min("node").alias("node")), "first", tasks)
+    few = first.count() <= BROADCAST_ROWS
+    nodes = sets.where("digest is not null").join(F.broadcast(first) if few else first, ["digest", "node"], "left_semi")
     postings = stored(
         nodes.select("node", F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("grams", "places")).alias("at"))
         .select(F.col("at.grams").alias("gram"), F.struct("node", "n", F.col("at.places").alias("place")).alias("p")),
         "postings",
+        tasks,
     )
     # Copies in other batches, and rows that share an id, are connected by what they are.
     members = sets.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     copies = sets.where("digest is not null").select("digest", F.col("node").alias("a")).join(first.withColumnRenamed("node", "b"), "digest").where("a <> b").select("a", "b")
-    edges, tried, merged = stored(members.unionByName(copies), "links"), None, None
-    for pick in (F.min, F.max, None):
-        open_ = postings
-        if merged is not None:
-            # N-grams whose nodes are all connected have nothing more to tell.
-            named = postings.join(merged, F.col("p.node") == merged["id"], "left").select(
-                "gram", "p", F.coalesce("component_id", "p.node").alias("c")
-            )
-            mixed = named.groupBy("gram").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("gram")
-            open_ = stored(named.join(mixed, "gram"), "open")
-        if pick is not None:
-            hubs = open_.groupBy("gram").agg(pick("p").alias("q"))
-            pairs = open_.join(hubs, "gram").where((F.col("p.node") != F.col("q.node")) & fits("p", "q"))
-            if merged is not None:
-                hub = merged.select(F.col("id").alias("hub"), F.col("component_id").alias("d"))
-                pairs = pairs.join(hub, F.col("q.node") == F.col("hub"), "left").where(F.col("c") != F.coalesce("d", "q.node"))
-        else:
-            other = open_.select("gram", F.col("p").alias("q"), F.col("c").alias("d"))
-            pairs = open_.join(other, "gram").where((F.col("c") != F.col("d")) & (F.col("p.node") < F.col("q.node")) & fits("p", "q"))
-        pairs = pairs.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = stored(verified(pairs, nodes), "links")
-        edges = edges.unionByName(found)
-        if pick is F.min or not found.isEmpty():
-            merged = components(edges)
-    return merged
+    hubs = postings.groupBy("gram").agg(F.min("p").alias("q"))
+    met = postings.join(hubs, "gram").where((F.col("p.node") != F.col("q.node")) & fits("p", "q"))
+    stars = stored(met.select(F.col("q.node").alias("a"), F.col("p.node").alias("b")).distinct(), "pairs", tasks)
+    edges = members.unionByName(copies).unionByName(stored(verified(stars, nodes), "links", tasks))
+    merged = components(edges, tasks)
+    # N-grams whose nodes are all connected have nothing more to tell.
+    named = postings.join(merged, F.col("p.node") == merged["id"], "left").select("gram", "p", F.coalesce("component_id", "p.node").alias("c"))
+    mixed = named.groupBy("gram").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("gram")
+    rest = named.join(mixed, "gram").join(nodes.select(F.col("node").alias("owner"), "parity"), F.col("p.node") == F.col("owner"))
+    open_ = stored(rest.select("gram", F.col("p").withField("parity", F.col("parity")).alias("p"), "c"), "open", tasks)
+    other = open_.select("gram", F.col("p").alias("q"), F.col("c").alias("d"))
+    met = open_.join(other, "gram").where((F.col("c") != F.col("d")) & (F.col("p.node") < F.col("q.node")) & fits("p", "q") & close("p", "q"))
+    pairs = met.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    found = stored(verified(stored(pairs, "pairs", tasks), nodes), "links", tasks)
+    if found.isEmpty():
+        return merged
+    return components(edges.unionByName(found), tasks)
 
 
 def join_documents(docs: DataFrame, n: int = 5) -> DataFrame:

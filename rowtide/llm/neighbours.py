@@ -227,20 +227,20 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", column: str =
             if graph.where(F.col("age") == age).count() <= 0.001 * n * k:
                 break
         near = graph.where(F.col("sim") >= threshold).select("a", "b")
-        groups = components(near)
+        groups = components(near, 1 + n // 20_000)
         if not wanted:
             break
         sides = truth.join(groups.select(F.col("id").alias("a"), F.col("component_id").alias("ca")), "a", "left").join(groups.select(F.col("id").alias("b"), F.col("component_id").alias("cb")), "b", "left")
         found = sides.where("ca = cb").count()
         if found == wanted:
             break
-        groups = components(near.unionByName(truth.select("a", "b")))
+        groups = components(near.unionByName(truth.select("a", "b")), 1 + n // 20_000)
         if found >= recall * wanted or attempt == rounds - 1:
             break
         age += 1
         more = first_graph(nodes, n, attempt + 1, k, TABLES).withColumn("age", F.lit(age))
         graph = stored(best(graph.unionByName(more), k), "graph")
-    groups = stored(groups, "groups")
+    groups = stored(groups, "groups", 1 + n // 100_000)
     links = counted(groups, nodes, threshold)
     judged = nodes.join(groups, "id", "left").join(links, "id", "left").select(
         "vec", "dims", F.coalesce("component_id", "id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")

@@ -8,6 +8,7 @@ per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,11 +72,29 @@ def first_n(
 
 
 def dedup_last(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the last in ``order``, ties broken by the remaining columns."""
+    """One row per key: the last in ``order``, ties broken by the remaining columns.
+
+    A null in a key equals nothing, so every row with one stays.
+    """
     if not keys:
         raise ConfigError("last-wins needs key columns")
     by = [V.col(c).desc() for c in total_order(df, keys, order)]
     key_columns = [V.col(c) for c in keys]
+    alone = F.when(_lacks(keys), F.monotonically_increasing_id())
     if not by:
-        return df.distinct()
-    return _ranked(df, key_columns, by, 1)
+        return df.withColumn(_SALT, alone).distinct().drop(_SALT)
+    return _ranked(df.withColumn(_SALT, alone), [*key_columns, F.col(_SALT)], by, 1).drop(_SALT)
+
+
+def _lacks(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [V.col(k).isNull() for k in keys])
+
+
+def upsert_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The rows of an upsert, one per key.
+
+    A null key would be added again by every repetition of the upsert, so it is refused.
+    """
+    message = F.lit(f"an upsert needs values in its key columns {list(keys)}")
+    whole = F.coalesce(F.when(_lacks(keys), F.raise_error(message)).cast("boolean"), F.lit(True))
+    return dedup_last(df.where(whole), keys, order)

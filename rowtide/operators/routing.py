@@ -26,6 +26,11 @@ def fan_out(df: DataFrame, tables: Sequence[str], tag: str = TABLE_TAG) -> Branc
     return {t: df.where(V.col(tag) == t).select(*rest) for t in tables}
 
 
+def tagged_counts(df: DataFrame, tag: str = TABLE_TAG) -> DataFrame:
+    """Rows per target table of rows that carry their table's name, in one pass."""
+    return df.groupBy(V.col(tag).alias("target_table")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def table_counts(branches: Branches) -> DataFrame:
     """Rows per target table."""
     counts = [

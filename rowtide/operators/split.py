@@ -16,7 +16,6 @@ from rowtide.operators.ranking import first_n
 from rowtide.operators.steps import DEFAULT_TABLE, Branches, Step, StepContext, merge_branches, register_step
 from rowtide.plans.sizing import BROADCAST_ROWS, fits_broadcast
 
-DEFAULT_LIMIT = 1000
 # A parent repeated more often than this is spread over tasks before it is multiplied.
 HEAVY_PARENT = 1000
 _PARENT, _COPIES = "__parent", "__copies"
@@ -24,7 +23,7 @@ _PARENT, _COPIES = "__parent", "__copies"
 
 @dataclass(frozen=True)
 class SplitConfig:
-    """``limit`` is the most detail rows taken per parent, first in ``order``."""
+    """``limit`` is the most detail rows taken per parent, first in ``order``; None takes all."""
 
     detail_table: str
     parent_key: str
@@ -32,7 +31,7 @@ class SplitConfig:
     detail_columns: tuple[str, ...] = ()
     child_key: str = ""
     keep: tuple[str, ...] = ()
-    limit: int = DEFAULT_LIMIT
+    limit: int | None = None
     order: tuple[str, ...] = ()
 
     @staticmethod
@@ -42,8 +41,8 @@ class SplitConfig:
         for required in ("detail_table", "parent_key"):
             if not isinstance(raw.get(required), str) or not raw[required].strip():
                 raise ConfigError(f"order_split: {required} is required")
-        limit = raw.get("limit", DEFAULT_LIMIT)
-        if isinstance(limit, bool) or not isinstance(limit, int) or limit < 0:
+        limit = raw.get("limit")
+        if limit is not None and (isinstance(limit, bool) or not isinstance(limit, int) or limit < 0):
             raise ConfigError(f"order_split: bad limit {limit!r}")
         lists = {k: tuple(raw.get(k) or ()) for k in ("detail_columns", "keep", "order")}
         return SplitConfig(
@@ -67,12 +66,12 @@ def split_details(
     parent_key: str,
     child_key: str,
     columns: Sequence[str] = (),
-    limit: int | None = DEFAULT_LIMIT,
+    limit: int | None = None,
     order: Sequence[str] = (),
     unique_parents: bool = False,
     rows: int | None = None,
 ) -> DataFrame:
-    """The detail rows of ``parents``: at most ``limit`` per parent row.
+    """The detail rows of ``parents``: all, or at most ``limit`` per parent row.
 
     Detail rows carry only detail columns.  A null parent has none, a repeated parent
     repeats its rows.  The limit is applied to the details before the join, where it

@@ -153,7 +153,7 @@ def _source(job: str, raw: Any) -> Source:
     if select is not None and not str(select).strip():
         select = None
     if not table and select is None:
-        raise ConfigError(f"job {job!r}: source needs a 'table' or a non-empty 'select'")
+        raise ConfigError(f"job {job!r}: say what to read: source.table, or source.select with some text")
     where = raw.get("where")
     limit = raw.get("batch_limit")
     return Source(

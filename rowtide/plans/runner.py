@@ -28,11 +28,8 @@ from rowtide.sources.storage import Staging
 from rowtide.sources.tables import Tables, scan
 
 
-# Batches up to this size are stored before steps that look things up.
-STAGED_ROWS = 10_000_000
 # Targets of one run that are written at the same time.
 PARALLEL_TARGETS = 4
-BUILTIN = ("rename", "set", "filter", "cast", "provenance")
 
 
 def session_now(spark: SparkSession) -> dt.datetime:
@@ -54,11 +51,8 @@ class RunResult:
     seconds: float
 
     def summary(self) -> str:
-        per_table = ", ".join(f"{t}: {n}" for t, n in sorted(self.written.items()))
-        return (
-            f"job '{self.job}' finished: read {self.rows_read} rows, wrote {sum(self.written.values())} "
-            f"rows in {self.seconds * 1000:.1f}ms | etl={self.rows_read}->{self.rows_out} writes=[{per_table}]"
-        )
+        lines = [f"{self.job} ({self.run_id}), {self.seconds:.1f} s", f"  source rows   {self.rows_read}", f"  after steps   {self.rows_out}"]
+        return "\n".join([*lines, *[f"  into {t}   {n}" for t, n in sorted(self.written.items())]])
 
 
 @dataclass
@@ -177,23 +171,23 @@ class Runner:
         store = self.store(job)
         df = self.read(job, now, store.load())
         with Staging(self.spark, run_id) as stage:
-            live = self.connections.connection(job.source.connection).is_database
-            if live:
-                # A live table may change between two reads: marks, headers and details
-                # must come from the same rows.
-                df = stage(df)
+            # Stored once: the count, the marks and every target come from the same rows, also
+            # when the source changes meanwhile or its select is not repeatable.
+            df = stage(df)
             rows_read, marks = read_marks(df, job.tracked())
             if not rows_read and job.mode != "full":
                 # Nothing new: no target is touched, and no other table read.
                 seconds = time.monotonic() - started
                 return RunResult(job.name, run_id, 0, 0, {job.target.table: 0}, store.load(), seconds)
-            if not live and rows_read <= STAGED_ROWS and any(s.name not in BUILTIN for s in job.etl):
-                # The batch of an incremental run: its size becomes known to the lookups.
-                df = stage(df)
-            written = self.write(job, self.plan(job, df, stage, rows_read), run_id)
+            branches = self.plan(job, df, stage, rows_read)
+            written = self.write(job, branches, run_id)
+            rows_out = sum(written.values())
+            if job.mode == "upsert":
+                # Several rows of one key are one written row, but each is a row of the steps.
+                rows_out = sum(frame.count() for frame in branches.values())
             kept = store.commit(marks, run_id) if job.state else {}
         seconds = time.monotonic() - started
-        return RunResult(job.name, run_id, rows_read, sum(written.values()), written, kept, seconds)
+        return RunResult(job.name, run_id, rows_read, rows_out, written, kept, seconds)
 
     def write(self, job: Job, branches: Branches, run_id: str) -> dict[str, int]:
         """Write every branch to its table, side by side; rows written per table."""

@@ -210,10 +210,10 @@ def rename_chain(spark, sf):
     return E.rename(table(spark, sf, "customer"), items)
 
 
-@query("SELECT c_custkey, 'erp' AS app_id, CAST(7 AS BIGINT) AS batch_no, 'X' AS c_mktsegment FROM customer")
+@query("SELECT c_custkey, 'lake' AS origin, CAST(7 AS BIGINT) AS batch_no, 'X' AS c_mktsegment FROM customer")
 def set_constants(spark, sf):
     customer = M.keep_columns(table(spark, sf, "customer"), ["c_custkey", "c_mktsegment"])
-    return E.set_constants(customer, {"app_id": "erp", "batch_no": {"t": "Int", "v": 7}, "c_mktsegment": "X"})
+    return E.set_constants(customer, {"origin": "lake", "batch_no": {"t": "Int", "v": 7}, "c_mktsegment": "X"})
 
 
 @query("""
@@ -562,8 +562,7 @@ def union_normalise(spark, sf):
 def fanout_counts(spark, sf):
     tag = F.concat(F.lit("evt_"), F.col("event_type"))
     events = table(spark, sf, "events").select("event_id", tag.alias(E.TABLE_TAG))
-    tables = [r[0] for r in events.select(E.TABLE_TAG).distinct().collect()]
-    return R.table_counts(R.fan_out(events, sorted(tables)))
+    return R.tagged_counts(events)
 
 
 @query("""
@@ -710,7 +709,7 @@ def step_custom_tables(spark, sf):
 
 @query("""
     SELECT o_orderkey AS order_id, o_custkey AS user_id, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
-           'erp' AS app_id FROM orders WHERE o_totalprice >= 1000
+           'lake' AS origin FROM orders WHERE o_totalprice >= 1000
 """)
 def step_chain(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -722,7 +721,7 @@ def step_chain(spark, sf):
             {"from": "o_totalprice", "to": "amount"},
         ]}},
         {"cast": {"column": [{"name": "amount", "type": "decimal(18,2)"}]}},
-        {"set": {"constant": {"app_id": "erp"}}},
+        {"set": {"constant": {"origin": "lake"}}},
     ]
     steps = E.chain([E.StepSpec.parse(s).build() for s in specs])
     return steps(E.StepContext(), {"": orders})[""]
@@ -736,35 +735,38 @@ def provenance(spark, sf):
 
 # ---- the whole job ---------------------------------------------------------
 
-ORDER_JOB = {
-    "name": "orders_to_warehouse",
+SALES_JOB = {
+    "name": "sales_lake",
     "source": {
         "connection": "tpch",
         "table": "orders",
-        "where": "o_orderdate > ${state.max_created} or o_orderdate > ${sys.now('%Y-%m-%d %H:%M:%S') -30S}",
+        "where": "o_orderdate >= ${state.seen} or o_orderkey > ${state.top}",
         "primary_key": ["o_orderkey"],
-        "columns": "o_orderkey,o_custkey,o_totalprice,o_orderdate",
+        "columns": "o_orderkey,o_custkey,o_orderpriority,o_totalprice",
     },
     "target": {
-        "connection": "warehouse",
-        "table": "order",
-        "columns": "order_id,user_id,amount,created_time",
-        "primary_key": ["order_id"],
-        "keys": {"order_item": ["l_orderkey", "l_linenumber"]},
+        "connection": "lake",
+        "table": "sale",
+        "columns": "sale,buyer,urgency,total",
+        "primary_key": ["sale"],
+        "keys": {"sale_line": ["l_orderkey", "l_linenumber"]},
+    },
+    "sync": {
+        "mode": "upsert",
+        "state": {"seen": {"type": "max", "column": "o_orderdate"}, "top": {"type": "max", "column": "o_orderkey"}},
     },
-    "sync": {"mode": "upsert", "state": {"max_created": {"type": "max", "column": "o_orderdate"}}},
     "etl": [
-        {"cast": {"column": [{"name": "amount", "type": "decimal(18,2)"}]}},
-        {"filter": {"keep": "amount gte 0"}},
+        {"filter": {"drop": "urgency eq 5-LOW"}},
+        {"cast": {"column": [{"name": "total", "type": "decimal(16,3)"}, {"name": "buyer", "type": "string"}]}},
         {
             "plugin": "order_split",
             "config": {
-                "detail_table": "order_item",
+                "detail_table": "sale_line",
                 "source_detail_table": "lineitem",
-                "detail_columns": ["l_partkey", "l_quantity"],
-                "parent_key": "order_id",
+                "detail_columns": ["l_suppkey", "l_extendedprice"],
+                "parent_key": "sale",
                 "child_key": "l_orderkey",
-                "keep": ["order_id", "user_id", "amount"],
+                "keep": ["sale", "buyer", "total"],
             },
         },
     ],
@@ -772,24 +774,71 @@ ORDER_JOB = {
 
 
 @query("""
-    SELECT 'order' AS target_table, o_orderkey AS order_id, o_custkey AS user_id,
-           CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CAST(NULL AS BIGINT) AS product,
-           CAST(NULL AS DOUBLE) AS qty FROM orders WHERE o_totalprice >= 0
+    SELECT 'sale' AS target_table, o_orderkey AS sale, CAST(o_custkey AS VARCHAR) AS buyer,
+           CAST(o_totalprice AS DECIMAL(16,3)) AS total, CAST(NULL AS BIGINT) AS supplier,
+           CAST(NULL AS DOUBLE) AS price FROM orders WHERE o_orderpriority <> '5-LOW'
     UNION ALL
-    SELECT 'order_item', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DECIMAL(18,2)),
-           l_partkey, l_quantity
-    FROM orders JOIN (SELECT l_orderkey, l_partkey, l_quantity, row_number() OVER (
-            PARTITION BY l_orderkey ORDER BY l_partkey, l_quantity) AS rn FROM lineitem) x
-    ON l_orderkey = o_orderkey AND rn <= 1000 WHERE o_totalprice >= 0
+    SELECT 'sale_line', CAST(NULL AS BIGINT), NULL, CAST(NULL AS DECIMAL(16,3)), l_suppkey, l_extendedprice
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderpriority <> '5-LOW'
 """)
 def flagship_order_sync(spark, sf):
-    """The sample order job: both target tables of its plan, tagged and united."""
-    job, runner = Job.from_dict(ORDER_JOB), Runner(spark, given_tables(spark, sf), "unused")
+    """The sample job's first run: both target tables of its plan, tagged and united."""
+    job, runner = Job.from_dict(SALES_JOB), Runner(spark, given_tables(spark, sf), "unused")
     branches = runner.plan(job, runner.read(job, CLOCK, {}))
-    header = branches["order"].select(F.lit("order").alias("target_table"), "order_id", "user_id", "amount")
-    detail = branches["order_item"].select(
-        F.lit("order_item").alias("target_table"),
-        F.col("l_partkey").alias("product"),
-        F.col("l_quantity").alias("qty"),
+    header = branches["sale"].select(F.lit("sale").alias("target_table"), "sale", "buyer", "total")
+    lines = branches["sale_line"].select(
+        F.lit("sale_line").alias("target_table"),
+        F.col("l_suppkey").alias("supplier"),
+        F.col("l_extendedprice").alias("price"),
     )
-    return M.union_normalised([header, detail])
+    return M.union_normalised([header, lines])
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders")
+def incr_first_run_keys(spark, sf):
+    """A first run above an integer mark reads every order, key 0 too."""
+    doc = {"name": "first", "sync": {"mode": "append", "state": {"m": {"type": "max", "column": "o_orderkey"}}}}
+    doc["source"] = {"connection": "tpch", "table": "orders", "where": "o_orderkey > ${state.m}", "columns": "o_orderkey,o_custkey"}
+    doc["target"] = {"connection": "tpch", "table": "copy"}
+    return Runner(spark, given_tables(spark, sf), "unused").read(Job.from_dict(doc), CLOCK, {}).select("o_orderkey", "o_custkey")
+
+
+@query("""
+    SELECT c_custkey, c_name FROM customer
+    UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_acctbal >= 0
+""")
+def sink_append_replay(spark, sf):
+    """Each append counts once, also when it is repeated after compaction; '1' is not 'r-1'."""
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    sink = PathSink(spark, fresh_dir(spark, "sink-replay"))
+    every, some = customer.drop("c_acctbal"), customer.where("c_acctbal >= 0").drop("c_acctbal")
+    sink.append(every, "r-1")
+    sink.append(some, "1")
+    sink.compact("c")
+    sink.append(every, "r-1")
+    sink.append(some, "1")
+    return read_target(spark, sink.path)
+
+
+@query("""
+    SELECT event_id, k FROM (SELECT event_id, nullif(user_id % 7, 0) AS k,
+        row_number() OVER (PARTITION BY user_id % 7 ORDER BY event_id DESC) AS rn FROM events) x
+    WHERE rn = 1 OR k IS NULL
+""")
+def dedup_null_keys(spark, sf):
+    """The last event of each key; every event without a key."""
+    events = table(spark, sf, "events").selectExpr("event_id", "nullif(user_id % 7, 0) AS k")
+    return dedup_last(events, ["k"], ["event_id"])
+
+
+@query("""
+    SELECT k, v FROM (SELECT nullif(o_orderkey % 1000, 0) AS k, o_custkey AS v FROM orders WHERE o_orderkey < 1000) t
+    WHERE k IS NULL OR k > 500
+    UNION ALL SELECT CAST(o_orderkey AS BIGINT), -o_custkey FROM orders WHERE o_orderkey BETWEEN 1 AND 500
+""")
+def upsert_null_keys(spark, sf):
+    """A merge leaves target rows without a key alone."""
+    orders = table(spark, sf, "orders")
+    target = orders.where("o_orderkey < 1000").selectExpr("nullif(o_orderkey % 1000, 0) AS k", "o_custkey AS v")
+    source = orders.where("o_orderkey BETWEEN 1 AND 500").selectExpr("o_orderkey AS k", "-o_custkey AS v")
+    return U.merge(target, source, ["k"])

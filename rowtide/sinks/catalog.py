@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from rowtide.errors import ConfigError
-from rowtide.operators.ranking import dedup_last
+from rowtide.operators.ranking import upsert_rows
 from rowtide.sources.storage import Staging
 from rowtide.types import quoted
 
@@ -46,7 +46,7 @@ class CatalogSink:
         if mode not in ("full", "append", "upsert"):
             raise ConfigError(f"unknown sync mode {mode!r}")
         if mode == "upsert":
-            df = dedup_last(df, self.keys, self.order)
+            df = upsert_rows(df, self.keys, self.order)
         # Stored first: counted exactly, computed once, and a table may be its own source.
         with Staging(self.spark, run_id) as stage:
             stored = stage(df)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.errors import ConfigError
-from rowtide.operators.ranking import dedup_last
+from rowtide.operators.ranking import upsert_rows
 from rowtide.operators.routing import route
 from rowtide.sources import dialects, jdbc
 from rowtide.sources.connections import Connection
@@ -60,7 +60,7 @@ class JdbcSink:
         if mode == "upsert" and not self.keys:
             raise ConfigError(f"upsert into {self.table!r} needs key columns")
         if mode == "upsert":
-            df = dedup_last(df, self.keys, self.order)
+            df = upsert_rows(df, self.keys, self.order)
         # Stored first: a task that is repeated then sends the same rows in the same order,
         # so that their numbers tell which of them a lost task had sent already.
         with Staging(self.spark, run_id) as stage:

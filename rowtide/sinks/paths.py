@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from rowtide import types as V
 from rowtide.errors import ConfigError, RowtideError
 from rowtide.operators import upsert as U
 from rowtide.operators.mapping import project
-from rowtide.operators.ranking import dedup_last
+from rowtide.operators.ranking import upsert_rows
 from rowtide.plans.sizing import BROADCAST_ROWS, broadcast_threshold
 from rowtide.sources.storage import Storage
 
@@ -42,7 +42,8 @@ class Version:
     """What the pointer says.
 
     ``changes`` replaces rows of ``folders`` that have the same ``keys``; ``added`` came
-    later.  ``retired`` is what the version before still used.
+    later.  ``runs`` has the appends ever committed since the target was last replaced, and
+    their rows; it outlives compaction and merging.
     """
 
     serial: int
@@ -54,7 +55,7 @@ class Version:
     changed_rows: int = 0
     keys: tuple[str, ...] = ()
     added: tuple[str, ...] = ()
-    retired: tuple[str, ...] = ()
+    runs: dict[str, int] = field(default_factory=dict)
 
     @property
     def used(self) -> tuple[str, ...]:
@@ -66,7 +67,8 @@ class Version:
     @staticmethod
     def parse(text: str) -> Version:
         doc = json.loads(text)
-        lists = {k: tuple(doc[k]) for k in ("folders", "keys", "added", "retired")}
+        lists = {k: tuple(doc[k]) for k in ("folders", "keys", "added")}
+        doc.pop("retired", None)
         return Version(**{**doc, **lists, "schema": T.StructType.fromJson(doc["schema"])})
 
 
@@ -178,22 +180,24 @@ class PathSink:
         before = current_version(self.spark, self.path)
         if before is None:
             folder, schema = self._store(df, self._folder("a", None, run_id))
-            self._commit(None, Version(0, (folder,), schema, run_id, self._size(folder)))
-            return self._count(folder, schema)
-        done = [f for f in before.used if f.startswith("a-") and f.endswith(f"-{run_id}")]
-        if done:
-            return self._count(done[0], before.schema)
+            rows = self._count(folder, schema)
+            self._commit(None, Version(0, (folder,), schema, run_id, self._size(folder), runs={run_id: rows}))
+            return rows
+        if run_id in before.runs:
+            return before.runs[run_id]
         unknown = [c for c in df.columns if c not in before.schema.names]
         if unknown:
             raise ConfigError(f"append: {self.path} has no column(s) {unknown}")
         folder, _ = self._store(_conform(df, before.schema), self._folder("a", before, run_id))
+        rows = self._count(folder, before.schema)
+        runs = {**before.runs, run_id: rows}
         if before.changes:
-            after = replace(before, added=(*before.added, folder), run_id=run_id)
+            after = replace(before, added=(*before.added, folder), run_id=run_id, runs=runs)
         else:
             size = before.size + self._size(folder)
-            after = replace(before, folders=(*before.folders, folder), size=size, run_id=run_id)
+            after = replace(before, folders=(*before.folders, folder), size=size, run_id=run_id, runs=runs)
         self._commit(before, after)
-        return self._count(folder, before.schema)
+        return rows
 
     def upsert(self, df: DataFrame, run_id: str) -> int:
         """Merge by key; of several rows of one key the last in ``order`` counts.
@@ -205,7 +209,7 @@ class PathSink:
             raise ConfigError(f"upsert into {self.path} needs key columns")
         before = current_version(self.spark, self.path)
         batch, schema = self._store(
-            dedup_last(df, self.keys, self.order), self._folder("u", before, run_id)
+            upsert_rows(df, self.keys, self.order), self._folder("u", before, run_id)
         )
         rows = self._count(batch, schema)
         if before is None:
@@ -247,24 +251,25 @@ class PathSink:
         small = size <= broadcast_threshold(self.spark) and rows <= BROADCAST_ROWS
         merged = U.merge(_frame(self.spark, self.path, before), source, self.keys, small_source=small)
         folder, _ = self._store(merged, self._folder("m", before, run_id))
-        self._commit(before, Version(0, (folder,), before.schema, run_id, self._size(folder)))
+        self._commit(before, Version(0, (folder,), before.schema, run_id, self._size(folder), runs=before.runs))
 
     def compact(self, run_id: str) -> None:
         """Rewrite the target as one folder, after many appends or changes."""
         before = current_version(self.spark, self.path)
         if before is not None and len(before.used) > 1:
             folder, _ = self._store(_frame(self.spark, self.path, before), self._folder("m", before, run_id))
-            self._commit(before, Version(0, (folder,), before.schema, run_id, self._size(folder)))
+            self._commit(before, Version(0, (folder,), before.schema, run_id, self._size(folder), runs=before.runs))
 
-    def vacuum(self) -> None:
-        """Remove data folders that no pointer names, as dead runs leave them.
+    def vacuum(self, keep_hours: float = 168) -> None:
+        """Remove data folders that the pointer does not name and that are older than ``keep_hours``.
 
-        Not while another run writes.
+        Nothing else removes old versions: a reader may take so long, and so may a run that
+        still writes.
         """
         now = current_version(self.spark, self.path)
-        known = {CURRENT, *(now.used if now else ()), *(now.retired if now else ())}
+        known = {CURRENT, *(now.used if now else ())}
         for name in self.storage.list(self.path):
-            if name not in known:
+            if name not in known and self.storage.age(f"{self.path}/{name}") >= keep_hours * 3600:
                 self.storage.delete(f"{self.path}/{name}")
 
     @staticmethod
@@ -288,13 +293,8 @@ class PathSink:
         now = current_version(self.spark, self.path)
         if (now and now.serial) != (before and before.serial):
             raise RowtideError(f"{self.path} was written by another run meanwhile")
-        retired = tuple(f for f in (before.used if before else ()) if f not in after.used)
-        version = replace(after, serial=(before.serial if before else 0) + 1, retired=retired)
+        version = replace(after, serial=(before.serial if before else 0) + 1)
         self.storage.replace_text(f"{self.path}/{CURRENT}", version.text())
-        # Readers may still be busy with the last version; what it replaced can go.
-        for folder in before.retired if before else ():
-            if folder not in version.used:
-                self.storage.delete(f"{self.path}/{folder}")
 
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -5,6 +5,7 @@ Only metadata goes through here; table data is read and written by executors.
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -37,6 +38,11 @@ class Storage:
         """Bytes under ``path``."""
         return int(self._fs(path).getContentSummary(self._path(path)).getLength())
 
+    def age(self, path: str) -> float:
+        """Seconds since ``path`` itself was last changed."""
+        status = self._fs(path).getFileStatus(self._path(path))
+        return time.time() - status.getModificationTime() / 1000
+
     def make_dirs(self, path: str) -> None:
         self._fs(path).mkdirs(self._path(path))
 
@@ -73,12 +79,13 @@ class Storage:
 def scratch_root(spark: SparkSession) -> str:
     """A folder all executors share: the one the cluster names.
 
-    Sessions that name none are local tests, where a temporary folder is shared too.
+    Sessions that name none must run in one process, as tests do: there a temporary folder is
+    shared too.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     import tempfile
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import sys
 from dataclasses import dataclass
 from decimal import Decimal
 from typing import Any
@@ -180,13 +181,25 @@ def parse_moment(text: str) -> dt.datetime | None:
 
 
 def lower_bound(dtype: T.DataType | None) -> Constant:
-    """The mark of a first run: below every value, so that everything is read."""
+    """The mark of a first run: below the values of the type, so that ``> mark`` reads them.
+
+    Zero and negative numbers, old dates and every text but the empty one are read.  What is
+    the least of its type lies above no mark and is read by ``>=`` only: the least long,
+    double and decimal of 38 digits, the first instant of year 1, the empty text.
+    """
     if dtype is not None:
         kind = value_class(dtype)
         if kind == DATE:
-            value = EPOCH.date() if isinstance(dtype, T.DateType) else EPOCH
+            value = dt.date.min if isinstance(dtype, T.DateType) else dt.datetime.min
             return Constant(value, dtype)
         if kind in (TEXT, NULL):
             return Constant("", T.StringType())
-    return Constant(0, T.LongType())
+        if isinstance(dtype, (T.FloatType, T.DoubleType)):
+            return Constant(-sys.float_info.max, T.DoubleType())
+        if isinstance(dtype, T.DecimalType):
+            whole = dtype.precision - dtype.scale
+            if dtype.precision < 38:
+                return Constant(Decimal(-(10**whole)), T.DecimalType(whole + 1, 0))
+            return Constant(Decimal(1 - 10**whole), T.DecimalType(max(whole, 1), 0))
+    return Constant(-(2**63), T.LongType())
 

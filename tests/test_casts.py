@@ -159,6 +159,8 @@ def test_constants():
 
 
 def test_lower_bounds():
-    assert V.lower_bound(T.LongType()).value == 0 and V.lower_bound(None).value == 0
+    assert V.lower_bound(T.LongType()).value == V.lower_bound(None).value == -(2**63)
     assert V.lower_bound(T.StringType()).value == ""
-    assert V.lower_bound(T.TimestampNTZType()).value == V.EPOCH
+    assert V.lower_bound(T.TimestampNTZType()).value == dt.datetime.min
+    assert V.lower_bound(T.DecimalType(10, 2)) == V.Constant(Decimal(-(10**8)), T.DecimalType(9, 0))
+    assert V.lower_bound(T.DecimalType(38, 38)).value == 0 and V.lower_bound(T.DoubleType()).value < -1e308

@@ -36,11 +36,12 @@ MARKS = {
 
 
 def test_state_and_env():
-    t = template(MARKS, {"A_VAR": "hello", "T": "orders", "Q": "o'x"})
-    text = "id > ${state.max_id} and x = '${env.A_VAR}'"
-    assert t.render(text) == "id > 42 and x = 'hello'"
+    t = template(MARKS, {"REGION": "north", "T": "orders", "Q": "o'x"})
+    text = "region IN ('${env.REGION}', 'all') AND ticket >= ${state.max_id}"
+    assert t.render(text) == "region IN ('north', 'all') AND ticket >= 42"
     bound = t.bind(text)
-    assert bound.sql == "id > CAST(:state_max_id AS bigint) and x = 'hello'" and bound.args == {"state_max_id": "42"}
+    assert bound.sql == "region IN ('north', 'all') AND ticket >= CAST(:state_max_id AS bigint)"
+    assert bound.args == {"state_max_id": "42"}
     assert t.bind("select * from ${env.T}").sql == "select * from orders"
     assert t.bind("x = '${env.Q}'").sql == "x = 'o''x'"
     assert t.bind("x = ${env.Q}") .args == {"env_Q": "o'x"}

@@ -79,9 +79,35 @@ def test_old_versions_go_and_readers_keep_theirs(spark, work):
     reader = P.read_target(spark, work + "/t")
     sink.full(frame(spark, [(2, "a", "b")]), "r2")
     assert rows(reader) == [(1, "a", "b")]
-    for i in range(3, 6):
+    for i in range(3, 8):
         sink.full(frame(spark, [(i, "a", "b")]), f"r{i}")
-    assert len([n for n in Storage(spark).list(work + "/t") if n.startswith("f-")]) == 2
+        assert rows(reader) == [(1, "a", "b")]
+    sink.vacuum()
+    assert rows(reader) == [(1, "a", "b")]
+    sink.vacuum(keep_hours=0)
+    assert len([n for n in Storage(spark).list(work + "/t") if n.startswith("f-")]) == 1
+    assert rows(P.read_target(spark, work + "/t")) == [(7, "a", "b")]
+
+
+def test_appends_are_known_by_their_whole_id_for_good(spark, work):
+    sink = P.PathSink(spark, work + "/t", ("id",))
+    for run in ("2024-01", "01", "01", "2024-01"):
+        assert sink.append(frame(spark, [(1, run, "b"), (2, run, "b"), (3, run, "b")]), run) == 3
+    assert P.read_target(spark, work + "/t").count() == 6
+    sink.compact("c1")
+    assert sink.append(frame(spark, [(1, "x", "b")] * 3), "01") == 3
+    assert P.read_target(spark, work + "/t").count() == 6
+    sink.upsert(frame(spark, [(9, "u", "u")]), "u1")
+    assert sink.append(frame(spark, [(1, "x", "b")] * 3), "2024-01") == 3
+    assert P.read_target(spark, work + "/t").count() == 7
+
+
+def test_upserts_refuse_null_keys(spark, work):
+    sink = P.PathSink(spark, work + "/t", ("id",))
+    sink.upsert(frame(spark, [(1, "a", "b")]), "r1")
+    with pytest.raises(Exception, match="needs values in its key columns"):
+        sink.upsert(frame(spark, [(None, "a", "b"), (2, "c", "d")]), "r2")
+    assert rows(P.read_target(spark, work + "/t")) == [(1, "a", "b")]
 
 
 def test_a_failed_write_changes_nothing(spark, work):
@@ -92,7 +118,7 @@ def test_a_failed_write_changes_nothing(spark, work):
         with pytest.raises(Exception, match="lost"):
             sink.write(broken, mode, "r2")
     assert rows(P.read_target(spark, work + "/t")) == [(1, "a", "b")]
-    sink.vacuum()
+    sink.vacuum(keep_hours=0)
     assert len(Storage(spark).list(work + "/t")) == 2
     assert rows(P.read_target(spark, work + "/t")) == [(1, "a", "b")]
     with pytest.raises(ConfigError):
@@ -122,7 +148,7 @@ def test_concurrent_commit_is_refused(spark, work):
 
 def test_small_changes_do_not_rewrite_a_large_target(spark, work):
     sink = P.PathSink(spark, work + "/t", ("id",), rewrite_bytes=0, changed_rows=4)
-    sink.upsert(frame(spark, [(i, "a", "x") for i in range(5)] + [(None, "n", "n")]), "r1")
+    sink.append(frame(spark, [(i, "a", "x") for i in range(5)] + [(None, "n", "n")]), "r1")
     want = {i: ("a", "x") for i in range(5)}
 
     def check(nulls=1):
@@ -162,7 +188,7 @@ def test_changes_by_any_key_type(spark, work, key):
     values = {
         "string": ["a", "b'", ""], "timestamp": ["2024-01-01 05:06:07.123456", "2024-01-02", "2023-12-31"],
         "date": ["2024-01-01", "2024-01-02", "2023-12-31"], "decimal(10,2)": ["1.50", "-2.25", "9"],
-        "double": ["0.1", "1e300", "-5"], "boolean": ["true", "false", None],
+        "double": ["0.1", "1e300", "-5"], "boolean": ["true", "false"],
     }[key]
     df = spark.createDataFrame([(v, "old") for v in values], "k string, a string").withColumn("k", F.col("k").cast(key))
     sink = P.PathSink(spark, work + "/t", ("k",), rewrite_bytes=0)
@@ -170,7 +196,7 @@ def test_changes_by_any_key_type(spark, work, key):
     sink.upsert(df.where("k IS NOT NULL").limit(2).withColumn("a", F.lit("new")), "r2")
     assert P.current_version(spark, work + "/t").changes
     out = [r["a"] for r in P.read_target(spark, work + "/t").collect()]
-    assert sorted(out) == ["new", "new", "old"]
+    assert sorted(out) == ["new", "new", "old"][: len(values)]
 
 
 def test_changes_skip_row_groups(spark, work):
@@ -258,11 +284,11 @@ def test_two_runs(spark, work):
     assert one.marks["m"].value == dt.datetime(2024, 1, 2, 6)
     put(spark, work, [(1, "z", "2024-01-01 05:00:00"), (2, "B", "2024-01-03 00:00:00"), (3, "c", "2024-01-04 00:00:00")])
     two = run.run(job(), NOW)
-    assert two.rows_read == 2 and "read 2 rows, wrote 2 rows" in two.summary()
+    assert two.rows_read == 2 and "source rows   2" in two.summary() and "into " in two.summary()
     assert rows(P.read_target(spark, f"{work}/out/dst")) == [(1, "a"), (2, "B"), (3, "c")]
     three = run.run(job(), NOW)
     assert (three.rows_read, three.written) == (0, {"dst": 0})
-    assert three.marks == two.marks and "read 0 rows" in three.summary()
+    assert three.marks == two.marks and "source rows   0" in three.summary()
     run.reset_state(job())
     assert run.run(job(), NOW).rows_read == 3
 
@@ -340,12 +366,12 @@ def test_split_job(spark, work):
             {"plugin": "order_split", "config": {
                 "detail_table": "order_item", "source_detail_table": "items", "detail_columns": ["item", "qty"],
                 "parent_key": "oid", "child_key": "fk", "keep": ["oid", "uid"]}},
-            {"set": {"constant": {"app": "erp"}}},
+            {"set": {"constant": {"origin": "till"}}},
         ],
     )
     for _ in range(2):
         assert run.run(doc, NOW).written == {"order": 2, "order_item": 2}
-    assert rows(P.read_target(spark, f"{work}/out/order")) == [(1, 10, "erp"), (3, 30, "erp")]
+    assert rows(P.read_target(spark, f"{work}/out/order")) == [(1, 10, "till"), (3, 30, "till")]
     assert rows(P.read_target(spark, f"{work}/out/order_item")) == [(100, 2), (101, 3)]
     keyless = job(source=dict(connection="in", table="orders"), target={"connection": "out", "table": "order", "primary_key": "oid"},
                   sync={}, etl=[{"order_split": {"detail_table": "items", "parent_key": "oid", "child_key": "fk"}}])

@@ -1,6 +1,6 @@
 """rowtide: table synchronisation and row-level ETL as lazy Spark plans."""
 
-from rowtide.operators import split as _split  # noqa: F401  registers its step
+from rowtide.operators import lookup as _lookup, split as _split  # noqa: F401  they register their steps
 from rowtide.operators.steps import RowStep, StepContext, register_step
 from rowtide.plans.config import load_app
 from rowtide.plans.job import Job

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from rowtide import types as V
 from rowtide.errors import ConfigError
 from rowtide.operators.ranking import first_n
+from rowtide.operators.steps import DEFAULT_TABLE, Branches, Step, StepContext, register_step
 
 _BUCKET, _LANE, _DIM = "__bucket", "__lane", "__dim_"
 
@@ -120,3 +122,58 @@ def range_lookup(
     same = [V.col(c).eqNullSafe(V.col(_DIM + c)) for c in df.columns]
     missed = df.join(hit, same, "left_anti")
     return found.unionByName(missed, allowMissingColumns=True)
+
+
+def _config(raw: Any, step: str, needed: Sequence[str], known: Sequence[str]) -> dict[str, Any]:
+    if not isinstance(raw, Mapping):
+        raise ConfigError(f"{step}: the step is not configured")
+    missing, unknown = [k for k in needed if not raw.get(k)], sorted(set(raw) - {*needed, *known})
+    if missing or unknown:
+        raise ConfigError(f"{step}: missing {missing}, unknown {unknown}")
+    return dict(raw)
+
+
+@register_step("lookup")
+def _lookup_step(config: Any) -> Step:
+    """Columns of another table by key; ``on`` maps columns of the rows to columns of the table."""
+    known = ("connection", "columns", "where", "params", "limit", "order", "how")
+    cfg = _config(config, "lookup", ("table", "on"), known)
+    on, how = dict(cfg["on"]), cfg.get("how", "left")
+    if how not in ("left", "inner"):
+        raise ConfigError(f"lookup how={how!r}: 'left' or 'inner'")
+    limit = cfg.get("limit")
+    if limit is not None and (isinstance(limit, bool) or not isinstance(limit, int) or limit < 1):
+        raise ConfigError(f"lookup: bad limit {limit!r}")
+
+    def run(ctx: StepContext, branches: Branches) -> Branches:
+        df = branches[DEFAULT_TABLE]
+        one = next(iter(on.items())) if len(on) == 1 else None
+        dim = ctx.lookup_table(
+            cfg.get("connection") or ctx.source_connection,
+            cfg["table"],
+            key=one[1] if one else None,
+            keys=df.select(V.col(one[0])) if one else None,
+            where=cfg.get("where"),
+            params=cfg.get("params"),
+        )
+        return {**branches, DEFAULT_TABLE: lookup(df, dim, on, cfg.get("columns"), limit=limit, order=cfg.get("order") or (), how=how)}
+
+    return run
+
+
+@register_step("range_lookup")
+def _range_lookup_step(config: Any) -> Step:
+    """Rows of another table whose ``point`` lies between the columns ``low`` and ``high``."""
+    needed = ("table", "point", "low", "high", "width")
+    cfg = _config(config, "range_lookup", needed, ("connection", "columns", "where", "params", "closed", "how"))
+
+    def run(ctx: StepContext, branches: Branches) -> Branches:
+        df = branches[DEFAULT_TABLE]
+        dim = ctx.lookup_table(cfg.get("connection") or ctx.source_connection, cfg["table"], where=cfg.get("where"), params=cfg.get("params"))
+        found = range_lookup(
+            df, dim, cfg["point"], V.col(cfg["low"]), V.col(cfg["high"]), cfg["width"], cfg.get("columns"),
+            tuple(cfg.get("closed") or (True, True)), cfg.get("how", "inner"),
+        )
+        return {**branches, DEFAULT_TABLE: found}
+
+    return run

@@ -51,11 +51,31 @@ class StepContext:
         columns: Sequence[str] = (),
         key: str | None = None,
         keys: DataFrame | None = None,
+        where: str | None = None,
+        params: Mapping[str, Any] | None = None,
+        limit: int | None = None,
+        order: Sequence[str] = (),
     ) -> DataFrame:
-        """Another table: at least its rows whose ``key`` occurs in the one column of ``keys``."""
+        """Another table: at least its rows whose ``key`` occurs in the one column of ``keys``.
+
+        ``where`` restricts them (SQL text, with ``params`` for its ``:names``); at most
+        ``limit`` rows are taken of each ``key``, first in ``order``.
+        """
+        from rowtide.operators.lookup import restrict
+        from rowtide.operators.ranking import first_n
+
         if self.table is None:
             raise ConfigError("this job has no lookup tables")
-        return self.table(connection, table, columns=columns, key=key, keys=keys)
+        if limit is not None and key is None:
+            raise ConfigError(f"a limit on {table!r} needs the key it counts by")
+        # A condition may name columns that nobody else asks for.
+        read = () if where is not None or order else columns
+        df = self.table(connection, table, columns=read, key=key, keys=keys)
+        if where is not None:
+            df = restrict(df, where, params)
+        if limit is not None:
+            df = first_n(df, [key], limit, order)
+        return df.select(*[V.col(c) for c in columns]) if columns else df
 
 
 Step = Callable[[StepContext, Branches], Branches]

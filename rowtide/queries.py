@@ -842,3 +842,25 @@ def upsert_null_keys(spark, sf):
     target = orders.where("o_orderkey < 1000").selectExpr("nullif(o_orderkey % 1000, 0) AS k", "o_custkey AS v")
     source = orders.where("o_orderkey BETWEEN 1 AND 500").selectExpr("o_orderkey AS k", "-o_custkey AS v")
     return U.merge(target, source, ["k"])
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, c_name, l_partkey FROM orders
+    LEFT JOIN (SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0) c ON o_custkey = c_custkey
+    LEFT JOIN (SELECT l_orderkey, l_partkey, row_number() OVER (
+        PARTITION BY l_orderkey ORDER BY l_extendedprice, l_partkey) AS rn FROM lineitem) l
+    ON o_orderkey = l_orderkey AND rn <= 2
+""")
+def job_lookup(spark, sf):
+    """Two lookups of a job document: one under a bound condition, one with a limit per key."""
+    lookups = [
+        {"lookup": {"table": "customer", "on": {"o_custkey": "c_custkey"}, "columns": ["c_name"],
+                    "where": "c_acctbal > :least", "params": {"least": 0}}},
+        {"lookup": {"table": "lineitem", "on": {"o_orderkey": "l_orderkey"}, "columns": ["l_partkey"],
+                    "limit": 2, "order": ["l_extendedprice", "l_partkey"]}},
+    ]
+    doc = {"name": "looked_up", "etl": lookups, "sync": {"mode": "append"}}
+    doc["source"] = {"connection": "tpch", "table": "orders", "columns": "o_orderkey,o_custkey"}
+    doc["target"] = {"connection": "tpch", "table": "out"}
+    job, runner = Job.from_dict(doc), Runner(spark, given_tables(spark, sf), "unused")
+    return runner.plan(job, runner.read(job, CLOCK, {}))["out"]

@@ -378,3 +378,23 @@ def _final_plan(df):
     """The plan as adaptive execution ended up with it."""
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_steps(spark):
+    from rowtide.operators.steps import StepContext, StepSpec
+
+    facts = spark.createDataFrame([(1, 5), (2, 50), (None, 7)], "ref long, at long")
+    dim = spark.createDataFrame([(1, "a", 3), (1, "b", 2), (2, "c", 1), (9, "d", 60)], "id long, name string, w long")
+    ctx = StepContext(source_connection="c", table=lambda c, t, columns=(), key=None, keys=None: dim)
+    step = StepSpec.parse({"lookup": {"table": "dim", "on": {"ref": "id"}, "columns": ["name"], "where": "w < :m", "params": {"m": 3}, "limit": 1, "order": ["w"]}}).build()
+    assert rows(step(ctx, {"": facts})[""]) == [(None, 7, None), (1, 5, "b"), (2, 50, "c")]
+    ranged = {"table": "dim", "point": "w", "low": "ref", "high": "at", "width": 10, "columns": ["name"]}
+    step = StepSpec.parse({"range_lookup": ranged}).build()
+    assert rows(step(ctx, {"": facts})[""]) == [(1, 5, "a"), (1, 5, "b"), (1, 5, "c"), (2, 50, "a"), (2, 50, "b")]
+    got = ctx.lookup_table("c", "dim", ["name"], key="id", where="w > 1", limit=1, order=["w"])
+    assert rows(got) == [("b",), ("d",)]
+    for bad in (None, {"table": "dim"}, {"table": "d", "on": {"a": "b"}, "limit": 0}, {"table": "d", "on": {"a": "b"}, "x": 1}):
+        with pytest.raises(ConfigError):
+            StepSpec.parse({"lookup": bad}).build()
+    with pytest.raises(ConfigError):
+        ctx.lookup_table("c", "dim", limit=1)

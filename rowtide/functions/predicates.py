@@ -15,6 +15,7 @@ rows anyway, and :func:`negated` takes care of it.
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from dataclasses import dataclass
@@ -194,8 +195,24 @@ def _against_empty(op: str, left: Operand) -> Column:
     return left.column.isNotNull() if op == "gt" else blank
 
 
+def _whole_bound(op: str, left: Operand, right: Operand) -> Column | None:
+    """A whole column against a fraction, as a whole bound: unlike the fraction it reaches the scan."""
+    if not (isinstance(left.dtype, T.IntegralType) and right.is_literal and V.is_floating(right.dtype)):
+        return None
+    value = float(right.literal)
+    if left.is_literal or not abs(value) < 2**53:
+        return None
+    bound = math.floor(value) if op in ("gt", "lte") else math.ceil(value)
+    least, most = {"tinyint": (-(2**7), 2**7 - 1), "smallint": (-(2**15), 2**15 - 1), "int": (-(2**31), 2**31 - 1)}.get(left.dtype.simpleString(), (-(2**63), 2**63 - 1))
+    if not least <= bound <= most:
+        return None
+    return _compare(op, left.column, F.lit(bound).cast(left.dtype))
+
+
 def _ordered_numbers(op: str, left: Operand, right: Operand) -> Column:
-    native = _compare(op, left.column, right.column)
+    native = _whole_bound(op, left, right)
+    if native is None:
+        native = _compare(op, left.column, right.column)
     missing = _either_null(left, right)
     decimals = [o for o in (left, right) if isinstance(o.dtype, T.DecimalType) and not o.is_literal]
     both_columns = not left.is_literal and not right.is_literal

@@ -169,3 +169,14 @@ def test_null_test_against_a_column(spark):
     bad = spark.createDataFrame([(1, 1, 1)], "id long, k long, n long")
     with pytest.raises(Exception, match="needs null on its right side"):
         filter_rows(bad, keep="k is $n").collect()
+
+
+@pytest.mark.parametrize(("text", "pushed", "want"), [
+    ("id gt 2.5", "GreaterThan(id,2)", [3, 4]), ("id gte 2.5", "GreaterThanOrEqual(id,3)", [None, 3, 4]), ("id lt 2.5", "LessThan(id,3)", [1, 2]),
+    ("id lte -0.5", "LessThanOrEqual(id,-1)", [None]), ("id gt 1e300", None, []),
+])
+def test_fractions_reach_the_scan_of_whole_numbers(spark, work, text, pushed, want):
+    spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "id long").write.parquet(work + "/t")
+    df = filter_rows(spark.read.parquet(work + "/t"), keep=text)
+    assert sorted((r["id"] for r in df.collect()), key=lambda v: (v is not None, v)) == want
+    assert pushed is None or pushed in df._jdf.queryExecution().executedPlan().toString()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import Index, batches_of, group_sum, mix, table
+from rowtide.llm.common import Index, batches_of, busiest, group_sum, mix, ranges, table
 
 SPACE = "▁"
 #: Distinct words a worker remembers.
@@ -81,6 +81,22 @@ class Pieces:
         self.length, self.state = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.edge, self.share, self.back, self.code = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.byte_runs: dict[bytes, int] = {}
+        self.hits = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the words met most often."""
+        keep = busiest(self.hits, WORDS // 2)
+        words = list(self.index)
+        self.index = Index()
+        for n in keep.tolist():
+            self.index[words[n]]
+        self.index.fresh = []
+        states = ranges(self.state[keep], self.length[keep])
+        starts, counts = self.edge[states], np.diff(self.edge, append=len(self.share))[states]
+        edges = ranges(starts, counts)
+        self.length, self.hits = self.length[keep], np.zeros(len(keep), np.int64)
+        self.state, self.edge = np.cumsum(self.length) - self.length, np.cumsum(counts) - counts
+        self.share, self.back, self.code = self.share[edges], self.back[edges], self.code[edges]
 
     def _lattice(self, word: str, edge: list, share: list, back: list, code: list) -> None:
         """Append, for each position of ``word``, the edges that end there with cumulated shares."""
@@ -134,7 +150,7 @@ class Pieces:
     def encode(self, texts: list[str], keys: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each text has."""
         if len(self.index) > WORDS:
-            self._reset()
+            self._forget()
         words, counts = [], []
         for text in texts:
             own = self.pattern.findall(text)
@@ -145,6 +161,9 @@ class Pieces:
         for start in range(0, len(self.index.fresh), 20_000):
             self._learn(self.index.fresh[start : start + 20_000])
         self.index.fresh = []
+        hits = np.bincount(at, minlength=len(self.index))
+        hits[: len(self.hits)] += self.hits
+        self.hits = hits
         place = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
         base = np.repeat(mix(keys.astype(np.int64).view(np.uint64) + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)), counts)
         base = base + place.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
@@ -184,10 +203,7 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The UTF-8 bytes that a sequence of ids stands for."""
-        lengths = self.surface_length[ids]
-        ends = np.cumsum(lengths)
-        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.surface_at[ids] - (ends - lengths), lengths)
-        return self.surface[where].tobytes()
+        return self.surface[ranges(self.surface_at[ids], self.surface_length[ids])].tobytes()
 
 
 @lru_cache(maxsize=1)

@@ -125,8 +125,7 @@ def literal_text(value: Any) -> str:
 
 def python_moment_text(moment: dt.datetime) -> str:
     """Shortest text of one datetime, as :func:`moment_text` gives for columns."""
+    moment = moment.replace(tzinfo=None)
     if moment.time() == dt.time():
-        return moment.strftime("%Y-%m-%d")
-    if moment.microsecond == 0:
-        return moment.strftime("%Y-%m-%d %H:%M:%S")
-    return moment.strftime("%Y-%m-%d %H:%M:%S.%f")
+        return moment.date().isoformat()
+    return moment.isoformat(" ", "microseconds" if moment.microsecond else "seconds")

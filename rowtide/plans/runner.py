@@ -102,8 +102,8 @@ class Runner:
             template = self.template(job, now, marks)
             slices = self._slices(job)
             if src.select:
-                return jdbc.read_sql(self.spark, conn, template.render(src.select), slices, fetch)
-            where = template.render(src.where) if src.where else None
+                return jdbc.read_sql(self.spark, conn, template.render(src.select, conn.type), slices, fetch)
+            where = template.render(src.where, conn.type) if src.where else None
             columns = _read_columns(job)
             return self.connections.read(src.connection, src.table, columns, where, slices, fetch)
         if src.select:
@@ -244,6 +244,6 @@ class _LazySchema:
         src, tables = self.job.source, self.runner.connections
         template = Template(lambda key: V.Constant(None, T.NullType()), dt.datetime(1970, 1, 1))
         if tables.connection(src.connection).is_database:
-            return tables.select(src.connection, template.render(src.select)).schema
+            return tables.select(src.connection, template.render(src.select, tables.connection(src.connection).type)).schema
         bound = template.bind(src.select)
         return tables.select(src.connection, bound.sql, bound.args).schema

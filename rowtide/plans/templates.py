@@ -21,7 +21,7 @@ from typing import Any
 from pyspark.sql import types as T
 
 from rowtide.errors import TemplateError
-from rowtide.functions.text import literal_text
+from rowtide.sources.dialects import literal
 from rowtide.types import Constant
 
 _TOKEN = re.compile(r"\$\{([^}]*)\}")
@@ -80,13 +80,13 @@ class Template:
 
         return Bound(self._replace(text, one), args)
 
-    def render(self, text: str) -> str:
-        """``text`` with literals, for a query that a database runs."""
+    def render(self, text: str, dialect: str = "") -> str:
+        """``text`` with literals of the ``dialect``, for a query that a database runs."""
 
         def one(kind: str, value: Any, key: str, quoted: bool) -> str:
             if kind == "env":
                 return value
-            return literal_text(value.value if isinstance(value, Constant) else value)
+            return literal(dialect, value.value if isinstance(value, Constant) else value)
 
         return self._replace(text, one)
 

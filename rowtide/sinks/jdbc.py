@@ -112,7 +112,7 @@ class JdbcSink:
             change = [dialects.upsert_sql(dialect, table, stage, columns, self.keys, ROW_ID)]
         if mode == "full":
             # Emptied even when nothing arrives.
-            change.insert(0, dialects.truncate_sql(dialect, table))
+            change.insert(0, dialects.empty_sql(dialect, table))
         # The staged rows go in the same transaction: if its answer gets lost, the next
         # attempt finds them gone and knows that it succeeded.
         change.append(dialects.delete_sql(dialect, stage))

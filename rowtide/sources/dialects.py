@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from typing import Any
 
@@ -21,9 +22,23 @@ def table_name(conn: Connection, table: str) -> str:
 
 
 def literal(dialect: str, value: Any) -> str:
-    """A value inside a statement.  MySQL also reads backslashes in text."""
+    """A value inside a statement.
+
+    MySQL also reads backslashes in text; Oracle takes a bare text for a date only in the
+    session's own format, so it gets typed ones; bytes differ everywhere.
+    """
     if dialect == "mysql" and isinstance(value, str):
         value = value.replace("\\", "\\\\")
+    if dialect == "oracle" and isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.replace(tzinfo=None).isoformat(' ', 'microseconds')}'"
+    if dialect == "oracle" and isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, (bytes, bytearray)):
+        text = bytes(value).hex()
+        if dialect == "postgresql":
+            return f"'\\x{text}'::bytea"
+        if dialect == "oracle":
+            return f"HEXTORAW('{text}')"
     return literal_text(value)
 
 
@@ -107,5 +122,8 @@ def delete_sql(dialect: str, table: str) -> str:
     return f"DELETE FROM {quote(dialect, table)}"
 
 
-def truncate_sql(dialect: str, target: str) -> str:
-    return f"TRUNCATE TABLE {quote(dialect, target)}"
+def empty_sql(dialect: str, target: str) -> str:
+    """Empty a table inside a transaction: TRUNCATE commits at once on MySQL and Oracle."""
+    if dialect == "postgresql":
+        return f"TRUNCATE TABLE {quote(dialect, target)}"
+    return delete_sql(dialect, target)

@@ -12,12 +12,14 @@ import datetime as dt
 import duckdb
 import pytest
 from conftest import rows
+from pyspark.sql import types as T
 
 from rowtide import Connection, Job, Runner, Tables
+from rowtide import types as V
 from rowtide.errors import ConfigError
 from rowtide.sinks import jdbc as sink_module
 from rowtide.sinks.jdbc import JdbcSink, with_retry
-from rowtide.sources import jdbc
+from rowtide.sources import dialects, jdbc
 
 PG = Connection.parse("pg", {"type": "postgresql", "database": "d", "max_pool_size": 3})
 
@@ -317,3 +319,23 @@ def test_job_into_a_database(spark, db, work):
     for _ in range(2):
         assert runner.run(Job.from_dict(doc)).written == {"t": 2}
     assert table(db) == [(1, "a", None), (2, "b", None)]
+
+
+def test_literals_of_each_product():
+    from rowtide.plans.templates import Template
+
+    marks = {
+        "t": V.Constant(dt.datetime(2024, 5, 6, 7, 8, 9), T.TimestampNTZType()), "d": V.Constant(dt.date(2024, 5, 6), T.DateType()),
+        "s": V.Constant("a\\b'", T.StringType()), "b": V.Constant(b"\x01\xff", T.BinaryType()),
+    }
+    template = Template(marks.__getitem__, dt.datetime(2024, 1, 1))
+    text = "${state.t} ${state.d} ${state.s} ${state.b}"
+    assert template.render(text, "oracle") == "TIMESTAMP '2024-05-06 07:08:09.000000' DATE '2024-05-06' 'a\\b''' HEXTORAW('01ff')"
+    assert template.render(text, "mysql") == "'2024-05-06 07:08:09' '2024-05-06' 'a\\\\b''' X'01FF'"
+    assert template.render(text, "postgresql") == "'2024-05-06 07:08:09' '2024-05-06' 'a\\b''' '\\x01ff'::bytea"
+
+
+def test_full_writes_empty_their_table_inside_the_transaction():
+    assert dialects.empty_sql("mysql", "t") == "DELETE FROM `t`"
+    assert dialects.empty_sql("oracle", "t") == 'DELETE FROM "t"'
+    assert dialects.empty_sql("postgresql", "t") == 'TRUNCATE TABLE "t"'

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -131,6 +132,11 @@ class Job:
         )
         for step in job.etl:
             step.build()
+        if (doc.get("schedule") or {}).get("cron"):
+            # An external clock starts such a job; ``every`` is what a trigger can take.
+            warnings.warn(f"job {name!r}: schedule.cron is not acted on here", stacklevel=2)
+        if source.select and source.where:
+            warnings.warn(f"job {name!r}: source.select is there, so source.where is not used", stacklevel=2)
         if job.mode == "upsert" and not target.primary_key:
             raise ConfigError(f"job {name!r}: upsert needs target.primary_key")
         return job

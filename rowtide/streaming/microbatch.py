@@ -1,7 +1,8 @@
 """The same job over a stream: every micro-batch is one run of it.
 
 A stream's own checkpoint says what was read, so no marks are needed; a micro-batch
-that is repeated after a failure has the same id, and its writes take effect once.
+that is repeated after a failure has the same id.  Full writes, upserts, and appends into
+folders then take effect once; appends into databases and catalogue tables are repeated.
 """
 
 from __future__ import annotations

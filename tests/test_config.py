@@ -259,3 +259,11 @@ def test_bad_jobs(change):
         Job.from_dict({**yaml.safe_load(JOB), **change})
     with pytest.raises(ConfigError):
         Job.from_yaml("a: [")
+
+
+def test_what_is_not_used_is_said():
+    doc = {"name": "j", "source": {"connection": "c", "table": "t", "select": "select 1", "where": "a > 1"}, "sync": {"mode": "append"},
+           "target": {"connection": "c", "table": "t"}, "schedule": {"cron": "* * * * *"}}
+    with pytest.warns(UserWarning) as said:
+        Job.from_dict(doc)
+    assert [("cron" in str(w.message), "where" in str(w.message)) for w in said] == [(True, False), (False, True)]

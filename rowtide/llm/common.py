@@ -94,18 +94,23 @@ def busiest(hits: np.ndarray, most: int) -> np.ndarray:
 class WordTable:
     """One row of numbers per distinct word, computed when the word is first met.
 
-    ``rows`` maps new words to their rows.  Beyond ``limit`` words the table starts anew at
-    the next chunk, so a worker's memory is bounded whatever the vocabulary.
+    ``rows`` maps new words to their rows.  Beyond ``limit`` words the table keeps those met
+    most often at the next chunk, so a worker's memory is bounded whatever the vocabulary.
     """
 
-    def __init__(self, rows: Callable[[list[str]], np.ndarray], limit: int = 150_000):
+    def __init__(self, rows: Callable[[list[str]], np.ndarray], limit: int = 200_000):
         self.compute, self.limit = rows, limit
-        self.index, self.values = Index(), None
+        self.index, self.values, self.hits = Index(), None, np.zeros(0, np.int64)
 
     def begin(self) -> None:
         """Call between chunks: ids handed out before may no longer hold."""
         if len(self.index) > self.limit:
-            self.index, self.values = Index(), None
+            keep, words = busiest(self.hits, self.limit // 2), list(self.index)
+            self.index = Index()
+            for n in keep.tolist():
+                self.index[words[n]]
+            self.index.fresh = []
+            self.values, self.hits = self.values[keep], np.zeros(len(keep), np.int64)
 
     def ids(self, words: list[str]) -> np.ndarray:
         found = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
@@ -120,6 +125,9 @@ class WordTable:
                 self.values = grown
             self.values[first:need] = made
             self.index.fresh = []
+        hits = np.bincount(found, minlength=len(self.index))
+        hits[: len(self.hits)] += self.hits
+        self.hits = hits
         return found
 
 

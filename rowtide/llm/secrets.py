@@ -69,10 +69,13 @@ def fit(labelled: DataFrame) -> list[float]:
     counts = [[[0] * 128 for _ in range(128)] for _ in range(2)]
     for r in pairs.where("pair < 16384").groupBy("label", "pair").agg(F.count("*").alias("n")).collect():
         counts[r["label"]][r["pair"] // 128][r["pair"] % 128] = r["n"]
-    ratio = []
-    for a in range(128):
-        totals = [sum(counts[label][a]) + 64 for label in (0, 1)]
-        ratio += [math.log((counts[1][a][b] + 1) / totals[1]) - math.log((counts[0][a][b] + 1) / totals[0]) for b in range(128)]
+    # A pair backs off to how often its second character is met at all.
+    chance = []
+    for label in (0, 1):
+        single = [sum(row[b] for row in counts[label]) + 0.5 for b in range(128)]
+        every = sum(single)
+        chance.append([[(n + 8 * single[b] / every) / (sum(row) + 8) for b, n in enumerate(row)] for row in counts[label]])
+    ratio = [math.log(chance[1][a][b] / chance[0][a][b]) for a in range(128) for b in range(128)]
     return ratio
 
 

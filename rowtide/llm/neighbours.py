@@ -6,9 +6,12 @@
 3. *Descent.*  Neighbours of a node (in either direction, in parts of bounded size) are
    compared with each other; each keeps its nearest k.  A part without a new neighbour is
    skipped.  Rounds end when few lists change.
-4. *Threshold edges* of the lists give components.  A node whose whole list lies above the
-   threshold is saturated: its list is enlarged to all members of its component, compared in
-   blocks, so the number of its links is exact and no list of all pairs is written.
+   A list keeps k of the links a comparison meets.  So that no link is lost to k nearer ones,
+   each comparison also gives a spanning forest of all its pairs above the threshold, which is
+   kept beside the lists: what was met stays connected, at less than one edge per compared node.
+4. *Threshold edges* of lists and forests give components.  The links of a node are counted
+   among all members of its component, compared in blocks, so their number is exact within the
+   component and no list of all pairs is written.
 5. *Audit.*  A bounded sample of nodes is compared with all nodes, in blocks.  Links it finds
    beyond the graph join the graph; if its recall falls short, another round of tables and
    descent follows.
@@ -42,6 +45,7 @@ PART = 64
 BLOCK = 256
 AUDITED = 256
 EDGES = "a long, b long, sim double"
+LISTS = EDGES + ", link boolean"
 
 
 def unit(raw: list[bytes]) -> np.ndarray:
@@ -68,19 +72,46 @@ def prepared(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
     return named.mapInArrow(pack, "id long, dims int, vec binary").distinct()
 
 
-def nearest(ids: np.ndarray, x: np.ndarray, k: int, fresh: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each row's nearest k others: a, b, sim.  ``fresh``: only pairs with such a row count."""
+def forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what the symmetric matrix ``near`` connects, each of them in ``near``."""
+    left = near.any(axis=1)
+    tops, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while left.any():
+        front = np.array([left.argmax()])
+        left[front] = False
+        while len(front):
+            hit = near[front] & left
+            new = np.flatnonzero(hit.any(axis=0))
+            tops.append(front[hit[:, new].argmax(axis=0)])
+            ends.append(new)
+            left[new] = False
+            front = new
+    return np.concatenate(tops), np.concatenate(ends)
+
+
+def nearest(ids: np.ndarray, x: np.ndarray, k: int, threshold: float, fresh: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's nearest k others: a, b, sim, link.  ``fresh``: only pairs with such a row count.
+
+    Rows with ``link`` are a spanning forest of all pairs at or above the threshold.
+    """
+    order = np.argsort(ids)
+    ids, x = ids[order], x[order]
     sim = x @ x.T
     np.fill_diagonal(sim, -2)
+    near = sim >= threshold
+    top, end = forest(near | near.T)
+    linked = np.maximum(sim[top, end], sim[end, top])
     if fresh is not None:
+        fresh = fresh[order]
         sim[~(fresh[:, None] | fresh[None, :])] = -2
     k = min(k, len(ids) - 1)
     if k < 1:
-        return ids[:0], ids[:0], np.zeros(0)
+        return ids[:0], ids[:0], np.zeros(0), np.zeros(0, bool)
     at = np.argpartition(-sim, k - 1, axis=1)[:, :k]
     a, b, s = np.repeat(ids, k), ids[at.ravel()], np.take_along_axis(sim, at, 1).ravel()
     keep = (s > -2) & (a != b)
-    return a[keep], b[keep], np.clip(s[keep], -1.0, 1.0)
+    a, b, s = (np.concatenate(p) for p in ((a[keep], ids[top]), (b[keep], ids[end]), (s[keep], linked)))
+    return a, b, np.clip(s, -1.0, 1.0), np.arange(len(a)) >= keep.sum()
 
 
 def edge_table(parts: list[tuple]) -> pa.Table:
@@ -88,7 +119,12 @@ def edge_table(parts: list[tuple]) -> pa.Table:
     return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64), "sim": s.astype(np.float64)})
 
 
-def first_graph(nodes: DataFrame, n: int, seed: int, k: int, tables: int) -> DataFrame:
+def list_table(parts: list[tuple]) -> pa.Table:
+    link = np.concatenate([p[3] for p in parts]) if parts else np.zeros(0, bool)
+    return edge_table([p[:3] for p in parts]).append_column("link", pa.array(link))
+
+
+def first_graph(nodes: DataFrame, n: int, seed: int, k: int, tables: int, threshold: float) -> DataFrame:
     """Edges to the nearest k inside groups of equal sign codes."""
     bits = max(0, round(math.log2(max(1, n / GROUP))))
 
@@ -107,23 +143,24 @@ def first_graph(nodes: DataFrame, n: int, seed: int, k: int, tables: int) -> Dat
 
     coded = stored(nodes.select("id", "dims", "vec").mapInArrow(code, "grp long, id long"), "codes")
     sizes = coded.groupBy("grp").agg(F.ceil(F.count("*") / CROWDED).alias("splits"))
-    dealt = coded.join(sizes, "grp").withColumn("split", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("splits")))
+    dealt = coded.join(sizes, "grp").withColumn("split", F.pmod(F.xxhash64("id", "grp", F.lit(seed)), F.col("splits")))
 
     def group(got: pa.Table) -> pa.Table:
-        return edge_table([nearest(got["id"].to_numpy(), unit(got["vec"].to_pylist()), k)])
+        return list_table([nearest(got["id"].to_numpy(), unit(got["vec"].to_pylist()), k, threshold)])
 
-    return dealt.join(nodes.select("id", "vec"), "id").select("grp", "split", "id", "vec").groupBy("grp", "split").applyInArrow(group, EDGES)
+    return dealt.join(nodes.select("id", "vec"), "id").select("grp", "split", "id", "vec").groupBy("grp", "split").applyInArrow(group, LISTS)
 
 
 def best(edges: DataFrame, k: int) -> DataFrame:
-    """The k best of each list, and whether an edge is new (``age`` is its least round)."""
-    once = edges.groupBy("a", "b").agg(F.max("sim").alias("sim"), F.min("age").alias("age"))
+    """The k best of each list (``listed``) and every ``link``; ``age`` is an edge's least round."""
+    once = edges.groupBy("a", "b").agg(F.max("sim").alias("sim"), F.max("link").alias("link"), F.min("age").alias("age"))
     place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
-    return once.withColumn("place", place).where(F.col("place") <= k).drop("place")
+    return once.withColumn("listed", place <= k).where("listed or link")
 
 
-def descend(graph: DataFrame, nodes: DataFrame, k: int, age: int) -> DataFrame:
-    """Candidate edges between the neighbours of each node."""
+def descend(graph: DataFrame, nodes: DataFrame, k: int, age: int, threshold: float) -> DataFrame:
+    """Candidate edges between the listed neighbours of each node."""
+    graph = graph.where("listed")
     both = graph.select(F.col("a").alias("v"), F.col("b").alias("id"), "age").unionByName(graph.select(F.col("b").alias("v"), F.col("a").alias("id"), "age"))
     both = both.groupBy("v", "id").agg((F.max("age") == age - 1).alias("fresh"))
     degree = both.groupBy("v").agg(F.ceil(F.count("*") / PART).alias("parts"), F.max("fresh").alias("some")).where("some")
@@ -135,8 +172,8 @@ def descend(graph: DataFrame, nodes: DataFrame, k: int, age: int) -> DataFrame:
             v, part = got["v"].to_numpy(), got["part"].to_numpy()
             ids, fresh, raw = got["id"].to_numpy(), got["fresh"].to_numpy(zero_copy_only=False), got["vec"].to_pylist()
             cuts = [0, *(np.flatnonzero((np.diff(v) != 0) | (np.diff(part) != 0)) + 1).tolist(), len(v)]
-            parts = [nearest(ids[s:e], unit(raw[s:e]), k, fresh[s:e]) for s, e in zip(cuts, cuts[1:], strict=False) if e - s > 1]
-            yield from edge_table(parts).to_batches()
+            parts = [nearest(ids[s:e], unit(raw[s:e]), k, threshold, fresh[s:e]) for s, e in zip(cuts, cuts[1:], strict=False) if e - s > 1]
+            yield from list_table(parts).to_batches()
 
         held: pa.Table | None = None
         for batch in batches:
@@ -150,7 +187,7 @@ def descend(graph: DataFrame, nodes: DataFrame, k: int, age: int) -> DataFrame:
         if held is not None and held.num_rows:
             yield from emit(held)
 
-    return ready.repartition("v", "part").sortWithinPartitions("v", "part").mapInArrow(compare, EDGES).withColumn("age", F.lit(age))
+    return ready.repartition("v", "part").sortWithinPartitions("v", "part").mapInArrow(compare, LISTS).withColumn("age", F.lit(age))
 
 
 def counted(groups: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -217,14 +254,14 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", column: str =
     truth = stored(audit(nodes, threshold), "audit")
     # Counts of the audit.
     wanted = truth.count()
-    pool = first_graph(nodes, n, 0, k, TABLES).withColumn("age", F.lit(0))
+    pool = first_graph(nodes, n, 0, k, TABLES, threshold).withColumn("age", F.lit(0))
     graph = stored(best(pool, k), "graph")
     age, groups = 0, None
     for attempt in range(rounds):
         for _ in range(2):
             age += 1
-            graph = stored(best(graph.unionByName(descend(graph, nodes, k, age)), k), "graph")
-            if graph.where(F.col("age") == age).count() <= 0.001 * n * k:
+            graph = stored(best(graph.drop("listed").unionByName(descend(graph, nodes, k, age, threshold)), k), "graph")
+            if graph.where(F.col("listed") & (F.col("age") == age)).count() <= 0.001 * n * k:
                 break
         near = graph.where(F.col("sim") >= threshold).select("a", "b")
         groups = components(near, 1 + n // 20_000)
@@ -238,8 +275,8 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", column: str =
         if found >= recall * wanted or attempt == rounds - 1:
             break
         age += 1
-        more = first_graph(nodes, n, attempt + 1, k, TABLES).withColumn("age", F.lit(age))
-        graph = stored(best(graph.unionByName(more), k), "graph")
+        more = first_graph(nodes, n, attempt + 1, k, TABLES, threshold).withColumn("age", F.lit(age))
+        graph = stored(best(graph.drop("listed").unionByName(more), k), "graph")
     groups = stored(groups, "groups", 1 + n // 100_000)
     links = counted(groups, nodes, threshold)
     judged = nodes.join(groups, "id", "left").join(links, "id", "left").select(

@@ -282,6 +282,18 @@ def test_neighbours(spark):
     assert neighbours.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_neighbours_beyond_full_lists(spark):
+    """Three groups of 12, 0.99 inside and 0.96 across: lists of 8 fill up inside, the links across count too."""
+    axes, rng = np.eye(40), np.random.default_rng(3)
+    # The 36 come last in the order by which an audit draws.
+    ids = [r["id"] for r in spark.range(1036).orderBy(F.xxhash64("id")).collect()]
+    near = [np.sqrt(0.96) * axes[0] + np.sqrt(0.03) * axes[1 + g] + 0.1 * axes[4 + 12 * g + i] for g in range(3) for i in range(12)]
+    rows = [(i, v.tolist()) for i, v in zip(ids, [*rng.normal(size=(1000, 40)), *near], strict=True)]
+    got = {r["vec_id"]: tuple(r)[1:] for r in neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    first = min(ids[1000:])
+    assert got == {i: (0, i, True) for i in ids[:1000]} | {i: (35, first, i == first) for i in ids[1000:]}
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}

@@ -12,9 +12,15 @@
 4. *Threshold edges* of lists and forests give components.  The links of a node are counted
    among all members of its component, compared in blocks, so their number is exact within the
    component and no list of all pairs is written.
-5. *Audit.*  A bounded sample of nodes is compared with all nodes, in blocks.  Links it finds
-   beyond the graph join the graph; if its recall falls short, another round of tables and
-   descent follows.
+5. *Audit.*  Nodes drawn by hash are compared with all nodes, in blocks, until enough of them
+   have links (``AUDITS`` bounds the draw).  Recall is a mean over nodes, taken apart for those
+   with few and with many links, so a hot group does not speak for small ones.  Links it finds
+   beyond the graph join the graph; if a recall falls short, more tables and descent follow,
+   and when these bring no gain any more the run fails.  If the largest draw holds no linked
+   node, all attempts are made, and nothing is known about recall.
+
+The number of tables follows the length of the codes, so that a pair at the threshold shares a
+group in some table equally often at every size.
 
 Vectors stay in Spark; to the driver come counts and the audit sample, both bounded.
 
@@ -39,11 +45,15 @@ from rowtide.llm.components import components
 
 K = 8
 TABLES = 10
+#: Chance that a pair at the threshold shares a code in no table.
+MISSED = 6e-4
 GROUP = 256
 CROWDED = 1024
 PART = 64
 BLOCK = 256
-AUDITED = 256
+#: Nodes drawn for the audit, until ENOUGH of them have from one to k links.
+AUDITS = (256, 1024, 4096)
+ENOUGH = 64
 EDGES = "a long, b long, sim double"
 LISTS = EDGES + ", link boolean"
 
@@ -124,9 +134,19 @@ def list_table(parts: list[tuple]) -> pa.Table:
     return edge_table([p[:3] for p in parts]).append_column("link", pa.array(link))
 
 
+def code_bits(n: int) -> int:
+    return max(0, round(math.log2(max(1, n / GROUP))))
+
+
+def tables_for(n: int, threshold: float) -> int:
+    """Tables after which a pair at ``threshold`` has shared no code with a chance of MISSED at most."""
+    same = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** code_bits(n)
+    return max(TABLES, math.ceil(math.log(MISSED) / math.log1p(-same))) if same < 1 else TABLES
+
+
 def first_graph(nodes: DataFrame, n: int, seed: int, k: int, tables: int, threshold: float) -> DataFrame:
     """Edges to the nearest k inside groups of equal sign codes."""
-    bits = max(0, round(math.log2(max(1, n / GROUP))))
+    bits = code_bits(n)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,65 +239,95 @@ def counted(groups: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return pairs.mapInArrow(compare, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
 
 
-def audit(nodes: DataFrame, threshold: float, sample: int = AUDITED) -> DataFrame:
-    """Every link of at most ``sample`` nodes, by comparison with all nodes."""
+def drawn(nodes: DataFrame, sample: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and unit vectors, by length, of at most ``sample`` nodes in hash order."""
     # At most ``sample`` vectors come to the driver.
     rows = nodes.select("id", "dims", "vec").orderBy(F.xxhash64("id")).limit(sample).collect()
     known = {}
     for d in {r["dims"] for r in rows}:
         own = [r for r in rows if r["dims"] == d]
         known[d] = np.array([r["id"] for r in own], np.int64), unit([bytes(r["vec"]) for r in own])
+    return known
+
+
+def audit(nodes: DataFrame, groups: DataFrame, known: dict, threshold: float) -> DataFrame:
+    """a, component, b, links: for each drawn node, its links into each component, and one of them.
+
+    ``groups`` is (id, component_id); a node without a row there is its own component.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims, ids, raw = batch.column("dims").to_numpy(), batch.column("id").to_numpy(), batch.column("vec").to_pylist()
-            parts = []
+            component = batch.column("component").to_numpy()
             for d, (asked, q) in known.items():
                 own = np.flatnonzero(dims == d)
-                if len(own):
-                    sim = q @ unit([raw[i] for i in own]).T
-                    i, j = np.nonzero(sim >= threshold)
-                    b = ids[own[j]]
-                    other = asked[i] != b
-                    parts.append((asked[i][other], b[other], sim[i, j][other]))
-            yield from edge_table(parts).to_batches()
-
-    return nodes.select("id", "dims", "vec").mapInArrow(compare, EDGES)
+                x = unit([raw[i] for i in own]) if len(own) else q[:0]
+                for s in range(0, len(asked), BLOCK):
+                    i, j = np.nonzero((q[s : s + BLOCK] @ x.T >= threshold) & (asked[s : s + BLOCK, None] != ids[own][None, :]))
+                    if len(i):
+                        places, place = np.unique(component[own], return_inverse=True)
+                        pairs, first, links = np.unique(i * len(places) + place[j], return_index=True, return_counts=True)
+                        columns = asked[s + pairs // len(places)], places[pairs % len(places)], ids[own[j[first]]], links
+                        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["a", "component", "b", "links"])
+
+    placed = nodes.select("id", "dims", "vec").join(groups, "id", "left").select("id", "dims", "vec", F.coalesce("component_id", "id").alias("component"))
+    parts = placed.mapInArrow(compare, "a long, component long, b long, links long")
+    return parts.groupBy("a", "component").agg(F.min("b").alias("b"), F.sum("links").alias("links"))
+
+
+def recalls(links: DataFrame, groups: DataFrame, k: int) -> tuple[dict[bool, float], int]:
+    """Mean share of links inside the own component, for nodes of at most k links (False) and of more (True); how many have few."""
+    own = links.join(groups.select(F.col("id").alias("a"), F.col("component_id").alias("mine")), "a", "left")
+    inside = F.when(F.col("component") == F.coalesce("mine", "a"), F.col("links")).otherwise(0)
+    each = own.groupBy("a").agg(F.sum(inside).alias("found"), F.sum("links").alias("wanted"))
+    # Two rows.
+    got = {r["many"]: r for r in each.groupBy((F.col("wanted") > k).alias("many")).agg(F.avg(F.col("found") / F.col("wanted")).alias("recall"), F.count("*").alias("n")).collect()}
+    return {many: r["recall"] for many, r in got.items()}, got[False]["n"] if False in got else 0
 
 
 def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", column: str = "embedding", threshold: float = 0.95, k: int = K, rounds: int = 3, recall: float = 0.99) -> DataFrame:
-    """vec_id, n_links, component_id, kept for each vector."""
+    """vec_id, n_links, component_id, kept for each vector.
+
+    Attempts end when the audit's ``recall`` is met; ``rounds`` in a row without gain are an error.
+    """
     every = stored(prepared(vectors, id_column, column), "vectors")
     shared = every.where("vec is not null").groupBy("vec", "dims").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     nodes = stored(shared.select("id", "dims", "vec", "copies"), "nodes")
     n = nodes.count()
-    truth = stored(audit(nodes, threshold), "audit")
-    # Counts of the audit.
-    wanted = truth.count()
-    pool = first_graph(nodes, n, 0, k, TABLES, threshold).withColumn("age", F.lit(0))
+    tables = tables_for(n, threshold)
+    pool = first_graph(nodes, n, 0, k, tables, threshold).withColumn("age", F.lit(0))
     graph = stored(best(pool, k), "graph")
-    age, groups = 0, None
-    for attempt in range(rounds):
-        for _ in range(2):
+    age, attempt, size, top, idle = 0, 0, 0, -1.0, 0
+    known = drawn(nodes, AUDITS[size])
+    while True:
+        while True:
             age += 1
             graph = stored(best(graph.drop("listed").unionByName(descend(graph, nodes, k, age, threshold)), k), "graph")
             if graph.where(F.col("listed") & (F.col("age") == age)).count() <= 0.001 * n * k:
                 break
         near = graph.where(F.col("sim") >= threshold).select("a", "b")
-        groups = components(near, 1 + n // 20_000)
-        if not wanted:
-            break
-        sides = truth.join(groups.select(F.col("id").alias("a"), F.col("component_id").alias("ca")), "a", "left").join(groups.select(F.col("id").alias("b"), F.col("component_id").alias("cb")), "b", "left")
-        found = sides.where("ca = cb").count()
-        if found == wanted:
-            break
-        groups = components(near.unionByName(truth.select("a", "b")), 1 + n // 20_000)
-        if found >= recall * wanted or attempt == rounds - 1:
+        groups = stored(components(near, 1 + n // 20_000), "groups", 1 + n // 100_000)
+        while True:
+            links = stored(audit(nodes, groups, known, threshold), "audit", 1 + n // 100_000)
+            got, few = recalls(links, groups, k)
+            if few >= ENOUGH or size + 1 == len(AUDITS) or n <= AUDITS[size]:
+                break
+            size, top, idle = size + 1, -1.0, 0
+            known = drawn(nodes, AUDITS[size])
+        attempt += 1
+        least = min(got.values(), default=None)
+        if n <= AUDITS[size] or (attempt >= rounds if least is None else least >= recall):
             break
+        if least is not None:
+            top, idle = max(top, least), 0 if least > top else idle + 1
+            if idle >= rounds:
+                raise RuntimeError(f"the graph of {n} vectors holds {least:.4f} of the links of audited nodes (few, many links: {got}) after {attempt} attempts; {recall} are wanted")
         age += 1
-        more = first_graph(nodes, n, attempt + 1, k, TABLES, threshold).withColumn("age", F.lit(age))
+        more = first_graph(nodes, n, attempt, k, tables, threshold).withColumn("age", F.lit(age))
         graph = stored(best(graph.drop("listed").unionByName(more), k), "graph")
-    groups = stored(groups, "groups", 1 + n // 100_000)
+    if min(got.values(), default=1.0) < 1:
+        groups = stored(components(near.unionByName(links.select("a", "b")), 1 + n // 20_000), "groups", 1 + n // 100_000)
     links = counted(groups, nodes, threshold)
     judged = nodes.join(groups, "id", "left").join(links, "id", "left").select(
         "vec", "dims", F.coalesce("component_id", "id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")

@@ -294,6 +294,18 @@ def test_neighbours_beyond_full_lists(spark):
     assert got == {i: (0, i, True) for i in ids[:1000]} | {i: (35, first, i == first) for i in ids[1000:]}
 
 
+def test_neighbours_audit_small_groups(spark, monkeypatch):
+    """A graph that holds all of a hot group and none of 400 pairs is refused."""
+    rng = np.random.default_rng(4)
+    hot, base = rng.normal(size=32), rng.normal(size=(400, 32))
+    rows = [(i, (hot + 0.02 * rng.normal(size=32)).tolist()) for i in range(300)]
+    rows += [(300 + 2 * i + side, (v + 0.02 * rng.normal(size=32)).tolist()) for i, v in enumerate(base) for side in (0, 1)]
+    whole = neighbours.first_graph
+    monkeypatch.setattr(neighbours, "first_graph", lambda *given: whole(*given).where("a < 300 and b < 300"))
+    with pytest.raises(RuntimeError, match="audited"):
+        neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}

@@ -15,7 +15,7 @@ from rowtide import types as V
 from rowtide.errors import ConfigError
 from rowtide.plans.sizing import fits_broadcast
 
-_SRC, _HIT = "__src_", "__hit"
+_SRC, _HIT, _SALT = "__src_", "__hit", "__salt"
 
 
 def _check(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -41,6 +41,17 @@ def _match(keys: Sequence[str]):
     return [V.col(k) == V.col(_SRC + k) for k in keys]
 
 
+def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with a salt that is 0, or for rows without a key, which match nothing, a hash of the row."""
+    missing = V.col(keys[0]).isNull()
+    for k in keys[1:]:
+        missing = missing | V.col(k).isNull()
+    plain = [V.col(f.name) for f in df.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    # Zero, but no constant, which the optimizer would take out of the join's keys.
+    zero = F.pmod(F.xxhash64(*[V.col(k) for k in keys]), F.lit(1).cast("long"))
+    return df.withColumn(_SALT, F.when(missing, F.xxhash64(*plain)).otherwise(zero))
+
+
 def merge(
     target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool | None = None
 ) -> DataFrame:
@@ -51,7 +62,8 @@ def merge(
 
     With a ``small_source`` the target is never shuffled: the source is broadcast to it,
     and new rows are found against the matched keys.  Otherwise both sides meet in one
-    full outer join.  None decides by the source's size bound.
+    full outer join, where rows without a key are dealt over all tasks.  None decides by
+    the source's size bound.
     """
     values = _check(target, source, keys)
     source = source.select(
@@ -80,7 +92,8 @@ def merge(
             columns.append(F.coalesce(V.col(c), V.col(_SRC + c)).alias(c))
         else:
             columns.append(V.col(c))
-    return target.join(right, _match(keys), "full_outer").select(*columns)
+    left, right = _spread(target, keys), _spread(right, [_SRC + k for k in keys]).withColumnRenamed(_SALT, _SRC + _SALT)
+    return left.join(right, [*_match(keys), V.col(_SALT) == V.col(_SRC + _SALT)], "full_outer").select(*columns)
 
 
 def inserts(

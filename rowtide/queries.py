@@ -844,6 +844,18 @@ def upsert_null_keys(spark, sf):
     return U.merge(target, source, ["k"])
 
 
+@query("""
+    SELECT CAST(NULL AS BIGINT) AS k, o_custkey AS v FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL SELECT o_orderkey, -o_custkey FROM orders
+""")
+def upsert_null_keys_whole(spark, sf):
+    """All orders into all orders, a third of which have no key and stay alone."""
+    orders = table(spark, sf, "orders")
+    target = orders.selectExpr("CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS k", "o_custkey AS v")
+    source = orders.selectExpr("o_orderkey AS k", "-o_custkey AS v")
+    return U.merge(target, source, ["k"], small_source=False)
+
+
 @query("""
     SELECT o_orderkey, o_custkey, c_name, l_partkey FROM orders
     LEFT JOIN (SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0) c ON o_custkey = c_custkey

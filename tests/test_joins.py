@@ -240,6 +240,26 @@ def test_merge_property(spark, old, new):
         assert sorted(tuple(r) for r in U.merge(once, source, ["id"], small).collect()) == want
 
 
+def test_merge_spreads_rows_without_a_key(spark):
+    target = spark.range(0, 3000, 1, 8).selectExpr("CASE WHEN id % 3 > 0 THEN id END AS k", "id AS v")
+    source = spark.range(0, 3000, 1, 8).selectExpr("id AS k", "-id AS v")
+    held = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        merged = U.merge(target, source, ["k"], small_source=False)
+        got = merged.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r["k"], r["v"]) for r in got if r["k"] is not None) == [(i, -i) for i in range(3000)]
+    alone = [r for r in got if r["k"] is None]
+    assert sorted(r["v"] for r in alone) == list(range(0, 3000, 3))
+    tasks = [r["task"] for r in alone]
+    assert max(map(tasks.count, set(tasks))) < 250
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_merge_null_keys_never_match(spark, small):
     target = spark.createDataFrame([(None, "t"), (1, "u")], "id long, a string")

@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and a likelihood ratio of two character models.
 
 Two first-order Markov models over characters, one of random strings and one of ordinary
-identifiers, are counted from labelled samples.  A long run of token characters is a secret
+identifiers, are counted from labelled samples.  A run of token characters is a secret
 when the first model explains it better than the second, by ``threshold`` nats in all and
 ``per_character`` on average.  Matches of the fixed patterns always stay.
 
@@ -31,7 +31,7 @@ PATTERNS = (
 )
 VALUE = 6
 #: Runs that the models judge; a run starts where no such character stands before.
-RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
+RUN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{VALUE},}}"
 #: Runs that are ordinary identifiers in texts without a pattern's match.
 WORD = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{8,}"
 MARK = "<secret>"
@@ -111,8 +111,9 @@ def scan(docs: DataFrame, ratio: list[float], threshold: float = 8.0, per_charac
     ordered = F.transform(F.array_sort(F.transform(F.concat(*fixed), rank)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     judged = matches(text, "random", RUN, lambda v: score(v) >= F.greatest(F.lit(threshold), F.length(v) * per_character))
     with_base = docs.withColumn("base", ordered).withColumn("added", judged)
-    apart = lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-    return with_base.withColumn("added", F.filter("added", apart))
+    # A run that a fixed pattern found only in part stays whole.
+    beyond = lambda r: ~F.exists("base", lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"]))
+    return with_base.withColumn("added", F.filter("added", beyond))
 
 
 def redacted(raw: Column, spans: Column) -> Column:

@@ -125,6 +125,18 @@ def test_secrets_base_spans(spark):
     assert secrets.scan(frame(spark, []), [0.0] * 16384).count() == 0
 
 
+def test_secrets_whole_and_short_runs(spark):
+    """A run stays whole although a pattern found its middle; a short run is judged too."""
+    rng = random.Random(6)
+    token = lambda n: "".join(rng.choice("QXZJKVW0123456789") for _ in range(n))
+    labelled = spark.createDataFrame([(token(24), 1) for _ in range(200)] + [(w, 0) for w in ("settlement", "customer_orders", "information") for _ in range(100)], "value string, label int")
+    held = token(10) + "-" + "0123456789" * 3 + "-" + token(10)
+    rows = [(1, f"see {held} here"), (2, f"see {token(12)} here"), (3, "see settlement information here")]
+    got = secrets.scan(frame(spark, rows), secrets.fit(labelled))
+    clean = {r["doc_id"]: r["t"] for r in got.select("doc_id", secrets.redacted(F.col("text"), F.concat("base", "added")).alias("t")).collect()}
+    assert clean == {1: "see <secret> here", 2: "see <secret> here", 3: "see settlement information here"}
+
+
 def test_secrets_added_by_the_models(spark):
     rng = random.Random(3)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"

@@ -11,7 +11,7 @@
 3. *Candidates.*  Sets equal in all batches become one node.  Nodes meet at shared prefix
    n-grams, under a length and a positional filter, first only with the least node of each
    n-gram; every candidate pair is verified once, by intersection.  Then all pairs at n-grams
-   whose nodes are not yet in one component, under a suffix filter too, are verified, so no
+   whose nodes are not yet in one component, under a bitmap filter too, are verified, so no
    connection is missed, and a large group of near copies does not emit all its pairs.
 
 The result has one row per input row.  Null text and text without words have no n-grams,
@@ -42,7 +42,7 @@ SENT = "bucket int, batch int, grams binary, repeated binary, counts binary"
 KNOWN = "batch int, bucket int, grams binary, counts binary"
 SETS = "doc_id long, n_shingles long, node long, digest binary, grams array<long>, places array<int>, parity array<long>, members binary"
 WORD_LIMIT = 150_000
-#: Ranges of hashes that the suffix filter counts.
+#: Ranges of hashes that the bitmap filter counts.
 PARTS = 1024
 #: Ids that are broadcast, at 16 bytes each.
 BROADCAST_ROWS = 1_000_000
@@ -276,7 +276,7 @@ def fits(a: str, b: str):
 
 
 def close(a: str, b: str):
-    """The suffix filter: where the parity of a range differs, the sets differ by a member at least."""
+    """A bitmap filter over the whole sets, in place of a suffix filter: where the parity of a range differs, the sets differ by a member at least."""
     x, y = F.col(f"{a}.parity"), F.col(f"{b}.parity")
     apart = sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(1, PARTS // 64)), F.bit_count(F.get(x, F.lit(0)).bitwiseXOR(F.get(y, F.lit(0)))))
     both = F.col(f"{a}.n") + F.col(f"{b}.n")

@@ -36,8 +36,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def work(tmp_path):
     return str(tmp_path)
-
-
-def rows(df):
-    """Rows as a sorted list of tuples, nulls first."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is not None, str(v)) for v in r))

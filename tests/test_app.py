@@ -6,7 +6,7 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from rowtide import load_app
 from rowtide.errors import ConfigError

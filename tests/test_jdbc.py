@@ -11,7 +11,7 @@ import datetime as dt
 
 import duckdb
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import types as T
 
 from rowtide import Connection, Job, Runner, Tables

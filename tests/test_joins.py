@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import rows
+from frames import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import types as T
 
 import rowtide  # noqa: F401  registers the split step

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

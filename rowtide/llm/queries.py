@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rowtide.llm.collocations import OP13_SQL, op13_collocations
 from rowtide.llm.decontaminate import OP9_SQL, op9_decontaminate
 from rowtide.llm.jaccard import op5_jaccard
 from rowtide.llm.language import op1_language
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_neighbours": op10_neighbours,
+    "op13_collocations": op13_collocations,
 }
 
 SQL: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op9_decontaminate": OP9_SQL,
     "op10_neighbours": OP10_SQL,
+    "op13_collocations": OP13_SQL,
 }

@@ -21,13 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, tasks: int | None = None, compression: str | None = None) -> DataFrame:
     """``df``, written to the folder all executors share and read back: lineage ends there.
 
     ``tasks``: of how many files at most, where few rows are known to come.
     """
     path = fresh_dir(df.sparkSession, name)
-    (df.coalesce(tasks) if tasks else df).write.parquet(path)
+    (df.coalesce(tasks) if tasks else df).write.parquet(path, compression=compression)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.stored_at = path
     return back

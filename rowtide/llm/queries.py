@@ -6,6 +6,7 @@ from rowtide.llm.collocations import OP13_SQL, op13_collocations
 from rowtide.llm.decontaminate import OP9_SQL, op9_decontaminate
 from rowtide.llm.jaccard import op5_jaccard
 from rowtide.llm.language import op1_language
+from rowtide.llm.lexical import OP12_SQL, op12_lexical_search
 from rowtide.llm.neighbours import OP10_SQL, op10_neighbours
 from rowtide.llm.pieces import op6_pieces
 from rowtide.llm.quality import op4_quality
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_neighbours": op10_neighbours,
+    "op12_lexical_search": op12_lexical_search,
     "op13_collocations": op13_collocations,
 }
 
@@ -32,5 +34,6 @@ SQL: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op9_decontaminate": OP9_SQL,
     "op10_neighbours": OP10_SQL,
+    "op12_lexical_search": OP12_SQL,
     "op13_collocations": OP13_SQL,
 }

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import low
+from helpers import SEP, low
 from pyspark.sql import functions as F
 
-from rowtide.llm import collocations
+from rowtide.llm import collocations, lexical, treap
 
 TEXTS = "doc_id long, text string, lang string, f string, h string, word string, score double"
 
@@ -121,3 +123,69 @@ def test_exact_products(spark):
     df = spark.createDataFrame([(a, n, left, right)], "a long, n long, l long, r long")
     got = df.select(collocations.ratio(df.a, df.n, df.l, df.r).alias("x")).first()["x"]
     assert got == 1000 * a * n // (left * right)
+
+
+def search_brute(docs, items, k=10):
+    counted = [(i, Counter(SEP.findall(low(t)))) for i, t in docs]
+    n, total = sum(bool(c) for _, c in counted), sum(c.total() for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    out = Counter()
+    for item, text in items:
+        found = []
+        for i, c in counted:
+            m = 10 + 90 * c.total() * n // max(1, total)
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m)) for t in set(SEP.findall(low(text))) if t in c)
+            if score > 0:
+                found.append((-score, i is None, i))
+        out.update((item, rank, i, -score) for rank, (score, _, i) in enumerate(sorted(found, key=lambda x: (x[0], x[1], x[2] or 0))[:k], 1))
+    return out
+
+
+def treap_cells(seed, rows, columns, n):
+    rng = np.random.default_rng(seed)
+    cells = np.unique(np.stack([(rng.random(n) ** 3 * rows).astype(np.int64), rng.integers(0, columns, n)]), axis=1)
+    return cells[0], cells[1], rng.integers(1, 10**6, cells.shape[1])
+
+
+@pytest.mark.parametrize(("rows", "columns", "n"), [(1, 1, 1), (300, 20, 900), (5, 1000, 2000), (64, 64, 3000)])
+def test_treap_descends_to_the_best_columns(rows, columns, n):
+    r, c, v = treap_cells(1, rows, columns, n)
+    tree = treap.Treap(**treap.build(r, c, v))
+    for asked in ([0], [0, rows - 1], list(range(min(rows, 9)))):
+        asked = np.array(sorted(set(asked)))
+        weights = np.arange(1, len(asked) + 1)
+        want = np.zeros(columns, np.int64)
+        for w, a in zip(weights, asked, strict=True):
+            np.add.at(want, c[r == a], w * v[r == a])
+        floor = int(np.sort(want)[-min(columns, 5)]) or 1
+        for least in (1, floor):
+            got = {}
+            for at, sums in tree.heaviest(asked, weights, least, width=40):
+                got |= dict(zip(at.tolist(), sums.tolist(), strict=True))
+            assert got == {i: s for i, s in enumerate(want.tolist()) if s >= least}
+
+
+def lexical_rows():
+    docs = [(i % 300, t) for i, (_, t, _) in enumerate(spoken(3, 320))]
+    items = [(i, t) for i, (_, t, _) in enumerate(spoken(4, 25))]
+    return docs, [*items, (7, "quick quick QUICK fox"), (7, "w1"), (None, "über hot"), (90, ""), (91, None), (92, "nowhere"), (7, "w1")]
+
+
+@pytest.mark.parametrize("tokens", [10**6, 300])
+def test_lexical_search(spark, monkeypatch, tokens):
+    monkeypatch.setattr(lexical, "SHARD_TOKENS", tokens)
+    monkeypatch.setattr(lexical, "BLOCK_TERMS", 10**6 if tokens > 300 else 20)
+    docs, items = lexical_rows()
+    asked = spark.createDataFrame([(*r, "z", 1) for r in items], "item_id long, text string, terms string, block int")
+    got = lexical.ranked(texts(spark, [(*r, None) for r in docs]), asked)
+    assert Counter(tuple(r) for r in got.collect()) == search_brute(docs, items)
+
+
+def test_lexical_search_in_little(spark):
+    one = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    none = one.where("item_id > 1")
+    docs = texts(spark, [(1, None, None), (None, "", None), (2, " ;; ", "en")])
+    assert lexical.ranked(docs, one).count() == lexical.ranked(docs.limit(0), one).count() == lexical.ranked(docs, none).count() == 0
+    docs = texts(spark, [(1, "A-b " * 5, None), (None, "a b", None), (2, "a b", "en"), (1, "c", "en")])
+    got = lexical.ranked(docs, one)
+    assert Counter(tuple(r) for r in got.collect()) == search_brute([(r[0], r[1]) for r in docs.collect()], [(1, "a b")])

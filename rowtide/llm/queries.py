@@ -11,6 +11,7 @@ from rowtide.llm.neighbours import OP10_SQL, op10_neighbours
 from rowtide.llm.pieces import op6_pieces
 from rowtide.llm.quality import op4_quality
 from rowtide.llm.secrets import op2_secrets
+from rowtide.llm.segment_search import OP11_SQL, op11_segment_search
 from rowtide.llm.token_file import op7_token_file
 from rowtide.llm.toxicity import op8_toxicity
 from rowtide.llm.url_filter import OP3_SQL, op3_url_filter
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_neighbours": op10_neighbours,
+    "op11_segment_search": op11_segment_search,
     "op12_lexical_search": op12_lexical_search,
     "op13_collocations": op13_collocations,
 }
@@ -34,6 +36,7 @@ SQL: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op9_decontaminate": OP9_SQL,
     "op10_neighbours": OP10_SQL,
+    "op11_segment_search": OP11_SQL,
     "op12_lexical_search": OP12_SQL,
     "op13_collocations": OP13_SQL,
 }

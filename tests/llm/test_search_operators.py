@@ -12,7 +12,7 @@ import pytest
 from helpers import SEP, low
 from pyspark.sql import functions as F
 
-from rowtide.llm import collocations, lexical, treap
+from rowtide.llm import collocations, lexical, segment_search, treap
 
 TEXTS = "doc_id long, text string, lang string, f string, h string, word string, score double"
 
@@ -189,3 +189,63 @@ def test_lexical_search_in_little(spark):
     docs = texts(spark, [(1, "A-b " * 5, None), (None, "a b", None), (2, "a b", "en"), (1, "c", "en")])
     got = lexical.ranked(docs, one)
     assert Counter(tuple(r) for r in got.collect()) == search_brute([(r[0], r[1]) for r in docs.collect()], [(1, "a b")])
+
+
+def nearest_brute(rows, k):
+    own = [(n, i, [math.floor(64 * x) for x in v]) for n, (i, v) in enumerate(rows) if i is not None and v and None not in v and all(map(math.isfinite, v))]
+    out = Counter()
+    for n, q, x in own:
+        if q % 20 == 0:
+            found = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i, m) for m, i, y in own if m != n and len(x) == len(y))
+            out.update((q, rank, i, -score) for rank, (score, i, _) in enumerate(found[:k], 1))
+    return out
+
+
+def vector_rows(seed, n):
+    """Clusters, ties, repeated ids and rows, one hot vector, and what cannot take part."""
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((6, 24))
+    rows = [(i, (centres[i % 6] + 0.3 * rng.standard_normal(24)).round(2).tolist()) for i in range(n)]
+    hot = centres[0].tolist()
+    rows += [(1000 + i, hot) for i in range(90)] + [(i % 40, rng.integers(-1, 2, 24).astype(float).tolist()) for i in range(100)]
+    rows += [rows[0], rows[20], (20, [0.0] * 24), (40, [1.0, 2.0]), (60, [0.5, 0.25]), (61, [0.5, -1.0]), (80, [3.0]), (100, [])]
+    return [*rows, (120, None), (None, hot), (140, [float("nan")] * 24), (160, [float("inf"), *hot[1:]]), (180, [None, *hot[1:]])]
+
+
+VECTOR = "vec_id long, embedding array<double>, row string, q string, block string, mean double"
+
+
+@pytest.mark.parametrize(("size", "together"), [(2048, 512), (24, 2)])
+def test_segment_search(spark, monkeypatch, size, together):
+    monkeypatch.setattr(segment_search, "CANDIDATES", size)
+    monkeypatch.setattr(segment_search, "QUERIES", size // 2)
+    monkeypatch.setattr(segment_search, "TOGETHER", together)
+    rows = vector_rows(5, 300)
+    df = spark.createDataFrame([(*r, "r", "q", None, 0.1) for r in rows], VECTOR)
+    got = segment_search.top_k(df, F.col("id") % 20 == 0, 7)
+    assert Counter(tuple(r) for r in got.collect()) == nearest_brute(rows, 7)
+
+
+def test_segment_search_of_little(spark):
+    empty = spark.createDataFrame([], VECTOR)
+    assert segment_search.top_k(empty, F.col("id") % 20 == 0).count() == 0
+    # Scores near the end of 64 bits; longer vectors than that take no part.
+    rows = [(0, [3e7, 1.0, -2e7]), (1, [4e7, 0.5, 1e7]), (2, [-4.7e7, 0.0, 0.0]), (20, [1e9, 0.0, 0.0])]
+    df = spark.createDataFrame([(*r, "r", "q", None, 0.1) for r in rows], VECTOR)
+    assert Counter(tuple(r) for r in segment_search.top_k(df, F.col("id") % 20 == 0).collect()) == nearest_brute(rows[:3], 20)
+
+
+@pytest.mark.parametrize("dims", [1, 3, 8, 17, 64])
+def test_bounds_hold_and_grow_closer(dims):
+    rng = np.random.default_rng(dims)
+    q, c = (rng.integers(-60, 60, (n, dims)) + rng.integers(-9, 9, (n, 1)) for n in (40, 50))
+    exact, before = q @ c.T, np.inf
+    for count in (1, 2, 4, 8, 16):
+        now = segment_search.features(q, count) @ segment_search.features(c, count).T
+        assert (now + segment_search.slack(q, c) >= exact).all()
+        if dims % 16 == 0:
+            assert now.mean() <= before + 1e-6
+            before = now.mean()
+    cut = np.sort(exact, axis=1)[:, -5]
+    got, alive = segment_search.scores(q, c, cut)
+    assert (alive == (exact >= cut[:, None])).all() and (got[alive] == exact[alive]).all()

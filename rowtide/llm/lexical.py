@@ -35,10 +35,10 @@ from rowtide.llm.jaccard import packed, unpacked
 from rowtide.llm.treap import Treap, build
 
 #: Terms of a shard, with repeats, and its documents, at most (but for one document).
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 1_500_000
 SHARD_DOCUMENTS = 1 << 16
 #: Terms that wait until equal ones are put together.
-PENDING = 1_000_000
+PENDING = 500_000
 #: Terms of a block of items; terms that are broadcast.
 BLOCK_TERMS = 50_000
 BROADCAST_TERMS = 500_000

@@ -1,4 +1,4 @@
-"""A K2-treap: a sparse grid of positive numbers as a succinct quadtree of maxima.
+"""A K2-treap: a sparse grid of positive numbers below 2 ** 31 as a succinct quadtree of maxima.
 
 The square grid of side 2 ** height is cut into quadrants down to single cells.  A level holds
 four bits for each of its cells, which say what quadrants are not empty, and for each quadrant
@@ -49,7 +49,7 @@ class Treap:
         self.height, self.bits, self.drops = height, bits, drops
         self.words: list[np.ndarray] = []
         self.ranks: list[np.ndarray] = []
-        self.best = [np.array([root], np.int64)]
+        self.best = [np.array([root], np.int32)]
 
     def open(self, level: int) -> None:
         while len(self.words) <= level:
@@ -57,10 +57,10 @@ class Treap:
             words = np.frombuffer(self.bits[at], np.uint64)
             ones = np.bitwise_count(words).astype(np.int64)
             self.words.append(words)
-            self.ranks.append(np.cumsum(ones) - ones)
+            self.ranks.append((np.cumsum(ones) - ones).astype(np.int32))
             two = words.view(np.uint8)
             quadrants = np.bitwise_count(np.stack([two & 15, two >> 4], axis=1).ravel()[: len(self.best[at])])
-            self.best.append(np.repeat(self.best[at], quadrants) - unpacked(self.drops[at]).astype(np.int64))
+            self.best.append(np.repeat(self.best[at], quadrants) - unpacked(self.drops[at]).view(np.int32))
 
     def quadrant(self, level: int, cells: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For cells of a level (-1: none), the given quadrant's number in the next level, -1 if empty, and its maximum."""
@@ -70,7 +70,7 @@ class Treap:
         there = ((word >> bit) & np.uint64(1) > 0) & (cells >= 0)
         below = np.bitwise_count(word & ((np.uint64(1) << bit) - np.uint64(1)))
         at = np.where(there, self.ranks[level][slot >> 6] + below, -1)
-        return at, np.where(there, self.best[level + 1][at], 0)
+        return at, np.where(there, self.best[level + 1][at], 0).astype(np.int64)
 
     def heaviest(self, rows: np.ndarray, weights: np.ndarray, floor: int, width: int = 60_000):
         """Columns by sums of ``weights`` times their values in ``rows``, best first, in batches.

@@ -14,10 +14,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.llm import decontaminate, jaccard, pieces, quality, secrets
-from rowtide.llm.common import stored, table
+from rowtide.llm.common import forget, small, stored, table, unused
 from rowtide.llm.learn import CUT
 
 
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def wrapped(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and all other columns in one, so that no operator meets their names."""
+    rest = [F.col(quoted(c)) for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", (F.struct(*rest) if rest else F.lit(None)).alias("rest"))
+
+
+def unwrapped(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """``df`` with the columns of ``docs`` again."""
+    return df.select(*[F.col(c) if c in ("doc_id", "text") else F.col("rest").getField(c).alias(c) for c in docs.columns])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the classifier, trained on all labels, rejects.
 
@@ -26,44 +41,39 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     model = quality.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
     if model is None:
         return docs
-    return quality.scored(docs, model).where(F.col("quality_score") >= CUT).select(*docs.columns)
+    return unwrapped(quality.scored(wrapped(docs), model).where(F.col("quality_score") >= CUT), docs)
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the least id stays.
 
-    Texts without words and rows with a null id stay.  Of rows that share an id one stays.
+    Documents are told apart by id and text: a text goes only if it is itself a near copy, also
+    where its id occurs with other texts.  Texts without words and rows with a null id stay.
     """
-    found = stored(jaccard.join_documents(docs), "near-copies")
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if twice.isEmpty():
-        return kept
-    first = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, "doc_id", "left_anti").unionByName(first).select(*docs.columns)
+    return jaccard.first_copies(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold ten words in a row of a benchmark item, or a whole shorter item."""
-    judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    leaks = judged.where("contaminated").select(F.col("key").alias("leak"))
-    return docs.join(leaks, decontaminate.document_key() == F.col("leak"), "left_anti")
+    key = unused(docs, "key")
+    leaks = decontaminate.contaminated_keys(docs, table(spark, sf_dir, "benchmark")).withColumnRenamed("key", key)
+    return docs.withColumn(key, decontaminate.document_key()).join(small(leaks), key, "left_anti").drop(key)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by a mark; n_chars follows the text.  All documents stay, null texts stay null."""
     ratio = secrets.fit(secrets.samples(docs))
-    found = secrets.scan(docs, ratio)
-    clean = secrets.redacted(F.col("text"), F.concat("base", "added"))
-    masked = found.withColumn("text", clean)
+    spans = F.concat("base", "added")
+    found = secrets.scan(wrapped(docs), ratio).withColumn("text", secrets.redacted(F.col("text"), spans))
     if "n_chars" in docs.columns:
-        masked = masked.withColumn("n_chars", F.when(F.size(F.concat("base", "added")) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return masked.select(*docs.columns)
+        own = F.col("rest").getField("n_chars")
+        length = F.when(F.size(spans) > 0, F.length("text")).otherwise(own).cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("rest", F.col("rest").withField("n_chars", length))
+    return unwrapped(found, docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document's sampled pieces, in place of its text."""
+    """The ids of each document's sampled pieces, in place of its text and of columns named like them."""
     import public_tokenizers
 
     return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
@@ -84,6 +94,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            forget(before)
+        before = docs
     return docs

@@ -38,6 +38,43 @@ def forget(df: DataFrame) -> None:
     Storage(df.sparkSession).delete(df.stored_at)
 
 
+class Scratch:
+    """Stored frames that go together once what follows from them is stored."""
+
+    def __init__(self) -> None:
+        self.made: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+        self.made.append(stored(df, name, tasks))
+        return self.made[-1]
+
+    def clear(self) -> None:
+        while self.made:
+            forget(self.made.pop())
+
+
+#: Keys that are broadcast, at 16 bytes each.
+BROADCAST_KEYS = 1_000_000
+
+
+def small(keys: DataFrame) -> DataFrame:
+    """Stored ``keys``, broadcast if they are counted to be few; joined by a shuffle otherwise."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without the columns of these names, which a result is about to take."""
+    return df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in names])
+
+
 def id_crc(column: str | Column = "doc_id") -> Column:
     """crc32 of an id as text; null for a null id."""
     return F.crc32((F.col(column) if isinstance(column, str) else column).cast("string").cast("binary"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import forget, stored
+from rowtide.llm.common import Scratch, forget, stored
 
 #: Edges to a file between steps.
 FILE_EDGES = 500_000
@@ -30,10 +30,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return rest.unionByName(least.select(F.col("m").alias("a"), "b")).distinct()
 
 
-def components(edges: DataFrame, tasks: int | None = None) -> DataFrame:
+def components(edges: DataFrame, tasks: int | None = None, scratch: Scratch | None = None) -> DataFrame:
     """(id, component_id) of every id in ``edges`` (a, b: long); component_id is the least id connected.
 
-    ``tasks``: for reading ``edges``, where few are known to come.  Edges may repeat, stand in either direction or join an id to itself; rows with nulls are
+    ``tasks``: for reading ``edges``, where few are known to come.  ``scratch`` takes over what the
+    result is read from.  Edges may repeat, stand in either direction or join an id to itself; rows with nulls are
     ignored.  Ids that no edge names have no row.
     """
     at = edges.where("a is not null and b is not null and a <> b").select(
@@ -52,6 +53,8 @@ def components(edges: DataFrame, tasks: int | None = None) -> DataFrame:
         if then == before:
             break
         before = then
+    if scratch is not None:
+        scratch.made.append(now)
     return now.select(F.col("b").alias("id"), F.col("a").alias("component_id")).unionByName(
         now.select(F.col("a").alias("id"), F.col("a").alias("component_id")).distinct()
     )

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import Index, mix, stored, table
+from rowtide.llm.common import Index, Scratch, mix, small, stored, table, unused
 from rowtide.llm.components import components
 
 #: n-grams of a batch and of a bucket, as far as the corpus is small.
@@ -283,15 +283,15 @@ def close(a: str, b: str):
     return 9 * apart <= both
 
 
-def links(sets: DataFrame) -> DataFrame:
+def links(sets: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, component_id) of the nodes of ``sets`` that are linked with another."""
     # Answered from the files' footers; the number of tasks for what follows grows with it.
     n = sets.count()
     tasks = 1 + n // 20_000
-    first = stored(sets.where("digest is not null").groupBy("digest").agg(F.min("node").alias("node")), "first", tasks)
+    first = scratch(sets.where("digest is not null").groupBy("digest").agg(F.min("node").alias("node")), "first", tasks)
     few = first.count() <= BROADCAST_ROWS
     nodes = sets.where("digest is not null").join(F.broadcast(first) if few else first, ["digest", "node"], "left_semi")
-    postings = stored(
+    postings = scratch(
         nodes.select("node", F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("grams", "places")).alias("at"))
         .select(F.col("at.grams").alias("gram"), F.struct("node", "n", F.col("at.places").alias("place")).alias("p")),
         "postings",
@@ -302,30 +302,73 @@ def links(sets: DataFrame) -> DataFrame:
     copies = sets.where("digest is not null").select("digest", F.col("node").alias("a")).join(first.withColumnRenamed("node", "b"), "digest").where("a <> b").select("a", "b")
     hubs = postings.groupBy("gram").agg(F.min("p").alias("q"))
     met = postings.join(hubs, "gram").where((F.col("p.node") != F.col("q.node")) & fits("p", "q"))
-    stars = stored(met.select(F.col("q.node").alias("a"), F.col("p.node").alias("b")).distinct(), "pairs", tasks)
-    edges = members.unionByName(copies).unionByName(stored(verified(stars, nodes), "links", tasks))
-    merged = components(edges, tasks)
+    stars = scratch(met.select(F.col("q.node").alias("a"), F.col("p.node").alias("b")).distinct(), "pairs", tasks)
+    edges = members.unionByName(copies).unionByName(scratch(verified(stars, nodes), "links", tasks))
+    merged = components(edges, tasks, scratch)
     # N-grams whose nodes are all connected have nothing more to tell.
     named = postings.join(merged, F.col("p.node") == merged["id"], "left").select("gram", "p", F.coalesce("component_id", "p.node").alias("c"))
     mixed = named.groupBy("gram").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("gram")
     rest = named.join(mixed, "gram").join(nodes.select(F.col("node").alias("owner"), "parity"), F.col("p.node") == F.col("owner"))
-    open_ = stored(rest.select("gram", F.col("p").withField("parity", F.col("parity")).alias("p"), "c"), "open", tasks)
+    open_ = scratch(rest.select("gram", F.col("p").withField("parity", F.col("parity")).alias("p"), "c"), "open", tasks)
     other = open_.select("gram", F.col("p").alias("q"), F.col("c").alias("d"))
     met = open_.join(other, "gram").where((F.col("c") != F.col("d")) & (F.col("p.node") < F.col("q.node")) & fits("p", "q") & close("p", "q"))
     pairs = met.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    found = stored(verified(stored(pairs, "pairs", tasks), nodes), "links", tasks)
+    found = scratch(verified(scratch(pairs, "pairs", tasks), nodes), "links", tasks)
     if found.isEmpty():
         return merged
-    return components(edges.unionByName(found), tasks)
+    return components(edges.unionByName(found), tasks, scratch)
 
 
 def join_documents(docs: DataFrame, n: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
-    sets = stored(document_sets(docs, n), "sets")
-    found = links(sets)
-    return sets.join(found, F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    scratch = Scratch()
+    sets = scratch(document_sets(docs, n), "sets")
+    found = links(sets, scratch)
+    joined = stored(
+        sets.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("id"), "left").select(
+            "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        ),
+        "joined",
     )
+    scratch.clear()
+    return joined
+
+
+def first_copies(docs: DataFrame, n: int = 5) -> DataFrame:
+    """``docs`` without those rows that are near copies of a row with a smaller id.
+
+    Rows are told apart by id and text.  Of rows that share an id, each different text is judged
+    for itself, and of equal rows one stays; among near copies with one id, one text stays.  Texts without
+    words and rows with a null id stay.  Extra columns stay, whatever their names.
+    """
+    node, a, b = (unused(docs, name) for name in ("node", "text_hash", "text_check"))
+    own = docs.withColumns({a: F.xxhash64("text"), b: F.xxhash64(F.lit(1), "text")})
+    keyed = own.select(F.col("doc_id").cast("long").alias("id"), F.col(a).alias("a"), F.col(b).alias("b")).where("id is not null")
+    twice = stored(keyed.groupBy("id").agg(F.count("*").alias("rows"), F.min(F.struct("a", "b")).alias("first")).where("rows > 1"), "repeated-ids")
+    if twice.isEmpty():
+        numbered, extra, again = docs.withColumn(node, F.col("doc_id").cast("long")), None, None
+    else:
+        low = min(0, keyed.agg(F.min("id")).first()[0]) - 1
+        each = keyed.join(small(twice), "id").groupBy("id", "a", "b", "first").agg(F.count("*").alias("copies"))
+        fresh = F.when(F.struct("a", "b") != F.col("first"), F.lit(low) - F.monotonically_increasing_id())
+        # Stored, so that a repeated task finds the same numbers.
+        texts = stored(each.select("id", "a", "b", "copies", F.coalesce(fresh, "id").alias("number")), "repeated-texts")
+        extra = texts.where("number <> id")
+        again = stored(texts.where("copies > 1").select(F.col("number").alias(node)), "repeated-rows")
+        left = small(stored(extra.select(F.col("id").alias("id_"), F.col("a").alias("a_"), F.col("b").alias("b_"), "number"), "fresh-ids"))
+        met = own.join(left, (own["doc_id"].cast("long") == left["id_"]) & (own[a] == left["a_"]) & (own[b] == left["b_"]), "left")
+        numbered = met.select(*[own[c] for c in docs.columns], F.coalesce(left["number"], own["doc_id"].cast("long")).alias(node))
+    found = join_documents(numbered.select(F.col(node).alias("doc_id"), "text"), n)
+    if extra is not None:
+        real = found.join(extra.select(F.col("number").alias("doc_id"), "id"), "doc_id", "left").withColumn("id", F.coalesce("id", "doc_id"))
+        best = real.where("component_id is not null").groupBy("component_id").agg(F.min_by("doc_id", F.struct("id", "doc_id")).alias("stays"))
+        found = found.join(best, "component_id").select("doc_id", F.col("stays").alias("component_id"))
+    gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias(node)).distinct(), "gone")
+    kept = numbered.join(small(gone), node, "left_anti")
+    if again is not None:
+        few = small(again)
+        kept = kept.join(few, node, "left_anti").unionByName(kept.join(few, node, "left_semi").dropDuplicates([node]))
+    return kept.drop(node)
 
 
 def op5_jaccard(spark, sf_dir: str) -> DataFrame:

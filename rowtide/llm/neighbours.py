@@ -25,8 +25,8 @@ group in some table equally often at every size.
 Vectors stay in Spark; to the driver come counts and the audit sample, both bounded.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing, as do
-rows with a null id, whose component is null and which are not kept.  Rows that repeat id and
-vector come out once.  Vectors of different lengths do not link.  Extra columns are ignored;
+rows with a null id, whose component is null and which are not kept.  Every row has a row, and is a vector
+of its own: rows that repeat an id link by their vectors alone, and equal rows link with each other.  Vectors of different lengths do not link.  Extra columns are ignored;
 an empty table gives an empty result.
 """
 
@@ -79,7 +79,7 @@ def prepared(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(out, pa.binary())], names=["id", "dims", "vec"])
 
     named = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(column).alias("v"))
-    return named.mapInArrow(pack, "id long, dims int, vec binary").distinct()
+    return named.mapInArrow(pack, "id long, dims int, vec binary")
 
 
 def forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -292,8 +292,9 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", column: str =
     Attempts end when the audit's ``recall`` is met; ``rounds`` in a row without gain are an error.
     """
     every = stored(prepared(vectors, id_column, column), "vectors")
-    shared = every.where("vec is not null").groupBy("vec", "dims").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    nodes = stored(shared.select("id", "dims", "vec", "copies"), "nodes")
+    shared = every.where("vec is not null").groupBy("vec", "dims").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    # A node is a vector, whatever ids it has; stored, so that its number stays.
+    nodes = stored(shared.select(F.monotonically_increasing_id().alias("id"), "least", "dims", "vec", "copies"), "nodes")
     n = nodes.count()
     tables = tables_for(n, threshold)
     pool = first_graph(nodes, n, 0, k, tables, threshold).withColumn("age", F.lit(0))
@@ -329,8 +330,9 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", column: str =
     if min(got.values(), default=1.0) < 1:
         groups = stored(components(near.unionByName(links.select("a", "b")), 1 + n // 20_000), "groups", 1 + n // 100_000)
     links = counted(groups, nodes, threshold)
-    judged = nodes.join(groups, "id", "left").join(links, "id", "left").select(
-        "vec", "dims", F.coalesce("component_id", "id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
+    first = nodes.join(groups, "id").groupBy("component_id").agg(F.min("least").alias("first"))
+    judged = nodes.join(groups, "id", "left").join(first, "component_id", "left").join(links, "id", "left").select(
+        "vec", "dims", F.coalesce("first", "least").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
     )
     with_vec = every.where("vec is not null").join(judged, ["vec", "dims"]).select("id", "links", "component")
     rest = every.where("vec is null").select("id", F.lit(0).cast("long").alias("links"), F.col("id").alias("component"))
@@ -346,16 +348,16 @@ def op10_neighbours(spark, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = """
-WITH RECURSIVE v AS (SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS row, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 good AS (
   SELECT * FROM v WHERE vec_id IS NOT NULL AND len(e) > 0
     AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 p AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  SELECT a.row AS a, b.row AS b FROM good a JOIN good b ON a.row <> b.row AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
-r(a, b) AS (SELECT vec_id, vec_id FROM v WHERE vec_id IS NOT NULL UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
-c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+r(a, b) AS (SELECT row, row FROM v WHERE vec_id IS NOT NULL UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT r.a, min(v.vec_id) AS component_id FROM r JOIN v ON r.b = v.row GROUP BY r.a),
 n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
 SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, coalesce(v.vec_id = c.component_id, false) AS kept
-FROM v LEFT JOIN c ON v.vec_id = c.a LEFT JOIN n ON v.vec_id = n.a
+FROM v LEFT JOIN c ON v.row = c.a LEFT JOIN n ON v.row = n.a
 """

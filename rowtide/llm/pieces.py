@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import Index, batches_of, busiest, group_sum, mix, ranges, table
+from rowtide.llm.common import Index, batches_of, busiest, code_points, group_sum, mix, ranges, table, without
 
 SPACE = "▁"
 #: Distinct words a worker remembers.
@@ -50,7 +50,7 @@ class Pieces:
         self.size = model.get_piece_size()
         self.byte = [0] * 256
         surface: list[bytes] = []
-        self.trie: dict = {}
+        spelt: list[tuple[str, int, float]] = []
         body, longest = [], 1
         for i in range(self.size):
             piece = model.id_to_piece(i)
@@ -62,10 +62,7 @@ class Pieces:
             else:
                 surface.append(piece.replace(SPACE, " ").encode())
                 rank = min(-model.get_score(i), self.size)
-                node = self.trie
-                for c in piece:
-                    node = node.setdefault(c, {})
-                node[""] = (i, (max(rank, 0.0) + 100.0) ** -alpha)
+                spelt.append((piece, i, (max(rank, 0.0) + 100.0) ** -alpha))
                 body.append(piece.lstrip(SPACE))
                 longest = max(longest, len(piece))
         self.longest = longest
@@ -74,8 +71,28 @@ class Pieces:
         self.pattern = WHOLE if inner else COARSE if mixed else FINE
         lengths = np.array(list(map(len, surface)), np.int64)
         self.surface, self.surface_at, self.surface_length = np.frombuffer(b"".join(surface), np.uint8), np.cumsum(lengths) - lengths, lengths
+        self._spell(spelt)
         self._reset()
 
+    def _spell(self, spelt: list[tuple[str, int, float]]) -> None:
+        """A trie of the pieces in arrays: children by (node, character), and each node's piece and weight."""
+        self.chars = np.unique(np.array([ord(c) for c in {c for piece, _, _ in spelt for c in piece}], np.uint32))
+        number = {chr(c): n for n, c in enumerate(self.chars.tolist())}
+        children: dict[int, int] = {}
+        ends = {}
+        for piece, i, weight in spelt:
+            node = 0
+            for c in piece:
+                node = children.setdefault(node * len(number) + number[c], len(children) + 1)
+            ends[node] = i, weight
+        keys, nodes = np.array(list(children), np.int64), np.array(list(children.values()), np.int64)
+        order = np.argsort(keys)
+        # One key more than any that is asked for, so that a search stays inside.
+        self.step, self.child = np.append(keys[order], np.iinfo(np.int64).max), np.append(nodes[order], 0)
+        self.piece, self.weight = np.full(len(children) + 1, -1, np.int32), np.zeros(len(children) + 1)
+        for node, (i, weight) in ends.items():
+            self.piece[node], self.weight[node] = i, weight
+
     def _reset(self) -> None:
         self.index = Index()
         self.length, self.state = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -98,54 +115,87 @@ class Pieces:
         self.state, self.edge = np.cumsum(self.length) - self.length, np.cumsum(counts) - counts
         self.share, self.back, self.code = self.share[edges], self.back[edges], self.code[edges]
 
-    def _lattice(self, word: str, edge: list, share: list, back: list, code: list) -> None:
-        """Append, for each position of ``word``, the edges that end there with cumulated shares."""
-        arriving: list[list[tuple[int, int, float]]] = [[] for _ in range(len(word) + 1)]
-        shown = [SPACE if c == " " else None if c == SPACE else c for c in word]
-        for i in range(len(word)):
-            node = self.trie
-            for j in range(i, min(len(word), i + self.longest)):
-                node = node.get(shown[j])
-                if node is None:
+    def _edges(self, text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First and last character, id and weight of every piece that fits; sorted by last, then first.
+
+        ``text`` are code points of words one after the other, ``ends`` each character's end of word.
+        """
+        shown = np.where(text == ord(" "), np.uint32(ord(SPACE)), text)
+        at = np.minimum(np.searchsorted(self.chars, shown), len(self.chars) - 1)
+        number = np.where((self.chars[at] == shown) & (text != ord(SPACE)), at, -1)
+        first, node = np.arange(len(text)), np.zeros(len(text), np.int64)
+        parts = []
+        for d in range(self.longest):
+            inside = first + d < ends[first]
+            first, node = first[inside], node[inside]
+            c = number[first + d]
+            key = np.where(c >= 0, node * len(self.chars) + c, -1)
+            at = np.searchsorted(self.step, key)
+            known = self.step[at] == key
+            first, node = first[known], self.child[at[known]]
+            whole = self.piece[node] >= 0
+            parts.append((first[whole], first[whole] + d, self.piece[node[whole]], self.weight[node[whole]]))
+        spelt = np.zeros(len(text), bool)
+        spelt[parts[0][0]] = True
+        bare = np.flatnonzero(~spelt)
+        kinds, kind = np.unique(text[bare], return_inverse=True)
+        runs = [chr(c).encode("utf-8", "surrogatepass") for c in kinds.tolist()]
+        code = np.array([self.byte[r[0]] if len(r) == 1 else self.size + self.byte_runs.setdefault(r, len(self.byte_runs)) for r in runs], np.int32)
+        weight = np.array([1e-6 ** len(r) for r in runs])
+        parts.append((bare, bare, code[kind] if len(bare) else code, weight[kind] if len(bare) else weight))
+        first, last, code, weight = (np.concatenate(p) for p in zip(*parts, strict=True))
+        order = np.lexsort((first, last))
+        return first[order], last[order], code[order], weight[order]
+
+    def _filter(self, first: np.ndarray, last: np.ndarray, weight: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Forward filtering of all words together, place by place: the share of each edge in the weight of all paths to its end."""
+        begin = np.repeat(starts, lengths)
+        word = np.repeat(np.arange(len(lengths)), lengths)
+        # paths[i]: weight of all paths to the end of character i; at_start: to the start of a word.
+        paths, at_start = np.zeros(len(begin)), np.ones(len(lengths))
+        place = (last - begin[last]).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        cuts = np.searchsorted(place[order], np.arange(int(lengths.max()) + 1))
+        share = np.zeros(len(first))
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            e = order[a:b]
+            end = last[e]
+            own = np.flatnonzero(np.append(True, end[1:] != end[:-1]))
+            while True:
+                before = np.where(first[e] == begin[first[e]], at_start[word[first[e]]], paths[first[e] - 1])
+                into = before * weight[e]
+                total = np.add.reduceat(into, own)
+                low = np.flatnonzero(total < 1e-150)
+                if not len(low):
                     break
-                if "" in node:
-                    arriving[j + 1].append((i, *node[""]))
-        paths = [1.0] + [0.0] * len(word)
-        for j in range(1, len(word) + 1):
-            into = arriving[j]
-            if not any(i == j - 1 for i, _, _ in into):
-                run = word[j - 1].encode("utf-8", "surrogatepass")
-                at = self.byte[run[0]] if len(run) == 1 else self.size + self.byte_runs.setdefault(run, len(self.byte_runs))
-                into.append((j - 1, at, 1e-6 ** len(run)))
-            total = 0.0
-            for i, _, weight in into:
-                total += paths[i] * weight
-            if total < 1e-150:
-                first = max(0, j - self.longest)
-                for i in range(first, j):
-                    paths[i] *= 1e150
-                total *= 1e150
-            paths[j] = total
-            sum_ = 0.0
-            edge.append(len(share))
-            for i, at, weight in into:
-                sum_ += paths[i] * weight / total
-                share.append(sum_)
-                back.append(i)
-                code.append(at)
-            share[-1] = 2.0
+                # What the next pieces can start from is lifted together.
+                for i in end[own[low]].tolist():
+                    near = max(int(begin[i]), i - self.longest)
+                    paths[near:i] *= 1e150
+                    at_start[word[i]] *= 1e150 if near == begin[i] else 1.0
+            paths[end[own]] = total
+            share[e] = into / np.repeat(total, np.diff(own, append=len(e)))
+        # Shares are added up over the edges of a state; its last one takes the rest.
+        new = np.append(True, last[1:] != last[:-1])
+        nth = np.arange(len(last)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+        for k in range(1, int(nth.max(initial=0)) + 1):
+            at = np.flatnonzero(nth == k)
+            share[at] += share[at - 1]
+        share[np.append(np.flatnonzero(new)[1:] - 1, len(last) - 1)] = 2.0
+        return share
 
     def _learn(self, fresh: list[str]) -> None:
-        edge, share, back, code = [], [], [], []
-        lengths = np.fromiter(map(len, fresh), np.int64, len(fresh))
-        for word in fresh:
-            self._lattice(word, edge, share, back, code)
-        self.state = np.concatenate([self.state, len(self.edge) + np.cumsum(lengths) - lengths])
+        """Lattices of new words: for each position the edges that end there, with cumulated shares."""
+        text, lengths = code_points(fresh)
+        starts = np.cumsum(lengths) - lengths
+        first, last, code, weight = self._edges(text, np.repeat(starts + lengths, lengths))
+        share = self._filter(first, last, weight, starts, lengths)
+        self.state = np.concatenate([self.state, len(self.edge) + starts])
         self.length = np.concatenate([self.length, lengths])
-        self.edge = np.concatenate([self.edge, len(self.share) + np.array(edge, np.int64)])
-        self.share = np.concatenate([self.share, np.array(share)])
-        self.back = np.concatenate([self.back, np.array(back, np.int32)])
-        self.code = np.concatenate([self.code, np.array(code, np.int32)])
+        self.edge = np.concatenate([self.edge, len(self.share) + np.flatnonzero(np.append(True, last[1:] != last[:-1]))])
+        self.share = np.concatenate([self.share, share])
+        self.back = np.concatenate([self.back, (first - np.repeat(starts, lengths)[first]).astype(np.int32)])
+        self.code = np.concatenate([self.code, code.astype(np.int32)])
 
     def encode(self, texts: list[str], keys: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each text has."""
@@ -213,7 +263,11 @@ def pieces_of(path: str, alpha: float) -> Pieces:
 
 
 def encode(docs: DataFrame, model: str, key: str = "doc_id", alpha: float = 0.75, seed: int = 0) -> DataFrame:
-    """``docs`` plus ids, n_pieces, ids_crc32 and lossless (the ids decode to the text)."""
+    """``docs`` plus ids, n_pieces, ids_crc32 and lossless (the ids decode to the text).
+
+    Columns of ``docs`` that have these names are replaced.
+    """
+    docs = without(docs, "ids", "n_pieces", "ids_crc32", "lossless")
     schema = docs.withColumns(
         {"ids": F.array().cast("array<int>"), "n_pieces": F.lit(0).cast("long"), "ids_crc32": F.lit(0).cast("long"), "lossless": F.lit(True)}
     ).schema
@@ -238,6 +292,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", alpha: float = 0.75
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     """``encoded`` plus decoded: the text of the ids; bytes that are no text are replaced."""
+    encoded = without(encoded, "decoded")
     schema = encoded.withColumn("decoded", F.lit("")).schema
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import WordTable, batches_of, group_sum, id_crc, labelled_ids, table, words_of
+from rowtide.llm.common import WordTable, batches_of, group_sum, id_crc, labelled_ids, table, words_of, without
 from rowtide.llm.learn import CUT, CUT_LOGIT, Adam, natural_weights, out_of_fold, sigmoid, threshold
 
 PASSAGE = 64
@@ -169,7 +169,11 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, bound: int = 3000, lab
 
 
 def scored(docs: DataFrame, model: QualityModel | None) -> DataFrame:
-    """``docs`` plus quality_score and passage (the passage that attention weighs most)."""
+    """``docs`` plus quality_score and quality_passage (the passage that attention weighs most).
+
+    Columns of ``docs`` that have these names are replaced.
+    """
+    docs = without(docs, "quality_score", "quality_passage")
     schema = docs.withColumns({"quality_score": F.lit(0.0), "quality_passage": F.lit(0)}).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -98,7 +98,10 @@ def matches(text: Column, kind: str, pattern: str, keep) -> Column:
 
 
 def scan(docs: DataFrame, ratio: list[float], threshold: float = 8.0, per_character: float = 0.15) -> DataFrame:
-    """``docs`` plus ``base`` and ``added``: arrays of (kind, start, end), each in order of start."""
+    """``docs`` plus ``base`` and ``added``: arrays of (kind, start, end), each in order of start.
+
+    Columns of ``docs`` that have these names are replaced.
+    """
     text = F.coalesce("text", F.lit(""))
     table_ = F.split(F.lit(",".join(f"{x:.4f}" for x in ratio)), ",").cast("array<double>")
 

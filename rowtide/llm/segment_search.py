@@ -190,9 +190,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     candidates = stored(dealt(distinct, bits, CANDIDATES, "row"), "candidates")
     queries = stored(every.where(is_query), "queries")
     unlike = queries.groupBy("vec", "dims").agg(F.min("row").alias("q"), F.first("mean").alias("mean"), F.first("deviation").alias("deviation"))
-    asked = stored(dealt(unlike, bits, QUERIES, "q"), "asked")
-    owns = asked.groupBy(F.col("block").alias("own")).agg(F.first("signs").alias("signs"), F.first("dims").alias("dims"))
-    home = owns.select("own", F.struct("dims", "signs", F.lit(0).alias("part")).alias("block"))
+    fewer = min(bits, max(0, round(math.log2(max(1, queries.count() / QUERIES)))))
+    asked = stored(dealt(unlike, fewer, QUERIES, "q"), "asked")
+    # Blocks of queries look at fewer signs; one block of candidates with the same ones is their first.
+    like = F.col("signs").bitwiseAND(F.lit((1 << fewer) - 1)).alias("signs")
+    first_blocks = candidates.groupBy("dims", like).agg(F.min("block").alias("block"))
+    home = stored(asked.select(F.col("block").alias("own"), "dims", "signs").distinct().join(first_blocks, ["dims", "signs"]).select("own", "block"), "home")
     seeds = stored(best(met(home, asked.withColumn("cut", F.lit(LOWEST)), candidates, k), k), "seeds")
     cuts = seeds.where(F.col("place") == k + 1).select("q", F.col("score").alias("cut"))
     cut_asked = stored(asked.join(cuts, "q", "left").withColumn("cut", F.coalesce("cut", F.lit(LOWEST))), "cut")
@@ -200,20 +203,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     groups = max(1, -(-theirs.count() // TOGETHER))
     theirs = theirs.select("block", "dims", F.col("box").alias("other"), F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("group"))
     ours = boxes(cut_asked, F.min("cut").alias("cut")).select(
-        F.col("block").alias("own"), "signs", "dims", "box", "cut", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")
+        F.col("block").alias("own"), "dims", "box", "cut", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")
     )
-    pairs = ours.join(theirs, ["dims", "group"]).where(
-        (bound(F.col("box"), F.col("other"), F.col("dims")) >= F.col("cut"))
-        & ~((F.col("block.signs") == F.col("signs")) & (F.col("block.part") == 0))
-    )
-    pairs = stored(pairs.select("own", "block"), "pairs")
+    reached = ours.join(theirs, ["dims", "group"]).where(bound(F.col("box"), F.col("other"), F.col("dims")) >= F.col("cut"))
+    pairs = stored(reached.select("own", "block").join(home, ["own", "block"], "left_anti"), "pairs")
     found = seeds.drop("place").unionByName(met(pairs, cut_asked, candidates, k))
     answers = best(found, k).select("q", "score", F.col("id").alias("vec_id"), F.col("row").alias("other"), "place")
     rows = queries.select("id", "row", "vec", "dims").join(asked.select("q", "vec", "dims"), ["vec", "dims"]).select("q", F.col("id").alias("query_id"), "row")
     rank = F.row_number().over(Window.partitionBy("row").orderBy("place"))
     others = rows.join(answers, "q").where(F.col("row") != F.col("other")).withColumn("rank", rank).where(F.col("rank") <= k)
     out = stored(others.select("query_id", "rank", "vec_id", "score"), "nearest")
-    for made in (every, candidates, queries, asked, seeds, cut_asked, pairs):
+    for made in (every, candidates, queries, asked, home, seeds, cut_asked, pairs):
         forget(made)
     return out
 

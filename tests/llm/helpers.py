@@ -61,7 +61,7 @@ def contamination_brute(docs, items):
         for i in range(len(w) - n + 1 if n else 0):
             windows.setdefault(tuple(w[i : i + n]), set()).add(item)
     lengths = {len(k) for k in windows}
-    out = set()
+    out = []
     for doc, text in docs:
         w, hit, found = SEP.findall(low(text)), set(), set()
         for n in lengths:
@@ -70,5 +70,5 @@ def contamination_brute(docs, items):
                     hit.update(range(i, i + n))
                     found |= owners
         names = sorted(str(x) for x in found if x is not None)
-        out.add((doc, len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
+        out.append((doc, len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
     return out

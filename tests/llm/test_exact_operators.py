@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import oracle
@@ -79,10 +80,11 @@ def test_decontamination(spark):
     docs = [
         (1, prose(50, 40) + " " + " ".join(w1[3:14]).upper() + "; " + prose(51, 40)), (2, " ".join(w1[3:12])), (3, "A short-item\x00HERE!"), (4, "Unique"),
         (5, None), (6, ""), (7, prose(8, 11)), (8, " ".join(w7)), (9, " ".join(w1 + w1)), (None, items[1][1]), (10, "K" + prose(52, 15)), (11, "é" + items[1][1]),
-        (12, (prose(53, 3000) + " " + items[1][1] + " ") * 3),
+        (12, (prose(53, 3000) + " " + items[1][1] + " ") * 3), (1, "other words"), (3, "A short-item\x00HERE!"), (5, None), (13, "short item here, unique and " + items[1][1]),
     ]
-    got = decontaminate.contamination(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).drop("key")
-    assert {tuple(r) for r in got.collect()} == contamination_brute(docs, items)
+    docs += [docs[1]] * 3
+    got = decontaminate.contamination(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert Counter(tuple(r) for r in got.collect()) == Counter(contamination_brute(docs, items))
     none = decontaminate.contamination(frame(spark, docs), spark.createDataFrame([], "item_id long, text string"))
     assert none.where("contaminated").count() == 0 and none.count() == len(docs)
     assert decontaminate.contamination(frame(spark, []), spark.createDataFrame(items, "item_id long, text string")).count() == 0
@@ -95,8 +97,8 @@ def test_decontamination_guarantee(spark, seed):
     rng = random.Random(seed)
     items = [(i, " ".join(rng.choice("abcd") for _ in range(rng.choice((4, 10, 14))))) for i in range(4)]
     docs = [(i, " ".join(rng.choice("abcd") for _ in range(60)) + " " + items[i][1]) for i in range(4)]
-    got = decontaminate.contamination(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).drop("key")
-    assert {tuple(r) for r in got.collect()} == contamination_brute(docs, items)
+    got = decontaminate.contamination(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert Counter(tuple(r) for r in got.collect()) == Counter(contamination_brute(docs, items))
 
 
 SECRETS = [
@@ -236,9 +238,18 @@ def test_pieces_are_lossless_and_reproducible(texts, key):
         assert alone.tolist() == ids[end - n : end].tolist()
 
 
+def piece_weights():
+    """Piece with its spaces shown -> (id, weight), from the model file."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    fit = [i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+    return {model.id_to_piece(i): (i, (max(min(-model.get_score(i), model.get_piece_size()), 0.0) + 100.0) ** -0.75) for i in fit}
+
+
 def test_pieces_follow_their_weights():
     ids, counts = SAMPLER.encode(["theon"] * 20_000, np.arange(20_000))
-    ends, seen = np.cumsum(counts), {}
+    ends, seen, known = np.cumsum(counts), {}, piece_weights()
     for n, end in zip(counts, ends, strict=True):
         way = tuple(ids[end - n : end].tolist())
         seen[way] = seen.get(way, 0) + 1
@@ -246,14 +257,8 @@ def test_pieces_follow_their_weights():
     def ways(s):
         if not s:
             return [((), 1.0)]
-        out = []
-        for j in range(1, len(s) + 1):
-            node = SAMPLER.trie
-            for c in s[:j]:
-                node = node.get(c) or {}
-            if "" in node:
-                out += [((node[""][0], *rest), node[""][1] * p) for rest, p in ways(s[j:])]
-        return out
+        at = [(j, *known[s[:j]]) for j in range(1, len(s) + 1) if s[:j] in known]
+        return [((i, *rest), w * p) for j, i, w in at for rest, p in ways(s[j:])]
 
     every = ways("theon")
     total = sum(p for _, p in every)
@@ -262,6 +267,29 @@ def test_pieces_follow_their_weights():
         assert seen.get(way, 0) / 20_000 == pytest.approx(p / total, abs=0.015)
 
 
+def test_lattices_hold_the_share_of_every_piece():
+    """Forward filtering, place by place for all words at once, against sums over one word."""
+    known = piece_weights()
+    words = [" theon", "thhahaer", "x", "漢字" * 40, " ", "q" * 300, "Ωb漢é" * 90, "a▁b"]
+    fresh = pieces.Pieces(PIECES, 0.75)
+    fresh._learn(words)
+    for n, word in enumerate(words):
+        shown = ["" if c == "▁" else c.replace(" ", "▁") for c in word]
+        logs = [0.0]
+        for j in range(1, len(word) + 1):
+            into = [(i, known["".join(shown[i:j])][1]) for i in range(max(0, j - fresh.longest), j) if all(shown[i:j]) and "".join(shown[i:j]) in known]
+            if not any(i == j - 1 for i, _ in into):
+                into.append((j - 1, 1e-6 ** len(word[j - 1].encode())))
+            high = max(logs[i] for i, _ in into)
+            parts = np.array([np.exp(logs[i] - high) * w for i, w in into])
+            logs.append(high + np.log(parts.sum()))
+            state = fresh.state[n] + j - 1
+            edges = slice(fresh.edge[state], fresh.edge[state] + len(into))
+            assert fresh.back[edges].tolist() == [i for i, _ in into]
+            share = np.append(np.cumsum(parts)[:-1] / parts.sum(), 2.0)
+            assert fresh.share[edges] == pytest.approx(share, abs=1e-9)
+
+
 def test_pieces_of_a_table(spark):
     rows = [(1, "some words here"), (1, "some words here"), (2, None), (3, ""), (None, "x"), (4, "longtext" * 5000), (5, "z " * 40_000)]
     got = pieces.decode(pieces.encode(frame(spark, rows), PIECES), PIECES).collect()
@@ -277,19 +305,22 @@ def test_neighbours(spark):
     dense = rng.normal(size=16)
     rows += [(100 + i, (dense + 0.05 * rng.normal(size=16)).tolist()) for i in range(90)]
     rows += [(300, (2 * base[0]).tolist()), (301, None), (302, [0.0] * 16), (303, [float("nan")] * 16), (304, [1.0, None]), (305, [1.0, 2.0]), (306, [2.0, 4.0]), (None, base[1].tolist()), (307, []), (5, base[5].tolist())]
+    # Ids that repeat, with the same vector, with others, and with none that links.
+    rows += [(5, base[5].tolist()), (400, base[1].tolist()), (400, base[2].tolist()), (401, (-base[3]).tolist()), (401, base[3].tolist()), (0, base[0].tolist()), (301, None), (302, base[39].tolist())]
     df = spark.createDataFrame([(i, v, 1, "c") for i, v in rows], "vec_id long, embedding array<double>, id int, links string")
-    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in neighbours.near_duplicates(df).collect()}
-    good = {i: np.array(v) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)}
-    links = {i: {j for j, w in good.items() if j != i and len(w) == len(v) and v @ w / np.linalg.norm(v) / np.linalg.norm(w) >= 0.95} for i, v in good.items()}
-    want = {}
-    for i in {i for i, _ in rows}:
-        seen, todo = {i}, [i]
+    got = Counter(tuple(r) for r in neighbours.near_duplicates(df).collect())
+    good = {n: np.array(v) for n, (i, v) in enumerate(rows) if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)}
+    links = {n: {m for m, w in good.items() if m != n and len(w) == len(v) and v @ w / np.linalg.norm(v) / np.linalg.norm(w) >= 0.95} for n, v in good.items()}
+    want = Counter()
+    for n, (i, _) in enumerate(rows):
+        seen, todo = {n}, [n]
         while todo:
-            for j in links.get(todo.pop(), ()):
-                if j not in seen:
-                    seen.add(j)
-                    todo.append(j)
-        want[i] = (len(links.get(i, ())), i if i is None else min(seen), i is not None and min(seen) == i)
+            for m in links.get(todo.pop(), ()):
+                if m not in seen:
+                    seen.add(m)
+                    todo.append(m)
+        first = None if i is None else min(rows[m][0] for m in seen)
+        want[i, len(links.get(n, ())), first, i is not None and first == i] += 1
     assert got == want
     assert neighbours.near_duplicates(df.limit(0)).count() == 0
 
@@ -318,6 +349,39 @@ def test_neighbours_audit_small_groups(spark, monkeypatch):
         neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
 
 
+def test_one_copy_of_each_text_stays(spark):
+    """Documents are known by id and text: a text goes only for a near copy of itself."""
+    one, two, three, four = (prose(s, 60) for s in (71, 72, 73, 74))
+    rows = [(1, one), (2, one), (2, two), (3, three), (3, three + " " + two), (4, four), (4, four), (4, near(four, 1, 1)), (5, None), (5, None), (5, ""), (None, one), (None, one), (-7, near(two, 1, 2))]
+    clash = frame(spark, rows).withColumns({c: F.lit("mine") for c in ("node", "text_hash", "number", "a", "b", "id", "first")})
+    kept = jaccard.first_copies(clash)
+    assert kept.columns == clash.columns
+    want = [(1, one), (3, three), (3, three + " " + two), (5, None), (5, ""), (None, one), (None, one), (-7, near(two, 1, 2))]
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert len([1 for i, t in got if i == 4]) == 1
+    assert Counter(x for x in got if x[0] != 4) == Counter(want)
+    # Without repeated ids the least id of a group stays.
+    plain = [(7, one), (3, near(one, 1, 1)), (9, two), (11, near(one, 1, 2))]
+    assert {r["doc_id"] for r in jaccard.first_copies(frame(spark, plain)).collect()} == {3, 9}
+    assert jaccard.first_copies(frame(spark, [])).count() == 0
+
+
+NAMES = ("quality_score", "quality_passage", "leak", "key", "ids", "n_pieces", "base", "added", "rest", "node", "Key_", "a.b", "lossless", "component_id", "words", "positions", "text_hash")
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    docs = docs.withColumns({c: F.lit(f"mine: {c}") for c in NAMES})
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = corpus_pipeline.stored(stage(spark, kept, SMALL), "test-stage")
+        assert kept.dtypes == docs.dtypes, name
+        assert kept.count() > 5
+        assert {tuple(r) for r in kept.select(*[F.col(f"`{c}`") for c in NAMES]).distinct().collect()} == {tuple(f"mine: {c}" for c in NAMES)}
+    last = corpus_pipeline.STAGES[-1][1](spark, kept, SMALL)
+    assert last.where("not lossless").count() == 0 and last.count() == kept.count()
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}

@@ -31,7 +31,7 @@ class StepContext:
 
     ``table`` resolves ``(connection, table)`` to a frame, for lookups; it may also get
     the column and the keys that are wanted, and then read less.  ``stage`` stores a frame
-    that several branches share, if the run is under way; ``rows`` is the number of source
+    that several branches share, if the run is under way, in partitions of a column if one is named; ``rows`` is the number of source
     rows, if they were counted.
     """
 
@@ -39,7 +39,7 @@ class StepContext:
     source_table: str = ""
     target_connections: tuple[str, ...] = ()
     table: Callable[..., DataFrame] | None = None
-    stage: Callable[[DataFrame], DataFrame] | None = None
+    stage: Callable[..., DataFrame] | None = None
     source_schema: T.StructType | None = None
     unique_key: tuple[str, ...] = ()
     rows: int | None = None
@@ -329,20 +329,20 @@ def _provenance_step(config: Any) -> Step:
 # ---- user code, row by row -------------------------------------------------
 
 TABLE_TAG = "_table"
+# The partition column of rows that are stored for several tables.
+PART = "_table_part"
 # Output rows of user code held before they go back to Spark.
 BATCH_ROWS = 10_000
 
 
 @dataclass(frozen=True)
-class RowStep:
-    """User code that turns one row into none, one or several rows for any table.
+class _UserStep:
+    """User code that turns rows into rows for any table; ``tables`` declares their columns.
 
-    ``fn(row)`` gets a dict and yields ``(table, dict)`` pairs; ``tables`` declares
-    the columns of every table it may write.  Rows are processed where they are, in
-    Arrow batches: no shuffle, no grouping.
+    Rows are processed where they are, in Arrow batches: no shuffle, no grouping.
     """
 
-    fn: Callable[[dict[str, Any]], Iterable[tuple[str, dict[str, Any]]]]
+    fn: Callable[..., Any]
     tables: Mapping[str, T.StructType] = field(default_factory=dict)
 
     def union_schema(self) -> T.StructType:
@@ -356,6 +356,28 @@ class RowStep:
 
     def tagged(self, df: DataFrame) -> DataFrame:
         """All output rows in one frame, with their table in ``_table``."""
+        raise NotImplementedError
+
+    def __call__(self, ctx: StepContext, branches: Branches) -> Branches:
+        tagged, tag = self.tagged(branches[DEFAULT_TABLE]), F.col(TABLE_TAG)
+        where = {table: tag == table for table in self.tables}
+        if ctx.stage is not None and len(self.tables) > 1:
+            # The code runs once; one write deals its rows into a partition for each table, and
+            # every table reads its own.
+            tagged = ctx.stage(tagged.withColumn(PART, F.concat(F.lit("of "), tag)), PART)
+            where = {table: F.col(PART) == f"of {table}" for table in self.tables}
+        rest = {k: v for k, v in branches.items() if k != DEFAULT_TABLE}
+        made = {
+            table: tagged.where(where[table]).select(*[V.col(n) for n in schema.names])
+            for table, schema in self.tables.items()
+        }
+        return merge_branches(rest, made)
+
+
+class RowStep(_UserStep):
+    """``fn(row)`` gets a dict and yields ``(table, dict)`` pairs: none, one or several rows for any table."""
+
+    def tagged(self, df: DataFrame) -> DataFrame:
         schema = self.union_schema()
         names = schema.names[1:]
         fn, known = self.fn, frozenset(self.tables)
@@ -379,14 +401,33 @@ class RowStep:
 
         return df.mapInArrow(run, schema)
 
-    def __call__(self, ctx: StepContext, branches: Branches) -> Branches:
-        tagged = self.tagged(branches[DEFAULT_TABLE])
-        if ctx.stage is not None and len(self.tables) > 1:
-            # The code runs once, and every table gets its rows from the same run.
-            tagged = ctx.stage(tagged)
-        rest = {k: v for k, v in branches.items() if k != DEFAULT_TABLE}
-        made = {
-            table: tagged.where(F.col(TABLE_TAG) == table).select(*[V.col(n) for n in schema.names])
-            for table, schema in self.tables.items()
-        }
-        return merge_branches(rest, made)
+
+class BatchStep(_UserStep):
+    """``fn(batch)`` gets an Arrow table of some rows and returns ``{table: Arrow table}``.
+
+    Columns go to the declared types; those that a table does not have are null, undeclared
+    ones are left out.  No row becomes a Python object unless ``fn`` makes it one.
+    """
+
+    def tagged(self, df: DataFrame) -> DataFrame:
+        schema, fn, tables = self.union_schema(), self.fn, dict(self.tables)
+
+        def run(batches):
+            import pyarrow as pa
+            from pyspark.sql.pandas.types import to_arrow_schema
+
+            arrow = to_arrow_schema(schema)
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                for table, made in fn(pa.Table.from_batches([batch])).items():
+                    if table not in tables:
+                        raise ValueError(f"batch step wrote to undeclared table {table!r}")
+                    declared, there = tables[table].names, made.schema.names
+                    columns = [pa.repeat(pa.scalar(table, pa.string()), made.num_rows)]
+                    for f in list(arrow)[1:]:
+                        known = f.name in declared and f.name in there
+                        columns.append(made.column(f.name).cast(f.type) if known else pa.nulls(made.num_rows, f.type))
+                    yield from pa.table(columns, schema=arrow).to_batches(BATCH_ROWS)
+
+        return df.mapInArrow(run, schema)

@@ -39,13 +39,12 @@ def read_marks(df: DataFrame, specs: Mapping[str, str]) -> tuple[int, dict[str,
     """Row count and maxima, from one scan of the tracked columns; one row comes back."""
     types = {key: V.column_type(df, column) for key, column in specs.items()}
     maxima = mark_aggregates(df, specs)
-    # Session time zone, not the one of the Python process.
-    local = [
-        m.cast("timestamp_ntz").alias(k) if isinstance(types[k], T.TimestampType) else m
-        for k, m in zip(specs, maxima, strict=True)
-    ]
-    row = df.agg(F.count(F.lit(1)).alias("__rows"), *local).first()
-    return row["__rows"], {k: V.Constant(row[k], types[k]) for k in specs}
+    # Instants come as numbers: local time would name two of them when clocks are set back.
+    instant = [isinstance(t, T.TimestampType) for t in types.values()]
+    sent = [F.unix_micros(m).alias(k) if i else m for k, m, i in zip(specs, maxima, instant, strict=True)]
+    row = df.agg(F.count(F.lit(1)).alias("__rows"), *sent).first()
+    values = [V.instant(row[k]) if i and row[k] is not None else row[k] for k, i in zip(specs, instant, strict=True)]
+    return row["__rows"], {k: V.Constant(v, types[k]) for k, v in zip(specs, values, strict=True)}
 
 
 def advanced(old: Any, new: Any) -> Any:

@@ -9,7 +9,8 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide import types as V
@@ -86,13 +87,21 @@ class Runner:
 
         def state(key: str) -> V.Constant:
             if key in marks:
-                return marks[key]
+                return self._as_read(job, marks[key])
             if key not in job.state:
                 raise TemplateError(f"state key {key!r} is not declared under sync.state")
             return types.lower_bound(job.state[key].column)
 
         return Template(state, now)
 
+    def _as_read(self, job: Job, mark: V.Constant) -> V.Constant:
+        """A mark in the terms of the source: a database compares with the session's local time."""
+        moment = mark.value
+        if not isinstance(moment, dt.datetime) or moment.tzinfo is None or not self.connections.connection(job.source.connection).is_database:
+            return mark
+        local = self.spark.range(1).select(F.lit(mark.text()).cast("timestamp").cast("string")).first()[0]
+        return V.Constant(dt.datetime.fromisoformat(local), mark.dtype)
+
     def read(self, job: Job, now: dt.datetime, marks: Mapping[str, V.Constant]) -> DataFrame:
         """The source rows of one run."""
         src = job.source
@@ -180,11 +189,12 @@ class Runner:
                 seconds = time.monotonic() - started
                 return RunResult(job.name, run_id, 0, 0, {job.target.table: 0}, store.load(), seconds)
             branches = self.plan(job, df, stage, rows_read)
-            written = self.write(job, branches, run_id)
-            rows_out = sum(written.values())
-            if job.mode == "upsert":
-                # Several rows of one key are one written row, but each is a row of the steps.
-                rows_out = sum(frame.count() for frame in branches.values())
+            # Several rows of one key are one written row, but each is a row of the steps: counted
+            # in passing, by the pass that writes.
+            seen = {table: Observation() for table in branches} if job.mode == "upsert" else {}
+            watched = {t: f.observe(seen[t], F.count(F.lit(1)).alias("rows")) if seen else f for t, f in branches.items()}
+            written = self.write(job, watched, run_id)
+            rows_out = sum(o.get["rows"] for o in seen.values()) if seen else sum(written.values())
             kept = store.commit(marks, run_id) if job.state else {}
         seconds = time.monotonic() - started
         return RunResult(job.name, run_id, rows_read, rows_out, written, kept, seconds)

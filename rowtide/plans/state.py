@@ -15,6 +15,7 @@ from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide import types as V
@@ -82,12 +83,23 @@ class StateStore:
             doc = json.loads(self.storage.read_text(f"{self.folder}/{commits[-1]}"))
             if doc["job"] != self.job:
                 raise StateError(f"state folder {self.folder} belongs to job {doc['job']!r}")
-            return {k: decode(v) for k, v in doc["marks"].items()}
+            return {k: self._instant(decode(v)) for k, v in doc["marks"].items()}
         except (KeyError, ValueError) as e:
             raise StateError(f"unreadable state {self.folder}/{commits[-1]}: {e}") from e
 
+    def _instant(self, mark: V.Constant) -> V.Constant:
+        """A mark of an earlier release, in local time, as the instant the session reads it as."""
+        if not isinstance(mark.dtype, T.TimestampType) or mark.value is None or mark.value.tzinfo is not None:
+            return mark
+        local = F.unix_micros(F.lit(mark.text()).cast("timestamp"))
+        return V.Constant(V.instant(self.spark.range(1).select(local).first()[0]), mark.dtype)
+
     def commit(self, marks: Mapping[str, V.Constant], run_id: str) -> dict[str, V.Constant]:
-        """Advance the stored marks; a mark never moves down."""
+        """Advance the stored marks; a mark never moves down.
+
+        Of two runs that commit at once one gets its number; the other fails and changes nothing.
+        """
+        commits = self._commits()
         merged = self.load()
         for key, new in marks.items():
             old = merged.get(key)
@@ -100,10 +112,10 @@ class StateStore:
             "run_id": run_id,
             "marks": {k: encode(c.value, c.dtype) for k, c in merged.items()},
         }
-        commits = self._commits()
         serial = int(commits[-1][:12]) + 1 if commits else 1
         self.storage.make_dirs(self.folder)
-        self.storage.replace_text(f"{self.folder}/{serial:012d}.json", json.dumps(doc, sort_keys=True))
+        if not self.storage.create_text(f"{self.folder}/{serial:012d}.json", json.dumps(doc, sort_keys=True)):
+            raise StateError(f"job {self.job!r}: another run has committed its marks meanwhile")
         for old_name in commits[:-HISTORY]:
             self.storage.delete(f"{self.folder}/{old_name}")
         return merged

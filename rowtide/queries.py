@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from rowtide.functions.text import moment_text
 from rowtide.operators import lookup as L
 from rowtide.operators import mapping as M
+from rowtide.operators import ranges
 from rowtide.operators import routing as R
 from rowtide.operators import split as S
 from rowtide.operators import steps as E
@@ -75,7 +77,9 @@ def scan_where(spark, sf):
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def scan_partitioned(spark, sf):
-    return X.scan(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_quantity"])
+    """Twelve slices of about equal depth, each by one range condition that reaches the scan."""
+    lines = X.scan(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_quantity"])
+    return reduce(DataFrame.unionAll, ranges.slices(lines, "l_orderkey", 12))
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 500 OFFSET 1000")
@@ -84,6 +88,20 @@ def page_window(spark, sf):
     return X.page(orders, ["o_orderkey"], 1000, 500)
 
 
+@query("""
+    SELECT k, l_orderkey, l_linenumber, l_partkey FROM (
+        SELECT l_returnflag || '-' || l_linestatus AS k, l_orderkey, l_linenumber, l_partkey,
+               row_number() OVER (ORDER BY l_returnflag || '-' || l_linestatus, l_orderkey, l_linenumber, l_partkey) - 1 AS n,
+               count(*) OVER () AS total FROM lineitem) x
+    WHERE n >= total - total // 4 AND n < total - total // 4 + 700
+""")
+def page_window_text(spark, sf):
+    """A page in the order of a text column, behind three quarters of all rows: found by counts of ranges, not by a large top-k."""
+    lines = table(spark, sf, "lineitem").select(F.concat_ws("-", "l_returnflag", "l_linestatus").alias("k"), "l_orderkey", "l_linenumber", "l_partkey")
+    total = lines.count()
+    return X.page(lines, ["k"], total - total // 4, 700)
+
+
 @query("""
     SELECT o.o_orderkey, c.c_name, n.n_name FROM orders o
     LEFT JOIN customer c ON o.o_custkey = c.c_custkey
@@ -618,11 +636,12 @@ def sink_upsert(spark, sf):
 
 @query(_MERGED)
 def sink_upsert_changes(spark, sf):
-    """The same, with the changes kept beside the target."""
+    """The same after the target came by two appends: only the buckets that the batch touches are replaced."""
     target, source = _upsert_sides(spark, sf)
-    sink = PathSink(spark, fresh_dir(spark, "sink-changes"), ("o_orderkey",), rewrite_bytes=0)
-    sink.upsert(target, "r1")
-    sink.upsert(source, "r2")
+    sink = PathSink(spark, fresh_dir(spark, "sink-changes"), ("o_orderkey",), buckets=64)
+    sink.append(target.where("o_orderkey % 2 = 0"), "r1")
+    sink.append(target.where("o_orderkey % 2 <> 0"), "r2")
+    sink.upsert(source, "r3")
     return read_target(spark, sink.path)
 
 
@@ -689,6 +708,52 @@ def step_custom(spark, sf):
     return step(E.StepContext(), {"": events})[""]
 
 
+@query("""
+    SELECT event_id, event_type, CAST(c AS BIGINT) AS copy_no FROM events
+    JOIN (VALUES (0), (1)) v(c) ON c = 0 OR event_type = 'purchase' WHERE event_type <> 'error'
+""")
+def step_batch(spark, sf):
+    """The same as step_custom, by code that sees Arrow tables."""
+
+    def copies(batch):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        kept = batch.filter(pc.not_equal(batch["event_type"], "error"))
+        again = batch.filter(pc.equal(batch["event_type"], "purchase"))
+        numbered = [t.append_column("copy_no", pa.repeat(pa.scalar(n), t.num_rows)) for n, t in enumerate((kept, again))]
+        return {"": pa.concat_tables(numbered)}
+
+    schema = T._parse_datatype_string("event_id bigint, event_type string, copy_no bigint")
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    return E.BatchStep(copies, {"": schema})(E.StepContext(), {"": events})[""]
+
+
+@query("""
+    SELECT 'evt_' || event_type AS target_table, event_id FROM events
+    UNION ALL SELECT 'all', event_id FROM events WHERE value >= 50
+""")
+def fanout_write(spark, sf):
+    """A step for several tables in a job: its code runs once, one write deals the rows, each table reads its partition."""
+    kinds = [r[0] for r in table(spark, sf, "events").select("event_type").distinct().collect()]
+
+    def deal(batch):
+        import pyarrow.compute as pc
+
+        out = {f"evt_{k}": batch.filter(pc.equal(batch["event_type"], k)) for k in pc.unique(batch["event_type"]).to_pylist()}
+        return {**out, "all": batch.filter(pc.greater_equal(batch["value"], 50.0))}
+
+    schema = T._parse_datatype_string("event_id bigint")
+    E.register_step("deal_events")(lambda config: E.BatchStep(deal, {t: schema for t in ("all", *[f"evt_{k}" for k in kinds])}))
+    work = fresh_dir(spark, "fanout")
+    files = {"in": Connection.parse("in", {"type": "files", "path": sf, "pattern": "{table}.parquet"}), "out": Connection.parse("out", {"type": "files", "path": work})}
+    doc = {"name": "fanout", "etl": [{"plugin": "deal_events"}], "sync": {"mode": "append"}}
+    doc["source"] = {"connection": "in", "table": "events", "columns": "event_id,event_type,value"}
+    doc["target"] = {"connection": "out", "table": "events"}
+    result = Runner(spark, X.Tables(spark, files), f"{work}/state").run(Job.from_dict(doc), CLOCK, "r1")
+    return M.union_normalised([read_target(spark, f"{work}/{t}").select(F.lit(t).alias("target_table"), "event_id") for t in result.written])
+
+
 @query("""
     SELECT 'seen' AS target_table, event_id, CAST(NULL AS DOUBLE) AS paid FROM events
     UNION ALL SELECT 'paid', event_id, value FROM events WHERE event_type = 'purchase'
@@ -808,13 +873,13 @@ def incr_first_run_keys(spark, sf):
     UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_acctbal >= 0
 """)
 def sink_append_replay(spark, sf):
-    """Each append counts once, also when it is repeated after compaction; '1' is not 'r-1'."""
+    """Each append counts once, also when it is repeated after other writes; '1' is not 'r-1'."""
     customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
-    sink = PathSink(spark, fresh_dir(spark, "sink-replay"))
+    sink = PathSink(spark, fresh_dir(spark, "sink-replay"), ("c_custkey",))
     every, some = customer.drop("c_acctbal"), customer.where("c_acctbal >= 0").drop("c_acctbal")
     sink.append(every, "r-1")
     sink.append(some, "1")
-    sink.compact("c")
+    sink.upsert(some, "u")
     sink.append(every, "r-1")
     sink.append(some, "1")
     return read_target(spark, sink.path)
@@ -831,19 +896,6 @@ def dedup_null_keys(spark, sf):
     return dedup_last(events, ["k"], ["event_id"])
 
 
-@query("""
-    SELECT k, v FROM (SELECT nullif(o_orderkey % 1000, 0) AS k, o_custkey AS v FROM orders WHERE o_orderkey < 1000) t
-    WHERE k IS NULL OR k > 500
-    UNION ALL SELECT CAST(o_orderkey AS BIGINT), -o_custkey FROM orders WHERE o_orderkey BETWEEN 1 AND 500
-""")
-def upsert_null_keys(spark, sf):
-    """A merge leaves target rows without a key alone."""
-    orders = table(spark, sf, "orders")
-    target = orders.where("o_orderkey < 1000").selectExpr("nullif(o_orderkey % 1000, 0) AS k", "o_custkey AS v")
-    source = orders.where("o_orderkey BETWEEN 1 AND 500").selectExpr("o_orderkey AS k", "-o_custkey AS v")
-    return U.merge(target, source, ["k"])
-
-
 @query("""
     SELECT CAST(NULL AS BIGINT) AS k, o_custkey AS v FROM orders WHERE o_orderkey % 3 = 0
     UNION ALL SELECT o_orderkey, -o_custkey FROM orders

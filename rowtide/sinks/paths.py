@@ -1,20 +1,25 @@
 """Targets that are folders of Parquet files: full, append and upsert writes.
 
-A target folder holds data folders and one small pointer file that says which of them
-are current.  Every write adds a new data folder and then replaces the pointer, so a
-reader sees a run entirely or not at all, and a write that dies leaves the target as it
-was.  Nothing that is being read is ever overwritten.
-
-A small upsert into a large target does not rewrite it: the changed rows are kept in one
-folder of their own, and replace rows of the same key when the target is read.  Once the
-changes outgrow a bound they are merged into the target.
+A target is an ordinary Parquet table with two partition columns: the run that brought a row,
+and a hash bucket of its key.
+
+* A *full* write replaces all partitions, an *append* those of its own run.  So a repeated append
+  takes effect once, whatever happened to the target in between.
+* An *upsert* meets only the buckets that its batch touches, pruned by partition, and replaces
+  just these; rows keep the run that brought them, new rows belong to the upsert.
+
+Every write first stores its partitions beside the current ones, then names them in one step
+file, then moves them into place.  A write that dies before its step file changed nothing; one that
+dies later is finished by the next write.  Readers do not wait for writers: who needs a
+snapshot reads a copy.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,134 +30,85 @@ from rowtide.errors import ConfigError, RowtideError
 from rowtide.operators import upsert as U
 from rowtide.operators.mapping import project
 from rowtide.operators.ranking import upsert_rows
-from rowtide.plans.sizing import BROADCAST_ROWS, broadcast_threshold
+from rowtide.plans.sizing import BROADCAST_ROWS, broadcast_threshold, scan_bytes
 from rowtide.sources.storage import Storage
 
-CURRENT = "_CURRENT"
+TABLE, STEP, PENDING = "_TABLE", "_STEP", "_pending"
+RUN, BUCKET = "rt_run", "rt_bucket"
 
-# Targets up to this size are simply rewritten.
-REWRITE_BYTES = 1 << 30
-# The keys of kept changes are broadcast to readers: these bound them.
-CHANGED_ROWS = 2_000_000
-CHANGED_BYTES = 256 << 20
+#: Buckets of a new target with a key: this many at least, and one for so many bytes.
+LEAST_BUCKETS = 16
+BUCKET_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
-class Version:
-    """What the pointer says.
+class Layout:
+    """The columns of a target, and by which keys its rows are dealt into how many buckets."""
 
-    ``changes`` replaces rows of ``folders`` that have the same ``keys``; ``added`` came
-    later.  ``runs`` has the appends ever committed since the target was last replaced, and
-    their rows; it outlives compaction and merging.
-    """
-
-    serial: int
-    folders: tuple[str, ...]
     schema: T.StructType
-    run_id: str
-    size: int = 0
-    changes: str | None = None
-    changed_rows: int = 0
     keys: tuple[str, ...] = ()
-    added: tuple[str, ...] = ()
-    runs: dict[str, int] = field(default_factory=dict)
-
-    @property
-    def used(self) -> tuple[str, ...]:
-        return (*self.folders, *self.added, *([self.changes] if self.changes else []))
+    buckets: int = 1
+    serial: int = 0
 
     def text(self) -> str:
-        return json.dumps({**asdict(replace(self, schema=None)), "schema": self.schema.jsonValue()})
+        return json.dumps({"schema": self.schema.jsonValue(), "keys": self.keys, "buckets": self.buckets, "serial": self.serial})
 
     @staticmethod
-    def parse(text: str) -> Version:
+    def parse(text: str) -> Layout:
         doc = json.loads(text)
-        lists = {k: tuple(doc[k]) for k in ("folders", "keys", "added")}
-        doc.pop("retired", None)
-        return Version(**{**doc, **lists, "schema": T.StructType.fromJson(doc["schema"])})
-
+        return Layout(T.StructType.fromJson(doc["schema"]), tuple(doc["keys"]), doc["buckets"], doc["serial"])
 
-def current_version(spark: SparkSession, path: str) -> Version | None:
+    @property
+    def stored(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField(RUN, T.StringType()), T.StructField(BUCKET, T.IntegerType())])
+
+    def bucket(self) -> Column:
+        """The bucket of a row; rows without a key, which match nothing, are spread."""
+        if not self.keys or self.buckets == 1:
+            return F.lit(0)
+        hashed = [V.col(f.name) for f in self.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+        missing = V.col(self.keys[0]).isNull()
+        for k in self.keys[1:]:
+            missing = missing | V.col(k).isNull()
+        code = F.when(missing, F.xxhash64(*hashed)).otherwise(F.xxhash64(*[V.col(k) for k in self.keys]))
+        return F.pmod(code, F.lit(self.buckets)).cast("int")
+
+
+def layout_of(spark: SparkSession, path: str) -> Layout | None:
     storage = Storage(spark)
-    if not storage.exists(f"{path}/{CURRENT}"):
+    if not storage.exists(f"{path}/{TABLE}"):
         return None
-    return Version.parse(storage.read_text(f"{path}/{CURRENT}"))
-
-
-def read_target(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the current version."""
-    version = current_version(spark, path)
-    if version is None:
-        raise RowtideError(f"{path} has never been written")
-    return _frame(spark, path, version)
+    return Layout.parse(storage.read_text(f"{path}/{TABLE}"))
 
 
-def _read(spark: SparkSession, path: str, folders: Sequence[str], schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in folders])
-
-
-def _frame(spark: SparkSession, path: str, version: Version) -> DataFrame:
-    df = _read(spark, path, version.folders, version.schema)
-    if version.changes:
-        changes = _read(spark, path, [version.changes], version.schema)
-        df = _without(df, changes, version.keys).unionByName(changes)
-    if version.added:
-        df = df.unionByName(_read(spark, path, version.added, version.schema))
-    return df
-
-
-def _keys_of(small: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list]:
-    """The keys of a frame of bounded size, broadcast, and how to match them."""
-    named = small.select(*[V.col(k).alias("__key_" + k) for k in keys])
-    return F.broadcast(named), [V.col(k) == V.col("__key_" + k) for k in keys]
-
-
-def _without(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(*_keys_of(small, keys), "left_anti")
-
-
-def _matching(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` with a key of ``small``.
-
-    The key range of ``small`` goes along as a plain filter, by which a scan skips row
-    groups that cannot match.
-    """
-    types = {k: V.column_type(df, k) for k in keys}
-    ordered = [k for k in keys if V.value_class(types[k]) in (V.NUMBER, V.DATE, V.TEXT)]
+def is_target(spark: SparkSession, path: str) -> bool:
+    """Whether a sink has written ``path``, or was about to finish writing it."""
+    return any(Storage(spark).exists(f"{path}/{name}") for name in (TABLE, STEP))
 
-    def sent(end: Column, k: str) -> Column:
-        """Ends travel as text, instants as numbers: local time can be ambiguous."""
-        if isinstance(types[k], T.TimestampType):
-            return F.unix_micros(end.cast("timestamp"))
-        return end.cast(types[k]).cast("string")
 
-    def bound(value: object, k: str) -> Column:
-        if isinstance(types[k], T.TimestampType):
-            return F.timestamp_micros(F.lit(value))
-        return F.lit(value).cast(types[k])
-
-    ends = small.agg(F.count(F.lit(1)), *[sent(f(V.col(k)), k) for k in ordered for f in (F.min, F.max)]).first()
-    for i, k in enumerate(ordered):
-        low, high = ends[2 * i + 1], ends[2 * i + 2]
-        if low is not None:
-            df = df.where((V.col(k) >= bound(low, k)) & (V.col(k) <= bound(high, k)))
-    return df.join(*_keys_of(small, keys), "left_semi")
+def read_target(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a target."""
+    sink = PathSink(spark, path)
+    sink.recover()
+    layout = layout_of(spark, sink.path)
+    if layout is None:
+        raise RowtideError(f"{path} has never been written")
+    return sink.rows(layout).select(*[V.col(c) for c in layout.schema.names])
 
 
 @dataclass
 class PathSink:
     """One target folder.
 
-    ``keys`` and ``order`` serve upserts; ``rewrite_bytes`` is the size up to which a
-    target is rewritten by every upsert.
+    ``keys`` and ``order`` serve upserts; ``buckets`` is their number in a new target, by
+    default as many as its first rows need.
     """
 
     spark: SparkSession
     path: str
     keys: tuple[str, ...] = ()
     order: tuple[str, ...] = ()
-    rewrite_bytes: int = REWRITE_BYTES
-    changed_rows: int = CHANGED_ROWS
+    buckets: int | None = None
 
     def __post_init__(self) -> None:
         self.path = self.path.rstrip("/")
@@ -170,134 +126,152 @@ class PathSink:
 
     def full(self, df: DataFrame, run_id: str) -> int:
         """Replace the contents, also by nothing."""
-        before = current_version(self.spark, self.path)
-        folder, schema = self._store(df, self._folder("f", before, run_id))
-        self._commit(before, Version(0, (folder,), schema, run_id, self._size(folder)))
-        return self._count(folder, schema)
+        before = self.opened()
+        after = self._layout(df, before)
+        return self._put(before, after, self._dealt(df, after, f"f-{run_id}"), whole=True)
 
     def append(self, df: DataFrame, run_id: str) -> int:
-        """Add the rows.  A run that was committed already is not added twice."""
-        before = current_version(self.spark, self.path)
-        if before is None:
-            folder, schema = self._store(df, self._folder("a", None, run_id))
-            rows = self._count(folder, schema)
-            self._commit(None, Version(0, (folder,), schema, run_id, self._size(folder), runs={run_id: rows}))
-            return rows
-        if run_id in before.runs:
-            return before.runs[run_id]
-        unknown = [c for c in df.columns if c not in before.schema.names]
+        """Add the rows; they replace those of an earlier append of the same run."""
+        before = self.opened()
+        after = before or self._layout(df, None)
+        unknown = [c for c in df.columns if c not in after.schema.names]
         if unknown:
             raise ConfigError(f"append: {self.path} has no column(s) {unknown}")
-        folder, _ = self._store(_conform(df, before.schema), self._folder("a", before, run_id))
-        rows = self._count(folder, before.schema)
-        runs = {**before.runs, run_id: rows}
-        if before.changes:
-            after = replace(before, added=(*before.added, folder), run_id=run_id, runs=runs)
-        else:
-            size = before.size + self._size(folder)
-            after = replace(before, folders=(*before.folders, folder), size=size, run_id=run_id, runs=runs)
-        self._commit(before, after)
-        return rows
+        return self._put(before, after, self._dealt(_conform(df, after.schema), after, f"a-{run_id}"), run=f"a-{run_id}")
 
     def upsert(self, df: DataFrame, run_id: str) -> int:
         """Merge by key; of several rows of one key the last in ``order`` counts.
 
-        The batch is stored first: its true size decides how it meets the target, and the
-        first write of a target is done then.
+        The batch is stored first: its true size decides how it meets the touched buckets.
         """
         if not self.keys:
             raise ConfigError(f"upsert into {self.path} needs key columns")
-        before = current_version(self.spark, self.path)
-        batch, schema = self._store(
-            upsert_rows(df, self.keys, self.order), self._folder("u", before, run_id)
-        )
-        rows = self._count(batch, schema)
+        before, batch = self.opened(), upsert_rows(df, self.keys, self.order)
         if before is None:
-            self._commit(None, Version(0, (batch,), schema, run_id, self._size(batch)))
+            after = self._layout(df, None)
+            return self._put(None, after, self._dealt(batch, after, f"u-{run_id}"), run=f"u-{run_id}")
+        folder = self._fresh("batch", run_id)
+        try:
+            batch.write.parquet(folder)
+            source = self.spark.read.schema(batch.schema).parquet(folder)
+            rows = source.count()
+            if rows:
+                self._merge(before, source, rows, self.storage.size(folder), run_id)
             return rows
-        if rows:
-            source = _read(self.spark, self.path, [batch], schema)
-            if not self._change(before, source, rows, self._size(batch), run_id):
-                self._rewrite(before, source, rows, self._size(batch), run_id)
-        self.storage.delete(f"{self.path}/{batch}")
-        return rows
-
-    def _change(self, before: Version, source: DataFrame, rows: int, size: int, run_id: str) -> bool:
-        """Keep the changed rows beside the target, if both bounds allow it."""
-        old_size = self._size(before.changes) if before.changes else 0
-        if (
-            before.size <= self.rewrite_bytes
-            or before.added
-            or (before.changes and before.keys != self.keys)
-            or before.changed_rows + rows > self.changed_rows
-            or old_size + size > CHANGED_BYTES
-            or broadcast_threshold(self.spark) < 0
-        ):
-            return False
-        base = _read(self.spark, self.path, before.folders, before.schema)
-        known = _matching(base, source, self.keys)
-        if before.changes:
-            changes = _read(self.spark, self.path, [before.changes], before.schema)
-            known = _without(known, changes, self.keys).unionByName(changes)
-        # Both sides are small now; one join scans the target once.
-        merged = U.merge(known, source, self.keys, small_source=False)
-        folder, _ = self._store(merged, self._folder("c", before, run_id))
-        count = self._count(folder, before.schema)
-        after = replace(before, changes=folder, changed_rows=count, keys=self.keys, run_id=run_id)
-        self._commit(before, after)
-        return True
-
-    def _rewrite(self, before: Version, source: DataFrame, rows: int, size: int, run_id: str) -> None:
+        finally:
+            self.storage.delete(folder)
+
+    def _merge(self, before: Layout, source: DataFrame, rows: int, size: int, run_id: str) -> None:
+        same = before.keys == tuple(self.keys)
+        after = before if same else Layout(before.schema, tuple(self.keys), self._buckets(self.rows(before)), before.serial)
+        target = self.rows(before)
+        if same:
+            # Keys are hashed as the target has them.
+            as_target = source.select(*[V.col(k).cast(V.column_type(target, k)).alias(k) for k in self.keys])
+            key_code = F.pmod(F.xxhash64(*[V.col(k) for k in self.keys]), F.lit(after.buckets)).cast("int")
+            # At most as many as there are buckets.
+            touched = [r[0] for r in as_target.select(key_code.alias("b")).distinct().collect()]
+            target = target.where(F.col(BUCKET).isin(touched if after.buckets > 1 else [0]))
         small = size <= broadcast_threshold(self.spark) and rows <= BROADCAST_ROWS
-        merged = U.merge(_frame(self.spark, self.path, before), source, self.keys, small_source=small)
-        folder, _ = self._store(merged, self._folder("m", before, run_id))
-        self._commit(before, Version(0, (folder,), before.schema, run_id, self._size(folder), runs=before.runs))
+        merged = U.merge(target, source, self.keys, small_source=small)
+        bucket = F.coalesce(F.col(BUCKET), after.bucket()) if same else after.bucket()
+        merged = merged.withColumns({RUN: F.coalesce(RUN, F.lit(f"u-{run_id}")), BUCKET: bucket})
+        self._put(before, after, _together(merged, after), whole=not same)
 
-    def compact(self, run_id: str) -> None:
-        """Rewrite the target as one folder, after many appends or changes."""
-        before = current_version(self.spark, self.path)
-        if before is not None and len(before.used) > 1:
-            folder, _ = self._store(_frame(self.spark, self.path, before), self._folder("m", before, run_id))
-            self._commit(before, Version(0, (folder,), before.schema, run_id, self._size(folder), runs=before.runs))
-
-    def vacuum(self, keep_hours: float = 168) -> None:
-        """Remove data folders that the pointer does not name and that are older than ``keep_hours``.
+    def rows(self, layout: Layout) -> DataFrame:
+        """The rows with their partition columns."""
+        return self.spark.read.schema(layout.stored).parquet(self.path)
 
-        Nothing else removes old versions: a reader may take so long, and so may a run that
-        still writes.
-        """
-        now = current_version(self.spark, self.path)
-        known = {CURRENT, *(now.used if now else ())}
-        for name in self.storage.list(self.path):
-            if name not in known and self.storage.age(f"{self.path}/{name}") >= keep_hours * 3600:
-                self.storage.delete(f"{self.path}/{name}")
-
-    @staticmethod
-    def _folder(kind: str, before: Version | None, run_id: str) -> str:
-        """A name that no earlier version uses, even if a run's id comes twice."""
-        return f"{kind}-{(before.serial if before else 0) + 1:06d}-{run_id}"
-
-    def _store(self, df: DataFrame, folder: str) -> tuple[str, T.StructType]:
+    def _layout(self, df: DataFrame, before: Layout | None) -> Layout:
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-        df.write.mode("overwrite").parquet(f"{self.path}/{folder}")
-        return folder, schema
+        taken = [c for c in schema.names if c.lower() in (RUN, BUCKET)]
+        if taken:
+            raise ConfigError(f"{self.path}: column(s) {taken} have names that a target folder needs itself")
+        keys = tuple(k for k in self.keys if k in schema.names)
+        return Layout(schema, keys, self._buckets(df) if keys else 1, before.serial if before else 0)
+
+    def _buckets(self, df: DataFrame) -> int:
+        return self.buckets or max(LEAST_BUCKETS, -(-(scan_bytes(df) or 0) // BUCKET_BYTES))
+
+    def _dealt(self, df: DataFrame, layout: Layout, run: str) -> DataFrame:
+        return _together(df.withColumns({RUN: F.lit(run), BUCKET: layout.bucket()}), layout)
+
+    # ---- steps -------------------------------------------------------------
+
+    def _fresh(self, kind: str, run_id: str) -> str:
+        return f"{self.path}/{PENDING}/{kind}-{run_id}-{uuid.uuid4().hex[:8]}"
+
+    def opened(self) -> Layout | None:
+        """The layout, after finishing what an earlier write left."""
+        self.recover()
+        return layout_of(self.spark, self.path)
+
+    def recover(self) -> None:
+        """Finish a write that died after its step file."""
+        if self.storage.exists(f"{self.path}/{STEP}"):
+            self._finish(json.loads(self.storage.read_text(f"{self.path}/{STEP}")))
+
+    def _put(self, before: Layout | None, after: Layout, df: DataFrame, whole: bool = False, run: str | None = None) -> int:
+        """Replace partitions by those of ``df``: all, or those of a run, or those that ``df`` has."""
+        folder = self._fresh("put", run or "all")
+        try:
+            df.write.partitionBy(RUN, BUCKET).parquet(folder)
+            # Answered from the files' footers.
+            rows = self.spark.read.schema(after.stored).parquet(folder).count()
+            runs = [n for n in self.storage.list(folder) if n.startswith(f"{RUN}=")]
+            step = {"folder": folder.rsplit("/", 1)[1], "whole": whole, "run": run, "runs": runs, "layout": after.text()}
+            if not self.storage.create_text(f"{self.path}/{STEP}", json.dumps(step)):
+                raise RowtideError(f"{self.path} is being written by another run")
+            now = layout_of(self.spark, self.path)
+            if (now and now.serial) != (before and before.serial):
+                self.storage.delete(f"{self.path}/{STEP}")
+                raise RowtideError(f"{self.path} was written by another run meanwhile")
+        except BaseException:
+            self.storage.delete(folder)
+            raise
+        self._finish(step)
+        return rows
 
-    def _size(self, folder: str) -> int:
-        return self.storage.size(f"{self.path}/{folder}")
+    def _finish(self, step: dict) -> None:
+        """Move the partitions of a step into place; may be repeated at any point."""
+        folder = f"{self.path}/{PENDING}/{step['folder']}"
+        for run in [n for n in self.storage.list(self.path) if n.startswith(f"{RUN}=")]:
+            if (step["whole"] or run == f"{RUN}={step['run']}") and run not in step["runs"]:
+                self.storage.delete(f"{self.path}/{run}")
+        for run in [n for n in self.storage.list(folder) if n.startswith(f"{RUN}=")]:
+            if step["whole"] or step["run"]:
+                self.storage.replace_dir(f"{folder}/{run}", f"{self.path}/{run}")
+                continue
+            for bucket in self.storage.list(f"{folder}/{run}"):
+                self.storage.replace_dir(f"{folder}/{run}/{bucket}", f"{self.path}/{run}/{bucket}")
+        layout = Layout.parse(step["layout"])
+        self.storage.replace_text(f"{self.path}/{TABLE}", Layout(layout.schema, layout.keys, layout.buckets, layout.serial + 1).text())
+        self.storage.delete(f"{self.path}/{STEP}")
+        self.storage.delete(folder)
+
+    def vacuum(self, keep_hours: float = 168) -> None:
+        """Remove what writes that died before their step file left, once it is older than ``keep_hours``."""
+        self.recover()
+        for name in self.storage.list(f"{self.path}/{PENDING}"):
+            if self.storage.age(f"{self.path}/{PENDING}/{name}") >= keep_hours * 3600:
+                self.storage.delete(f"{self.path}/{PENDING}/{name}")
 
-    def _count(self, folder: str, schema: T.StructType) -> int:
-        # Answered from the files' footers.
-        return _read(self.spark, self.path, [folder], schema).count()
 
-    def _commit(self, before: Version | None, after: Version) -> None:
-        now = current_version(self.spark, self.path)
-        if (now and now.serial) != (before and before.serial):
-            raise RowtideError(f"{self.path} was written by another run meanwhile")
-        version = replace(after, serial=(before.serial if before else 0) + 1)
-        self.storage.replace_text(f"{self.path}/{CURRENT}", version.text())
+def _together(df: DataFrame, layout: Layout) -> DataFrame:
+    """Rows of a bucket in few files; large buckets are split, small ones share a task."""
+    return df.hint("rebalance", BUCKET) if layout.buckets > 1 else df
 
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` with exactly the columns and types of ``schema``."""
-    padded = project(df, schema.names)
+    padded: DataFrame = project(df, schema.names)
     return padded.select(*[padded[i].cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
+
+
+def partitions(spark: SparkSession, path: str) -> dict[str, Sequence[str]]:
+    """Names of the data files of each partition, to see what a write touched."""
+    storage, out = Storage(spark), {}
+    for run in [n for n in storage.list(path) if n.startswith(f"{RUN}=")]:
+        for bucket in storage.list(f"{path}/{run}"):
+            out[f"{run}/{bucket}"] = [n for n in storage.list(f"{path}/{run}/{bucket}") if n.endswith(".parquet")]
+    return out

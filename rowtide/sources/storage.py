@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowtide.errors import RowtideError
+
 
 class Storage:
     """Driver-side access through the cluster's own Hadoop file system layer."""
@@ -58,22 +60,46 @@ class Storage:
 
     def replace_text(self, path: str, text: str) -> None:
         """Write ``path`` so that readers see either the old or the new text."""
+        self._move(self._written(path, text), path, "OVERWRITE")
+
+    def create_text(self, path: str, text: str) -> bool:
+        """Write ``path`` if nobody has: whole or not at all.  False if it exists."""
+        made = self._written(path, text)
+        try:
+            self._move(made, path, "NONE")
+            return True
+        except Exception as e:
+            self.delete(made)
+            if "FileAlreadyExists" in str(e):
+                return False
+            raise
+
+    def replace_dir(self, made: str, path: str) -> None:
+        """Move the folder ``made`` to ``path``, in place of what is there."""
+        fs, target = self._fs(path), self._path(path)
+        fs.delete(target, True)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(self._path(made), target):
+            raise RowtideError(f"cannot move {made} to {path}")
+
+    def _written(self, path: str, text: str) -> str:
         temp = f"{path}.{uuid.uuid4().hex}.tmp"
-        target, made = self._path(path), self._path(temp)
-        out = self._fs(path).create(made, True)
+        out = self._fs(path).create(self._path(temp), True)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        fs = self.jvm.org.apache.hadoop.fs
+        return temp
+
+    def _move(self, made: str, path: str, how: str) -> None:
+        target, fs = self._path(path), self.jvm.org.apache.hadoop.fs
         context = fs.FileContext.getFileContext(target.toUri(), self.conf) if target.toUri().getScheme() else (
             fs.FileContext.getFileContext(self.conf)
         )
-        overwrite = self.jvm.java.lang.reflect.Array.newInstance(
-            self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1
-        )
-        overwrite[0] = getattr(fs, "Options$Rename").OVERWRITE
-        context.rename(made, target, overwrite)
+        kind = self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+        options = self.jvm.java.lang.reflect.Array.newInstance(kind, 1)
+        options[0] = getattr(getattr(fs, "Options$Rename"), how)
+        context.rename(self._path(made), target, options)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -111,11 +137,11 @@ class Staging:
     run_id: str
     made: list[str] = field(default_factory=list)
 
-    def __call__(self, df: DataFrame) -> DataFrame:
+    def __call__(self, df: DataFrame, by: str | None = None) -> DataFrame:
         path = fresh_dir(self.spark, f"stage-{self.run_id}")
         self.made.append(path)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        df.write.parquet(path, partitionBy=by)
+        return self.spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
     def __enter__(self) -> Staging:
         return self

@@ -5,25 +5,23 @@ from __future__ import annotations
 import re
 import threading
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide import types as V
 from rowtide.errors import ConfigError
+from rowtide.operators import ranges
 from rowtide.operators.lookup import restrict
 from rowtide.sources import dialects, jdbc
 from rowtide.sources.connections import Connection
 from rowtide.sources.storage import Storage
 
 # A page that ends beyond this row is located by counting, not by sorting everything.
-DEEP_PAGE = 100_000
+DEEP_PAGE = 20_000
 # Jobs of one session run side by side; each sees its own tables only.
 _VIEWS = threading.Lock()
-PAGE_CUTS = 1000
 
 
 def scan(
@@ -77,8 +75,8 @@ def page(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFr
     """Rows ``offset .. offset + limit`` in the order of the given columns.
 
     Ties are broken by the remaining columns, so that pages do not overlap.  Early pages
-    are a top-k.  For deep ones the rows are first counted per range of the leading
-    column; only the ranges that hold the page's ends are looked into.
+    are a top-k.  For deep ones rows are counted by ranges at sampled cuts, whatever the types; only the
+    ranges that hold the page's ends are looked into.
     """
     if offset < 0 or limit < 0 or not order:
         raise ConfigError("a page needs an order, an offset and a limit")
@@ -86,54 +84,7 @@ def page(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFr
     by = [V.col(c) for c in full]
     if offset + limit <= DEEP_PAGE:
         return df.orderBy(*by).offset(offset).limit(limit)
-    return _deep_page(df, full, offset, limit).orderBy(*by)
-
-
-def _deep_page(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFrame:
-    if not order:
-        # Copies of one row: any of them will do.
-        return df.limit(limit)
-    number = _as_number(df, order[0])
-    if offset + limit <= DEEP_PAGE or number is None:
-        return df.orderBy(*[V.col(c) for c in order]).offset(offset).limit(limit)
-    low, high, rows, known = df.agg(F.min(number), F.max(number), F.count(F.lit(1)), F.count(number)).first()
-    limit = min(limit, rows - offset)
-    if limit <= 0:
-        return df.limit(0)
-    if low == high and known in (0, rows):
-        return _deep_page(df, order[1:], offset, limit)
-    part = F.lit(0)
-    if low != high:
-        # Differences of extreme values need more digits than a long has.
-        wide = "decimal(20,0)" if high - low >= 2**62 else "bigint"
-        width = -(-(high - low + 1) // PAGE_CUTS)
-        distance = number.cast(wide) - F.lit(low).cast(wide)
-        part = F.floor(distance / F.lit(width)).cast("int")
-    # Rows without a value come first.
-    part = F.when(number.isNull(), F.lit(-1)).otherwise(part)
-    counts = sorted(df.groupBy(part.alias("part")).count().collect(), key=lambda r: r["part"])
-    seen, whole, pieces = 0, [], []
-    for p, n in counts:
-        start, end = max(offset - seen, 0), min(offset + limit - seen, n)
-        seen += n
-        if start == 0 and end == n:
-            whole.append(p)
-        elif start < end:
-            # One of the page's two ends lies here.
-            pieces.append(_deep_page(df.where(part == p), order, start, end - start))
-    if whole:
-        pieces.append(df.where(part.between(whole[0], whole[-1])))
-    return reduce(DataFrame.unionAll, pieces)
-
-
-def _as_number(df: DataFrame, name: str) -> Column | None:
-    """A column that orders as a number, as that number."""
-    c, dtype = V.col(name), V.column_type(df, name)
-    if isinstance(dtype, T.IntegralType):
-        return c.cast("bigint")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(c.cast("timestamp"))
-    return None
+    return ranges.window(df, full, offset, limit).orderBy(*by)
 
 
 def schema_rows(schema: T.StructType, keys: Sequence[str] = ()) -> list[jdbc.ColumnInfo]:
@@ -198,12 +149,12 @@ class Tables:
         return scan(self._files(conn, table), columns, where)
 
     def _files(self, conn: Connection, table: str) -> DataFrame:
-        from rowtide.sinks.paths import CURRENT, read_target
+        from rowtide.sinks.paths import is_target, read_target
 
         if conn.type == "catalog":
             return self.spark.table(conn.table_name(table))
         path = self.path(conn, table)
-        if Storage(self.spark).exists(f"{path}/{CURRENT}"):
+        if is_target(self.spark, path):
             return read_target(self.spark, path)
         return self.spark.read.format(conn.format).options(**conn.params).load(path)
 

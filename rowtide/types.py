@@ -180,6 +180,11 @@ def parse_moment(text: str) -> dt.datetime | None:
     return moment.replace(microsecond=int((m[3] or "0").ljust(6, "0")))
 
 
+def instant(micros: int) -> dt.datetime:
+    """Microseconds since 1970 as a moment in UTC."""
+    return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
+
+
 def lower_bound(dtype: T.DataType | None) -> Constant:
     """The mark of a first run: below the values of the type, so that ``> mark`` reads them.
 

@@ -294,7 +294,7 @@ def test_job_from_a_database(spark, reads, work):
     assert result.rows_read == 3 and result.marks["m"].value == 30
     assert reads[-1]["partitionColumn"] == "id" and reads[-1]["numPartitions"] == 3 and reads[-1]["fetchsize"] == 500
     assert reads[-1]["dbtable"] == '(SELECT "id", "name", "at" FROM "t" WHERE at > -9223372036854775808) rt_q'
-    assert rows(spark.read.parquet(work + "/out/t/u-*")) == [(1, "a"), (2, "b"), (7, "c")]
+    assert rows(spark.read.parquet(work + "/out/t/rt_run=u-*/*")) == [(1, "a"), (2, "b"), (7, "c")]
     runner.run(Job.from_dict(doc), dt.datetime(2024, 1, 1))
     assert reads[-1]["dbtable"].endswith("WHERE at > 30) rt_q")
 

@@ -168,3 +168,23 @@ def test_row_step_flushes_large_outputs(spark):
     step = E.RowStep(many, {"": T._parse_datatype_string("i bigint")})
     out = step(E.StepContext(), {"": spark.range(2).coalesce(1)})[""]
     assert out.count() == 50_000
+
+
+def test_batch_step(spark):
+    """Missing columns are null, undeclared ones go, types follow the declaration, no rows are fine."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def deal(batch):
+        odd = batch.filter(pc.equal(pc.bit_wise_and(batch["i"], 1), 1))
+        return {"": batch.append_column("more", batch["i"]), "odd": odd.select(["i"]), "none": pa.table({"name": pa.array([], pa.string())})}
+
+    schemas = {"": "i int, name string", "odd": "i int, note string", "none": "name string"}
+    step = E.BatchStep(deal, {t: T._parse_datatype_string(x) for t, x in schemas.items()})
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "i long, name string")
+    out = step(E.StepContext(), {"": df, "kept": df})
+    assert rows(out[""]) == [(1, "a"), (2, None), (3, "c")] and out[""].dtypes == [("i", "int"), ("name", "string")]
+    assert rows(out["odd"]) == [(1, None), (3, None)] and rows(out["none"]) == [] and rows(out["kept"]) == rows(df)
+    assert rows(step(E.StepContext(), {"": df.limit(0)})["odd"]) == []
+    with pytest.raises(Exception, match="undeclared table 'lost'"):
+        E.BatchStep(lambda batch: {"lost": batch}, step.tables)(E.StepContext(), {"": df})[""].collect()

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 from frames import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide import Connection, Job, Runner, Tables
+from rowtide import Connection, Job, RowStep, Runner, Tables, register_step
 from rowtide import types as V
 from rowtide.errors import ConfigError, RowtideError, StateError, TemplateError
+from rowtide.operators.watermark import read_marks
 from rowtide.plans.state import StateStore, decode, encode
 from rowtide.sinks import paths as P
 from rowtide.sources.storage import Storage
@@ -47,8 +49,10 @@ def test_append_is_done_once_per_run(spark, work):
     sink = P.PathSink(spark, work + "/t")
     assert sink.append(frame(spark, [(1, "a", "b")]), "r1") == 1
     assert sink.append(frame(spark, [(1, "a")], "id int, a string"), "r2") == 1
-    assert sink.append(frame(spark, [(1, "a", "b")]), "r2") == 1
     assert rows(P.read_target(spark, work + "/t")) == [(1, "a", None), (1, "a", "b")]
+    # The repeated run counts, not the one before it.
+    assert sink.append(frame(spark, [(1, "a", "b")]), "r2") == 1
+    assert rows(P.read_target(spark, work + "/t")) == [(1, "a", "b"), (1, "a", "b")]
     with pytest.raises(ConfigError):
         sink.append(frame(spark, [(1, 2)], "id long, zz long"), "r3")
 
@@ -73,33 +77,18 @@ def test_upsert(spark, work, threshold):
         P.PathSink(spark, work + "/u").upsert(frame(spark, []), "r1")
 
 
-def test_old_versions_go_and_readers_keep_theirs(spark, work):
-    sink = P.PathSink(spark, work + "/t")
-    sink.full(frame(spark, [(1, "a", "b")]), "r1")
-    reader = P.read_target(spark, work + "/t")
-    sink.full(frame(spark, [(2, "a", "b")]), "r2")
-    assert rows(reader) == [(1, "a", "b")]
-    for i in range(3, 8):
-        sink.full(frame(spark, [(i, "a", "b")]), f"r{i}")
-        assert rows(reader) == [(1, "a", "b")]
-    sink.vacuum()
-    assert rows(reader) == [(1, "a", "b")]
-    sink.vacuum(keep_hours=0)
-    assert len([n for n in Storage(spark).list(work + "/t") if n.startswith("f-")]) == 1
-    assert rows(P.read_target(spark, work + "/t")) == [(7, "a", "b")]
-
-
-def test_appends_are_known_by_their_whole_id_for_good(spark, work):
+def test_appends_are_replaced_by_their_repetition(spark, work):
     sink = P.PathSink(spark, work + "/t", ("id",))
     for run in ("2024-01", "01", "01", "2024-01"):
         assert sink.append(frame(spark, [(1, run, "b"), (2, run, "b"), (3, run, "b")]), run) == 3
     assert P.read_target(spark, work + "/t").count() == 6
-    sink.compact("c1")
-    assert sink.append(frame(spark, [(1, "x", "b")] * 3), "01") == 3
-    assert P.read_target(spark, work + "/t").count() == 6
     sink.upsert(frame(spark, [(9, "u", "u")]), "u1")
     assert sink.append(frame(spark, [(1, "x", "b")] * 3), "2024-01") == 3
     assert P.read_target(spark, work + "/t").count() == 7
+    # An upsert and an append with one id are different runs; a repeated append may be empty.
+    sink.upsert(frame(spark, [(10, "v", "v")]), "01")
+    assert sink.append(frame(spark, []), "01") == 0
+    assert rows(P.read_target(spark, work + "/t")) == [(1, "x", "b")] * 3 + [(10, "v", "v"), (9, "u", "u")]
 
 
 def test_upserts_refuse_null_keys(spark, work):
@@ -119,94 +108,119 @@ def test_a_failed_write_changes_nothing(spark, work):
             sink.write(broken, mode, "r2")
     assert rows(P.read_target(spark, work + "/t")) == [(1, "a", "b")]
     sink.vacuum(keep_hours=0)
-    assert len(Storage(spark).list(work + "/t")) == 2
+    assert Storage(spark).list(work + "/t/_pending") == []
     assert rows(P.read_target(spark, work + "/t")) == [(1, "a", "b")]
     with pytest.raises(ConfigError):
         sink.write(broken, "merge", "r3")
 
 
-def test_compact(spark, work):
-    sink = P.PathSink(spark, work + "/t", ("id",), rewrite_bytes=0)
-    for i in range(3):
-        sink.append(frame(spark, [(i, "a", "b")]), f"r{i}")
-    sink.upsert(frame(spark, [(1, "c")], "id long, a string"), "r4")
-    sink.compact("r5")
-    now = P.current_version(spark, work + "/t")
-    assert now.used == now.folders and len(now.folders) == 1
-    assert rows(P.read_target(spark, work + "/t")) == [(0, "a", "b"), (1, "c", "b"), (2, "a", "b")]
+@pytest.mark.parametrize("mode", ["full", "append", "upsert"])
+@pytest.mark.parametrize("moves", [0, 1, 2])
+def test_a_write_that_died_while_moving_is_finished(spark, work, monkeypatch, mode, moves):
+    """Whatever was moved already: the next reader or writer moves the rest."""
+    sink = P.PathSink(spark, work + "/t", ("id",), buckets=4)
+    sink.append(frame(spark, [(i, "a", "b") for i in range(9)]), "r1")
+    real, done = Storage.replace_dir, []
 
+    def dying(self, made, path):
+        if len(done) >= moves:
+            raise RuntimeError("killed")
+        done.append(path)
+        real(self, made, path)
 
-def test_concurrent_commit_is_refused(spark, work):
-    one, two = P.PathSink(spark, work + "/t"), P.PathSink(spark, work + "/t")
-    before = P.current_version(spark, work + "/t")
+    monkeypatch.setattr(Storage, "replace_dir", dying)
+    batch = frame(spark, [(i, "new", "n") for i in range(5, 12)])
+    try:
+        sink.write(batch, mode, "r2")
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(Storage, "replace_dir", real)
+    old = [] if mode == "full" else [(i, "a", "b") for i in range(9 if mode == "append" else 5)]
+    want = sorted(old + [(i, "new", "n") for i in range(5, 12)], key=str)
+    assert sorted(rows(P.read_target(spark, work + "/t")), key=str) == want
+    assert sorted(rows(P.read_target(spark, work + "/t")), key=str) == want
+
+
+def test_concurrent_writes_are_refused(spark, work):
+    """Of two writers that began with the same state, the second fails and changes nothing."""
+    one, two = (P.PathSink(spark, work + "/t", ("id",)) for _ in range(2))
     one.full(frame(spark, [(1, "a", "b")]), "r1")
-    with pytest.raises(RowtideError):
-        two._commit(before, P.Version(0, ("x",), T.StructType(), "r2"))
+    before = two.opened()
+    one.append(frame(spark, [(2, "a", "b")]), "r2")
+    with pytest.raises(RowtideError, match="meanwhile"):
+        two._put(before, before, two._dealt(frame(spark, [(3, "c", "d")]), before, "a-r3"), run="a-r3")
+    assert rows(P.read_target(spark, work + "/t")) == [(1, "a", "b"), (2, "a", "b")]
+    claimed = {"folder": "elsewhere", "whole": False, "run": "a-r4", "runs": ["rt_run=a-r4"], "layout": before.text()}
+    Storage(spark).create_text(work + "/t/_STEP", json.dumps(claimed))
+    with pytest.raises(RowtideError, match="another run"):
+        two._put(before, before, two._dealt(frame(spark, [(3, "c", "d")]), before, "a-r3"), run="a-r3")
     with pytest.raises(RowtideError):
         P.read_target(spark, work + "/nothing")
+    with pytest.raises(ConfigError, match="RT_RUN"):
+        one.full(frame(spark, [(1, "a", "b")]).withColumn("RT_RUN", F.lit(1)), "r5")
 
 
-def test_small_changes_do_not_rewrite_a_large_target(spark, work):
-    sink = P.PathSink(spark, work + "/t", ("id",), rewrite_bytes=0, changed_rows=4)
-    sink.append(frame(spark, [(i, "a", "x") for i in range(5)] + [(None, "n", "n")]), "r1")
-    want = {i: ("a", "x") for i in range(5)}
-
-    def check(nulls=1):
-        got = [tuple(r) for r in P.read_target(spark, work + "/t").collect()]
-        assert sorted(r for r in got if r[0] is not None) == sorted((k, *v) for k, v in want.items())
-        assert sum(r[0] is None for r in got) == nulls
-
-    def change(run, data):
-        sink.upsert(spark.createDataFrame(list(data.items()), "id long, a string"), run)
-        want.update({k: (a, want[k][1] if k in want else None) for k, a in data.items()})
-        check()
-        return P.current_version(spark, work + "/t")
-
-    base = P.current_version(spark, work + "/t").folders
-    for run, data in (("r2", {1: "b", 9: "new"}), ("r3", {1: "c", 2: None}), ("r4", {9: "d"}), ("r4", {9: "d"})):
-        now = change(run, data)
-        assert now.folders == base and now.changes
-    assert now.changed_rows == 3
-    # Beyond the bound the changes are merged into the target.
-    now = change("r5", {3: "e", 4: "f"})
-    assert now.folders != base and not now.changes and now.changed_rows == 0
-    now = change("r6", {0: "g"})
-    assert now.changes
-    # Rows appended later are not hidden by earlier changes.
-    sink.append(frame(spark, [(0, "h", "y")]), "r7")
-    assert rows(P.read_target(spark, work + "/t").where("id = 0")) == [(0, "g", "x"), (0, "h", "y")]
-    sink.append(frame(spark, [(0, "h", "y")]), "r7")
-    assert P.read_target(spark, work + "/t").count() == len(want) + 2
-    sink.upsert(frame(spark, [(0, "i")], "id long, a string"), "r8")
-    assert rows(P.read_target(spark, work + "/t").where("id = 0")) == [(0, "i", "x"), (0, "i", "y")]
-    sink.full(frame(spark, [(1, "z", "z")]), "r9")
-    assert rows(P.read_target(spark, work + "/t")) == [(1, "z", "z")]
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_upserts_touch_only_buckets_of_their_batch(spark, work, threshold):
+    """Five rows leave the files of all other buckets as they were, also after appends."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        sink = P.PathSink(spark, work + "/t", ("id",), buckets=40)
+        sink.append(frame(spark, [(i, "a", "x") for i in range(600)] + [(None, f"n{i}", "n") for i in range(50)]), "r1")
+        sink.append(frame(spark, [(i, "b", "y") for i in range(590, 900)]), "r2")
+        want = {("a", "x", i) for i in range(600)} | {("b", "y", i) for i in range(590, 900)} | {(f"n{i}", "n", None) for i in range(50)}
+        for run, ids in (("r3", range(5)), ("r4", (595, 7, 2000, 899, 3)), ("r4", (595, 7, 2000, 899, 3))):
+            before = P.partitions(spark, work + "/t")
+            assert sink.upsert(spark.createDataFrame([(i, run) for i in ids], "id long, a string"), run) == 5
+            after = P.partitions(spark, work + "/t")
+            changed = {p.split("/")[1] for p in {*before, *after} if before.get(p) != after.get(p)}
+            assert 1 <= len(changed) <= 5
+            want = {(run if i in ids else a, b, i) for a, b, i in want}
+            want |= {(run, None, i) for i in ids if i not in {w[2] for w in want}}
+            got = [(r["a"], r["b"], r["id"]) for r in P.read_target(spark, work + "/t").collect()]
+            assert len(got) == len(want) and set(got) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_upserts_read_only_touched_partitions(spark, work):
+    sink = P.PathSink(spark, work + "/t", ("id",), buckets=40)
+    sink.append(frame(spark, [(i, "a", "x") for i in range(600)]), "r1")
+    target = sink.rows(sink.opened()).where(F.col(P.BUCKET).isin([3, 4]))
+    assert len(target.inputFiles()) == 40
+    plan = target._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [rt_bucket" in plan
+
+
+def test_upsert_by_other_keys_deals_the_target_anew(spark, work):
+    P.PathSink(spark, work + "/t", ("id",)).append(frame(spark, [(i, f"k{i}", "x") for i in range(30)]), "r1")
+    by_a = P.PathSink(spark, work + "/t", ("a",))
+    assert by_a.upsert(frame(spark, [("k3", "y"), ("new", "z")], "a string, b string"), "r2") == 2
+    want = [(i, f"k{i}", "y" if i == 3 else "x") for i in range(30)] + [(None, "new", "z")]
+    assert sorted(rows(P.read_target(spark, work + "/t")), key=str) == sorted(want, key=str)
+    assert by_a.opened().keys == ("a",)
+    # A key of another type is hashed as the target has it.
+    assert by_a.upsert(spark.createDataFrame([("k5", 7)], "a string, id int"), "r3") == 1
+    P.PathSink(spark, work + "/t", ("id",)).upsert(spark.createDataFrame([(7, "seven")], "id int, b string"), "r4")
+    assert {tuple(r) for r in P.read_target(spark, work + "/t").where("id = 7").collect()} == {(7, "k5", "seven"), (7, "k7", "seven")}
 
 
 @pytest.mark.parametrize("key", ["string", "timestamp", "date", "decimal(10,2)", "double", "boolean"])
-def test_changes_by_any_key_type(spark, work, key):
+def test_upserts_by_any_key_type(spark, work, key):
     values = {
         "string": ["a", "b'", ""], "timestamp": ["2024-01-01 05:06:07.123456", "2024-01-02", "2023-12-31"],
         "date": ["2024-01-01", "2024-01-02", "2023-12-31"], "decimal(10,2)": ["1.50", "-2.25", "9"],
         "double": ["0.1", "1e300", "-5"], "boolean": ["true", "false"],
     }[key]
     df = spark.createDataFrame([(v, "old") for v in values], "k string, a string").withColumn("k", F.col("k").cast(key))
-    sink = P.PathSink(spark, work + "/t", ("k",), rewrite_bytes=0)
+    sink = P.PathSink(spark, work + "/t", ("k",))
     sink.upsert(df, "r1")
     sink.upsert(df.where("k IS NOT NULL").limit(2).withColumn("a", F.lit("new")), "r2")
-    assert P.current_version(spark, work + "/t").changes
     out = [r["a"] for r in P.read_target(spark, work + "/t").collect()]
     assert sorted(out) == ["new", "new", "old"][: len(values)]
 
 
-def test_changes_skip_row_groups(spark, work):
-    spark.range(1000).selectExpr("id", "id AS a").repartitionByRange(4, "id").write.parquet(work + "/b")
-    base = spark.read.parquet(work + "/b")
-    small = spark.createDataFrame([(5, 0), (7, 0)], "id long, a long")
-    plan = P._matching(base, small, ("id",))._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(id,5)" in plan and "LessThanOrEqual(id,7)" in plan
-
-
 # ---- state -----------------------------------------------------------------
 
 
@@ -227,6 +241,74 @@ def test_state(spark, work):
     assert store.load() == {}
 
 
+def test_of_two_commits_at_once_one_fails(spark, work, monkeypatch):
+    one, two = StateStore(spark, work, "j"), StateStore(spark, work, "j")
+    one.commit({"id": V.Constant(1, T.LongType())}, "r1")
+    real = StateStore.load
+
+    def meanwhile(self):
+        marks = real(self)
+        monkeypatch.setattr(StateStore, "load", real)
+        one.commit({"id": V.Constant(9, T.LongType())}, "r2")
+        return marks
+
+    monkeypatch.setattr(StateStore, "load", meanwhile)
+    with pytest.raises(StateError, match="another run"):
+        two.commit({"id": V.Constant(5, T.LongType())}, "r3")
+    assert two.load()["id"].value == 9 and len(Storage(spark).list(two.folder)) == 2
+
+
+def test_marks_are_instants(spark, work):
+    """When clocks are set back, one local time is two instants: the mark is the later one that was read."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        P.PathSink(spark, f"{work}/in/src").full(
+            spark.sql("SELECT id, timestamp_micros(1730613600000000 + id * 1800000000L) AS at FROM range(6)"), "s"
+        )
+        doc = {"name": "dst", "sync": {"mode": "append", "state": {"m": {"type": "max", "column": "at"}}},
+               "source": {"connection": "in", "table": "src", "where": "at > ${state.m}", "columns": "id,at"},
+               "target": {"connection": "out", "table": "dst"}}
+        files = {n: Connection.parse(n, {"type": "files", "path": f"{work}/{n}"}) for n in ("in", "out")}
+        runner, job = Runner(spark, Tables(spark, files), f"{work}/state"), Job.from_dict(doc)
+        for last in (2, 3, 4, 5):
+            seen = spark.sql(f"SELECT timestamp_micros(1730613600000000 + {last} * 1800000000L) AS at")
+            store = runner.store(job)
+            store.reset()
+            _, marks = read_marks(seen, {"m": "at"})
+            store.commit(marks, "r")
+            assert runner.read(job, dt.datetime(2024, 11, 4), store.load()).count() == 5 - last
+        # A mark that an earlier release kept in local time is still understood.
+        assert StateStore(spark, work, "x")._instant(V.Constant(dt.datetime(2024, 11, 2, 12), T.TimestampType())).value.timestamp() == 1730563200
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("mode", ["upsert", "append", "full"])
+@pytest.mark.parametrize("tables", [1, 3])
+def test_steps_run_once(spark, work, mode, tables):
+    """However many tables there are, and also for the count of rows after the steps."""
+    counter = spark.sparkContext.accumulator(0)
+    names = ["", "b", "c"][:tables]
+
+    def twice(row):
+        counter.add(1)
+        for name in names:
+            yield from [(name, row)] * 2
+
+    schema = T._parse_datatype_string("id bigint, u string")
+    register_step("twice_each")(lambda config: RowStep(twice, {name: schema for name in names}))
+    P.PathSink(spark, f"{work}/in/src").full(spark.range(50).selectExpr("id % 20 AS id", "uuid() AS u"), "s")
+    doc = {"name": "once", "sync": {"mode": mode}, "etl": [{"plugin": "twice_each"}],
+           "source": {"connection": "in", "table": "src", "columns": "id,u", "primary_key": "id"},
+           "target": {"connection": "out", "table": "dst", "columns": "id,u", "primary_key": "id", "keys": {"b": ["id"], "c": ["id"]}}}
+    files = {n: Connection.parse(n, {"type": "files", "path": f"{work}/{n}"}) for n in ("in", "out")}
+    result = Runner(spark, Tables(spark, files), f"{work}/state").run(Job.from_dict(doc))
+    assert (result.rows_read, result.rows_out) == (50, 100 * tables)
+    assert result.written == {name or "dst": 20 if mode == "upsert" else 100 for name in names}
+    assert counter.value == 50
+
+
 @pytest.mark.parametrize(
     ("value", "dtype"),
     [
@@ -281,7 +363,7 @@ def test_two_runs(spark, work):
     one = run.run(job(), NOW)
     assert one.rows_read == 2 and one.written == {"dst": 2}
     # The session's clock, not the one of the Python process.
-    assert one.marks["m"].value == dt.datetime(2024, 1, 2, 6)
+    assert one.marks["m"].value == dt.datetime(2024, 1, 2, 6, tzinfo=dt.UTC)
     put(spark, work, [(1, "z", "2024-01-01 05:00:00"), (2, "B", "2024-01-03 00:00:00"), (3, "c", "2024-01-04 00:00:00")])
     two = run.run(job(), NOW)
     assert two.rows_read == 2 and "source rows   2" in two.summary() and "into " in two.summary()

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
 import yaml
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.errors import ConfigError
 from rowtide.plans.job import Job
 from rowtide.plans.runner import Runner, RunResult
+from rowtide.plans.state import safe_name
 from rowtide.sources.connections import load_connections
 from rowtide.sources.storage import Storage
 from rowtide.sources.tables import Tables
@@ -40,6 +42,17 @@ class App:
             return dict(zip((j.name for j in self.jobs), pool.map(one, self.jobs), strict=True))
 
 
+    def poll(self, checkpoints: str, done: Callable[[RunResult], None] | None = None) -> list[StreamingQuery]:
+        """Run every job with ``schedule.every`` again and again, at its interval; the queries, which can be stopped.
+
+        Runs of one job do not overlap; each keeps its clock's checkpoint in a folder of its own.
+        """
+        from rowtide.streaming import microbatch
+
+        timed = [j for j in self.jobs if j.schedule]
+        return [microbatch.poll(self.runner, j, f"{checkpoints.rstrip('/')}/{safe_name(j.name)}", j.schedule, done) for j in timed]
+
+
 def _document(storage: Storage, path: str) -> Mapping[str, Any]:
     try:
         doc = yaml.safe_load(storage.read_text(path))

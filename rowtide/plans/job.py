@@ -30,12 +30,19 @@ def parse_mode(text: str) -> str:
     return mode
 
 
+def _one_of(value: object, known: tuple[str, ...], where: str) -> str:
+    if value not in known:
+        raise ConfigError(f"{where}: one of {', '.join(known)} is needed, not {value!r}")
+    return str(value)
+
+
 @dataclass(frozen=True)
 class Source:
     """Where rows come from: a ``table`` (with ``columns`` and ``where``), or a ``select``.
 
     ``partition_column`` and ``partitions`` say how a database read is cut; the default
-    is the single key column, and the connection's pool size.
+    is the single key column, and the connection's pool size.  ``partition_by: depth`` cuts
+    slices of equally many rows, as text columns always get; else they are equally wide.
     """
 
     connection: str
@@ -47,6 +54,7 @@ class Source:
     select: str | None = None
     partition_column: str | None = None
     partitions: int | None = None
+    partition_by: str = "width"
 
     @property
     def label(self) -> str:
@@ -127,7 +135,7 @@ class Job:
             enabled=bool(doc.get("enabled", True)),
             description=str(doc.get("description") or ""),
             writers=max(1, int(doc.get("writers") or 1)),
-            schedule=str((doc.get("schedule") or {}).get("every") or (doc.get("schedule") or {}).get("cron") or ""),
+            schedule=str((doc.get("schedule") or {}).get("every") or ""),
             null_type=str(doc.get("null_type") or "string"),
         )
         for step in job.etl:
@@ -172,6 +180,7 @@ def _source(job: str, raw: Any) -> Source:
         select=str(select) if select is not None else None,
         partition_column=raw.get("partition_column"),
         partitions=raw.get("partitions"),
+        partition_by=_one_of(raw.get("partition_by") or "width", ("width", "depth"), "source.partition_by"),
     )
 
 

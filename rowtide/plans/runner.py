@@ -128,9 +128,11 @@ class Runner:
         src = job.source
         conn = self.connections.connection(src.connection)
         count = src.partitions or conn.max_pool_size
-        if src.partition_column:
-            return jdbc.Slices(src.partition_column, count)
         schema = _LazySchema(self, job)
+        if src.partition_column:
+            # Text has no widths to cut.
+            depth = src.partition_by == "depth" or not jdbc.can_slice(schema.type_of(src.partition_column))
+            return jdbc.Slices(src.partition_column, count, depth=depth)
         for column in (*src.primary_key, *job.tracked().values()):
             if jdbc.can_slice(schema.type_of(column)):
                 return jdbc.Slices(column, count)

@@ -21,7 +21,7 @@ from typing import Any
 from pyspark.sql import types as T
 
 from rowtide.errors import TemplateError
-from rowtide.sources.dialects import literal
+from rowtide.sources.dialects import literal, spans
 from rowtide.types import Constant
 
 _TOKEN = re.compile(r"\$\{([^}]*)\}")
@@ -78,7 +78,7 @@ class Template:
                 raise TemplateError(f"${{{kind}.{key}}} stands inside quotes; it brings its own")
             return put(f"{kind}_{_name(key)}", value)
 
-        return Bound(self._replace(text, one), args)
+        return Bound(self._replace(text, one, True), args)
 
     def render(self, text: str, dialect: str = "") -> str:
         """``text`` with literals of the ``dialect``, for a query that a database runs."""
@@ -88,13 +88,14 @@ class Template:
                 return value
             return literal(dialect, value.value if isinstance(value, Constant) else value)
 
-        return self._replace(text, one)
+        return self._replace(text, one, dialect == "mysql")
 
-    def _replace(self, text: str, one: Callable[[str, Any, str, bool], str]) -> str:
+    def _replace(self, text: str, one: Callable[[str, Any, str, bool], str], backslashes: bool) -> str:
         out, at = [], 0
+        texts = [(start, end) for start, end, kind in spans(text, backslashes) if kind == "'"]
         for m in _TOKEN.finditer(text):
             out.append(text[at : m.start()])
-            quoted = text[: m.start()].count("'") % 2 == 1
+            quoted = any(start < m.start() < end for start, end in texts)
             out.append(one(*self._resolve(m[1].strip()), quoted))
             at = m.end()
         return "".join([*out, text[at:]])

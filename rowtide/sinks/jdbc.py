@@ -70,21 +70,32 @@ class JdbcSink:
         columns = df.columns
         # Repeated runs find their own staging table again; parallel targets have different ones.
         stage = f"rt_stage_{zlib.crc32(run_id.encode()):08x}_{zlib.crc32(self.table.encode()):08x}"
-        self._create_stage(stage, columns)
-        try:
+        if mode == "append" and (done := with_retry(lambda: self._done(run_id), self.retry)) >= 0:
+            return done
+
+        def filled() -> None:
+            # A new attempt begins with an empty table.
+            self._create_stage(stage, columns)
             self._fill(df.withColumn(ROW_ID, F.monotonically_increasing_id()), stage)
-            return self._apply(stage, columns, mode)
+
+        try:
+            with_retry(filled, self.retry)
+            return self._apply(stage, columns, mode, run_id)
         finally:
             self._drop(stage)
 
-    def _create_stage(self, stage: str, columns: list[str]) -> None:
-        def run() -> None:
-            self._drop(stage)
-            with jdbc.session(self.spark, self.connection) as handle:
-                sql = dialects.staging_sql(self.connection.type, stage, self.table, columns, ROW_ID)
-                jdbc.execute(handle, sql)
+    def _done(self, run_id: str) -> int:
+        """Rows of this append, if it took effect already; -1 if not."""
+        with jdbc.session(self.spark, self.connection) as handle:
+            if not jdbc.has_table(handle, self.connection.schema, dialects.RUNS):
+                jdbc.execute(handle, dialects.runs_table_sql(self.connection.type))
+            return jdbc.scalar(handle, dialects.run_sql(self.connection.type, self.table, run_id))
 
-        with_retry(run, self.retry)
+    def _create_stage(self, stage: str, columns: list[str]) -> None:
+        self._drop(stage)
+        with jdbc.session(self.spark, self.connection) as handle:
+            sql = dialects.staging_sql(self.connection.type, stage, self.table, columns, ROW_ID)
+            jdbc.execute(handle, sql)
 
     def _drop(self, stage: str) -> None:
         with jdbc.session(self.spark, self.connection) as handle:
@@ -94,7 +105,8 @@ class JdbcSink:
     def _fill(self, df: DataFrame, stage: str) -> None:
         # Reading and computing keep their own parallelism; only the writers are limited.
         writers = max(self.writers, self.connection.max_pool_size)
-        routed = route(df, writers, self.keys)
+        # Staged rows need no order: dealt evenly, whatever their keys.
+        routed = route(df, writers)
         (
             routed.write.format("jdbc")
             .options(**self.connection.jdbc_options())
@@ -105,7 +117,7 @@ class JdbcSink:
             .save()
         )
 
-    def _apply(self, stage: str, columns: list[str], mode: str) -> int:
+    def _apply(self, stage: str, columns: list[str], mode: str, run_id: str) -> int:
         dialect, table = self.connection.type, self.table
         change = [dialects.insert_sql(dialect, table, stage, columns, ROW_ID)]
         if mode == "upsert":
@@ -123,7 +135,10 @@ class JdbcSink:
             with jdbc.session(self.spark, self.connection) as handle:
                 first.append(jdbc.scalar(handle, counted))
                 if first[-1] or not first[0]:
-                    jdbc.transaction(handle, change)
+                    # An append leaves its run beside the target, in one transaction: repeated, it is known.
+                    run_row = [dialects.run_done_sql(dialect, table, run_id, first[0])] if mode == "append" else []
+                    if not run_row or jdbc.scalar(handle, dialects.run_sql(dialect, table, run_id)) < 0:
+                        jdbc.transaction(handle, [*change, *run_row])
                 return first[0]
 
         return with_retry(run, self.retry)

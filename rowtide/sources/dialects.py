@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from typing import Any
 
+from rowtide.errors import ConfigError
 from rowtide.functions.text import literal_text
 from rowtide.sources.connections import Connection
 
@@ -127,3 +129,86 @@ def empty_sql(dialect: str, target: str) -> str:
     if dialect == "postgresql":
         return f"TRUNCATE TABLE {quote(dialect, target)}"
     return delete_sql(dialect, target)
+
+
+#: What SQL text is made of, as far as quotes and comments go.
+_SPANS = re.compile(r"'(?:[^'\\]|\\.|'')*'?|\"[^\"]*\"?|`[^`]*`?|--[^\n]*|/\*.*?(?:\*/|\Z)", re.DOTALL)
+_SPANS_PLAIN = re.compile(r"'(?:[^']|'')*'?|\"[^\"]*\"?|`[^`]*`?|--[^\n]*|/\*.*?(?:\*/|\Z)", re.DOTALL)
+_NAMED = re.compile(r"(?<!:):([A-Za-z_]\w*)|\?")
+
+
+def spans(sql: str, backslashes: bool = False) -> list[tuple[int, int, str]]:
+    """Start, end and kind of each quoted text, quoted name and comment; kind is its first character.
+
+    ``backslashes``: whether one hides a quote, as in Spark and MySQL.
+    """
+    return [(m.start(), m.end(), m[0][0]) for m in (_SPANS if backslashes else _SPANS_PLAIN).finditer(sql)]
+
+
+def bound(dialect: str, sql: str, args: Mapping[str, Any] | Sequence[Any] | None) -> str:
+    """``sql`` with its ``:names`` or ``?`` as typed literals; quoted text and comments stay."""
+    if not args:
+        return sql
+    named, places = isinstance(args, Mapping), iter(() if isinstance(args, Mapping) else args)
+    used = []
+
+    def one(m: re.Match[str]) -> str:
+        if m[1] is None:
+            if named:
+                return m[0]
+            try:
+                used.append(next(places))
+            except StopIteration:
+                raise ConfigError("the select has more places than parameters") from None
+            return literal(dialect, used[-1])
+        if not named:
+            return m[0]
+        if m[1] not in args:
+            raise ConfigError(f"no value for parameter {m[1]!r}")
+        return literal(dialect, args[m[1]])
+
+    out, at = [], 0
+    for start, end, _ in [*spans(sql, dialect == "mysql"), (len(sql), len(sql), "")]:
+        out += [_NAMED.sub(one, sql[at:start]), sql[start:end]]
+        at = end
+    if not named and len(used) != len(args):
+        raise ConfigError(f"the select has {len(used)} places for {len(args)} parameters")
+    return "".join(out)
+
+
+def depth_sql(dialect: str, sql: str, column: str, count: int) -> str:
+    """Where ``count`` slices of equal depth begin, by a column of any type; the database ranks its rows."""
+    c, number, begin = (quote(dialect, x) for x in (column, "rt_slice", "rt_begin"))
+    ranked = f"SELECT {c}, ntile({count}) OVER (ORDER BY {c}) AS {number} FROM {subquery(dialect, sql)} WHERE {c} IS NOT NULL"
+    return f"SELECT {begin} FROM {subquery(dialect, f'SELECT {number}, min({c}) AS {begin} FROM {subquery(dialect, ranked)} GROUP BY {number}', 'rt_b')} ORDER BY {begin}"
+
+
+def slice_conditions(dialect: str, column: str, begins: Sequence[Any]) -> list[str]:
+    """One condition for each slice: disjoint, and together every row; nulls go with the first."""
+    c = quote(dialect, column)
+    at = [literal(dialect, b) for b in dict.fromkeys(begins)][1:]
+    if not at:
+        return ["1 = 1"]
+    middle = [f"{c} >= {low} AND {c} < {high}" for low, high in zip(at, at[1:], strict=False)]
+    return [f"({c} < {at[0]} OR {c} IS NULL)", *middle, f"{c} >= {at[-1]}"]
+
+
+RUNS = "rt_runs"
+
+
+def runs_table_sql(dialect: str) -> str:
+    """The table of appends that took effect; it lives beside the targets."""
+    text, number = ("VARCHAR2(255)", "NUMBER(19)") if dialect == "oracle" else ("VARCHAR(255)", "BIGINT")
+    t, r, n = (quote(dialect, x) for x in ("target_name", "run_id", "rows_written"))
+    return f"CREATE TABLE {quote(dialect, RUNS)} ({t} {text} NOT NULL, {r} {text} NOT NULL, {n} {number} NOT NULL, PRIMARY KEY ({t}, {r}))"
+
+
+def run_sql(dialect: str, target: str, run_id: str) -> str:
+    """Rows of an append that took effect; nothing if it did not, as -1."""
+    t, r, n = (quote(dialect, x) for x in ("target_name", "run_id", "rows_written"))
+    return f"SELECT coalesce(max({n}), -1) FROM {quote(dialect, RUNS)} WHERE {t} = {literal(dialect, target)} AND {r} = {literal(dialect, run_id)}"
+
+
+def run_done_sql(dialect: str, target: str, run_id: str, rows: int) -> str:
+    """The run's row, in the transaction that appends: a second one breaks its key."""
+    return f"INSERT INTO {quote(dialect, RUNS)} VALUES ({literal(dialect, target)}, {literal(dialect, run_id)}, {rows})"

@@ -24,12 +24,17 @@ KEYS_PER_LIST = 500
 
 @dataclass(frozen=True)
 class Slices:
-    """How a read is cut: by ranges of a numeric or date column."""
+    """How a read is cut: by ranges of a column.
+
+    Equal widths between two bounds suit numbers and dates that are evenly spread; equal
+    ``depth`` suits any type and spread, and costs the database a ranking of the column.
+    """
 
     column: str
     count: int
     low: Any = None
     high: Any = None
+    depth: bool = False
 
 
 def _reader(spark: SparkSession, conn: Connection, fetch: int):
@@ -52,6 +57,11 @@ def read_sql(
     source = dialects.subquery(conn.type, sql)
     if slices is None:
         return _reader(spark, conn, fetch).option("numPartitions", 1).option("dbtable", source).load()
+    if slices.depth:
+        begins = _reader(spark, conn, fetch).option("numPartitions", 1).option("query", dialects.depth_sql(conn.type, sql, slices.column, slices.count)).load()
+        # At most as many rows as slices.
+        cuts = [r[0] for r in begins.collect()]
+        return _read_parts(spark, conn, source, dialects.slice_conditions(conn.type, slices.column, cuts), fetch)
     low, high = slices.low, slices.high
     if low is None or high is None:
         c = dialects.quote(conn.type, slices.column)
@@ -178,10 +188,25 @@ def scalar(handle: Any, sql: str) -> int:
         statement.close()
 
 
+def _exactly(meta: Any, name: str | None) -> str | None:
+    """A name for the catalogue, which takes patterns: its wildcards are escaped."""
+    escape = meta.getSearchStringEscape()
+    if name is None or not escape:
+        return name
+    for c in (escape, "_", "%"):
+        name = name.replace(c, escape + c)
+    return name
+
+
 def has_table(handle: Any, schema: str | None, table: str) -> bool:
-    rows = handle.getMetaData().getTables(None, schema, table, None)
+    """Whether the current database has this table, by its exact name."""
+    meta = handle.getMetaData()
+    rows = meta.getTables(handle.getCatalog(), _exactly(meta, schema or handle.getSchema()), _exactly(meta, table), None)
     try:
-        return bool(rows.next())
+        while rows.next():
+            if rows.getString("TABLE_NAME") == table:
+                return True
+        return False
     finally:
         rows.close()
 
@@ -216,14 +241,16 @@ def table_columns(spark: SparkSession, conn: Connection, table: str) -> list[Col
     """The catalogue entry of a table; an unknown table is an error."""
     with session(spark, conn) as handle:
         meta = handle.getMetaData()
-        keys = set()
-        rows = meta.getPrimaryKeys(None, conn.schema, table)
+        keys, catalog, schema = set(), handle.getCatalog(), conn.schema or handle.getSchema()
+        rows = meta.getPrimaryKeys(catalog, schema, table)
         while rows.next():
             keys.add(rows.getString("COLUMN_NAME"))
         rows.close()
         out = []
-        rows = meta.getColumns(None, conn.schema, table, None)
+        rows = meta.getColumns(catalog, _exactly(meta, schema), _exactly(meta, table), None)
         while rows.next():
+            if rows.getString("TABLE_NAME") != table:
+                continue
             name, size = rows.getString("COLUMN_NAME"), rows.getInt("COLUMN_SIZE")
             native = rows.getString("TYPE_NAME").lower()
             if "char" in native:

@@ -168,7 +168,7 @@ class Tables:
         """A select: a database runs it itself; over files, its tables are the folder's."""
         conn = self.connection(connection)
         if conn.is_database:
-            return jdbc.read_sql(self.spark, conn, sql)
+            return jdbc.read_sql(self.spark, conn, dialects.bound(conn.type, sql, args))
         if conn.type == "catalog":
             return select(self.spark, sql, args or None)
         views = {t: self._files(conn, t) for t in self._tables_of(conn, sql)}

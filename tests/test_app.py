@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from pathlib import Path
 
 import pytest
 from frames import rows
 
-from rowtide import load_app
+from rowtide import Connection, Job, Runner, Tables, load_app
 from rowtide.errors import ConfigError
+from rowtide.plans.config import App
 from rowtide.sinks.catalog import CatalogSink, merge_sql
 from rowtide.sinks.paths import PathSink, read_target
 
@@ -103,3 +105,28 @@ def test_merge_statement():
         "WHEN NOT MATCHED THEN INSERT (`id`, `a`) VALUES (s.`id`, s.`a`)"
     )
     assert "UPDATE" not in merge_sql("t", "v", ["id"], ["id"])
+
+
+def test_app_polls_jobs_with_an_interval(spark, work):
+    """``schedule.every`` runs a job again and again; rows that came meanwhile are found."""
+    source = PathSink(spark, work + "/lake/src")
+    source.append(spark.range(3), "a")
+    files = {"lake": Connection.parse("lake", {"type": "files", "path": f"{work}/lake"})}
+    doc = {"name": "timed", "source": {"connection": "lake", "table": "src", "where": "id > ${state.m}", "primary_key": "id", "columns": "id"},
+           "target": {"connection": "lake", "table": "dst", "primary_key": "id", "columns": "id"},
+           "sync": {"state": {"m": {"type": "max", "column": "id"}}}, "schedule": {"every": "1 second"}}
+    jobs = (Job.from_dict(doc), Job.from_dict({**doc, "name": "untimed", "schedule": {}}))
+    results = []
+    started = App(Runner(spark, Tables(spark, files), work + "/state"), jobs).poll(work + "/clock", results.append)
+    try:
+        assert len(started) == 1
+        for wanted in (3, 5):
+            if wanted == 5:
+                source.append(spark.range(3, 5), "b")
+            end = time.monotonic() + 90
+            while sum(r.rows_read for r in results) < wanted and time.monotonic() < end:
+                time.sleep(0.2)
+    finally:
+        for q in started:
+            q.stop()
+    assert sorted(r[0] for r in read_target(spark, work + "/lake/dst").collect()) == [0, 1, 2, 3, 4]

@@ -267,3 +267,26 @@ def test_what_is_not_used_is_said():
     with pytest.warns(UserWarning) as said:
         Job.from_dict(doc)
     assert [("cron" in str(w.message), "where" in str(w.message)) for w in said] == [(True, False), (False, True)]
+
+
+@pytest.mark.parametrize(
+    ("text", "quoted"),
+    [
+        ("a > ${env.X}", False), ("a > '${env.X}'", True), ("-- it's\n a > ${env.X}", False), ("/* don't */ a > ${env.X}", False),
+        ("a = 'it''s' AND b > ${env.X}", False), ("a = 'it\\'s' AND b > ${env.X}", False), ('"o\'clock" > ${env.X}', False),
+        ("`o'clock` = '-${env.X}-'", True),
+    ],
+)
+def test_quotes_are_told_from_comments_and_names(text, quoted):
+    """A value inside quotes is put into the text; outside it becomes a parameter."""
+    bound = Template(lambda key: None, dt.datetime(2024, 1, 1), {"X": "a b"}).bind(text)
+    assert (bound.args == {}) == quoted and ("a b" in bound.sql) == quoted
+
+
+def test_partition_by():
+    doc = {"name": "j", "source": {"connection": "c", "table": "t", "primary_key": "k", "partition_column": "k", "partition_by": "depth"},
+           "target": {"connection": "c", "table": "t", "primary_key": "k"}}
+    assert Job.from_dict(doc).source.partition_by == "depth"
+    doc["source"]["partition_by"] = "weight"
+    with pytest.raises(ConfigError, match="partition_by"):
+        Job.from_dict(doc)

@@ -35,6 +35,9 @@ class Rows:
     def getLong(self, i):  # noqa: N802
         return self.data[self.at][i - 1]
 
+    def getString(self, name):  # noqa: N802
+        return self.data[self.at][0]
+
     def close(self):
         pass
 
@@ -60,7 +63,17 @@ class Handle:
         return self
 
     def getTables(self, catalog, schema, table, types):  # noqa: N802
-        return Rows(self.con.execute("SELECT 1 FROM duckdb_tables() WHERE table_name = ?", [table]).fetchall())
+        # Names are patterns here, as in every driver.
+        return Rows(self.con.execute("SELECT table_name FROM duckdb_tables() WHERE table_name LIKE ? ESCAPE '\\'", [table]).fetchall())
+
+    def getCatalog(self):  # noqa: N802
+        return None
+
+    def getSchema(self):  # noqa: N802
+        return None
+
+    def getSearchStringEscape(self):  # noqa: N802
+        return "\\"
 
     def getAutoCommit(self):  # noqa: N802
         return self.auto
@@ -182,6 +195,78 @@ def test_retry_backs_off():
     assert len(calls) == 3
 
 
+def test_an_append_takes_effect_once(spark, db):
+    """Its run is kept in the target's transaction: repeated after anything, it is known."""
+    batch = spark.createDataFrame([(1, "a"), (2, "b")], "id long, a string")
+    for _ in range(2):
+        assert sink(spark, "log", ()).write(batch, "append", "r'1") == 2
+    assert sink(spark, "log", ()).write(batch.limit(1), "append", "r2") == 1
+    assert sink(spark, "t").write(batch, "append", "r'1") == 2
+    assert sink(spark, "log", ()).write(batch.limit(0), "append", "r'1") == 2
+    assert sink(spark, "log", ()).write(batch.limit(0), "append", "r3") == 0
+    assert len(table(db, "log")) == 3 and len(table(db)) == 2
+    # What is rolled back leaves no run behind.
+    with pytest.raises(duckdb.ConstraintException):
+        sink(spark, "t").write(batch, "append", "r4")
+    assert sorted(db["con"].execute("SELECT target_name, run_id, rows_written FROM rt_runs").fetchall()) == [
+        ("log", "r'1", 2), ("log", "r2", 1), ("log", "r3", 0), ("t", "r'1", 2)
+    ]
+
+
+def test_a_broken_transfer_is_tried_again_from_an_empty_stage(spark, db, monkeypatch):
+    real, calls = JdbcSink._fill, []
+
+    def breaking(self, df, stage):
+        calls.append(stage)
+        real(self, df.limit(1) if len(calls) == 1 else df, stage)
+        if len(calls) == 1:
+            raise OSError("connection reset")
+
+    monkeypatch.setattr(JdbcSink, "_fill", breaking)
+    batch = spark.createDataFrame([(1, "a"), (2, "b")], "id long, a string")
+    assert sink(spark, "t").write(batch, "upsert", "r1") == 2
+    assert table(db) == [(1, "a", None), (2, "b", None)] and len(calls) == 2
+
+
+def test_tables_are_known_by_exact_names(db):
+    db["con"].execute("CREATE TABLE rtXrows (id BIGINT)")
+    handle = Handle(db["con"])
+    assert jdbc.has_table(handle, None, "rtXrows") and not jdbc.has_table(handle, None, "rt_rows")
+    assert jdbc._exactly(handle, "a_b%c\\d") == "a\\_b\\%c\\\\d" and jdbc._exactly(handle, None) is None
+
+
+def test_slices_of_equal_depth(db):
+    """The database says where slices begin, also for text; the conditions are disjoint and complete."""
+    con = db["con"]
+    con.execute("CREATE TABLE big AS SELECT CASE WHEN i % 5 = 0 THEN 'hot' WHEN i % 7 = 0 THEN NULL ELSE 'k' || (i * i) END AS k, i FROM range(3000) r(i)")
+    begins = [r[0] for r in con.execute(dialects.depth_sql("postgresql", "SELECT * FROM big;", "k", 6)).fetchall()]
+    conditions = dialects.slice_conditions("postgresql", "k", begins)
+    found = [con.execute(f"SELECT i FROM big WHERE {c}").fetchall() for c in conditions]
+    assert len(conditions) >= 5 and sorted(sum(found, [])) == [(i,) for i in range(3000)]
+    assert max(map(len, found)) < 600 + 3000 // 6 * 1.5
+    assert dialects.slice_conditions("mysql", "k", []) == dialects.slice_conditions("mysql", "k", ["a", "a"]) == ["1 = 1"]
+    want = ["(`k` < 'b''' OR `k` IS NULL)", "`k` >= 'b''' AND `k` < 'c'", "`k` >= 'c'"]
+    assert dialects.slice_conditions("mysql", "k", ["a", "b'", "b'", "c"]) == want
+
+
+@pytest.mark.parametrize(
+    ("sql", "args", "want"),
+    [
+        ("a = :x AND b = ':x' -- :x\n AND c = :y", {"x": 5, "y": "o'k"}, "a = 5 AND b = ':x' -- :x\n AND c = 'o''k'"),
+        ("a = ? /* ? */ AND b::int = ? AND c = '?''?'", [dt.date(2024, 1, 2), None], "a = '2024-01-02' /* ? */ AND b::int = NULL AND c = '?''?'"),
+        ('"a:x" = :x AND `b?` = 1', {"x": 2}, '"a:x" = 2 AND `b?` = 1'), ("a = 1", {}, "a = 1"),
+    ],
+)
+def test_parameters_of_a_database(sql, args, want):
+    assert dialects.bound("postgresql", sql, args) == want
+
+
+def test_wrong_parameters_are_refused():
+    for sql, args in (("a = :x", {"y": 1}), ("a = ?", [1, 2]), ("a = ? AND b = ?", [1])):
+        with pytest.raises(ConfigError):
+            dialects.bound("mysql", sql, args)
+
+
 # ---- reads -----------------------------------------------------------------
 
 
@@ -339,3 +424,12 @@ def test_full_writes_empty_their_table_inside_the_transaction():
     assert dialects.empty_sql("mysql", "t") == "DELETE FROM `t`"
     assert dialects.empty_sql("oracle", "t") == 'DELETE FROM "t"'
     assert dialects.empty_sql("postgresql", "t") == 'TRUNCATE TABLE "t"'
+
+
+def test_reads_by_depth(spark, reads, parts, monkeypatch):
+    source = spark.createDataFrame([("a",), ("m",), ("t",)], "rt_begin string")
+    monkeypatch.setattr(jdbc, "_reader", lambda spark, conn, fetch: Reader(lambda options: source))
+    jdbc.read_table(spark, PG, "t", ["name"], None, jdbc.Slices("name", 3, depth=True))
+    assert "ntile(3) OVER" in Reader.made[-1]["query"]
+    conditions = ["(\"name\" < 'm' OR \"name\" IS NULL)", "\"name\" >= 'm' AND \"name\" < 't'", "\"name\" >= 't'"]
+    assert parts[0] == ('(SELECT "name" FROM "t") rt_q', conditions)

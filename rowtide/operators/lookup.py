@@ -14,6 +14,7 @@ from rowtide.operators.ranking import first_n
 from rowtide.operators.steps import DEFAULT_TABLE, Branches, Step, StepContext, register_step
 
 _BUCKET, _LANE, _DIM = "__bucket", "__lane", "__dim_"
+_LEVEL = "__level"
 
 
 def lookup(
@@ -70,6 +71,30 @@ def restrict(df: DataFrame, where: str | Column, params: Mapping[str, object] |
     return df.sparkSession.sql(f"SELECT * FROM {{df}} WHERE {text}", args=dict(params), df=df)
 
 
+def cover(low: Column, high: Column) -> Column:
+    """The fewest nodes (level, node) of the binary tree over whole numbers that make up ``low .. high``."""
+    kind = "struct<low:bigint,high:bigint,nodes:array<struct<level:int,node:bigint>>>"
+
+    def step(s: Column, level: Column) -> Column:
+        lo, hi = s["low"], s["high"]
+        first = (lo <= hi) & (lo.bitwiseAND(F.lit(1)) == 1)
+        lo = lo + first.cast("bigint")
+        last = (lo <= hi) & (hi.bitwiseAND(F.lit(1)) == 0)
+        node = lambda n: F.array(F.struct(level.alias("level"), n.alias("node")))
+        none = F.array().cast("array<struct<level:int,node:bigint>>")
+        taken = F.concat(s["nodes"], F.when(first, node(s["low"])).otherwise(none), F.when(last, node(hi)).otherwise(none))
+        hi = hi - last.cast("bigint")
+        # What is used up stays so.
+        left = lo <= hi
+        return F.struct(
+            F.when(left, F.shiftright(lo, 1)).otherwise(1).alias("low"), F.when(left, F.shiftright(hi, 1)).otherwise(0).alias("high"), taken.alias("nodes")
+        ).cast(kind)
+
+    begin = F.struct(low.alias("low"), high.alias("high"), F.array().cast("array<struct<level:int,node:bigint>>").alias("nodes")).cast(kind)
+    whole = F.aggregate(F.sequence(F.lit(0), F.lit(63)), begin, step, lambda s: s["nodes"])
+    return F.when(low <= high, whole)
+
+
 def range_lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -83,10 +108,11 @@ def range_lookup(
 ) -> DataFrame:
     """Rows of ``dim`` whose ``point`` lies between ``low`` and ``high`` of the left row.
 
-    Both sides are cut into buckets of ``width`` on the point's axis and joined on the
-    bucket, so no pair outside the common buckets is ever formed.  ``width`` is best near
-    the usual range length: a left row is repeated once per bucket it overlaps.  Crowded
-    buckets are split by adaptive execution.
+    The point's axis is cut into buckets of ``width``, and pairs, fours, ... of buckets are the
+    nodes of a binary tree.  A range is covered by few disjoint nodes, two a level at most however
+    long it is; a point looks up its node at each level that some range uses.  So a pair meets once,
+    and none is formed outside a common node.  ``width`` is best near the usual range length.
+    Crowded nodes are split by adaptive execution.
     """
     if width <= 0:
         raise ConfigError("range_lookup: width must be positive")
@@ -102,22 +128,21 @@ def range_lookup(
         return F.floor(c / F.lit(width)).cast("bigint")
 
     ends = df.select("*", low.alias("__low"), high.alias("__high"))
-    span = F.when(
-        F.col("__low") <= F.col("__high"), F.sequence(bucket(F.col("__low")), bucket(F.col("__high")))
-    )
-    left = ends.select("*", F.explode(span).alias(_BUCKET))
-    right = dim.select(
-        *[V.col(c) for c in wanted],
-        V.col(point).alias("__point"),
-        bucket(V.col(point)).alias(_DIM + _BUCKET),
-    )
+    left = ends.select("*", F.inline(cover(bucket(F.col("__low")), bucket(F.col("__high")))).alias(_LEVEL, _BUCKET))
+    # At most one row for each level of the tree.
+    nodes = df.select(low.alias("__low"), high.alias("__high")).select(F.inline(cover(bucket(F.col("__low")), bucket(F.col("__high")))))
+    levels = sorted(r[0] for r in nodes.select("level").distinct().collect())
+    at = F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))
+    dims = dim.select(*[V.col(c) for c in wanted], V.col(point).alias("__point"), bucket(V.col(point)).alias("__bucket"), at.alias(_DIM + _LEVEL))
+    right = dims.withColumn(_DIM + _BUCKET, F.call_function("shiftright", "__bucket", F.col(_DIM + _LEVEL))).drop("__bucket")
     p, lo, hi = F.col("__point"), F.col("__low"), F.col("__high")
     inside = (p >= lo if closed[0] else p > lo) & (p <= hi if closed[1] else p < hi)
-    matched = left.join(right, (F.col(_BUCKET) == F.col(_DIM + _BUCKET)) & inside)
+    meet = (F.col(_BUCKET) == F.col(_DIM + _BUCKET)) & (F.col(_LEVEL) == F.col(_DIM + _LEVEL))
+    matched = left.join(right, meet & inside)
     found = matched.select(*names, *[V.col(c) for c in wanted])
     if how == "inner":
         return found
-    # A left row may span several buckets, so rows without a match are found apart.
+    # A left row may span several nodes, so rows without a match are found apart.
     hit = matched.select(*[V.col(c).alias(_DIM + c) for c in df.columns]).distinct()
     same = [V.col(c).eqNullSafe(V.col(_DIM + c)) for c in df.columns]
     missed = df.join(hit, same, "left_anti")

@@ -418,3 +418,26 @@ def test_lookup_steps(spark):
             StepSpec.parse({"lookup": bad}).build()
     with pytest.raises(ConfigError):
         ctx.lookup_table("c", "dim", limit=1)
+
+
+@pytest.mark.parametrize(("low", "high"), [(0, 0), (-5, 9), (3, 1), (-(2**40), 2**41 + 7), (7, 8), (-1, 0)])
+def test_ranges_are_covered_by_few_nodes(spark, low, high):
+    nodes = spark.range(1).select(F.inline(L.cover(F.lit(low).cast("bigint"), F.lit(high).cast("bigint")))).collect()
+    spans = sorted((r["node"] << r["level"], ((r["node"] + 1) << r["level"]) - 1) for r in nodes)
+    assert len(spans) <= 2 * 42
+    if low > high:
+        assert spans == []
+    else:
+        assert spans[0][0] == low and spans[-1][1] == high
+        assert all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_a_range_over_the_whole_axis_is_a_few_rows(spark):
+    """Before the join a row stands once for each node, not once for each bucket."""
+    df = spark.createDataFrame([(1, -(10**9), 10**9), (2, 5, 9), (3, None, 4)], "id long, lo long, hi long")
+    dim = spark.range(-50, 50).selectExpr("id * 1000003 AS p", "id AS v")
+    out = L.range_lookup(df, dim, "p", F.col("lo"), F.col("hi"), 1, ["v"])
+    assert out.count() == 100
+    rows_in = df.select(F.inline(L.cover(F.col("lo"), F.col("hi")))).count()
+    assert rows_in < 70
+    assert L.range_lookup(df, dim, "p", F.col("lo"), F.col("hi"), 1, ["v"], how="left").count() == 102

@@ -2,17 +2,19 @@
 
 A stream's own checkpoint says what was read, so no marks are needed; a micro-batch
 that is repeated after a failure has the same id.  Full writes, upserts, and appends into
-folders then take effect once; appends into databases and catalogue tables are repeated.
+folders and databases then take effect once; appends into catalogue tables are repeated.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from rowtide import types as V
 from rowtide.errors import ConfigError
 from rowtide.operators.watermark import read_marks
 from rowtide.plans.job import Job
@@ -20,16 +22,43 @@ from rowtide.plans.runner import Runner, RunResult
 from rowtide.sources.storage import Staging, Storage
 
 
+_EVENT_TIME = "__event_time"
+
+
+@dataclass(frozen=True)
+class Lateness:
+    """How late a row may come behind the newest one, by its ``column``; beyond it rows are dropped.
+
+    Rows that repeat a key inside the bound, in whatever micro-batch, count once: keys are kept
+    as state for as long as a repetition may come, and no longer.
+    """
+
+    column: str
+    bound: str
+    keys: tuple[str, ...] = ()
+
+    def once(self, stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+        by = list(self.keys or keys)
+        if not by:
+            raise ConfigError("rows that may come late need a key to be told apart")
+        # Watermarks follow instants; local times are read in the session's zone.
+        timed = stream.withColumn(_EVENT_TIME, V.col(self.column).cast("timestamp"))
+        return timed.withWatermark(_EVENT_TIME, self.bound).dropDuplicatesWithinWatermark(by).drop(_EVENT_TIME)
+
+
 def start(
-    runner: Runner, job: Job, stream: DataFrame, checkpoint: str, every: str | None = None
+    runner: Runner, job: Job, stream: DataFrame, checkpoint: str, every: str | None = None, late: Lateness | None = None
 ) -> StreamingQuery:
     """Write ``stream`` to the job's targets, batch by batch.
 
     ``every`` is a processing-time interval; without it everything available is taken
-    and the query ends, which suits an external clock.
+    and the query ends, which suits an external clock.  With ``late`` each key of the source
+    passes once, also if it comes again in a later batch.
     """
     if job.mode == "full":
         raise ConfigError("full mode replaces the target; it has no meaning for a stream")
+    if late is not None:
+        stream = late.once(stream, job.source.primary_key)
 
     def one(batch: DataFrame, batch_id: int) -> None:
         # Batch numbers start anew with every checkpoint, so its own id goes along.

@@ -582,3 +582,26 @@ def test_repeated_micro_batch_appends_once(spark, work):
     for _ in range(2):
         run.write(doc, run.plan(doc, batch), "batch000000000001")
     assert rows(P.read_target(spark, f"{work}/out/dst")) == [(1, "a")]
+
+
+def test_late_rows_pass_once_inside_the_bound(spark, work):
+    """Repeated keys of later micro-batches are dropped, late rows kept; beyond the bound rows are lost."""
+    job = Job.from_dict({"name": "late", "source": {"connection": "out", "table": "e", "primary_key": "id"},
+                         "target": {"connection": "out", "table": "once"}, "sync": {"mode": "append"}})
+    runner = Runner(spark, Tables(spark, {"out": Connection.parse("out", {"type": "files", "path": f"{work}/out"})}), f"{work}/state")
+    late = microbatch.Lateness("t", "1 hour")
+    batches = [
+        [(1, "2024-01-01 10:00:00"), (2, "2024-01-01 11:30:00"), (2, "2024-01-01 11:30:00")],
+        [(2, "2024-01-01 11:30:00"), (3, "2024-01-01 10:45:00"), (4, "2024-01-01 13:00:00"), (9, "2024-01-01 09:00:00")],
+        [(4, "2024-01-01 13:00:00"), (3, "2024-01-01 12:30:00"), (5, "2024-01-01 12:01:00")],
+    ]
+    schema = "id long, t timestamp"
+    for data in batches:
+        spark.createDataFrame(data, "id long, t string").selectExpr("id", "CAST(t AS timestamp) AS t").write.mode("append").parquet(f"{work}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{work}/in")
+        microbatch.start(runner, job, stream, f"{work}/checkpoint", late=late).awaitTermination()
+    got = sorted((r["id"], r["t"].strftime("%H:%M")) for r in P.read_target(spark, f"{work}/out/once").withColumn("t", F.col("t").cast("timestamp_ntz")).collect())
+    # Key 3 comes again after its state is over: its bound had passed.
+    assert got == [(1, "10:00"), (2, "11:30"), (3, "10:45"), (3, "12:30"), (4, "13:00"), (5, "12:01")]
+    with pytest.raises(ConfigError, match="key"):
+        late.once(spark.readStream.schema(schema).parquet(f"{work}/in"), ())

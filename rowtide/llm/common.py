@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rowtide.sources.storage import Storage, fresh_dir
 
 #: Bytes of text handled at once inside a task; a longer text is one chunk of its own.
-CHUNK_CHARS = 1_500_000
+CHUNK_CHARS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in names])
 
 
+def plain(df: DataFrame, *keep: str) -> DataFrame:
+    """``df`` with numbered names but for ``keep``: Python code takes no name with a dot.  ``toDF`` brings them back."""
+    return df.toDF(*[c if c in keep else f"column_{n}" for n, c in enumerate(df.columns)])
+
+
 def id_crc(column: str | Column = "doc_id") -> Column:
     """crc32 of an id as text; null for a null id."""
     return F.crc32((F.col(column) if isinstance(column, str) else column).cast("string").cast("binary"))
@@ -218,3 +223,9 @@ def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBat
             if end > start:
                 part = batch.slice(start, end - start)
                 yield part, part.column("text").to_pylist()
+    give_back()
+
+
+def give_back() -> None:
+    """Return what Arrow holds but does not use: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()

@@ -161,7 +161,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def contaminated_keys(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``key`` (see document_key) of each different document that holds a window of the benchmark."""
     scratch = Scratch()
-    keys = stored(verdicts(documents, benchmark, scratch).where("n_hit > 0").select("key"), "contaminated")
+    found = verdicts(documents, benchmark, scratch).where("n_hit > 0").select("key")
+    keys = stored(found, "contaminated")
     scratch.clear()
     return keys
 

@@ -10,8 +10,9 @@
    one set cannot match, so only the frequent rest of a prefix is kept; most sets keep none.
 3. *Candidates.*  Sets equal in all batches become one node.  Nodes meet at shared prefix
    n-grams, under a length and a positional filter, first only with the least node of each
-   n-gram; every candidate pair is verified once, by intersection.  Then all pairs at n-grams
-   whose nodes are not yet in one component, under a bitmap filter too, are verified, so no
+   n-gram; every candidate pair is verified once: a suffix filter compares what stands behind
+   the shared n-gram, then the sets are intersected.  Then all pairs at n-grams
+   whose nodes are not yet in one component, under a bitmap filter too, are verified likewise, so no
    connection is missed, and a large group of near copies does not emit all its pairs.
 
 The result has one row per input row.  Null text and text without words have no n-grams,
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import Index, Scratch, mix, small, stored, table, unused
+from rowtide.llm.common import Index, Scratch, give_back, mix, small, stored, table, unused
 from rowtide.llm.components import components
 
 #: n-grams of a batch and of a bucket, as far as the corpus is small.
@@ -42,10 +43,13 @@ SENT = "bucket int, batch int, grams binary, repeated binary, counts binary"
 KNOWN = "batch int, bucket int, grams binary, counts binary"
 SETS = "doc_id long, n_shingles long, node long, digest binary, grams array<long>, places array<int>, parity array<long>, members binary"
 WORD_LIMIT = 150_000
-#: Ranges of hashes that the bitmap filter counts.
+#: Ranges of hashes that the bitmap filter counts, and the suffix filter.
 PARTS = 1024
-#: Ids that are broadcast, at 16 bytes each.
+SUFFIX_RANGES = 64
+SUFFIX_SHIFT = np.uint64(64 - 6)
+#: Ids that are broadcast, at 16 bytes each, and rows of ids to a file.
 BROADCAST_ROWS = 1_000_000
+FILE_ROWS = 200_000
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -142,6 +146,7 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
 
 def _send(n: int, buckets: int):
     def send(got: pa.Table) -> pa.Table:
+        give_back()
         batch = got["batch"][0].as_py()
         _, sets, _, _ = distinct_sets(Shingler(n), got)
         grams, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
@@ -185,6 +190,7 @@ def _prefixes(n: int, buckets: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("digest", pa.binary()), ("grams", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("parity", pa.list_(pa.int64())), ("members", pa.binary())])
 
     def prefixes(got: pa.Table, answer: pa.Table) -> pa.Table:
+        give_back()
         if not got.num_rows:
             return pa.Table.from_pylist([], schema=schema)
         ids, sets, owner, sizes = distinct_sets(Shingler(n), got)
@@ -207,9 +213,10 @@ def _prefixes(n: int, buckets: int):
                 kept.append(None)
                 continue
             grams = own[shared]
-            ranked = grams[np.lexsort((grams, counts[at[shared]]))][: length - alone]
+            ordered = grams[np.lexsort((grams, counts[at[shared]]))]
+            ranked = ordered[: length - alone]
             digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-            kept.append((digest, ranked.view(np.int64), np.arange(alone, alone + len(ranked), dtype=np.int32), parity_of(own), own.tobytes()))
+            kept.append((digest, ranked.view(np.int64), np.arange(alone, alone + len(ranked), dtype=np.int32), parity_of(own), np.concatenate([own[~shared], ordered]).tobytes()))
         out, told = [], set()
         for i, at in enumerate(owner):
             row = {"doc_id": ids[i], "n_shingles": int(sizes[i]), "node": ids[i] if at < 0 else nodes[at]}
@@ -238,33 +245,49 @@ def document_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """Common members of two sorted sets."""
-    if len(b) < len(a):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = len(b) - 1
-    return int((b[at] == a).sum())
+    """Common members of two sets."""
+    return len(np.intersect1d(a, b, assume_unique=True))
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted sets reach a Jaccard of 0.8."""
+    """Whether two sets reach a Jaccard of 0.8."""
     return 9 * overlap(a, b) >= 4 * (len(a) + len(b))
 
 
+def suffix_fits(a: np.ndarray, b: np.ndarray, i: int, j: int) -> bool:
+    """The suffix filter: what stands behind a shared member, at ``i`` and ``j`` of two sets in rank order.
+
+    Members before it can only meet members before it.  Those behind are dealt into ranges of
+    hashes; where one set has more than the other, they differ by as many.
+    """
+    count = lambda x: np.bincount((x >> SUFFIX_SHIFT).astype(np.int64), minlength=SUFFIX_RANGES)
+    x, y = a[i + 1 :], b[j + 1 :]
+    apart = int(np.abs(count(x) - count(y)).sum())
+    most = min(i, j) + 1 + (len(x) + len(y) - apart) // 2
+    return 9 * most >= 4 * (len(a) + len(b))
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar."""
+    """Those of the pairs (a, b; i, j: the places of a shared n-gram) whose sets are similar."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [[np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in ("x", "y")]
-            keep = pa.array([similar(x, y) for x, y in zip(*own, strict=True)], pa.bool_())
+            places = [batch.column(c).to_pylist() for c in ("i", "j")]
+            keep = pa.array([suffix_fits(x, y, i, j) and similar(x, y) for x, y, i, j in zip(*own, *places, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(keep)
 
     few = pairs.count() <= BROADCAST_ROWS
     near = F.broadcast if few else (lambda df: df)
     x = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("members").alias("y")).join(near(pairs.select("b").distinct()), "b", "left_semi")
-    return x.join(near(pairs), "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    return x.join(near(pairs), "a").join(y, "b").select("a", "b", "i", "j", "x", "y").mapInArrow(verify, "a long, b long")
+
+
+def once(met: DataFrame, a: str, b: str) -> DataFrame:
+    """Each pair of nodes once, with the first places where they meet."""
+    at = F.min(F.struct(F.col(f"{a}.place").alias("i"), F.col(f"{b}.place").alias("j"))).alias("at")
+    return met.groupBy(F.col(f"{a}.node").alias("a"), F.col(f"{b}.node").alias("b")).agg(at).select("a", "b", "at.i", "at.j")
 
 
 def fits(a: str, b: str):
@@ -276,7 +299,7 @@ def fits(a: str, b: str):
 
 
 def close(a: str, b: str):
-    """A bitmap filter over the whole sets, in place of a suffix filter: where the parity of a range differs, the sets differ by a member at least."""
+    """A bitmap filter over the whole sets, before any set is moved: where the parity of a range differs, the sets differ by a member at least."""
     x, y = F.col(f"{a}.parity"), F.col(f"{b}.parity")
     apart = sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(1, PARTS // 64)), F.bit_count(F.get(x, F.lit(0)).bitwiseXOR(F.get(y, F.lit(0)))))
     both = F.col(f"{a}.n") + F.col(f"{b}.n")
@@ -302,7 +325,7 @@ def links(sets: DataFrame, scratch: Scratch) -> DataFrame:
     copies = sets.where("digest is not null").select("digest", F.col("node").alias("a")).join(first.withColumnRenamed("node", "b"), "digest").where("a <> b").select("a", "b")
     hubs = postings.groupBy("gram").agg(F.min("p").alias("q"))
     met = postings.join(hubs, "gram").where((F.col("p.node") != F.col("q.node")) & fits("p", "q"))
-    stars = scratch(met.select(F.col("q.node").alias("a"), F.col("p.node").alias("b")).distinct(), "pairs", tasks)
+    stars = scratch(once(met, "q", "p"), "pairs", tasks)
     edges = members.unionByName(copies).unionByName(scratch(verified(stars, nodes), "links", tasks))
     merged = components(edges, tasks, scratch)
     # N-grams whose nodes are all connected have nothing more to tell.
@@ -312,7 +335,7 @@ def links(sets: DataFrame, scratch: Scratch) -> DataFrame:
     open_ = scratch(rest.select("gram", F.col("p").withField("parity", F.col("parity")).alias("p"), "c"), "open", tasks)
     other = open_.select("gram", F.col("p").alias("q"), F.col("c").alias("d"))
     met = open_.join(other, "gram").where((F.col("c") != F.col("d")) & (F.col("p.node") < F.col("q.node")) & fits("p", "q") & close("p", "q"))
-    pairs = met.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    pairs = once(met, "p", "q").join(stars, ["a", "b"], "left_anti")
     found = scratch(verified(scratch(pairs, "pairs", tasks), nodes), "links", tasks)
     if found.isEmpty():
         return merged
@@ -323,12 +346,15 @@ def join_documents(docs: DataFrame, n: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     scratch = Scratch()
     sets = scratch(document_sets(docs, n), "sets")
+    # Answered from the files' footers.
+    rows = sets.count()
     found = links(sets, scratch)
     joined = stored(
         sets.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("id"), "left").select(
             "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
         ),
         "joined",
+        1 + rows // FILE_ROWS,
     )
     scratch.clear()
     return joined
@@ -363,7 +389,7 @@ def first_copies(docs: DataFrame, n: int = 5) -> DataFrame:
         real = found.join(extra.select(F.col("number").alias("doc_id"), "id"), "doc_id", "left").withColumn("id", F.coalesce("id", "doc_id"))
         best = real.where("component_id is not null").groupBy("component_id").agg(F.min_by("doc_id", F.struct("id", "doc_id")).alias("stays"))
         found = found.join(best, "component_id").select("doc_id", F.col("stays").alias("component_id"))
-    gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias(node)).distinct(), "gone")
+    gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias(node)).distinct(), "gone", 1 + found.count() // FILE_ROWS)
     kept = numbered.join(small(gone), node, "left_anti")
     if again is not None:
         few = small(again)

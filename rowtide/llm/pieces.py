@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import Index, batches_of, busiest, code_points, group_sum, mix, ranges, table, without
+from rowtide.llm.common import Index, batches_of, busiest, code_points, group_sum, mix, plain, ranges, table, without
 
 SPACE = "▁"
 #: Distinct words a worker remembers.
@@ -267,7 +267,9 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", alpha: float = 0.75
 
     Columns of ``docs`` that have these names are replaced.
     """
-    docs = without(docs, "ids", "n_pieces", "ids_crc32", "lossless")
+    made = ["ids", "n_pieces", "ids_crc32", "lossless"]
+    names = (docs := without(docs, *made)).columns
+    docs = plain(docs, "text", key)
     schema = docs.withColumns(
         {"ids": F.array().cast("array<int>"), "n_pieces": F.lit(0).cast("long"), "ids_crc32": F.lit(0).cast("long"), "lossless": F.lit(True)}
     ).schema
@@ -287,7 +289,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", alpha: float = 0.75
                 names=[*batch.schema.names, "ids", "n_pieces", "ids_crc32", "lossless"],
             )
 
-    return docs.mapInArrow(sample, schema)
+    return docs.mapInArrow(sample, schema).toDF(*names, *made)
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import WordTable, batches_of, group_sum, id_crc, labelled_ids, table, words_of, without
+from rowtide.llm.common import WordTable, batches_of, group_sum, id_crc, labelled_ids, plain, table, without, words_of
 from rowtide.llm.learn import CUT, CUT_LOGIT, Adam, natural_weights, out_of_fold, sigmoid, threshold
 
 PASSAGE = 64
@@ -173,7 +173,9 @@ def scored(docs: DataFrame, model: QualityModel | None) -> DataFrame:
 
     Columns of ``docs`` that have these names are replaced.
     """
-    docs = without(docs, "quality_score", "quality_passage")
+    made = ["quality_score", "quality_passage"]
+    names = (docs := without(docs, *made)).columns
+    docs = plain(docs, "text")
     schema = docs.withColumns({"quality_score": F.lit(0.0), "quality_passage": F.lit(0)}).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +189,7 @@ def scored(docs: DataFrame, model: QualityModel | None) -> DataFrame:
                 most = np.array([a.argmax() for a in np.split(f["a"], f["starts"][1:])], np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values), pa.array(most)], names=[*batch.schema.names, "quality_score", "quality_passage"])
 
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(score, schema).toDF(*names, *made)
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:

@@ -67,6 +67,28 @@ def test_similar(a, b):
     assert jaccard.similar(*spread) == (5 * len(a & b) >= 4 * len(a | b))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 400), st.floats(0, 0.3))
+def test_suffix_filter_loses_no_similar_pair(seed, n, change):
+    """From any place that two sets share, in one order of all members."""
+    rng = np.random.default_rng(seed)
+    pool = rng.permutation(np.unique(rng.integers(0, 2**64, 3 * n, dtype=np.uint64)))
+    rank = {int(v): k for k, v in enumerate(pool)}
+    base = rng.choice(pool, n, replace=False) if len(pool) >= n else pool
+    other = np.unique(np.where(rng.random(len(base)) < change, rng.choice(pool, len(base)), base))
+    a, b = (np.array(sorted(map(int, x), key=rank.get), np.uint64) for x in (base, other))
+    for v in set(a.tolist()) & set(b.tolist()):
+        i, j = a.tolist().index(v), b.tolist().index(v)
+        assert jaccard.suffix_fits(a, b, i, j) or not jaccard.similar(a, b)
+
+
+def test_suffix_filter_leaves_out_unlike_pairs():
+    rng = np.random.default_rng(3)
+    shared = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    one, two = (np.concatenate([shared, rng.integers(0, 2**64, 200, dtype=np.uint64)]) for _ in range(2))
+    assert not jaccard.suffix_fits(one, two, 250, 250) and not jaccard.similar(one, two)
+
+
 def test_components(spark):
     edges = [(5, 4), (4, 3), (3, 9), (9, 9), (20, 21), (21, 20), (None, 3), (7, 8)] + [(100 + i, 101 + i) for i in range(60)]
     got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long")).collect()))

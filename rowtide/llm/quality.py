@@ -101,6 +101,23 @@ class QualityModel:
         return self.forward(x, passages)["logit"] - self.shift
 
 
+def gradients(model: QualityModel, x: np.ndarray, passages: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the weighted mean cross entropy, by every parameter."""
+    f, params = model.forward(x, passages), model.params
+    d = (sigmoid(f["logit"]) - labels) * weight / len(labels)
+    dz = d[:, None] * params["u"]
+    own = dz[f["owner"]]
+    da = (own * f["h"]).sum(axis=1)
+    de = f["a"] * (da - np.add.reduceat(f["a"] * da, f["starts"])[f["owner"]])
+    gate = de[:, None] * params["w"]
+    dt, ds = gate * f["s"] * (1 - f["t"] ** 2), gate * f["t"] * f["s"] * (1 - f["s"])
+    dh = (f["a"][:, None] * own + dt @ params["V"].T + ds @ params["U"].T) * (1 - f["h"] ** 2)
+    return {
+        "W": f["x"].T @ dh, "b": dh.sum(axis=0), "V": f["h"].T @ dt, "U": f["h"].T @ ds,
+        "w": de @ (f["t"] * f["s"]), "u": d @ f["z"], "c": np.array([d.sum()]),
+    }
+
+
 def train(x: np.ndarray, passages: np.ndarray, labels: np.ndarray, epochs: int = 30, batch: int = 64, seed: int = 7) -> QualityModel:
     """Fit by Adam; both labels weigh the same."""
     rng = np.random.default_rng(seed)
@@ -116,19 +133,7 @@ def train(x: np.ndarray, passages: np.ndarray, labels: np.ndarray, epochs: int =
         for at in np.array_split(rng.permutation(len(labels)), max(1, len(labels) // batch)):
             n = passages[at]
             rows = np.arange(n.sum()) + np.repeat(starts[at] - (np.cumsum(n) - n), n)
-            f = model.forward(x[rows], n)
-            d = (sigmoid(f["logit"]) - labels[at]) * weight[at] / len(at)
-            dz = d[:, None] * params["u"]
-            own = dz[f["owner"]]
-            da = (own * f["h"]).sum(axis=1)
-            de = f["a"] * (da - np.add.reduceat(f["a"] * da, f["starts"])[f["owner"]])
-            gate = de[:, None] * params["w"]
-            dt, ds = gate * f["s"] * (1 - f["t"] ** 2), gate * f["t"] * f["s"] * (1 - f["s"])
-            dh = (f["a"][:, None] * own + dt @ params["V"].T + ds @ params["U"].T) * (1 - f["h"] ** 2)
-            grads = {
-                "W": f["x"].T @ dh, "b": dh.sum(axis=0), "V": f["h"].T @ dt, "U": f["h"].T @ ds,
-                "w": de @ (f["t"] * f["s"]), "u": d @ f["z"], "c": np.array([d.sum()]),
-            }
+            grads = gradients(model, x[rows], n, labels[at], weight[at])
             adam.step({k: g + 1e-4 * params[k] for k, g in grads.items()})
     return model
 

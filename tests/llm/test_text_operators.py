@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from helpers import frame
@@ -110,3 +112,111 @@ def test_toxicity_held_out(spark, languages):
 def test_threshold_takes_the_middle_of_the_gap():
     logits, labels = np.array([3.0, 2.0, -1.0, -2.0]), np.array([1.0, 1.0, 0.0, 0.0])
     assert threshold(logits, labels, np.ones(4)) == pytest.approx(0.5)
+
+
+def numeric(loss, value, at, eps=1e-5):
+    """The slope of ``loss`` along one number of an array."""
+    kept = value[at]
+    value[at] = kept + eps
+    high = loss()
+    value[at] = kept - eps
+    low = loss()
+    value[at] = kept
+    return (high - low) / (2 * eps)
+
+
+def entropy(logits, labels, weight):
+    return float((weight * (np.logaddexp(0, logits) - labels * logits)).mean())
+
+
+def test_gradients_of_gated_attention():
+    rng = np.random.default_rng(2)
+    passages = np.array([3, 1, 4, 2])
+    x, labels, weight = rng.normal(size=(10, quality.WIDTH)), np.array([1.0, 0, 0, 1]), np.array([0.5, 1, 2, 1])
+    h = quality.HIDDEN
+    params = {"W": rng.normal(0, 0.3, (quality.WIDTH, h)), "b": rng.normal(0, 0.1, h), "V": rng.normal(0, 0.4, (h, h)), "U": rng.normal(0, 0.4, (h, h)),
+              "w": rng.normal(0, 0.5, h), "u": rng.normal(0, 0.5, h), "c": rng.normal(size=1)}
+    model = quality.QualityModel(params, np.zeros(quality.WIDTH), np.ones(quality.WIDTH))
+    loss = lambda: entropy(model.forward(x, passages)["logit"], labels, weight)
+    for name, grad in quality.gradients(model, x, passages, labels, weight).items():
+        for _ in range(12):
+            at = tuple(rng.integers(0, n) for n in params[name].shape)
+            assert grad[at] == pytest.approx(numeric(loss, params[name], at), rel=1e-4, abs=1e-8)
+
+
+def test_gradients_of_the_convolution():
+    """Of the dense parameters and of embeddings, around maxima that do not tie."""
+    rng = np.random.default_rng(3)
+    t = toxicity
+    params = {"E": rng.normal(0, 0.5, (t.BUCKETS, t.DIMS)), "C": rng.normal(0, 0.3, (len(t.OFFSETS), t.DIMS, t.FILTERS)), "b": rng.normal(0.5, 0.1, len(t.WIDTHS) * t.FILTERS),
+              "u": rng.normal(0, 0.5, len(t.WIDTHS) * t.FILTERS), "c": np.array([-0.3])}
+    params["E"][0] = 0
+    model = t.ToxicityModel(params)
+    texts = [rng.integers(1, t.BUCKETS, (n, t.PARTS)) for n in (7, 1, 12)]
+    labels, weight = np.array([1.0, 0, 1]), np.array([1.0, 2, 0.5])
+
+    def loss():
+        logits = []
+        for own in texts:
+            words = np.concatenate([own, np.zeros((2 * max(t.WIDTHS), t.PARTS), np.int64)])
+            sums = sum(params["E"][words[:, p]] for p in range(t.PARTS))
+            pooled = []
+            for w in t.WIDTHS:
+                values = [sum(sums[s + o] @ params["C"][t.OFFSETS.index((w, o))] for o in range(w)) for s in range(len(own) + 1)]
+                pooled.append(np.max(values, axis=0))
+            logits.append(np.maximum(np.concatenate(pooled) + params["b"], 0) @ params["u"] + params["c"][0])
+        return entropy(np.array(logits), labels, weight)
+
+    grads, touched = t.gradients(model, texts, labels, weight)
+    for name, grad in grads.items():
+        for _ in range(12):
+            at = tuple(rng.integers(0, n) for n in params[name].shape)
+            assert grad[at] == pytest.approx(numeric(loss, params[name], at), rel=1e-3, abs=1e-6)
+    slopes = np.zeros_like(params["E"])
+    for flat, step in touched:
+        for p in range(t.PARTS):
+            np.add.at(slopes, flat[:, p], step)
+    for bucket in texts[0][2:4].ravel():
+        for d in (0, 3):
+            assert slopes[bucket, d] == pytest.approx(numeric(loss, params["E"], (bucket, d)), rel=1e-3, abs=1e-6)
+
+
+def em(logs, languages):
+    """Proportions and likelihood of one document, word by word."""
+    share = {l: 1 / len(languages) for l in languages}
+    for _ in range(language.ROUNDS):
+        total = dict.fromkeys(languages, 0.0)
+        for row in logs:
+            joint = {l: share[l] * math.exp(row[l]) for l in languages}
+            for l in languages:
+                total[l] += joint[l] / sum(joint.values())
+        share = {l: v / len(logs) for l, v in total.items()}
+    return share, sum(math.log(sum(share[l] * math.exp(row[l]) for l in languages)) for row in logs)
+
+
+def test_mixtures_against_em_word_by_word():
+    """Proportions, likelihoods and the selected languages of single documents and of all together."""
+    rng = np.random.default_rng(6)
+    counts, width = np.array([40, 3, 25, 60]), 4
+    logs = rng.normal(-3, 0.3, (counts.sum(), width))
+    owner = np.repeat(np.arange(4), counts)
+    for doc, strong in enumerate(((0,), (1, 2), (3, 1), (0, 2, 3))):
+        at = np.flatnonzero(owner == doc)
+        logs[at, rng.choice(strong, len(at))] += 2.5
+    sets = np.array([[1, 1, 1, 1], [0, 1, 1, 0], [1, 0, 0, 1], [1, 0, 1, 1]], bool)
+    share, likelihood = language.proportions(logs, counts, sets)
+    got = language.infer(logs, counts)
+    for doc in range(4):
+        own = logs[owner == doc]
+        want, at_best = em(own, np.flatnonzero(sets[doc]).tolist())
+        assert share[doc] == pytest.approx([want.get(l, 0) for l in range(width)], abs=1e-9) and likelihood[doc] == pytest.approx(at_best)
+        # One language after another joins, the best first, while the penalised likelihood grows.
+        chosen = [int(own.sum(axis=0).argmax())]
+        now, best = em(own, chosen)
+        while len(chosen) < width:
+            tries = [(em(own, sorted([*chosen, l])), l) for l in range(width) if l not in chosen]
+            (mixed, value), l = max(tries, key=lambda t: t[0][1])
+            if value - best - 2.0 * math.log(len(own) + 1.0) <= 0:
+                break
+            chosen, now, best = [*chosen, l], mixed, value
+        assert got[doc] == pytest.approx([now.get(l, 0) for l in range(width)], abs=1e-4)

@@ -638,7 +638,7 @@ def sink_upsert(spark, sf):
 def sink_upsert_changes(spark, sf):
     """The same after the target came by two appends: only the buckets that the batch touches are replaced."""
     target, source = _upsert_sides(spark, sf)
-    sink = PathSink(spark, fresh_dir(spark, "sink-changes"), ("o_orderkey",), buckets=64)
+    sink = PathSink(spark, fresh_dir(spark, "sink-changes"), ("o_orderkey",))
     sink.append(target.where("o_orderkey % 2 = 0"), "r1")
     sink.append(target.where("o_orderkey % 2 <> 0"), "r2")
     sink.upsert(source, "r3")

@@ -37,7 +37,7 @@ TABLE, STEP, PENDING = "_TABLE", "_STEP", "_pending"
 RUN, BUCKET = "rt_run", "rt_bucket"
 
 #: Buckets of a new target with a key: this many at least, and one for so many bytes.
-LEAST_BUCKETS = 16
+LEAST_BUCKETS = 8
 BUCKET_BYTES = 256 << 20
 
 
@@ -239,10 +239,11 @@ class PathSink:
             if (step["whole"] or run == f"{RUN}={step['run']}") and run not in step["runs"]:
                 self.storage.delete(f"{self.path}/{run}")
         for run in [n for n in self.storage.list(folder) if n.startswith(f"{RUN}=")]:
-            if step["whole"] or step["run"]:
+            made, there = self.storage.list(f"{folder}/{run}"), self.storage.list(f"{self.path}/{run}")
+            if step["whole"] or step["run"] or not there:
                 self.storage.replace_dir(f"{folder}/{run}", f"{self.path}/{run}")
                 continue
-            for bucket in self.storage.list(f"{folder}/{run}"):
+            for bucket in made:
                 self.storage.replace_dir(f"{folder}/{run}/{bucket}", f"{self.path}/{run}/{bucket}")
         layout = Layout.parse(step["layout"])
         self.storage.replace_text(f"{self.path}/{TABLE}", Layout(layout.schema, layout.keys, layout.buckets, layout.serial + 1).text())

@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pytest
-from helpers import frame
+from helpers import frame, prose
 from pyspark.sql import functions as F
 
 from rowtide.llm import language, quality, toxicity
@@ -109,6 +109,33 @@ def test_toxicity_held_out(spark, languages):
     assert toxicity.scored(frame(spark, []), model, languages).count() == 0
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, languages):
+    """A word of which only rows far back in the order of hashes speak, behind 1600 others of either label."""
+    order = [r[0] for r in spark.range(3600).orderBy(F.xxhash64("id"), "id").collect()]
+    toxic = dict.fromkeys(order[:1600] + order[3200:], 1) | dict.fromkeys(order[1600:3200], 0)
+    words = {i: prose(i, 6) + (" qzork" if n < 1600 else " wvupplex" if n >= 3200 else "") for n, i in enumerate(order)}
+    docs = frame(spark, list(words.items()))
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True), languages)
+    asked = [(1, prose(5000, 6) + " wvupplex"), (2, prose(5001, 6) + " qzork"), (3, prose(5002, 6))]
+    got = {r["doc_id"]: r["score"] >= 0.7 for r in toxicity.scored(frame(spark, asked), model, languages).collect()}
+    assert got == {1: True, 2: True, 3: False}
+
+
+def test_toxicity_does_not_depend_on_the_layout(spark, languages):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    models = [toxicity.fit(docs.repartition(n), labels, F.lit(True), languages) for n in (1, 5)]
+    assert models[0].cut == models[1].cut and models[0].cuts == models[1].cuts
+    assert all((models[0].params[k] == models[1].params[k]).all() for k in models[0].params)
+
+
+def test_languages_count_every_row_without_a_bound(spark):
+    docs = frame(spark, [(i, "aba aba" if i % 2 else "xyx", "en") for i in range(60)])
+    every = language.fit(docs, F.lit(True), per_language=None)
+    a, x = (np.exp(every.logs[language.trigrams([w])[0], 0]) for w in ("aba", "xyx"))
+    assert a.sum() / x.sum() == pytest.approx(2 * 30.2 / 30.2, rel=0.02)
+
+
 def test_threshold_takes_the_middle_of_the_gap():
     logits, labels = np.array([3.0, 2.0, -1.0, -2.0]), np.array([1.0, 1.0, 0.0, 0.0])
     assert threshold(logits, labels, np.ones(4)) == pytest.approx(0.5)

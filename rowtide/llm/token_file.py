@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.llm.common import Index, batches_of, group_sum, table
+from rowtide.llm.common import Index, batches_of, busiest, group_sum, ranges, table
 from rowtide.llm.wavelet import WaveletMatrix
 from rowtide.sources.storage import fresh_dir
 
@@ -38,6 +38,7 @@ WORDS = 600_000
 SHARDS = "part int, start long, n_tokens long, doc_ids array<long>, lengths array<long>, matrix binary"
 ROWS = "part int, doc_id long, start long, n_tokens long, ids_crc32 long"
 WHITE = [c for c in map(chr, range(0x3001)) if c.isspace()]
+ASCII_WHITE = [c for c in WHITE if c.isascii()]
 
 
 class Encoder:
@@ -65,24 +66,32 @@ class Encoder:
         self.bits = max(1, (max(size, end + 1) - 1).bit_length())
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self._reset()
-
-    def _reset(self) -> None:
-        self.index = Index()
+        self.index, self.hits = Index(), np.zeros(0, np.int64)
         self.starts, self.lengths, self.flat, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.kind), 0
 
+    def _forget(self) -> None:
+        """Keep the words met most often."""
+        keep, words = busiest(self.hits, WORDS // 2), list(self.index)
+        self.index, self.hits = Index(), np.zeros(len(keep), np.int64)
+        for n in keep.tolist():
+            self.index[words[n]]
+        self.index.fresh = []
+        self.flat, self.lengths = self.flat[ranges(self.starts[keep], self.lengths[keep])], self.lengths[keep]
+        self.starts, self.used = np.cumsum(self.lengths) - self.lengths, len(self.flat)
+
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, fresh: list) -> None:
         """Ids of new words: strings follow a space, a 1-tuple stands at the start, () is the end."""
-        first = len(self.starts)
-        self.starts = np.concatenate([self.starts, np.zeros(len(fresh), np.int64)])
-        self.lengths = np.concatenate([self.lengths, np.zeros(len(fresh), np.int64)])
+        first, need = len(self.index) - len(fresh), len(self.index)
+        if need > len(self.starts):
+            more = np.zeros(max(need, 2 * first) - len(self.starts), np.int64)
+            self.starts, self.lengths = np.concatenate([self.starts, more]), np.concatenate([self.lengths, more])
         joined = [i for i, w in enumerate(fresh) if isinstance(w, str) and w and not w[-1].isspace()]
         for at in range(0, len(joined), 4000):
             group = joined[at : at + 4000]
-            runs = ["".join([f" {fresh[i]}" for i in group[j : j + 200]]) for j in range(0, len(group), 200)]
+            runs = ["".join([f" {fresh[i]}" for i in group[j : j + 50]]) for j in range(0, len(group), 50)]
             ids = np.fromiter(chain.from_iterable(self._library(runs)), self.kind)
             cuts = np.flatnonzero(self.opens[ids])
             self.starts[first + np.array(group)] = self.used + cuts
@@ -105,7 +114,7 @@ class Encoder:
 
     def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.index) > WORDS:
-            self._reset()
+            self._forget()
         words, counts = [], []
         for text in texts:
             own: list = text.split(" ")
@@ -117,6 +126,9 @@ class Encoder:
         if self.index.fresh:
             self._learn(self.index.fresh)
             self.index.fresh = []
+        hits = np.bincount(at, minlength=len(self.index))
+        hits[: len(self.hits)] += self.hits
+        self.hits = hits
         lengths = self.lengths[at]
         ends = np.cumsum(lengths)
         where = np.arange(ends[-1]) + np.repeat(self.starts[at] - (ends - lengths), lengths)
@@ -124,7 +136,7 @@ class Encoder:
 
     def whole(self, text: str) -> bool:
         """Whether a text must go through the library whole."""
-        return not self.by_word or any(c + " " in text for c in WHITE) or any(s in text for s in self.special)
+        return not self.by_word or any(c + " " in text for c in (ASCII_WHITE if text.isascii() else WHITE)) or any(s in text for s in self.special)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, each with the end id, and their number for each text."""

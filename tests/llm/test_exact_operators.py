@@ -245,6 +245,19 @@ def test_encoder_equals_the_library(texts):
     assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
 
 
+def test_encoder_keeps_frequent_words_when_it_forgets(monkeypatch):
+    monkeypatch.setattr(token_file, "WORDS", 40)
+    encoder, learned = token_file.Encoder(BPE), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda fresh: (learned.extend(fresh), learn(fresh)))
+    for n in range(30):
+        texts = [f"often met,  words w{n}x y{n} and z{n * n}é", f"often met words again a{n} b{n}"]
+        ids, counts = encoder.encode(texts)
+        want = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+    assert learned.count("met") == learned.count("words") == learned.count("again") == 1
+
+
 SAMPLER = pieces.Pieces(PIECES, 0.75)
 
 

@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from rowtide.llm.common import Index, batches_of, busiest, code_points, group_sum, mix, plain, ranges, table, without
 
 SPACE = "▁"
-#: Distinct words a worker remembers.
-WORDS = 300_000
+#: Distinct words a worker remembers, at about a kilobyte each.
+WORDS = 60_000
 LETTER = re.compile(r"[^\W\d_¹²³¼½¾]")
 #: Words by letters or not, where no piece mixes them; else up to the next space.
 FINE = re.compile(r" *[^\W\d_¹²³¼½¾]+| *(?:[^ \n\w]|[\d_¹²³¼½¾])+| +|\n")

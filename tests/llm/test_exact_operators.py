@@ -273,6 +273,15 @@ def test_pieces_are_lossless_and_reproducible(texts, key):
         assert alone.tolist() == ids[end - n : end].tolist()
 
 
+def test_pieces_remember_few_words():
+    sampler, keys, letters = pieces.Pieces(PIECES, 0.75), np.arange(1), "abcdefghij"
+    first = sampler.encode([prose(1, 3000)], keys)[0].tolist()
+    for n in range(10):
+        sampler.encode([" ".join(f"on{letters[n]}{''.join(letters[int(d)] for d in str(i))}" for i in range(10_000))], keys)
+        assert len(sampler.index) <= 75_000
+    assert sampler.encode([prose(1, 3000)], keys)[0].tolist() == first
+
+
 def piece_weights():
     """Piece with its spaces shown -> (id, weight), from the model file."""
     import sentencepiece

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import Index, batches_of, busiest, code_points, group_sum, mix, plain, ranges, table, without
+from rowtide.llm.common import Index, batches_of, busiest, code_points, group_sum, in_batches, mix, plain, ranges, table, without
 
 SPACE = "▁"
 #: Distinct words a worker remembers, at about a kilobyte each.
@@ -289,7 +289,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", alpha: float = 0.75
                 names=[*batch.schema.names, "ids", "n_pieces", "ids_crc32", "lossless"],
             )
 
-    return docs.mapInArrow(sample, schema).toDF(*names, *made)
+    return in_batches(docs, sample, schema).toDF(*names, *made)
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:

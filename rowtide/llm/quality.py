@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import WordTable, batches_of, group_sum, id_crc, labelled_ids, plain, table, without, words_of
+from rowtide.llm.common import WordTable, batches_of, group_sum, id_crc, in_batches, labelled_ids, plain, table, without, words_of
 from rowtide.llm.learn import CUT, CUT_LOGIT, Adam, natural_weights, out_of_fold, sigmoid, threshold
 
 PASSAGE = 64
@@ -153,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, bound: int = 3000, lab
 
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     # At most 2 x bound bags come to the driver.
-    rows = sample.mapInArrow(features, "doc_id long, label int, x binary").orderBy(F.xxhash64("doc_id"), "x").collect()
+    rows = in_batches(sample, features, "doc_id long, label int, x binary").orderBy(F.xxhash64("doc_id"), "x").collect()
     known_labels = np.array([r["label"] for r in rows], np.float64)
     if len(set(known_labels.tolist())) < 2:
         return None
@@ -194,7 +194,7 @@ def scored(docs: DataFrame, model: QualityModel | None) -> DataFrame:
                 most = np.array([a.argmax() for a in np.split(f["a"], f["starts"][1:])], np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values), pa.array(most)], names=[*batch.schema.names, "quality_score", "quality_passage"])
 
-    return docs.mapInArrow(score, schema).toDF(*names, *made)
+    return in_batches(docs, score, schema).toDF(*names, *made)
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:

@@ -6,10 +6,12 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import oracle
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import contamination_brute, frame, join_brute, prose
 from hypothesis import given, settings
@@ -17,7 +19,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rowtide.llm import components, decontaminate, jaccard, neighbours, pieces, secrets, token_file, url_filter
+from rowtide.llm import common, components, decontaminate, jaccard, neighbours, pieces, secrets, token_file, url_filter
 from rowtide.llm.queries import QUERIES, SQL
 from rowtide.llm.wavelet import WaveletMatrix
 
@@ -291,6 +293,43 @@ def piece_weights():
     return {model.id_to_piece(i): (i, (max(min(-model.get_score(i), model.get_piece_size()), 0.0) + 100.0) ** -0.75) for i in fit}
 
 
+def test_arrow_batches_hold_bounded_bytes(spark):
+    """Texts of 24 MB in one partition come in several batches, and a bound that the session sets stays."""
+    docs = spark.range(0, 24, 1, 1).selectExpr("id AS doc_id", "repeat('ab c ', 200000) AS text")
+    had = spark.conf.getAll.get(common.ARROW_BYTES)
+
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+
+    def count():
+        return [r["n"] for r in common.in_batches(docs, sizes, "n long").collect()]
+
+    try:
+        spark.conf.unset(common.ARROW_BYTES)
+        assert sum(got := count()) == 24 and max(got) <= 9
+        spark.conf.set(common.ARROW_BYTES, "64m")
+        assert count() == [24]
+        spark.conf.unset(common.ARROW_BYTES)
+        pieces.encode(docs, PIECES)
+        assert spark.conf.getAll[common.ARROW_BYTES] == common.ARROW_MOST
+    finally:
+        spark.conf.set(common.ARROW_BYTES, had) if had else spark.conf.unset(common.ARROW_BYTES)
+
+
+def test_workers_give_back_freed_memory():
+    """Also below blocks that are still in use, where the C library keeps it."""
+
+    def held():
+        return int(re.search(r"\nRss:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1])
+
+    some = [np.ones(300) for _ in range(50_000)]
+    last = some[-1]
+    some.clear()
+    before = held()
+    common.give_back()
+    assert last.sum() == 300 and before - held() > 60_000
+
+
 def test_pieces_follow_their_weights():
     ids, counts = SAMPLER.encode(["theon"] * 20_000, np.arange(20_000))
     ends, seen, known = np.cumsum(counts), {}, piece_weights()

@@ -16,6 +16,7 @@ are ignored.  An empty table gives no shards.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -163,7 +164,11 @@ class Encoder:
 
 @lru_cache(maxsize=1)
 def encoder_of(path: str, end: int) -> Encoder:
-    """A worker's encoder; the words it has met serve its later tasks too."""
+    """A worker's encoder; the words it has met serve its later tasks too.
+
+    Spark runs a task on every core, so the library gets no threads of its own; they would mostly wait, and spin meanwhile.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return Encoder(path, end)
 
 

@@ -46,8 +46,8 @@ class WaveletMatrix:
         for level in range(bits - 1, -1, -1):
             one = np.unpackbits(self.planes[level], count=self.n).view(bool)
             up = np.empty(self.n, kind)
-            up[~one] = ids[: self.zeros[level]]
-            up[one] = ids[self.zeros[level] :] | kind(1 << (bits - 1 - level))
+            up[np.flatnonzero(~one)] = ids[: self.zeros[level]]
+            up[np.flatnonzero(one)] = ids[self.zeros[level] :] | kind(1 << (bits - 1 - level))
             ids = up
         return ids
 

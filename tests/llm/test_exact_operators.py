@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -247,6 +250,21 @@ def test_encoder_equals_the_library(texts):
     assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
 
 
+def test_a_workers_encoder_starts_no_threads():
+    """Every core has a task already.  In a process of its own: threads of other tests would hide new ones."""
+    script = """if True:
+        import os
+        import public_tokenizers
+        from rowtide.llm.token_file import encoder_of
+        encoder = encoder_of(public_tokenizers.path("byte_bpe_50k.json"), 0)
+        before = len(os.listdir("/proc/self/task"))
+        encoder.encode([" ".join(f"word{n}" for n in range(4000))])
+        print(len(os.listdir("/proc/self/task")) - before)
+    """
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"} | {"PYTHONPATH": os.pathsep.join(sys.path)}
+    assert subprocess.run([sys.executable, "-c", script], env=env, capture_output=True, text=True, check=True, timeout=120).stdout == "0\n"
+
+
 def test_encoder_keeps_frequent_words_when_it_forgets(monkeypatch):
     monkeypatch.setattr(token_file, "WORDS", 40)
     encoder, learned = token_file.Encoder(BPE), []

@@ -10,7 +10,7 @@ from helpers import frame, prose
 from pyspark.sql import functions as F
 
 from rowtide.llm import language, quality, toxicity
-from rowtide.llm.common import id_crc, table
+from rowtide.llm.common import id_crc, mix, table
 from rowtide.llm.learn import threshold
 
 SF = "/root/testdata/sf0.01"
@@ -171,6 +171,22 @@ def test_gradients_of_gated_attention():
             assert grad[at] == pytest.approx(numeric(loss, params[name], at), rel=1e-4, abs=1e-8)
 
 
+def test_word_buckets_read_each_word_once(monkeypatch):
+    """All beginnings and endings come from one pass over the characters, with the buckets of each part on its own."""
+
+    def one(part, kind):
+        h = sum((ord(c) + 7) * 0x100000001B3 ** (n + 1) for n, c in enumerate(part))
+        h += (kind == toxicity.PARTS - 1) * 0x9E3779B97F4A7C15 + (kind == 0) * 0x7F4A7C15
+        return 1 + int(mix(np.array([h % 2**64], np.uint64))[0]) % (toxicity.BUCKETS - 1) if part else 0
+
+    words = ["a", "ab", "abc", "abcd", "abcde", "abcdef", "straße", "語語語語語語", "\U0001F600x" * 20]
+    want = [[one(w, 0), *(one(w[:n] if len(w) > n else "", 1) for n in toxicity.STARTS), one(w[-toxicity.END :] if len(w) > toxicity.END else "", toxicity.PARTS - 1)] for w in words]
+    calls, plain = [], toxicity.code_points
+    monkeypatch.setattr(toxicity, "code_points", lambda own: calls.append(own) or plain(own))
+    assert toxicity.buckets_of(words).tolist() == want
+    assert len(calls) == 1
+
+
 def test_gradients_of_the_convolution():
     """Of the dense parameters and of embeddings, around maxima that do not tie."""
     rng = np.random.default_rng(3)

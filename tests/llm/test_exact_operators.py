@@ -278,6 +278,48 @@ def test_encoder_keeps_frequent_words_when_it_forgets(monkeypatch):
     assert learned.count("met") == learned.count("words") == learned.count("again") == 1
 
 
+def library_ids(encoder, texts):
+    return [[*e.ids, 0] for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def test_encoder_sends_a_word_to_the_library_once_whatever_follows_it(monkeypatch):
+    encoder, sent = token_file.Encoder(BPE), []
+    library = encoder._library
+    monkeypatch.setattr(encoder, "_library", lambda texts: (sent.extend(texts), library(texts))[1])
+    marks = ["", ",", ".", "!", "?", ";", ":", "...", "?!", ",\n", "\n", ".\nNext", "\nNext,"]
+    words = ["thntort", "größe", "жизнь", "λόγος"]
+    texts = [f"x {w}{m} {w}{n}" for w in words for m in marks if not m.endswith("\n") for n in marks]
+    ids, counts = encoder.encode(texts)
+    want = library_ids(encoder, texts)
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+    assert ["".join(sent).count(w) for w in words] == [1] * len(words)
+    encoder.encode(texts)
+    assert ["".join(sent).count(w) for w in words] == [1] * len(words)
+
+
+def test_encoder_cuts_at_marks_as_the_library_does(monkeypatch):
+    monkeypatch.setattr(token_file, "PLACED", 1000)
+    letters = [c for c in map(chr, range(0x3000)) if re.fullmatch(f"[{token_file.LETTERS}]", c)]
+    assert len(letters) > 800 and all(c.isalpha() for c in letters)
+    for mark in [*token_file.MARKS, "\n", "\n\n", ".\n", "..\n", "'s,", ",\u0301"]:
+        texts = [f"x {c}{mark}{c} {c}b{mark}{c}{mark} {c}{mark}" for c in letters]
+        ids, counts = ENCODER.encode(texts)
+        want = library_ids(ENCODER, texts)
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
+def test_encoder_does_not_remember_long_words(monkeypatch):
+    monkeypatch.setattr(token_file, "WORDS", 20)
+    encoder = token_file.Encoder(BPE)
+    for n in range(4):
+        texts = [f"{i}{n}" * 500 + " some words" for i in range(30)] * 2
+        ids, counts = encoder.encode(texts)
+        want = library_ids(encoder, texts)
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+    encoder.encode(pa.array(["some words"], pa.large_string()))
+    assert encoder.known.nbytes < 1000 and "words" in encoder.known.to_pylist()
+
+
 SAMPLER = pieces.Pieces(PIECES, 0.75)
 
 

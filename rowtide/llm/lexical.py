@@ -4,7 +4,7 @@
 2. *Index.*  Each task cuts its documents into shards of bounded size, without a shuffle.  A
    shard is a grid: a row for each of its terms, frequent ones first, a column for each document;
    a cell holds the impact of the term in the document.  It is kept as a K2-treap (``treap.py``)
-   beside its dictionary; every term of every document is in it.
+   beside its dictionary, both compressed by the worker; every term of every document is in it.
 3. Document frequencies of the wanted terms come from the dictionaries.
 4. *Search.*  In every shard the row paths of an item's terms descend together, best first over
    ranges of documents; ranges whose bound is below the item's k-th score so far are left out.
@@ -29,14 +29,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.llm.collocations import slices
-from rowtide.llm.common import Index, forget, stored, table
+from rowtide.llm.common import CHUNK_CHARS, Index, forget, give_back, in_batches, slices_of, stored, table
 from rowtide.llm.decontaminate import words
 from rowtide.llm.jaccard import packed, unpacked
-from rowtide.llm.treap import Treap, build
+from rowtide.llm.treap import Treap, build, expanded, squeezed
 
 #: Terms of a shard, with repeats, and its documents, at most (but for one document).
 SHARD_TOKENS = 1_500_000
 SHARD_DOCUMENTS = 1 << 16
+#: Bytes of compressed shards that a task of the JVM holds at once (but for one shard).
+GROUP_BYTES = 8 << 20
 #: Terms that wait until equal ones are put together.
 PENDING = 500_000
 #: Terms of a block of items; terms that are broadcast.
@@ -63,13 +65,13 @@ def sizes(docs: DataFrame) -> tuple[int, int]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         documents = total = 0
-        for batch in batches:
+        for batch in slices_of(batches, CHUNK_CHARS):
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 n = sum(map(len, terms_of(text)))
                 documents, total = documents + (n > 0), total + n
         yield pa.RecordBatch.from_arrays([pa.array([documents]), pa.array([total])], names=["n", "l"])
 
-    got = docs.select("text").mapInArrow(count, "n long, l long").agg(F.sum("n"), F.sum("l")).first()
+    got = in_batches(docs.select("text"), count, "n long, l long").agg(F.sum("n"), F.sum("l")).first()
     return got[0] or 0, got[1] or 0
 
 
@@ -119,10 +121,10 @@ class Shard:
         impact = (10**9 * tf) // (1000 * tf + 8 * m[doc])
         names = list(self.index)
         kept = {
-            "ids": np.array([0 if i is None else i for i in self.ids], np.int64).tobytes(),
-            "known": np.array([i is not None for i in self.ids], np.uint8).tobytes(),
-            "terms": b" ".join([names[i] for i in order.tolist()]),
-            "df": packed(df[order]),
+            "ids": squeezed(np.array([0 if i is None else i for i in self.ids], np.int64).tobytes()),
+            "known": squeezed(np.array([i is not None for i in self.ids], np.uint8).tobytes()),
+            "terms": squeezed(b" ".join([names[i] for i in order.tolist()])),
+            "df": squeezed(packed(df[order])),
         }
         return kept | build(place[term], doc, impact)
 
@@ -141,15 +143,18 @@ def index(docs: DataFrame, documents: int, total: int) -> DataFrame:
             if row := shard.row(documents, total):
                 yield pa.RecordBatch.from_pylist([row], schema=schema)
 
-        for batch in batches:
+        for batch in slices_of(batches, CHUNK_CHARS):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 shard.add(doc_id, text)
                 if shard.total >= SHARD_TOKENS or len(shard.ids) >= SHARD_DOCUMENTS:
                     yield from done()
                     shard = Shard()
+                    give_back()
         yield from done()
 
-    return stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(shards, SHARD), "treaps", compression="zstd")
+    made = in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shards, SHARD)
+    # Compressed by the workers: the JVM never holds a whole grid.
+    return stored(made, "treaps", compression="none", group=GROUP_BYTES)
 
 
 def in_blocks(shards: DataFrame, asked: DataFrame, terms: int) -> DataFrame:
@@ -173,13 +178,13 @@ def frequencies(shards: DataFrame, wanted: DataFrame) -> DataFrame:
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                there = batch.column("terms")[i].as_py().split()
-                place = dict(zip(there, unpacked(batch.column("df")[i].as_py()).tolist(), strict=True))
+                there = expanded(batch.column("terms")[i].as_py()).split()
+                place = dict(zip(there, unpacked(expanded(batch.column("df")[i].as_py())).tolist(), strict=True))
                 found = [(t, place[b]) for t in batch.column("asked")[i].as_py() if (b := t.encode()) in place]
                 yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([d for _, d in found], pa.int64())], names=["term", "df"])
 
     met = in_blocks(shards.select("terms", "df"), asked, n)
-    return met.mapInArrow(look, "term string, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    return in_batches(met, look, "term string, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -196,8 +201,8 @@ def top_documents(shards: DataFrame, asked: DataFrame, terms: int, k: int) -> Da
             for i in range(batch.num_rows):
                 shard = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
                 treap = Treap(shard["height"], shard["root"], shard["bits"], shard["drops"])
-                place = {t: n for n, t in enumerate(shard["terms"].split())}
-                ids = np.where(np.frombuffer(shard["known"], np.uint8) > 0, np.frombuffer(shard["ids"], np.int64), NO_ID)
+                place = {t: n for n, t in enumerate(expanded(shard["terms"]).split())}
+                ids = np.where(np.frombuffer(expanded(shard["known"]), np.uint8) > 0, np.frombuffer(expanded(shard["ids"]), np.int64), NO_ID)
                 for item in shard["asked"]:
                     own = [(place[b], w) for t, w in zip(item["terms"], item["weights"], strict=True) if (b := t.encode()) in place]
                     if not own:
@@ -218,7 +223,7 @@ def top_documents(shards: DataFrame, asked: DataFrame, terms: int, k: int) -> Da
             ids = pa.array([None if d == NO_ID else d for d in docs.tolist()], pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([item] * len(docs), pa.int64()), ids, pa.array(scores)], names=["item", "doc_id", "score"])
 
-    return in_blocks(shards, asked, terms).mapInArrow(look, "item long, doc_id long, score long")
+    return in_batches(in_blocks(shards, asked, terms), look, "item long, doc_id long, score long")
 
 
 def ranked(documents: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:

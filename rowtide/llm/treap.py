@@ -3,16 +3,28 @@
 The square grid of side 2 ** height is cut into quadrants down to single cells.  A level holds
 four bits for each of its cells, which say what quadrants are not empty, and for each quadrant
 that is not how far its maximum lies below that of its cell.  A rank over the bits leads from a
-cell to its quadrants, so no pointers are kept, and what is empty takes no room.
+cell to its quadrants, so no pointers are kept, and what is empty takes no room.  Levels are
+compressed one by one as soon as they are made, and opened one by one.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 from rowtide.llm.jaccard import packed, unpacked
 
 
+def squeezed(data: bytes) -> bytes:
+    """``data`` compressed, behind its length."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def expanded(data: bytes) -> bytes:
+    """What ``squeezed`` got."""
+    return pa.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
 def spread(x: np.ndarray) -> np.ndarray:
     """Bits of numbers below 2 ** 31 moved to the even places."""
     x = x.astype(np.uint64)
@@ -22,7 +34,7 @@ def spread(x: np.ndarray) -> np.ndarray:
 
 
 def build(rows: np.ndarray, columns: np.ndarray, values: np.ndarray) -> dict:
-    """The treap of different cells: height, root (the largest value), bits and drops of each level from the top."""
+    """The treap of different cells: height, root (the largest value), squeezed bits and drops of each level from the top."""
     height = max(1, int(max(rows.max(), columns.max())).bit_length())
     code = (spread(rows) << np.uint64(1)) | spread(columns)
     order = np.argsort(code)
@@ -34,10 +46,10 @@ def build(rows: np.ndarray, columns: np.ndarray, values: np.ndarray) -> dict:
         own = np.left_shift(1, (code & np.uint64(3)).astype(np.uint8)).astype(np.uint8)
         nibbles = np.bitwise_or.reduceat(own, starts)
         top = np.maximum.reduceat(best, starts)
-        drops.append(packed(np.repeat(top, np.diff(starts, append=len(code))) - best))
+        drops.append(squeezed(packed(np.repeat(top, np.diff(starts, append=len(code))) - best)))
         wide = np.zeros(-(-len(starts) // 16) * 16, np.uint8)
         wide[: len(starts)] = nibbles
-        bits.append((wide[::2] | (wide[1::2] << 4)).tobytes())
+        bits.append(squeezed((wide[::2] | (wide[1::2] << 4)).tobytes()))
         code, best = upper[starts], top
     return {"height": height, "root": int(best[0]), "bits": bits[::-1], "drops": drops[::-1]}
 
@@ -54,13 +66,13 @@ class Treap:
     def open(self, level: int) -> None:
         while len(self.words) <= level:
             at = len(self.words)
-            words = np.frombuffer(self.bits[at], np.uint64)
+            words = np.frombuffer(expanded(self.bits[at]), np.uint64)
             ones = np.bitwise_count(words).astype(np.int64)
             self.words.append(words)
             self.ranks.append((np.cumsum(ones) - ones).astype(np.int32))
             two = words.view(np.uint8)
             quadrants = np.bitwise_count(np.stack([two & 15, two >> 4], axis=1).ravel()[: len(self.best[at])])
-            self.best.append(np.repeat(self.best[at], quadrants) - unpacked(self.drops[at]).view(np.int32))
+            self.best.append(np.repeat(self.best[at], quadrants) - unpacked(expanded(self.drops[at])).view(np.int32))
 
     def quadrant(self, level: int, cells: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For cells of a level (-1: none), the given quadrant's number in the next level, -1 if empty, and its maximum."""

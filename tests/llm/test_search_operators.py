@@ -10,9 +10,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import SEP, low
+from pyarrow import dataset
 from pyspark.sql import functions as F
 
-from rowtide.llm import collocations, lexical, segment_search, treap
+from rowtide.llm import collocations, common, lexical, segment_search, treap
 
 TEXTS = "doc_id long, text string, lang string, f string, h string, word string, score double"
 
@@ -191,6 +192,29 @@ def test_lexical_search_in_little(spark):
     assert Counter(tuple(r) for r in got.collect()) == search_brute([(r[0], r[1]) for r in docs.collect()], [(1, "a b")])
 
 
+def test_shards_leave_the_worker_compressed():
+    """A cell takes a few bytes of a row, not four at every level of the grid."""
+    shard, rng = lexical.Shard(), random.Random(6)
+    for i in range(400):
+        shard.add(i, " ".join(f"w{min(int(rng.expovariate(0.002)), 4000)}" for _ in range(300)).encode())
+    row = shard.row(400, 120_000)
+    size = sum(len(b) for v in row.values() if not isinstance(v, int) for b in ([v] if isinstance(v, bytes) else v))
+    assert len(shard.cells[0]) > 50_000 and size < 6 * len(shard.cells[0])
+
+
+def test_shards_are_read_a_few_at_a_time(spark, monkeypatch):
+    """However many shards a task makes, its file has groups of bounded size; texts pass in bounded batches."""
+    monkeypatch.setattr(lexical, "SHARD_TOKENS", 300)
+    monkeypatch.setattr(lexical, "GROUP_BYTES", 4096)
+    spark.conf.unset(common.ARROW_BYTES)
+    docs, items = lexical_rows()
+    frame = texts(spark, [(*r, None) for r in docs]).coalesce(1)
+    shards = lexical.index(frame, *lexical.sizes(frame))
+    assert spark.conf.get(common.ARROW_BYTES) == common.ARROW_MOST
+    (file,) = (x for x in dataset.dataset(shards.stored_at).get_fragments())
+    assert len(file.row_groups) > 5 and max(g.num_rows for g in file.row_groups) <= 5 < shards.count() / 5
+
+
 def nearest_brute(rows, k):
     own = [(n, i, [math.floor(64 * x) for x in v]) for n, (i, v) in enumerate(rows) if i is not None and v and None not in v and all(map(math.isfinite, v))]
     out = Counter()
